@@ -106,7 +106,7 @@ def map_impute(spark, sf):
 
 
 def mean_fill(spark, sf):
-    return clean.impute_by_group(D.sales_named(spark, sf), "ProductCategory", "UnitsSold", "mean")
+    return clean.impute_by_group(D.sales_named_stage(spark, sf), "ProductCategory", "UnitsSold", "mean")
 
 
 def median_per_group(spark, sf):
@@ -121,7 +121,7 @@ def median_excluding_sentinel(spark, sf):
 
 
 def sentinel_fill_median(spark, sf):
-    units = clean.impute_by_group(D.sales_named(spark, sf), "ProductCategory", "UnitsSold", "mean")
+    units = clean.impute_by_group(D.sales_named_stage(spark, sf), "ProductCategory", "UnitsSold", "mean")
     return clean.impute_by_group(units, "ProductCategory", "UnitPrice", "median",
                                  sentinel=D.UNITS_SENTINEL)
 
@@ -153,7 +153,7 @@ def dim_with_default(spark, sf):
 
 
 def _star(spark, sf):
-    named = D.sales_named(spark, sf)
+    named = D.sales_named_stage(spark, sf)
     fact = D.clean_sales(named)
     specs = [
         facts.DimSpec(dims.build_dimension(named, PRODUCT, "DIM_ProductId"), PRODUCT, "DIM_ProductId"),

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.keys import normalize
 from tessera.operators import clean
-from tessera.sources.io import read_table
+from tessera.session import scratch_path
+from tessera.sources.io import read_stage, read_table, write_stage
 
 # Literal name map used to impute missing product names (three
 # of the six part types, so the default is also hit), and the region left out
@@ -74,6 +75,18 @@ def sales_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.impute_by_map(sales(spark, sf_dir), "ProductName", "ProductCategory", NAME_MAP)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a stage table in the shared checkpoint folder and
+    read it back. Later steps that use it several times (a statistic, then a
+    join back; several dimensions) scan the compact stage instead of
+    re-running the joins that produced it, and its lineage ends here."""
+    return read_stage(df.sparkSession, write_stage(df, scratch_path(df.sparkSession, name)))
+
+
+def sales_named_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(sales_named(spark, sf_dir), "sales-stage1")
+
+
 def clean_sales(df: DataFrame, median_method: str = "exact") -> DataFrame:
     """Stages 2-4 on a named sales frame: units by category mean; price by
     category median without the -1 sentinel; discount by category median."""
@@ -84,7 +97,7 @@ def clean_sales(df: DataFrame, median_method: str = "exact") -> DataFrame:
 
 
 def sales_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_sales(sales_named(spark, sf_dir))
+    return clean_sales(sales_named_stage(spark, sf_dir))
 
 
 def _orders_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
