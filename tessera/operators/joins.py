@@ -29,43 +29,50 @@ def max_broadcast_rows(df: DataFrame, override: int | None = None) -> int:
     return int(conf) if conf else DEFAULT_MAX_BROADCAST_ROWS
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Materialise ``df`` and mark it for broadcast if it has at most ``max_rows`` rows.
+def checked_broadcast(df: DataFrame, max_rows: int | None = None,
+                      materialize: bool = True) -> tuple[DataFrame, bool]:
+    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
 
-    Returns ``(frame, broadcast)``. Meant for sides whose size is not known
-    before running, such as per-group statistics: their row count is the
-    number of groups, which the planner cannot estimate.
+    Returns ``(frame, broadcast)``.
+
+    ``materialize=True`` (for sides computed by an aggregate, such as
+    per-group statistics or distinct keys) writes ``df`` to the checkpoint
+    folder first, so the count and the join read the same rows and the
+    aggregate runs once. ``materialize=False`` (for plain tables that may be
+    large) counts at most ``max_rows + 1`` rows and leaves ``df`` as it is.
     """
     bound = max_broadcast_rows(df, max_rows)
-    from tessera.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    materialised = df.checkpoint(eager=True)
-    n = materialised.count()
+    if materialize:
+        from tessera.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+        n = df.count()
+    else:
+        n = df.limit(bound + 1).count()
     if n <= bound:
-        return F.broadcast(materialised), True
-    return materialised, False
+        return F.broadcast(df), True
+    return df, False
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                    how: str = "full", max_rows: int | None = None) -> DataFrame:
     """Join where a null key matches a null key (``<=>``).
 
-    When ``right`` is a lookup of checked small size and ``how`` is full outer,
-    the join is split into a broadcast left-outer join plus the right rows
-    that no left row references (found from the *distinct* left keys, so a hot
-    key is collapsed map-side before any shuffle). Full outer sort-merge joins
-    cannot split skewed partitions; this form never shuffles the left side.
+    A full outer join is computed as a left-outer join plus the right rows
+    that no left row references. Those are found from the *distinct* left
+    keys, so a hot key is collapsed map-side before any shuffle. The left
+    outer join is broadcast when ``right`` is checked small; otherwise it is a
+    shuffle join whose skewed left partitions AQE can split. A full outer
+    sort-merge join could split neither side.
     """
     cond = left[left_key].eqNullSafe(right[right_key])
-    if how not in ("full", "outer", "full_outer"):
+    if how not in ("full", "outer", "full_outer", "fullouter"):
         return left.join(right, cond, how)
-    small, is_small = checked_broadcast(right, max_rows)
-    if not is_small:
-        return left.join(right, cond, "full")
-    matched = left.join(small, left[left_key].eqNullSafe(small[right_key]), "left")
+    side, _ = checked_broadcast(right, max_rows, materialize=False)
+    matched = left.join(side, left[left_key].eqNullSafe(side[right_key]), "left")
     used = left.select(F.col(left_key).alias("__used_key")).distinct()
-    unused = small.join(used, small[right_key].eqNullSafe(used["__used_key"]), "left_anti")
+    unused = right.join(used, right[right_key].eqNullSafe(used["__used_key"]), "left_anti")
     filler = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
     unmatched = unused.select(*filler, *[F.col(c) for c in right.columns])
     return matched.unionByName(unmatched)

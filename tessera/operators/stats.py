@@ -1,20 +1,25 @@
 """Per-group statistics: mean and exact or approximate quantiles.
 
-Exact quantile by value frequency
----------------------------------
+Exact quantile, split so that no task sees a whole group
+--------------------------------------------------------
 Spark's ``percentile`` family keeps every distinct value of a group in one
-aggregation buffer. Here the work is split instead:
+aggregation buffer, and a running count over a group needs the group in one
+task. Here the work is split instead:
 
 1. count rows per ``(group, value)``; the partial aggregate collapses repeats
-   map-side, so a hot group with few distinct values costs almost nothing to
-   shuffle;
-2. over the *distinct* values of each group, a running count ordered by value
-   (the window sees one row per distinct value, never one per input row);
-3. the quantile is the smallest value whose running count reaches
-   ``ceil(q * n)``, i.e. SQL ``percentile_disc`` (lower median for q = 0.5).
-
-``method="approx"`` uses ``percentile_approx`` (bounded memory per group,
-error ``1/accuracy``) for columns with very many distinct values.
+   map-side, so a hot group with few distinct values costs almost nothing;
+2. per group, approximate bucket edges over its *distinct* values
+   (``percentile_approx``, bounded memory, combined map-side), so each bucket
+   holds about ``1/buckets`` of the group's distinct values;
+3. row totals per ``(group, bucket)`` -- at most ``buckets`` rows per group --
+   and their running sum locate the bucket holding the target rank
+   ``ceil(q * n)`` exactly, with the count of rows before it;
+4. only that bucket's distinct values get a running count; the quantile is
+   the smallest value whose count reaches the target rank, i.e. SQL
+   ``percentile_disc`` (lower median for q = 0.5).
+
+The edges only decide how the work is split; the answer is exact whatever
+they are. ``method="approx"`` returns ``percentile_approx`` itself.
 """
 
 from __future__ import annotations
@@ -37,24 +42,49 @@ def group_mean(df: DataFrame, by: str | Sequence[str], col: str, out: str = "mea
 
 def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float = 0.5,
                    out: str = "quantile", method: str = "exact", accuracy: int = 10000,
-                   where: Column | None = None) -> DataFrame:
+                   where: Column | None = None, buckets: int = 128) -> DataFrame:
     """One row per group with the ``q`` quantile of ``col`` (nulls ignored)."""
+    from tessera.operators.joins import checked_broadcast
+
     keys = _by(by)
     src = df if where is None else df.where(where)
     if method == "approx":
         return src.groupBy(*keys).agg(F.percentile_approx(col, q, accuracy).alias(out))
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
+
     freq = (src.where(F.col(col).isNotNull())
                .groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n")))
+    probs = [i / buckets for i in range(1, buckets)]
+    edges = freq.groupBy(*keys).agg(F.percentile_approx(col, probs, accuracy).alias("__edges"))
+    edges = edges.select(*[F.col(k).alias(f"__e_{i}") for i, k in enumerate(keys)], "__edges")
+    edges, _ = checked_broadcast(edges)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__e_{i}"))
+    bucket = F.size(F.filter(F.col("__edges"), lambda e: e < F.col(col)))
+    bucketed = freq.join(edges, same).select(*keys, col, "__n", bucket.alias("__b"))
+
+    per_bucket = bucketed.groupBy(*keys, "__b").agg(F.sum("__n").alias("__bn"))
     group = Window.partitionBy(*keys)
+    before = group.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    located = per_bucket.select(
+        *keys, "__b", "__bn",
+        F.coalesce(F.sum("__bn").over(before), F.lit(0).cast("long")).alias("__before"),
+        F.greatest(F.ceil(F.sum("__bn").over(group) * F.lit(q)), F.lit(1)).cast("long").alias("__k"))
+    target = located.where((F.col("__before") < F.col("__k"))
+                           & (F.col("__before") + F.col("__bn") >= F.col("__k")))
+    target = target.select(*[F.col(k).alias(f"__t_{i}") for i, k in enumerate(keys)],
+                           F.col("__b").alias("__tb"), "__before", "__k")
+    target, _ = checked_broadcast(target)
+    match = F.col("__b") == F.col("__tb")
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"__t_{i}"))
+    inside = bucketed.join(target, match).select(*keys, col, "__n", "__before", "__k")
     running = group.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = freq.select(*keys, col,
-                         F.sum("__n").over(running).alias("__cum"),
-                         F.sum("__n").over(group).alias("__total"))
-    target = F.greatest(F.ceil(F.col("__total") * F.lit(q)), F.lit(1))
+    ranked = inside.withColumn("__cum", F.col("__before") + F.sum("__n").over(running))
     return ranked.groupBy(*keys).agg(
-        F.min(F.when(F.col("__cum") >= target, F.col(col))).alias(out))
+        F.min(F.when(F.col("__cum") >= F.col("__k"), F.col(col))).alias(out))
 
 
 def group_median(df: DataFrame, by: str | Sequence[str], col: str, out: str = "median",

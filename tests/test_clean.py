@@ -56,6 +56,20 @@ def test_exact_quantile_matches_brute_force(spark, q):
         assert got[g] == vals[k - 1], (g, q)
 
 
+@pytest.mark.parametrize("buckets", [2, 5, 64])
+def test_exact_quantile_many_buckets_hot_group_null_key(spark, buckets):
+    rnd = random.Random(buckets)
+    data = [("hot", float(rnd.randint(0, 5000))) for _ in range(6000)]
+    data += [(None, float(rnd.randint(0, 50))) for _ in range(99)] + [("one", 3.0)]
+    df = spark.createDataFrame(data, "g string, v double")
+    for q in (0.25, 0.5, 0.99):
+        got = dict(rows(group_quantile(df, "g", "v", q, buckets=buckets)))
+        for g in ("hot", None, "one"):
+            vals = sorted(v for k, v in data if k == g)
+            import math
+            assert got[g] == vals[max(1, math.ceil(q * len(vals))) - 1], (g, q, buckets)
+
+
 def test_exact_median_equals_lower_median(spark):
     rnd = random.Random(3)
     data = [(g, rnd.random()) for g in range(20) for _ in range(rnd.randint(1, 50))]
