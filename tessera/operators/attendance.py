@@ -14,18 +14,21 @@ Two methods, as in common attendance reports:
 Both sum whole seconds and divide once, so rounding to hundredths of an hour
 is a single step. The employee name is joined *after* the per-day aggregate:
 the name depends only on ``emp_id``, and the aggregate is far smaller than
-the punch log. Windows are partitioned by employee-day, a group whose size is
-bounded by how often a person can punch a clock.
+the punch log. Windows are partitioned by employee-day; with ``chunk`` (for
+example the hour of the punch) an employee-day is further split across tasks
+by ``sequence.number_and_neighbours``, so even a runaway clock that floods one
+employee-day cannot put a third of the log into one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.values import seconds_between
+from tessera.operators.sequence import number_and_neighbours
 
 # Punch types, timestamp text format, seconds per hour.
 PUNCH_IN = "IN"
@@ -42,15 +45,12 @@ def parse_punches(df: DataFrame, time_col: str = "punch_time", fmt: str = PUNCH_
     return df.withColumn(time_col, ts).withColumn(date_col, F.to_date(F.col(time_col)))
 
 
-def _day_window(emp: str, date: str, time: str, tiebreak: Sequence[str]):
-    return Window.partitionBy(emp, date).orderBy(time, *tiebreak)
-
-
 def punch_sequence(df: DataFrame, emp: str = "emp_id", date: str = "work_date",
                    time: str = "punch_time", tiebreak: Sequence[str] = (),
-                   out: str = "punch_seq") -> DataFrame:
+                   out: str = "punch_seq", chunk: Column | None = None) -> DataFrame:
     """Number punches 1, 2, ... per employee-day in time order."""
-    return df.withColumn(out, F.row_number().over(_day_window(emp, date, time, tiebreak)))
+    numbered = number_and_neighbours(df, [emp, date], [time, *tiebreak], time, seq=out, chunk=chunk)
+    return numbered.drop("__prev", "__next")
 
 
 def _hours(secs):
@@ -71,10 +71,10 @@ def _with_names(daily: DataFrame, employees: DataFrame | None, emp: str, name: s
 def hours_by_lag(punches: DataFrame, employees: DataFrame | None = None, emp: str = "emp_id",
                  name: str = "emp_name", date: str = "work_date", time: str = "punch_time",
                  kind: str = "punch_type", tiebreak: Sequence[str] = (),
-                 sort: bool = True) -> DataFrame:
+                 sort: bool = True, chunk: Column | None = None) -> DataFrame:
     """``emp, name, date, first_in, last_out, hours_at_work`` per employee-day."""
-    prev = F.lag(F.col(time)).over(_day_window(emp, date, time, tiebreak))
-    stepped = punches.select(emp, date, time, kind, prev.alias("__prev"))
+    src = punches.select(emp, date, time, kind, *tiebreak)
+    stepped = number_and_neighbours(src, [emp, date], [time, *tiebreak], time, chunk=chunk)
     is_out = F.col(kind) == F.lit(PUNCH_OUT)
     secs = F.when(is_out & F.col("__prev").isNotNull(), seconds_between(time, "__prev")).otherwise(F.lit(0))
     daily = stepped.groupBy(emp, date).agg(
@@ -86,17 +86,15 @@ def hours_by_lag(punches: DataFrame, employees: DataFrame | None = None, emp: st
 
 def hours_by_pairs(punches: DataFrame, employees: DataFrame | None = None, emp: str = "emp_id",
                    name: str = "emp_name", date: str = "work_date", time: str = "punch_time",
-                   tiebreak: Sequence[str] = (), sort: bool = True) -> DataFrame:
+                   tiebreak: Sequence[str] = (), sort: bool = True,
+                   chunk: Column | None = None) -> DataFrame:
     """Pair punch 2k-1 with punch 2k of each employee-day; sum the pair spans.
 
-    One window gives each punch its sequence number and the next punch time;
-    this replaces a self join on ``seq + 1`` (one shuffle instead of two, and
-    no second evaluation of the numbering).
+    Each punch gets its sequence number and the next punch time from one
+    (optionally split) window; this replaces a self join on ``seq + 1``.
     """
-    w = _day_window(emp, date, time, tiebreak)
-    stepped = punches.select(emp, date, time,
-                             F.row_number().over(w).alias("__seq"),
-                             F.lead(F.col(time)).over(w).alias("__next"))
+    src = punches.select(emp, date, time, *tiebreak)
+    stepped = number_and_neighbours(src, [emp, date], [time, *tiebreak], time, chunk=chunk)
     pairs = stepped.where((F.col("__seq") % 2 == 1) & F.col("__next").isNotNull())
     daily = pairs.groupBy(emp, date).agg(
         F.min(time).alias("first_in"),

@@ -261,17 +261,24 @@ def parse_punches(spark, sf):
     return attendance.parse_punches(D.punch_text(spark, sf))
 
 
+# Employee-days are split by the hour of the punch, so no employee-day needs one task.
+def _punch_chunk():
+    return F.date_trunc("hour", F.col("punch_time"))
+
+
 def punch_sequence(spark, sf):
     p = D.punches(spark, sf).select("event_id", "emp_id", "work_date", "punch_time")
-    return attendance.punch_sequence(p, tiebreak=["event_id"])
+    return attendance.punch_sequence(p, tiebreak=["event_id"], chunk=_punch_chunk())
 
 
 def attendance_lag(spark, sf):
-    return attendance.hours_by_lag(D.punches(spark, sf), D.employees(spark, sf), tiebreak=["event_id"])
+    return attendance.hours_by_lag(D.punches(spark, sf), D.employees(spark, sf), tiebreak=["event_id"],
+                                   chunk=_punch_chunk())
 
 
 def attendance_pairs(spark, sf):
-    return attendance.hours_by_pairs(D.punches(spark, sf), D.employees(spark, sf), tiebreak=["event_id"])
+    return attendance.hours_by_pairs(D.punches(spark, sf), D.employees(spark, sf), tiebreak=["event_id"],
+                                     chunk=_punch_chunk())
 
 
 # --- sources and sinks -------------------------------------------------------

@@ -64,3 +64,25 @@ def test_lead_equals_self_join_on_events(spark):
         F.round(F.sum(F.unix_timestamp("pout") - F.unix_timestamp("pin")) / 3600.0, 2).alias("hours_at_work"))
     lead = attendance.hours_by_pairs(p, None, tiebreak=["event_id"], sort=False)
     assert rows(lead) == rows(joined.select(*lead.columns))
+
+
+def test_split_sequence_equals_single_window(spark):
+    from tessera.operators.sequence import number_and_neighbours
+
+    p = D.punches(spark, SF_SMALL)
+    # One hot employee-day on top of the log, spread over many hour chunks.
+    hot = spark.range(0, 5000).select(
+        (F.col("id") + 10_000_000).alias("event_id"), F.lit(-1).cast("long").alias("emp_id"),
+        (F.lit(dt.datetime(2024, 1, 5)) + F.make_dt_interval(secs=F.col("id") * 17 % 86400)
+         ).cast("timestamp_ntz").alias("punch_time"),
+        F.lit(dt.date(2024, 1, 5)).alias("work_date"), F.lit("IN").alias("punch_type"))
+    both = p.unionByName(hot)
+    cols = ["emp_id", "work_date", "punch_time", "event_id"]
+    plain = number_and_neighbours(both.select(*cols), ["emp_id", "work_date"], ["punch_time", "event_id"], "punch_time")
+    split = number_and_neighbours(both.select(*cols), ["emp_id", "work_date"], ["punch_time", "event_id"], "punch_time",
+                                  chunk=F.date_trunc("hour", "punch_time"), max_broadcast_rows=0)
+    assert rows(plain) == rows(split)
+    for fn in (attendance.hours_by_lag, attendance.hours_by_pairs):
+        a = fn(both, None, tiebreak=["event_id"], sort=False)
+        b = fn(both, None, tiebreak=["event_id"], sort=False, chunk=F.date_trunc("hour", "punch_time"))
+        assert rows(a) == rows(b)
