@@ -29,6 +29,20 @@ def max_broadcast_rows(df: DataFrame, override: int | None = None) -> int:
     return int(conf) if conf else DEFAULT_MAX_BROADCAST_ROWS
 
 
+def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
+    """Write ``df`` to the session's reliable checkpoint folder; return it and its row count.
+
+    For aggregates that are used more than once: later steps read the written
+    rows instead of re-running the aggregate, and a lost executor does not
+    force a recompute from the source.
+    """
+    from tessera.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    return df, df.count()
+
+
 def checked_broadcast(df: DataFrame, max_rows: int | None = None,
                       materialize: bool = True) -> tuple[DataFrame, bool]:
     """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
@@ -43,11 +57,7 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None,
     """
     bound = max_broadcast_rows(df, max_rows)
     if materialize:
-        from tessera.session import checkpoint_dir
-
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-        n = df.count()
+        df, n = checkpointed(df)
     else:
         n = df.limit(bound + 1).count()
     if n <= bound:

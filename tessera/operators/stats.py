@@ -19,7 +19,9 @@ task. Here the work is split instead:
    ``percentile_disc`` (lower median for q = 0.5).
 
 The edges only decide how the work is split; the answer is exact whatever
-they are. ``method="approx"`` returns ``percentile_approx`` itself.
+they are. Steps 2-3 are skipped when the whole ``(group, value)`` table is
+within ``split_above`` rows (a checked count): then one running count over it
+is cheap, whatever the skew. ``method="approx"`` returns ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -42,9 +44,10 @@ def group_mean(df: DataFrame, by: str | Sequence[str], col: str, out: str = "mea
 
 def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float = 0.5,
                    out: str = "quantile", method: str = "exact", accuracy: int = 10000,
-                   where: Column | None = None, buckets: int = 128) -> DataFrame:
+                   where: Column | None = None, buckets: int = 128,
+                   split_above: int = 2_000_000) -> DataFrame:
     """One row per group with the ``q`` quantile of ``col`` (nulls ignored)."""
-    from tessera.operators.joins import checked_broadcast
+    from tessera.operators.joins import checked_broadcast, checkpointed
 
     keys = _by(by)
     src = df if where is None else df.where(where)
@@ -55,6 +58,15 @@ def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float =
 
     freq = (src.where(F.col(col).isNotNull())
                .groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n")))
+    freq, n_pairs = checkpointed(freq)
+    group = Window.partitionBy(*keys)
+    running = group.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if n_pairs <= split_above:
+        ranked = freq.select(*keys, col, F.sum("__n").over(running).alias("__cum"),
+                             F.greatest(F.ceil(F.sum("__n").over(group) * F.lit(q)), F.lit(1)).alias("__k"))
+        return ranked.groupBy(*keys).agg(
+            F.min(F.when(F.col("__cum") >= F.col("__k"), F.col(col))).alias(out))
+
     probs = [i / buckets for i in range(1, buckets)]
     edges = freq.groupBy(*keys).agg(F.percentile_approx(col, probs, accuracy).alias("__edges"))
     edges = edges.select(*[F.col(k).alias(f"__e_{i}") for i, k in enumerate(keys)], "__edges")
@@ -66,7 +78,6 @@ def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float =
     bucketed = freq.join(edges, same).select(*keys, col, "__n", bucket.alias("__b"))
 
     per_bucket = bucketed.groupBy(*keys, "__b").agg(F.sum("__n").alias("__bn"))
-    group = Window.partitionBy(*keys)
     before = group.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     located = per_bucket.select(
         *keys, "__b", "__bn",
@@ -81,7 +92,6 @@ def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float =
     for i, k in enumerate(keys):
         match = match & F.col(k).eqNullSafe(F.col(f"__t_{i}"))
     inside = bucketed.join(target, match).select(*keys, col, "__n", "__before", "__k")
-    running = group.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = inside.withColumn("__cum", F.col("__before") + F.sum("__n").over(running))
     return ranked.groupBy(*keys).agg(
         F.min(F.when(F.col("__cum") >= F.col("__k"), F.col(col))).alias(out))

@@ -69,7 +69,8 @@ def extract_year(spark, sf):
 
 def inner_join(spark, sf):
     p = io.read_table(spark, sf, "part", ["p_partkey", "p_name"])
-    li = io.read_table(spark, sf, "lineitem", ["l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice"])
+    li = io.read_table(spark, sf, "lineitem", ["l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice"],
+                       spread_rows=True)
     return p.join(li.withColumnRenamed("l_partkey", "p_partkey"), on="p_partkey", how="inner")
 
 

@@ -36,7 +36,8 @@ def _null(dtype: str):
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw sales rows: one per line item, with nulls and a ``-1`` price sentinel."""
     li = read_table(spark, sf_dir, "lineitem",
-                    ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_shipdate"])
+                    ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_shipdate"],
+                    spread_rows=True)
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
@@ -44,12 +45,15 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority"])
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
 
-    store = (supp.join(nation, supp.s_nationkey == nation.n_nationkey)
-                 .join(region, nation.n_regionkey == region.r_regionkey))
-    buyer = orders.join(cust, orders.o_custkey == cust.c_custkey)
+    # The fact joins each base table in turn: the planner can then size-check
+    # every base table on its own (a join's estimated size is the product of
+    # its inputs, so a pre-joined lookup would never qualify for broadcast).
     rows = (li.join(part, li.l_partkey == part.p_partkey)
-              .join(store, li.l_suppkey == store.s_suppkey)
-              .join(buyer, li.l_orderkey == buyer.o_orderkey))
+              .join(supp, li.l_suppkey == supp.s_suppkey)
+              .join(nation, supp.s_nationkey == nation.n_nationkey)
+              .join(region, nation.n_regionkey == region.r_regionkey)
+              .join(orders, li.l_orderkey == orders.o_orderkey)
+              .join(cust, orders.o_custkey == cust.c_custkey))
     ok = F.col("l_orderkey")
     return rows.select(
         F.col("p_type").alias("ProductCategory"),
@@ -101,7 +105,8 @@ def sales_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"])
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"],
+                        spread_rows=True)
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])

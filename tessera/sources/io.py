@@ -14,18 +14,38 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StructType
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` partitions (default: the
+    cluster's parallelism) when the input yields fewer.
+
+    A file written as one big row group is read by a single task, and every
+    narrow step after the scan (broadcast joins, projections, the write) runs
+    in that task too. Large inputs split into many partitions already, so for
+    them this is a no-op: it never adds a shuffle at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    # Hash on the row's own atomic columns: deterministic under task retries
+    # without the local sort a round-robin repartition needs.
+    atomic = [f.name for f in df.schema.fields
+              if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    return df.repartition(target, *atomic) if atomic else df.repartition(target)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: Iterable[str] | None = None) -> DataFrame:
+               columns: Iterable[str] | None = None, spread_rows: bool = False) -> DataFrame:
     """One of the parquet test tables (``{sf_dir}/{name}.parquet``).
 
     Selecting ``columns`` here keeps the scan's ReadSchema narrow even before
-    Catalyst prunes.
+    Catalyst prunes. ``spread_rows`` applies ``spread`` (for fact-sized tables).
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread(df) if spread_rows else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,

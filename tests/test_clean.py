@@ -49,6 +49,8 @@ def test_exact_quantile_matches_brute_force(spark, q):
     data += [("hot", float(rnd.randint(0, 5))) for _ in range(2000)]
     df = spark.createDataFrame(data, "g string, v double")
     got = dict(rows(group_quantile(df, "g", "v", q)))
+    split = dict(rows(group_quantile(df, "g", "v", q, split_above=0, buckets=8)))
+    assert got == split
     for g in {d[0] for d in data}:
         vals = sorted(v for k, v in data if k == g)
         import math
@@ -63,7 +65,7 @@ def test_exact_quantile_many_buckets_hot_group_null_key(spark, buckets):
     data += [(None, float(rnd.randint(0, 50))) for _ in range(99)] + [("one", 3.0)]
     df = spark.createDataFrame(data, "g string, v double")
     for q in (0.25, 0.5, 0.99):
-        got = dict(rows(group_quantile(df, "g", "v", q, buckets=buckets)))
+        got = dict(rows(group_quantile(df, "g", "v", q, buckets=buckets, split_above=0)))
         for g in ("hot", None, "one"):
             vals = sorted(v for k, v in data if k == g)
             import math
