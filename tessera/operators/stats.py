@@ -32,6 +32,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Distinct (group, value) rows up to which one running count over all groups is used.
+DEFAULT_SPLIT_ABOVE = 2_000_000
+
+
 def _by(by: str | Sequence[str]) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
@@ -45,8 +49,12 @@ def group_mean(df: DataFrame, by: str | Sequence[str], col: str, out: str = "mea
 def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float = 0.5,
                    out: str = "quantile", method: str = "exact", accuracy: int = 10000,
                    where: Column | None = None, buckets: int = 128,
-                   split_above: int = 2_000_000) -> DataFrame:
-    """One row per group with the ``q`` quantile of ``col`` (nulls ignored)."""
+                   split_above: int | None = None) -> DataFrame:
+    """One row per group with the ``q`` quantile of ``col`` (nulls ignored).
+
+    ``split_above`` defaults to the session setting ``tessera.quantile.splitAbove``
+    or 2,000,000 distinct ``(group, value)`` rows.
+    """
     from tessera.operators.joins import checked_broadcast, checkpointed
 
     keys = _by(by)
@@ -59,6 +67,8 @@ def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float =
     freq = (src.where(F.col(col).isNotNull())
                .groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n")))
     freq, n_pairs = checkpointed(freq)
+    if split_above is None:
+        split_above = int(df.sparkSession.conf.get("tessera.quantile.splitAbove", None) or DEFAULT_SPLIT_ABOVE)
     group = Window.partitionBy(*keys)
     running = group.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if n_pairs <= split_above:
