@@ -27,6 +27,11 @@ NAME_MAP = {
 }
 MAPPING_EXCLUDED_REGION = 4
 UNITS_SENTINEL = -1.0
+# Business rules that make dimensions incomplete for the QA
+# checks (largest part size still in the catalogue, supplier balances).
+CATALOGUE_MAX_SIZE = 45
+GOOD_STANDING_BALANCE = 1000.0
+PREFERRED_BALANCE = 5000.0
 
 
 def _null(dtype: str):
@@ -196,11 +201,10 @@ def customer_nation_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An incomplete nation list: nations of every third supplier, some unknown."""
-    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
-    return s.where(F.col("s_suppkey") % 3 == 0).select(
-        "s_suppkey",
-        F.when(F.col("s_suppkey") % 9 == 0, _null("int")).otherwise(F.col("s_nationkey")).alias("s_nationkey"))
+    """Nations served by a preferred supplier (balance of at least 5,000):
+    an incomplete nation list for customers to reference."""
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey", "s_acctbal"])
+    return s.where(F.col("s_acctbal") >= PREFERRED_BALANCE).select("s_suppkey", "s_nationkey")
 
 
 def nation_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,9 +241,12 @@ def orders_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 
 def fk_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Dimensions for the line-item FK report, two of them with members removed."""
+    """Dimensions for the line-item FK report: parts in the current catalogue,
+    suppliers in good standing, and all orders."""
     return {
-        "part": read_table(spark, sf_dir, "part", ["p_partkey"]).where(F.col("p_partkey") % 50 != 0),
-        "supplier": read_table(spark, sf_dir, "supplier", ["s_suppkey"]).where(F.col("s_suppkey") % 20 != 0),
+        "part": read_table(spark, sf_dir, "part", ["p_partkey", "p_size"])
+        .where(F.col("p_size") <= CATALOGUE_MAX_SIZE).select("p_partkey"),
+        "supplier": read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_acctbal"])
+        .where(F.col("s_acctbal") >= GOOD_STANDING_BALANCE).select("s_suppkey"),
         "orders": read_table(spark, sf_dir, "orders", ["o_orderkey"]),
     }

@@ -9,7 +9,13 @@ two check each other.
 
 from __future__ import annotations
 
-from tessera.plans.derived import MAPPING_EXCLUDED_REGION, NAME_MAP
+from tessera.plans.derived import (
+    CATALOGUE_MAX_SIZE,
+    GOOD_STANDING_BALANCE,
+    MAPPING_EXCLUDED_REGION,
+    NAME_MAP,
+    PREFERRED_BALANCE,
+)
 
 _NAME_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in NAME_MAP.items())
 
@@ -80,9 +86,8 @@ CTES: dict[str, tuple[list[str], str]] = {
     "cust_refs": ([], """
         SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey
         FROM customer"""),
-    "supp_nations": ([], """
-        SELECT s_suppkey, CASE WHEN s_suppkey % 9 = 0 THEN NULL ELSE s_nationkey END AS s_nationkey
-        FROM supplier WHERE s_suppkey % 3 = 0"""),
+    "supp_nations": ([], f"""
+        SELECT s_suppkey, s_nationkey FROM supplier WHERE s_acctbal >= {PREFERRED_BALANCE}"""),
     "nation_lookup": ([], """
         SELECT CASE WHEN n_nationkey = 24 THEN NULL ELSE n_nationkey END AS nation_key, n_name FROM nation"""),
     "li_left": ([], """
@@ -256,8 +261,8 @@ def oracle_sql() -> dict[str, str]:
         SELECT c.c_custkey, c.c_nationkey FROM cust_refs c
         WHERE NOT EXISTS (SELECT 1 FROM supp_nations s WHERE s.s_nationkey = c.c_nationkey)""")
     fk_parts = []
-    for fk, dim_sql in (("l_partkey", "SELECT p_partkey AS k FROM part WHERE p_partkey % 50 <> 0"),
-                        ("l_suppkey", "SELECT s_suppkey AS k FROM supplier WHERE s_suppkey % 20 <> 0"),
+    for fk, dim_sql in (("l_partkey", f"SELECT p_partkey AS k FROM part WHERE p_size <= {CATALOGUE_MAX_SIZE}"),
+                        ("l_suppkey", f"SELECT s_suppkey AS k FROM supplier WHERE s_acctbal >= {GOOD_STANDING_BALANCE}"),
                         ("l_orderkey", "SELECT o_orderkey AS k FROM orders")):
         fk_parts.append(f"""
         SELECT '{fk}' AS fk_column, COUNT(*) AS n_rows,
