@@ -244,12 +244,12 @@ def custom_mapping(spark, sf):
 
 def resolve_single_key(spark, sf):
     tx = D.conformed_transactions(spark, sf)
-    spec = facts.DimSpec(_code_dim(spark, sf, "ProductCategory", "sha256"),
+    spec = facts.DimSpec(_code_dim(spark, sf, "ProductCategory", "murmur3_32"),
                          ["ProductCategory"], "DIM_ProductCategoryID")
     return facts.resolve_keys(tx, spec).select("TransactionID", "ProductCategory", "DIM_ProductCategoryID")
 
 
-def fact_resolve_mapping(spark, sf, algo: str = "sha256"):
+def fact_resolve_mapping(spark, sf, algo: str = "murmur3_32"):
     tx = D.conformed_transactions(spark, sf)
     specs = [facts.DimSpec(_code_dim(spark, sf, c, algo), [c], f"DIM_{c}ID") for c in CODES]
     specs.append(facts.DimSpec(_mapping_dim(spark, sf, algo), CODES, "DIM_CustomLabelID"))

@@ -9,6 +9,8 @@ two check each other.
 
 from __future__ import annotations
 
+import re
+
 from tessera.plans.derived import (
     CATALOGUE_MAX_SIZE,
     GOOD_STANDING_BALANCE,
@@ -126,29 +128,16 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT TransactionID, upper(trim(ProductCategory)) AS ProductCategory,
                upper(trim(StoreRegion)) AS StoreRegion, upper(trim(CustomerType)) AS CustomerType, Amount
         FROM tx"""),
-    "dim_pc": ([], """
-        SELECT upper(trim(o_orderpriority)) AS ProductCategory,
-               sha256(upper(trim(o_orderpriority))) AS DIM_ProductCategoryID
-        FROM (SELECT DISTINCT o_orderpriority FROM orders)"""),
-    "dim_sr": ([], """
-        SELECT upper(trim(r_name)) AS StoreRegion, sha256(upper(trim(r_name))) AS DIM_StoreRegionID
-        FROM region"""),
-    "dim_ct": ([], """
-        SELECT upper(trim(c_mktsegment)) AS CustomerType,
-               sha256(upper(trim(c_mktsegment))) AS DIM_CustomerTypeID
-        FROM (SELECT DISTINCT c_mktsegment FROM customer)"""),
+    "dim_pc": ([], "hashed_code_dim('ProductCategory', 'SELECT DISTINCT o_orderpriority AS raw FROM orders')"),
+    "dim_sr": ([], "hashed_code_dim('StoreRegion', 'SELECT r_name AS raw FROM region')"),
+    "dim_ct": ([], "hashed_code_dim('CustomerType', 'SELECT DISTINCT c_mktsegment AS raw FROM customer')"),
     "mapping": ([], f"""
         SELECT DISTINCT o.o_orderpriority AS ProductCategory, r.r_name AS StoreRegion,
                c.c_mktsegment AS CustomerType
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
         JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
         WHERE r.r_regionkey <> {MAPPING_EXCLUDED_REGION}"""),
-    "mapping_dim": (["mapping"], """
-        SELECT sha256(concat_ws('||', ProductCategory, StoreRegion, CustomerType)) AS DIM_CustomLabelID,
-               upper(trim(ProductCategory)) AS ProductCategory, upper(trim(StoreRegion)) AS StoreRegion,
-               upper(trim(CustomerType)) AS CustomerType,
-               concat_ws('/', ProductCategory, StoreRegion, CustomerType) AS MappingLabel
-        FROM mapping"""),
+    "mapping_dim": (["mapping"], "hashed_mapping_dim()"),
     "punches": ([], """
         SELECT event_id, user_id AS emp_id, ts AS punch_time, CAST(ts AS DATE) AS work_date,
                CASE WHEN event_id % 2 = 0 THEN 'IN' ELSE 'OUT' END AS punch_type
@@ -159,6 +148,46 @@ CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
+# Spark's ``hash(string)``: Murmur3 x86 32-bit over the UTF-8 bytes, seed 42,
+# whole little-endian 4-byte words first, then each remaining byte (sign
+# extended) as its own round, then the final mix with the byte length.
+# The Murmur3 constants.
+_M3_C1, _M3_C2, _M3_N = 0xCC9E2D51, 0x1B873593, 0xE6546B64
+_M3_F1, _M3_F2 = 0x85EBCA6B, 0xC2B2AE35
+_M32 = 1 << 32
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"((({x}) << {r}) | (({x}) >> {32 - r})) & {_M32 - 1}"
+
+
+def _mix(h: str, k: str) -> str:
+    k1 = f"((({_rotl(f'({k}) * {_M3_C1} % {_M32}', 15)}) * {_M3_C2}) % {_M32})"
+    return f"((({_rotl(f'xor({h}, {k1})', 13)}) * 5 + {_M3_N}) % {_M32})"
+
+
+def _byte(hexcol: str, i: str) -> str:
+    digit = "instr('0123456789ABCDEF', substr({x}, {p}, 1)) - 1"
+    hi = digit.format(x=hexcol, p=f"2 * ({i}) + 1")
+    lo = digit.format(x=hexcol, p=f"2 * ({i}) + 2")
+    return f"CAST((({hi}) * 16 + ({lo})) AS HUGEINT)"
+
+
+def murmur3_sql(hexcol: str, ncol: str, seed: int = 42) -> str:
+    """SQL for Spark's ``hash(s)`` given ``hex(encode(s))`` and ``octet_length(encode(s))``."""
+    word = " + ".join(f"{_byte(hexcol, f'4 * i + {j}')} * {1 << (8 * j)}" for j in range(4))
+    words = f"list_transform(range(0, {ncol} // 4), lambda i: {word})"
+    after_words = f"list_reduce(list_prepend(CAST({seed} AS HUGEINT), {words}), lambda h, k: {_mix('h', 'k')})"
+    tail_byte = f"(CASE WHEN {_byte(hexcol, 'i')} < 128 THEN {_byte(hexcol, 'i')} ELSE {_byte(hexcol, 'i')} + {_M32 - 256} END)"
+    tail = f"list_transform(range({ncol} - {ncol} % 4, {ncol}), lambda i: {tail_byte})"
+    after_tail = f"list_reduce(list_prepend({after_words}, {tail}), lambda h, k: {_mix('h', 'k')})"
+    steps = (f"CASE s WHEN 1 THEN xor(h, h >> 16) WHEN 2 THEN h * {_M3_F1} % {_M32} "
+             f"WHEN 3 THEN xor(h, h >> 13) WHEN 4 THEN h * {_M3_F2} % {_M32} ELSE xor(h, h >> 16) END")
+    final = (f"list_reduce(list_prepend(xor({after_tail}, CAST({ncol} AS HUGEINT)), "
+             f"[CAST(1 AS HUGEINT), 2, 3, 4, 5]), lambda h, s: {steps})")
+    return (f"CAST(CASE WHEN {final} >= {1 << 31} THEN {final} - {_M32} ELSE {final} END AS BIGINT)")
+
+
 def _hours(secs_sql: str) -> str:
     """Whole seconds to hours rounded half-up to hundredths, in integer arithmetic."""
     return f"CAST(((CAST({secs_sql} AS BIGINT) + 18) // 36) AS DOUBLE) / 100"
@@ -183,8 +212,38 @@ def _closure(names: list[str]) -> list[str]:
     return seen
 
 
+def _cte_body(name: str) -> str:
+    body = CTES[name][1]
+    if body.startswith("hashed_code_dim("):
+        code, src = re.match(r"hashed_code_dim\('(\w+)', '(.*)'\)", body).groups()
+        return hashed_code_dim(code, src)
+    if body == "hashed_mapping_dim()":
+        return hashed_mapping_dim()
+    return body
+
+
+def hashed_code_dim(code: str, src: str) -> str:
+    """A conformed code list with its Murmur3 key: ``code, DIM_{code}ID``."""
+    return f"""
+        SELECT {code}, {murmur3_sql('__x', '__n')} AS DIM_{code}ID
+        FROM (SELECT {code}, hex(encode({code})) AS __x, octet_length(encode({code})) AS __n
+              FROM (SELECT upper(trim(raw)) AS {code} FROM ({src})))"""
+
+
+def hashed_mapping_dim() -> str:
+    """The mapping bridge keyed by Murmur3 of the SHA-256 of its raw codes."""
+    return f"""
+        SELECT {murmur3_sql('__x', '__n')} AS DIM_CustomLabelID,
+               upper(trim(ProductCategory)) AS ProductCategory, upper(trim(StoreRegion)) AS StoreRegion,
+               upper(trim(CustomerType)) AS CustomerType,
+               concat_ws('/', ProductCategory, StoreRegion, CustomerType) AS MappingLabel
+        FROM (SELECT *, hex(encode(__d)) AS __x, octet_length(encode(__d)) AS __n
+              FROM (SELECT *, sha256(concat_ws('||', ProductCategory, StoreRegion, CustomerType)) AS __d
+                    FROM mapping))"""
+
+
 def with_ctes(names: list[str], body: str) -> str:
-    parts = [f"{n} AS ({CTES[n][1]}\n)" for n in _closure(names)]
+    parts = [f"{n} AS ({_cte_body(n)}\n)" for n in _closure(names)]
     return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
 
 
@@ -290,6 +349,8 @@ def oracle_sql() -> dict[str, str]:
 
     q["normalize_text"] = with_ctes(["tx_norm"], """
         SELECT TransactionID, ProductCategory, StoreRegion, CustomerType FROM tx_norm""")
+    q["hashed_dim"] = with_ctes(["dim_pc"], "SELECT * FROM dim_pc")
+    q["custom_mapping"] = with_ctes(["mapping_dim"], "SELECT * FROM mapping_dim")
     q["resolve_single_key"] = with_ctes(["tx_norm", "dim_pc"], """
         SELECT t.TransactionID, t.ProductCategory, d.DIM_ProductCategoryID
         FROM tx_norm t LEFT JOIN dim_pc d ON t.ProductCategory = d.ProductCategory""")
@@ -343,7 +404,6 @@ def oracle_sql() -> dict[str, str]:
     return q
 
 
-# Queries without an SQL equivalent: Spark's 32-bit Murmur3 ``hash`` has no
-# DuckDB counterpart, so their keys can only be checked by row count here and
-# by golden values in the tests.
-ROWS_ONLY = ("hashed_dim", "custom_mapping")
+# Queries without an SQL equivalent (none at present; Spark's Murmur3 ``hash``
+# is reproduced by ``murmur3_sql``).
+ROWS_ONLY: tuple[str, ...] = ()
