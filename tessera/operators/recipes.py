@@ -82,17 +82,21 @@ def running_total(df: DataFrame, by: str | Sequence[str], order: Sequence[str],
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, finish(F.sum(v).over(w)))
 
-    staged = df.withColumn("__chunk", chunk).withColumn("__v", v)
-    per_chunk = staged.groupBy(*keys, "__chunk").agg(F.sum("__v").alias("__chunk_sum"))
-    before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(*keys, "__chunk",
-                               F.coalesce(F.sum("__chunk_sum").over(before),
-                                          F.lit(0).cast(per_chunk.schema["__chunk_sum"].dataType))
-                               .alias("__offset"))
+    # (group, chunk) as one struct key: the window and the join back share its
+    # partitioning (one shuffle of the rows), and null keys match null keys.
+    staged = (df.withColumn("__grp", F.struct(*[F.col(k) for k in keys]))
+                .withColumn("__chunk", chunk)
+                .withColumn("__gid", F.struct("__grp", "__chunk"))
+                .withColumn("__v", v))
+    per_chunk = staged.groupBy("__grp", "__chunk").agg(F.sum("__v").alias("__chunk_sum"))
+    before = Window.partitionBy("__grp").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast(per_chunk.schema["__chunk_sum"].dataType)
+    offsets = per_chunk.select(F.struct("__grp", "__chunk").alias("__gid"),
+                               F.coalesce(F.sum("__chunk_sum").over(before), zero).alias("__offset"))
     offsets, _ = checked_broadcast(offsets, max_broadcast_rows)
-    inner = Window.partitionBy(*keys, "__chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("__gid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     within = staged.withColumn("__run", F.sum("__v").over(inner))
-    joined = within.join(offsets, on=[*keys, "__chunk"], how="left")
+    joined = within.join(offsets, on="__gid", how="inner")
     return joined.select(*df.columns, finish(F.col("__offset") + F.col("__run")).alias(out))
 
 

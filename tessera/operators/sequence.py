@@ -37,29 +37,30 @@ def number_and_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[st
         return df.select("*", F.row_number().over(w).alias(seq),
                          F.lag(value).over(w).alias(prev), F.lead(value).over(w).alias(nxt))
 
-    staged = df.withColumn("__chunk", chunk)
-    inner = Window.partitionBy(*keys, "__chunk").orderBy(*order)
+    # One struct key for (group, chunk): the window and the join back both
+    # partition on it, so the fact is shuffled once; struct equality treats
+    # null fields as equal, so null group keys stay together.
+    staged = (df.withColumn("__grp", F.struct(*[F.col(k) for k in keys]))
+                .withColumn("__chunk", chunk)
+                .withColumn("__gid", F.struct("__grp", "__chunk")))
+    inner = Window.partitionBy("__gid").orderBy(*order)
     staged = staged.select("*", F.row_number().over(inner).alias("__rn"),
                            F.lag(value).over(inner).alias("__lag"),
                            F.lead(value).over(inner).alias("__lead"))
     position = F.struct(*[F.col(c) for c in order])
-    per_chunk = staged.groupBy(*keys, "__chunk").agg(
+    per_chunk = staged.groupBy("__grp", "__chunk").agg(
         F.count(F.lit(1)).alias("__cnt"),
         F.min_by(F.col(value), position).alias("__first"),
         F.max_by(F.col(value), position).alias("__last"))
-    across = Window.partitionBy(*keys).orderBy("__chunk")
+    across = Window.partitionBy("__grp").orderBy("__chunk")
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_chunk.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        F.col("__chunk").alias("__kc"), "__cnt",
+        F.struct("__grp", "__chunk").alias("__gid"), "__cnt",
         F.coalesce(F.sum("__cnt").over(earlier), F.lit(0).cast("long")).alias("__offset"),
         F.lag("__last").over(across).alias("__prev_last"),
         F.lead("__first").over(across).alias("__next_first"))
     offsets, _ = checked_broadcast(offsets, max_broadcast_rows)
-    match = F.col("__chunk").eqNullSafe(F.col("__kc"))
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    joined = staged.join(offsets, match, "inner")
+    joined = staged.join(offsets, on="__gid", how="inner")
     first_in_chunk = F.col("__rn") == 1
     last_in_chunk = F.col("__rn") == F.col("__cnt")
     return joined.select(

@@ -112,3 +112,14 @@ def test_null_safe_join_paths_agree(spark):
     big = joins.null_safe_join(left, right, "k", "rk", "full", max_rows=0)
     assert rows(small, "k", "v", "rk", "w") == rows(big, "k", "v", "rk", "w")
     assert (None, None, 7, 70) in rows(small, "k", "v", "rk", "w")
+
+
+def test_running_total_chunked_null_keys(spark):
+    data = [(None if i % 5 == 0 else i % 3, i, float(i)) for i in range(400)]
+    df = spark.createDataFrame(data, "k long, t long, v double")
+    plain = recipes.running_total(df, "k", ["t"], "v")
+    for bound in (None, 0):
+        chunked = recipes.running_total(df, "k", ["t"], "v", chunk=F.floor(F.col("t") / 37),
+                                        max_broadcast_rows=bound)
+        assert rows(plain) == rows(chunked)
+    assert all(r.running_total is not None for r in plain.collect())
