@@ -189,6 +189,21 @@ def revenue_by_brand(spark, sf):
                  F.count(F.lit(1)).alias("n_sales")))
 
 
+def star_fk_report(spark, sf):
+    """The resolved star fact checked against its own dimensions (expected: no orphans)."""
+    fact, specs = _star(spark, sf)
+    resolved = facts.resolve_star(fact, specs, keep=FACT_MEASURES)
+    return quality.fk_report(resolved, [quality.ForeignKey(s.surrogate_key, s.dim, s.surrogate_key)
+                                        for s in specs])
+
+
+def star_reconcile(spark, sf):
+    """Cleaned sales against the resolved fact on their common measures (expected: equal)."""
+    fact, specs = _star(spark, sf)
+    resolved = facts.resolve_star(fact, specs, keep=FACT_MEASURES)
+    return quality.reconcile_summary(fact.select(*FACT_MEASURES), resolved)
+
+
 def fk_orphans(spark, sf):
     cust = D.customer_nation_refs(spark, sf).select("c_custkey", "c_nationkey")
     return quality.orphans(cust, "c_nationkey", D.supplier_nations(spark, sf), "s_nationkey")
@@ -339,6 +354,8 @@ QUERIES: dict[str, Query] = {
     "fact_resolve_star": fact_resolve_star,
     "net_revenue": net_revenue,
     "revenue_by_brand": revenue_by_brand,
+    "star_fk_report": star_fk_report,
+    "star_reconcile": star_reconcile,
     "fk_orphans": fk_orphans,
     "fk_report": fk_report,
     "reconcile": reconcile,

@@ -329,6 +329,26 @@ def oracle_sql() -> dict[str, str]:
                CAST(SUM(CASE WHEN l.{fk} IS NOT NULL AND d.k IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_orphan
         FROM lineitem l LEFT JOIN (SELECT DISTINCT k FROM ({dim_sql})) d ON l.{fk} = d.k""")
     q["fk_report"] = "\nUNION ALL".join(fk_parts)
+    star_parts = []
+    for key, dim in (("DIM_ProductId", "dim_product"), ("DIM_StoreId", "dim_store"),
+                     ("DIM_EmployeeId", "dim_employee")):
+        star_parts.append(f"""
+        SELECT '{key}' AS fk_column, COUNT(*) AS n_rows,
+               CAST(SUM(CASE WHEN f.{key} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null,
+               CAST(SUM(CASE WHEN f.{key} IS NOT NULL AND d.k IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_orphan
+        FROM fact_star f LEFT JOIN (SELECT DISTINCT {key} AS k FROM {dim}) d ON f.{key} = d.k""")
+    q["star_fk_report"] = with_ctes(["fact_star"], "\nUNION ALL".join(star_parts))
+    measures = "UnitsSold, UnitPrice, Discount, SaleDate"
+    q["star_reconcile"] = with_ctes(["fact_star", "sales_clean"], f"""
+        SELECT CAST(SUM(n_left) AS BIGINT) AS n_left, CAST(SUM(n_right) AS BIGINT) AS n_right,
+               COUNT(*) FILTER (WHERE n_left <> n_right) AS n_distinct_mismatch,
+               CAST(SUM(GREATEST(n_left - n_right, 0)) AS BIGINT) AS n_only_left,
+               CAST(SUM(GREATEST(n_right - n_left, 0)) AS BIGINT) AS n_only_right
+        FROM (SELECT COALESCE(a.n, 0) AS n_left, COALESCE(b.n, 0) AS n_right
+              FROM (SELECT {measures}, COUNT(*) AS n FROM sales_clean GROUP BY ALL) a
+              FULL OUTER JOIN (SELECT {measures}, COUNT(*) AS n FROM fact_star GROUP BY ALL) b
+                ON a.UnitsSold IS NOT DISTINCT FROM b.UnitsSold AND a.UnitPrice IS NOT DISTINCT FROM b.UnitPrice
+               AND a.Discount IS NOT DISTINCT FROM b.Discount AND a.SaleDate IS NOT DISTINCT FROM b.SaleDate)""")
     q["reconcile"] = with_ctes(["li_counts"], "SELECT * FROM li_counts WHERE n_left <> n_right")
     q["reconcile_summary"] = with_ctes(["li_counts"], """
         SELECT CAST(SUM(n_left) AS BIGINT) AS n_left, CAST(SUM(n_right) AS BIGINT) AS n_right,
