@@ -51,13 +51,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Order: the SparkContext's current folder, then ``spark.checkpoint.dir``,
     and only when both are unset (local tests) a fresh temporary folder.
+    Sessions without a local SparkContext (Spark Connect) use the setting as
+    the server sees it.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no local SparkContext
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)

@@ -26,8 +26,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     in that task too. Large inputs split into many partitions already, so for
     them this is a no-op: it never adds a shuffle at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as it is
         return df
     # Hash on the row's own atomic columns: deterministic under task retries
     # without the local sort a round-robin repartition needs.
