@@ -84,3 +84,24 @@ def test_net_revenue_nulls(spark):
     pct = facts.net_revenue(spark.createDataFrame([(1.0, 100.0, 5.0)], "u double, p double, d double"),
                             "u", "p", "d", out="r", discount_unit="percent")
     assert pct.collect()[0].r == 95.0
+
+
+def test_mapping_resolution_keeps_rows_and_leaves_one_region_unlabelled(spark):
+    tx = D.transactions(spark, SF_SMALL)
+    out = catalog.fact_resolve_mapping(spark, SF_SMALL)
+    assert out.count() == tx.count()
+    assert out.where(F.col("DIM_ProductCategoryID").isNull()).count() == 0
+    unlabelled = out.where(F.col("DIM_CustomLabelID").isNull()).count()
+    excluded = (D.conformed_transactions(spark, SF_SMALL)
+                .join(D._orders_geo(spark, SF_SMALL).select(F.col("o_orderkey").alias("TransactionID"), "r_regionkey"),
+                      "TransactionID")
+                .where(F.col("r_regionkey") == D.MAPPING_EXCLUDED_REGION).count())
+    assert unlabelled == excluded
+
+
+def test_no_missing_values_left_after_cleaning(spark):
+    clean = D.sales_clean(spark, SF_SMALL)
+    for c in ("ProductName", "UnitsSold", "UnitPrice", "Discount"):
+        assert clean.where(F.col(c).isNull()).count() == 0, c
+    assert clean.where(F.col("UnitPrice") == -1).count() == 0
+    assert clean.count() == D.sales(spark, SF_SMALL).count()
