@@ -117,3 +117,10 @@ def test_mode_by_group_ties_to_smallest(spark):
         [("c", "Desk"), ("c", "Lamp"), ("c", "Lamp"), ("c", "Desk"), ("c", None), ("c", None), ("c", None),
          ("d", "Sofa")], "cat string, name string")
     assert rows(profile.mode_by_group(df, "cat", "name")) == [("c", "Desk"), ("d", "Sofa")]
+
+
+def test_group_fill_on_two_keys(spark):
+    df = spark.createDataFrame([("a", 1, 10.0), ("a", 1, None), ("a", 2, 30.0), ("a", 2, None), ("b", 1, None)],
+                               "g string, h int, v double")
+    out = rows(clean.impute_by_group(df, ["g", "h"], "v", "median"))
+    assert out == [("a", 1, 10.0), ("a", 1, 10.0), ("a", 2, 30.0), ("a", 2, 30.0), ("b", 1, None)]

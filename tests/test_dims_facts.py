@@ -105,3 +105,12 @@ def test_no_missing_values_left_after_cleaning(spark):
         assert clean.where(F.col(c).isNull()).count() == 0, c
     assert clean.where(F.col("UnitPrice") == -1).count() == 0
     assert clean.count() == D.sales(spark, SF_SMALL).count()
+
+
+def test_derive_keys_null_part_gives_null_key(spark):
+    fact = spark.createDataFrame([("a", "b", 1), ("a", None, 2)], "x string, y string, v int")
+    dim = dims.build_dimension(fact, ["x", "y"], "k", default=None)
+    spec = facts.DimSpec(dim, ["x", "y"], "k")
+    joined = rows(facts.resolve_keys(fact, spec).select("v", "k"))
+    derived = rows(facts.derive_keys(fact, [spec]).select("v", "k"))
+    assert joined == derived and derived[1][1] is None
