@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tessera.operators.joins import checked_broadcast
 
@@ -38,26 +38,30 @@ def fk_report(fact: DataFrame, fks: Sequence[ForeignKey],
               max_broadcast_rows: int | None = None) -> DataFrame:
     """One row per foreign key: ``fk_column, n_rows, n_null, n_orphan``.
 
-    ``n_orphan`` counts non-null values missing from the dimension. The fact
-    is first reduced to ``(value, count)`` per distinct key value, so a hot
-    key is one row before the join, and only distinct values are looked up.
+    ``n_orphan`` counts non-null values missing from the dimension. One pass
+    over the fact for all keys: each row is exploded into ``(key name, value)``
+    pairs and counted per distinct pair (combined map-side, so a hot value is
+    one row per map task), then looked up once in the union of every
+    dimension's distinct keys. Values are compared in their common type, or as
+    text when the key columns differ in type.
     """
-    parts = []
+    types = {fact.schema[fk.column].dataType for fk in fks}
+    vtype = types.pop() if len(types) == 1 else StringType()
+    pairs = F.explode(F.array(*[F.struct(F.lit(fk.column).alias("fk"), F.col(fk.column).cast(vtype).alias("v"))
+                                for fk in fks]))
+    freq = (fact.select(pairs.alias("p")).select("p.fk", "p.v")
+                .groupBy("fk", "v").agg(F.count(F.lit(1)).alias("__n")))
+    keys = None
     for fk in fks:
-        freq = fact.groupBy(F.col(fk.column).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-        keys = fk.dim.select(F.col(fk.dim_key).alias("__k")).distinct()
-        keys, _ = checked_broadcast(keys, max_broadcast_rows)
-        joined = freq.join(keys, freq["__v"] == keys["__k"], "left")
-        parts.append(joined.agg(
-            F.lit(fk.column).alias("fk_column"),
-            F.sum("__n").alias("n_rows"),
-            F.sum(F.when(F.col("__v").isNull(), F.col("__n")).otherwise(F.lit(0))).alias("n_null"),
-            F.sum(F.when(F.col("__v").isNotNull() & F.col("__k").isNull(), F.col("__n"))
-                   .otherwise(F.lit(0))).alias("n_orphan")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        part = fk.dim.select(F.lit(fk.column).alias("__fk"), F.col(fk.dim_key).cast(vtype).alias("__k"))
+        keys = part if keys is None else keys.unionByName(part)
+    keys, _ = checked_broadcast(keys.distinct(), max_broadcast_rows)
+    joined = freq.join(keys, (freq["fk"] == keys["__fk"]) & (freq["v"] == keys["__k"]), "left")
+    return joined.groupBy(F.col("fk").alias("fk_column")).agg(
+        F.sum("__n").alias("n_rows"),
+        F.sum(F.when(F.col("v").isNull(), F.col("__n")).otherwise(F.lit(0))).alias("n_null"),
+        F.sum(F.when(F.col("v").isNotNull() & F.col("__k").isNull(), F.col("__n"))
+               .otherwise(F.lit(0))).alias("n_orphan"))
 
 
 def _tagged_counts(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -210,7 +210,7 @@ def fk_orphans(spark, sf):
 
 
 def fk_report(spark, sf):
-    li = io.read_table(spark, sf, "lineitem", ["l_partkey", "l_suppkey", "l_orderkey"])
+    li = io.read_table(spark, sf, "lineitem", ["l_partkey", "l_suppkey", "l_orderkey"], spread_rows=True)
     d = D.fk_dims(spark, sf)
     return quality.fk_report(li, [
         quality.ForeignKey("l_partkey", d["part"], "p_partkey"),
