@@ -16,10 +16,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DecimalType, MapType, StringType, StructType
 
-# Default bound on broadcast rows; override per call or with the session
-# setting ``tessera.broadcast.maxRows``.
+# Default bounds on a broadcast side: rows, and bytes as measured by
+# ``size_of``; override per call or with the session settings
+# ``tessera.broadcast.maxRows`` / ``tessera.broadcast.maxBytes``.
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def max_broadcast_rows(df: DataFrame, override: int | None = None) -> int:
@@ -29,6 +32,36 @@ def max_broadcast_rows(df: DataFrame, override: int | None = None) -> int:
     return int(conf) if conf else DEFAULT_MAX_BROADCAST_ROWS
 
 
+def max_broadcast_bytes(df: DataFrame) -> int:
+    conf = df.sparkSession.conf.get("tessera.broadcast.maxBytes", None)
+    return int(conf) if conf else DEFAULT_MAX_BROADCAST_BYTES
+
+
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """``(rows, bytes)`` of ``df`` in one aggregate job.
+
+    Bytes are the summed lengths of text and binary values plus a fixed width
+    per value of other types (16 for decimals, 8 otherwise, 64 for nested
+    values), plus 8 per value of overhead: an upper estimate of the rows as
+    they are held in a broadcast hash table.
+    """
+    fixed, measured = 0, []
+    for f in df.schema.fields:
+        t = f.dataType
+        if isinstance(t, (StringType, BinaryType)):
+            measured.append(F.coalesce(F.sum(F.octet_length(F.col(f.name))), F.lit(0)))
+        elif isinstance(t, DecimalType):
+            fixed += 16
+        elif isinstance(t, (ArrayType, MapType, StructType)):
+            fixed += 64
+        else:
+            fixed += 8
+    row = df.agg(F.count(F.lit(1)), *measured).first()
+    rows = int(row[0])
+    var = sum(int(v) for v in row[1:])
+    return rows, var + rows * (fixed + 8 * len(df.schema.fields))
+
+
 def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
     """Write ``df`` to the session's reliable checkpoint folder; return it and its row count.
 
@@ -49,6 +82,9 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None,
 
     Returns ``(frame, broadcast)``.
 
+    Both the row count and the measured size (``size_of``) must be within
+    bounds; both come from the same job.
+
     ``materialize=True`` (for sides computed by an aggregate, such as
     per-group statistics or distinct keys) writes ``df`` to the checkpoint
     folder first, so the count and the join read the same rows and the
@@ -57,10 +93,14 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None,
     """
     bound = max_broadcast_rows(df, max_rows)
     if materialize:
-        df, n = checkpointed(df)
+        from tessera.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+        n, size = size_of(df)
     else:
-        n = df.limit(bound + 1).count()
-    if n <= bound:
+        n, size = size_of(df.limit(bound + 1))
+    if n <= bound and size <= max_broadcast_bytes(df):
         return F.broadcast(df), True
     return df, False
 

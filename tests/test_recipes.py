@@ -123,3 +123,17 @@ def test_running_total_chunked_null_keys(spark):
                                         max_broadcast_rows=bound)
         assert rows(plain) == rows(chunked)
     assert all(r.running_total is not None for r in plain.collect())
+
+
+def test_broadcast_needs_row_and_byte_bounds(spark):
+    small = spark.createDataFrame([(i, "x" * 10) for i in range(100)], "k long, s string")
+    _, ok = joins.checked_broadcast(small, max_rows=1000)
+    assert ok
+    rows_, size = joins.size_of(small)
+    assert rows_ == 100 and size >= 100 * 10
+    spark.conf.set("tessera.broadcast.maxBytes", str(size - 1))
+    try:
+        _, ok = joins.checked_broadcast(small, max_rows=1000)
+        assert not ok
+    finally:
+        spark.conf.unset("tessera.broadcast.maxBytes")
