@@ -34,8 +34,11 @@ def _keys(by: str | Sequence[str]) -> list[str]:
 
 
 def total_per_key(df: DataFrame, by: str | Sequence[str], value: str, out: str = "total",
-                  scale: int | None = 2) -> DataFrame:
-    """Sum of ``value`` per key; exact in decimal when ``scale`` is given."""
+                  scale: int | None = None) -> DataFrame:
+    """Sum of ``value`` per key.
+
+    With ``scale`` the sum is exact in ``decimal(28, scale)`` (for money with
+    that many decimals) and independent of row order; without it, a plain sum."""
     agg = exact_sum(value, scale) if scale is not None else F.sum(value)
     return df.groupBy(*_keys(by)).agg(agg.alias(out))
 
@@ -47,14 +50,14 @@ def max_per_key(df: DataFrame, by: str | Sequence[str] | Column, value: str,
 
 
 def avg_per_key(df: DataFrame, by: str | Sequence[str], value: str, out: str = "avg_value",
-                scale: int | None = 2) -> DataFrame:
+                scale: int | None = None) -> DataFrame:
     """Average per key; order-independent (exact sum / count) when ``scale`` is given."""
     agg = exact_avg(value, scale) if scale is not None else F.avg(value)
     return df.groupBy(*_keys(by)).agg(agg.alias(out))
 
 
 def partition_total(df: DataFrame, by: str | Sequence[str], value: str, out: str = "total",
-                    scale: int | None = 2, max_broadcast_rows: int | None = None) -> DataFrame:
+                    scale: int | None = None, max_broadcast_rows: int | None = None) -> DataFrame:
     """Every row plus the total of ``value`` over all rows sharing its key."""
     keys = _keys(by)
     totals = total_per_key(df, keys, value, out, scale)
@@ -64,7 +67,7 @@ def partition_total(df: DataFrame, by: str | Sequence[str], value: str, out: str
 
 
 def running_total(df: DataFrame, by: str | Sequence[str], order: Sequence[str], value: str,
-                  out: str = "running_total", scale: int | None = 2,
+                  out: str = "running_total", scale: int | None = None,
                   chunk: Column | None = None, max_broadcast_rows: int | None = None) -> DataFrame:
     """Cumulative sum of ``value`` per key in ``order`` (which should be unique per key).
 

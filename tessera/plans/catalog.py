@@ -25,13 +25,15 @@ STORE = ["StoreRegion", "StoreName", "StoreType"]
 EMPLOYEE = ["SalesRep", "Department", "EmployeeRole"]
 FACT_MEASURES = ["UnitsSold", "UnitPrice", "Discount", "SaleDate"]
 CODES = ["ProductCategory", "StoreRegion", "CustomerType"]
+# Money columns in the test tables carry two decimals; sums over them are exact.
+MONEY_SCALE = 2
 
 
 # --- recipes -----------------------------------------------------------------
 
 def total_per_key(spark, sf):
     o = io.read_table(spark, sf, "orders", ["o_custkey", "o_totalprice"])
-    return recipes.total_per_key(o, "o_custkey", "o_totalprice", out="total_amount")
+    return recipes.total_per_key(o, "o_custkey", "o_totalprice", out="total_amount", scale=MONEY_SCALE)
 
 
 def max_per_day(spark, sf):
@@ -42,7 +44,7 @@ def max_per_day(spark, sf):
 
 def avg_per_group(spark, sf):
     p = io.read_table(spark, sf, "part", ["p_name", "p_retailprice"])
-    return recipes.avg_per_key(p, "p_name", "p_retailprice", out="avg_price")
+    return recipes.avg_per_key(p, "p_name", "p_retailprice", out="avg_price", scale=MONEY_SCALE)
 
 
 def fill_constant(spark, sf):
@@ -51,13 +53,13 @@ def fill_constant(spark, sf):
 
 def partition_total(spark, sf):
     o = io.read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
-    return recipes.partition_total(o, "o_custkey", "o_totalprice", out="customer_total")
+    return recipes.partition_total(o, "o_custkey", "o_totalprice", out="customer_total", scale=MONEY_SCALE)
 
 
 def running_total(spark, sf):
     o = io.read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
     return recipes.running_total(o, "o_custkey", ["o_orderdate", "o_orderkey"], "o_totalprice",
-                                 out="running_amount",
+                                 out="running_amount", scale=MONEY_SCALE,
                                  chunk=F.date_trunc("month", F.col("o_orderdate")))
 
 

@@ -47,8 +47,8 @@ def test_running_total_chunked_equals_window(spark):
     # One hot key holding most rows, spread over many chunks.
     data = [(1 if i % 4 else 2, i, float(i % 97) + 0.25) for i in range(3000)]
     df = spark.createDataFrame(data, "k long, t long, v double")
-    plain = recipes.running_total(df, "k", ["t"], "v")
-    chunked = recipes.running_total(df, "k", ["t"], "v", chunk=F.floor(F.col("t") / 100),
+    plain = recipes.running_total(df, "k", ["t"], "v", scale=2)
+    chunked = recipes.running_total(df, "k", ["t"], "v", scale=2, chunk=F.floor(F.col("t") / 100),
                                     max_broadcast_rows=0)
     assert rows(plain) == rows(chunked)
 
@@ -117,9 +117,9 @@ def test_null_safe_join_paths_agree(spark):
 def test_running_total_chunked_null_keys(spark):
     data = [(None if i % 5 == 0 else i % 3, i, float(i)) for i in range(400)]
     df = spark.createDataFrame(data, "k long, t long, v double")
-    plain = recipes.running_total(df, "k", ["t"], "v")
+    plain = recipes.running_total(df, "k", ["t"], "v", scale=2)
     for bound in (None, 0):
-        chunked = recipes.running_total(df, "k", ["t"], "v", chunk=F.floor(F.col("t") / 37),
+        chunked = recipes.running_total(df, "k", ["t"], "v", scale=2, chunk=F.floor(F.col("t") / 37),
                                         max_broadcast_rows=bound)
         assert rows(plain) == rows(chunked)
     assert all(r.running_total is not None for r in plain.collect())
