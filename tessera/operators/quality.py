@@ -28,10 +28,23 @@ class ForeignKey:
 
 def orphans(fact: DataFrame, fk: str, dim: DataFrame, dim_key: str,
             max_broadcast_rows: int | None = None) -> DataFrame:
-    """Fact rows whose ``fk`` has no match in ``dim`` (a null ``fk`` is an orphan)."""
-    keys = dim.select(F.col(dim_key).alias("__dim_key")).distinct()
+    """Fact rows whose ``fk`` has no match in ``dim`` (a null ``fk`` is an orphan).
+
+    The orphan *values* are found first, from the distinct key values of the
+    fact (collapsed map-side, so a hot value costs one row per map task) and
+    of the dimension. Violations are usually few: when that set is within the
+    broadcast bounds the fact is filtered in one narrow pass, with no shuffle
+    of the fact; otherwise the fact is anti-joined to the dimension keys.
+    """
+    values = fact.select(F.col(fk).alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    keys = dim.select(F.col(dim_key).alias("__k")).distinct()
+    missing = values.join(keys, values["__v"] == keys["__k"], "left_anti")
+    missing, small = checked_broadcast(missing, max_broadcast_rows)
+    if small:
+        flagged = fact.join(missing, fact[fk] == missing["__v"], "left")
+        return flagged.where(F.col(fk).isNull() | F.col("__v").isNotNull()).select(*fact.columns)
     keys, _ = checked_broadcast(keys, max_broadcast_rows)
-    return fact.join(keys, fact[fk] == keys["__dim_key"], "left_anti")
+    return fact.join(keys, fact[fk] == keys["__k"], "left_anti")
 
 
 def fk_report(fact: DataFrame, fks: Sequence[ForeignKey],
