@@ -50,7 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The session's reliable checkpoint folder.
 
     Order: the SparkContext's current folder, then ``spark.checkpoint.dir``,
-    and only when both are unset (local tests) a fresh temporary folder.
+    and only when both are unset on a ``local[...]`` master (tests) a fresh
+    temporary folder. On a cluster without the setting this raises.
     Sessions without a local SparkContext (Spark Connect) use the setting as
     the server sees it.
     """
@@ -66,6 +67,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # A folder on the driver's disk is not visible to executors on other hosts.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
