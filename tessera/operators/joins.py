@@ -76,21 +76,9 @@ def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
     return df, df.count()
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = None,
-                      materialize: bool = True) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    Returns ``(frame, broadcast)``.
-
-    Both the row count and the measured size (``size_of``) must be within
-    bounds; both come from the same job.
-
-    ``materialize=True`` (for sides computed by an aggregate, such as
-    per-group statistics or distinct keys) writes ``df`` to the checkpoint
-    folder first, so the count and the join read the same rows and the
-    aggregate runs once. ``materialize=False`` (for plain tables that may be
-    large) counts at most ``max_rows + 1`` rows and leaves ``df`` as it is.
-    """
+def measured_broadcast(df: DataFrame, max_rows: int | None = None,
+                       materialize: bool = True) -> tuple[DataFrame, bool, int]:
+    """``checked_broadcast`` that also returns the measured row count."""
     bound = max_broadcast_rows(df, max_rows)
     if materialize:
         from tessera.session import checkpoint_dir
@@ -101,8 +89,25 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None,
     else:
         n, size = size_of(df.limit(bound + 1))
     if n <= bound and size <= max_broadcast_bytes(df):
-        return F.broadcast(df), True
-    return df, False
+        return F.broadcast(df), True, n
+    return df, False, n
+
+
+def checked_broadcast(df: DataFrame, max_rows: int | None = None,
+                      materialize: bool = True) -> tuple[DataFrame, bool]:
+    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
+
+    Returns ``(frame, broadcast)``. Both the row count and the measured size
+    (``size_of``) must be within bounds; both come from the same job.
+
+    ``materialize=True`` (for sides computed by an aggregate, such as
+    per-group statistics or distinct keys) writes ``df`` to the checkpoint
+    folder first, so the count and the join read the same rows and the
+    aggregate runs once. ``materialize=False`` (for plain tables that may be
+    large) measures at most ``max_rows + 1`` rows and leaves ``df`` as it is.
+    """
+    frame, small, _ = measured_broadcast(df, max_rows, materialize)
+    return frame, small
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

@@ -6,11 +6,15 @@ and the previous / next value of a column in the group's order -- the
 whole group in one task when ``chunk`` is given.
 
 ``chunk`` is an expression that never decreases along the order within a
-group (the hour of a timestamp that leads the order, say). The window then
-runs per ``(group, chunk)``; a small table with one row per chunk (row count,
-first and last value) gives, through a window over at most the number of
-chunks per group, the offset of each chunk and its neighbours across chunk
-boundaries. The result equals the single window exactly.
+group (the hour of a timestamp that leads the order, say). The split is
+adaptive: row counts per group (one aggregate, combined map-side) show
+whether any group exceeds ``split_above`` rows. If none does, one plain
+window runs. Otherwise only the hot groups are chunked (they are flagged
+through a checked broadcast of the hot-group list): their window runs per
+``(group, chunk)``, and a table with one row per chunk (row count, first and
+last value) gives, through a window over at most the number of chunks per
+group, the offset of each chunk and its neighbours across chunk boundaries.
+The result equals the single window exactly.
 """
 
 from __future__ import annotations
@@ -20,25 +24,65 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import checked_broadcast
+from tessera.operators.joins import checked_broadcast, measured_broadcast
+
+# Rows per group above which a group's window is split into chunks.
+DEFAULT_SPLIT_ABOVE = 1_000_000
+
+
+def hot_groups(df: DataFrame, keys: Sequence[str], split_above: int | None = None,
+               max_broadcast_rows: int | None = None) -> tuple[DataFrame | None, bool]:
+    """Groups with more than ``split_above`` rows, as ``__hot_grp`` (struct of the keys).
+
+    Returns ``(None, False)`` when there are none, else ``(frame, broadcast)``.
+    The counts are one aggregate, combined map-side.
+    """
+    if split_above is None:
+        conf = df.sparkSession.conf.get("tessera.window.splitAbove", None)
+        split_above = int(conf) if conf else DEFAULT_SPLIT_ABOVE
+    sizes = df.groupBy(F.struct(*[F.col(k) for k in keys]).alias("__hot_grp")).agg(
+        F.count(F.lit(1)).alias("__n"))
+    hot, small, n = measured_broadcast(sizes.where(F.col("__n") > split_above).select("__hot_grp"),
+                                       max_broadcast_rows)
+    return (None, False) if n == 0 else (hot, small)
 
 
 def number_and_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                           seq: str = "__seq", prev: str = "__prev", nxt: str = "__next",
                           chunk: Column | None = None,
-                          max_broadcast_rows: int | None = None) -> DataFrame:
+                          max_broadcast_rows: int | None = None,
+                          split_above: int | None = None) -> DataFrame:
     """``df`` plus ``seq`` (row number), ``prev`` and ``nxt`` (lag / lead of ``value``).
 
     ``order`` must be unique within a group (add a tie-break column).
     """
     keys, order = list(keys), list(order)
-    if chunk is None:
+
+    def plain(frame: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(*order)
-        return df.select("*", F.row_number().over(w).alias(seq),
-                         F.lag(value).over(w).alias(prev), F.lead(value).over(w).alias(nxt))
+        return frame.select(*df.columns, F.row_number().over(w).alias(seq),
+                            F.lag(value).over(w).alias(prev), F.lead(value).over(w).alias(nxt))
+
+    if chunk is None:
+        return plain(df)
+    hot, hot_small = hot_groups(df, keys, split_above, max_broadcast_rows)
+    if hot is None:
+        return plain(df)
+    if not hot_small:
+        return _split(df, df.columns, keys, order, value, seq, prev, nxt, chunk, max_broadcast_rows)
+    grp = F.struct(*[F.col(k) for k in keys])
+    flagged = df.join(hot, grp == hot["__hot_grp"], "left")
+    cold = flagged.where(F.col("__hot_grp").isNull()).select(*df.columns)
+    hot_rows = flagged.where(F.col("__hot_grp").isNotNull()).select(*df.columns)
+    split = _split(hot_rows, df.columns, keys, order, value, seq, prev, nxt, chunk, max_broadcast_rows)
+    return plain(cold).unionByName(split)
+
 
+def _split(df: DataFrame, columns: Sequence[str], keys: list[str], order: list[str], value: str,
+           seq: str, prev: str, nxt: str, chunk: Column,
+           max_broadcast_rows: int | None) -> DataFrame:
     # One struct key for (group, chunk): the window and the join back both
-    # partition on it, so the fact is shuffled once; struct equality treats
+    # partition on it, so the rows are shuffled once; struct equality treats
     # null fields as equal, so null group keys stay together.
     staged = (df.withColumn("__grp", F.struct(*[F.col(k) for k in keys]))
                 .withColumn("__chunk", chunk)
@@ -64,7 +108,7 @@ def number_and_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[st
     first_in_chunk = F.col("__rn") == 1
     last_in_chunk = F.col("__rn") == F.col("__cnt")
     return joined.select(
-        *df.columns,
+        *columns,
         (F.col("__offset") + F.col("__rn")).cast("int").alias(seq),
         F.when(first_in_chunk, F.col("__prev_last")).otherwise(F.col("__lag")).alias(prev),
         F.when(last_in_chunk, F.col("__next_first")).otherwise(F.col("__lead")).alias(nxt))

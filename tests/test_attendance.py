@@ -79,10 +79,16 @@ def test_split_sequence_equals_single_window(spark):
     both = p.unionByName(hot)
     cols = ["emp_id", "work_date", "punch_time", "event_id"]
     plain = number_and_neighbours(both.select(*cols), ["emp_id", "work_date"], ["punch_time", "event_id"], "punch_time")
-    split = number_and_neighbours(both.select(*cols), ["emp_id", "work_date"], ["punch_time", "event_id"], "punch_time",
-                                  chunk=F.date_trunc("hour", "punch_time"), max_broadcast_rows=0)
-    assert rows(plain) == rows(split)
-    for fn in (attendance.hours_by_lag, attendance.hours_by_pairs):
-        a = fn(both, None, tiebreak=["event_id"], sort=False)
-        b = fn(both, None, tiebreak=["event_id"], sort=False, chunk=F.date_trunc("hour", "punch_time"))
-        assert rows(a) == rows(b)
+    for bound in (None, 0):        # hot group alone split; or every group split
+        split = number_and_neighbours(both.select(*cols), ["emp_id", "work_date"], ["punch_time", "event_id"],
+                                      "punch_time", chunk=F.date_trunc("hour", "punch_time"),
+                                      max_broadcast_rows=bound, split_above=1000)
+        assert rows(plain) == rows(split)
+    spark.conf.set("tessera.window.splitAbove", "1000")
+    try:
+        for fn in (attendance.hours_by_lag, attendance.hours_by_pairs):
+            a = fn(both, None, tiebreak=["event_id"], sort=False)
+            b = fn(both, None, tiebreak=["event_id"], sort=False, chunk=F.date_trunc("hour", "punch_time"))
+            assert rows(a) == rows(b)
+    finally:
+        spark.conf.unset("tessera.window.splitAbove")

@@ -63,7 +63,7 @@ SCALE_PATH_QUERIES = ["partition_total", "running_total", "null_safe_outer_join"
 def test_large_data_paths_match_oracle(spark, duck, name):
     """With every broadcast refused and quantiles forced to split, results are unchanged."""
     settings = {"tessera.broadcast.maxRows": "0", "spark.sql.autoBroadcastJoinThreshold": "-1",
-                "tessera.quantile.splitAbove": "0"}
+                "tessera.quantile.splitAbove": "0", "tessera.window.splitAbove": "0"}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:

@@ -48,9 +48,10 @@ def test_running_total_chunked_equals_window(spark):
     data = [(1 if i % 4 else 2, i, float(i % 97) + 0.25) for i in range(3000)]
     df = spark.createDataFrame(data, "k long, t long, v double")
     plain = recipes.running_total(df, "k", ["t"], "v", scale=2)
-    chunked = recipes.running_total(df, "k", ["t"], "v", scale=2, chunk=F.floor(F.col("t") / 100),
-                                    max_broadcast_rows=0)
-    assert rows(plain) == rows(chunked)
+    for bound in (None, 0):        # hot key alone split; or every key split
+        chunked = recipes.running_total(df, "k", ["t"], "v", scale=2, chunk=F.floor(F.col("t") / 100),
+                                        max_broadcast_rows=bound, split_above=1000)
+        assert rows(plain) == rows(chunked)
 
 
 def test_avg_per_key(spark):
@@ -120,7 +121,7 @@ def test_running_total_chunked_null_keys(spark):
     plain = recipes.running_total(df, "k", ["t"], "v", scale=2)
     for bound in (None, 0):
         chunked = recipes.running_total(df, "k", ["t"], "v", scale=2, chunk=F.floor(F.col("t") / 37),
-                                        max_broadcast_rows=bound)
+                                        max_broadcast_rows=bound, split_above=50)
         assert rows(plain) == rows(chunked)
     assert all(r.running_total is not None for r in plain.collect())
 
