@@ -44,3 +44,20 @@ def test_incremental_parse_is_exactly_once(spark):
     got = spark.read.parquet(sink)
     want = attendance.parse_punches(text.where(F.col("event_id") % 2 == 0))
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_incremental_picks_up_only_new_files(spark):
+    from tessera.streaming import run_incremental
+
+    src = scratch_path(spark, "punch-src2")
+    text = D.punch_text(spark, SF_SMALL)
+    first, second = text.where(F.col("event_id") % 2 == 0), text.where(F.col("event_id") % 2 == 1)
+    first.write.parquet(src + "/part=1")
+    sink = scratch_path(spark, "punch-sink2")
+    ckpt = run_incremental(spark, src, text.schema, attendance.parse_punches, sink)
+    assert spark.read.parquet(sink).count() == first.count()
+    second.write.parquet(src + "/part=2")
+    run_incremental(spark, src, text.schema, attendance.parse_punches, sink, checkpoint_location=ckpt)
+    got = spark.read.parquet(sink)
+    want = attendance.parse_punches(text)
+    assert rows(got.select(*want.columns)) == rows(want)
