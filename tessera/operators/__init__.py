@@ -9,5 +9,6 @@ from tessera.operators import (  # noqa: F401
     profile,
     quality,
     recipes,
+    sequence,
     stats,
 )
