@@ -37,29 +37,49 @@ def max_broadcast_bytes(df: DataFrame) -> int:
     return int(conf) if conf else DEFAULT_MAX_BROADCAST_BYTES
 
 
-def size_of(df: DataFrame) -> tuple[int, int]:
-    """``(rows, bytes)`` of ``df`` in one aggregate job.
-
-    Bytes are the summed lengths of text and binary values plus a fixed width
-    per value of other types (16 for decimals, 8 otherwise, 64 for nested
-    values), plus 8 per value of overhead: an upper estimate of the rows as
-    they are held in a broadcast hash table.
-    """
-    fixed, measured = 0, []
+def _widths(df: DataFrame) -> tuple[int, list]:
+    """Fixed bytes per row, and the per-row byte expressions of text/binary columns."""
+    fixed, measured = 8 * len(df.schema.fields), []
     for f in df.schema.fields:
         t = f.dataType
         if isinstance(t, (StringType, BinaryType)):
-            measured.append(F.coalesce(F.sum(F.octet_length(F.col(f.name))), F.lit(0)))
+            measured.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
         elif isinstance(t, DecimalType):
             fixed += 16
         elif isinstance(t, (ArrayType, MapType, StructType)):
             fixed += 64
         else:
             fixed += 8
-    row = df.agg(F.count(F.lit(1)), *measured).first()
+    return fixed, measured
+
+
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """``(rows, bytes)`` of ``df`` in one aggregate job.
+
+    Bytes are the summed lengths of text and binary values plus a fixed width
+    per value of other types (16 for decimals, 8 otherwise, 64 for nested
+    values), plus 8 per value of overhead: an upper estimate of the rows as
+    they are held in a broadcast hash table.
+    """
+    fixed, measured = _widths(df)
+    row = df.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(m), F.lit(0)) for m in measured]).first()
     rows = int(row[0])
-    var = sum(int(v) for v in row[1:])
-    return rows, var + rows * (fixed + 8 * len(df.schema.fields))
+    return rows, sum(int(v) for v in row[1:]) + rows * fixed
+
+
+def size_up_to(df: DataFrame, bound: int) -> tuple[int, int]:
+    """``(rows, bytes)`` of at most ``bound + 1`` rows of ``df``.
+
+    ``take`` scans partitions incrementally and stops once it has enough
+    rows, so a huge table costs a few partitions, not a full scan; only one
+    number per row (its byte size) reaches the driver.
+    """
+    fixed, measured = _widths(df)
+    per_row = F.lit(fixed)
+    for m in measured:
+        per_row = per_row + m
+    taken = df.select(per_row.cast("long").alias("b")).take(bound + 1)
+    return len(taken), sum(r.b for r in taken)
 
 
 def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
@@ -87,7 +107,7 @@ def measured_broadcast(df: DataFrame, max_rows: int | None = None,
         df = df.checkpoint(eager=True)
         n, size = size_of(df)
     else:
-        n, size = size_of(df.limit(bound + 1))
+        n, size = size_up_to(df, bound)
     if n <= bound and size <= max_broadcast_bytes(df):
         return F.broadcast(df), True, n
     return df, False, n

@@ -138,3 +138,10 @@ def test_broadcast_needs_row_and_byte_bounds(spark):
         assert not ok
     finally:
         spark.conf.unset("tessera.broadcast.maxBytes")
+
+
+def test_size_up_to_stops_early_and_matches(spark):
+    df = spark.createDataFrame([(i, "ab" * (i % 3)) for i in range(500)], "k long, s string")
+    assert joins.size_up_to(df, 1000) == joins.size_of(df)
+    n, _ = joins.size_up_to(spark.range(0, 10_000_000, numPartitions=64), 100)
+    assert n == 101
