@@ -38,10 +38,17 @@ SECONDS_PER_HOUR = 3600.0
 
 
 def parse_punches(df: DataFrame, time_col: str = "punch_time", fmt: str = PUNCH_FORMAT,
-                  date_col: str = "work_date", ntz: bool = True) -> DataFrame:
-    """Text punch times to timestamps (without zone by default) plus their date."""
+                  date_col: str = "work_date", ntz: bool = True, strict: bool = False) -> DataFrame:
+    """Text punch times to timestamps (without zone by default) plus their date.
+
+    With ``strict=False`` a value that does not match ``fmt`` becomes null
+    instead of failing the job (Spark 4 parses under ANSI rules), so one bad
+    row cannot stop a run over the whole log; count the nulls to report them.
+    """
     fmt_lit = F.lit(fmt)
     ts = F.to_timestamp_ntz(F.col(time_col), fmt_lit) if ntz else F.to_timestamp(F.col(time_col), fmt)
+    if not strict:
+        ts = F.when(F.try_to_timestamp(F.col(time_col), fmt_lit).isNotNull(), ts)
     return df.withColumn(time_col, ts).withColumn(date_col, F.to_date(F.col(time_col)))
 
 

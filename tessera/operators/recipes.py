@@ -23,7 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StringType
 
 from tessera.functions.values import exact_avg, exact_sum
 from tessera.operators.joins import checked_broadcast
@@ -130,8 +130,12 @@ def top_n_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Colu
 
 
 def extract_year(df: DataFrame, col: str, out: str = "year") -> DataFrame:
-    """Year of a date, timestamp or ``yyyy-MM-dd`` text column."""
-    return df.withColumn(out, F.year(F.to_date(F.col(col))))
+    """Year of a date, timestamp or ``yyyy-MM-dd`` text column.
+
+    Text that is not a date gives null rather than failing the job."""
+    c = F.col(col)
+    as_date = F.try_to_date(c) if isinstance(df.schema[col].dataType, StringType) else F.to_date(c)
+    return df.withColumn(out, F.year(as_date))
 
 
 def explode_tags(df: DataFrame, col: str, sep: str = ",", out: str | None = None) -> DataFrame:

@@ -92,3 +92,10 @@ def test_split_sequence_equals_single_window(spark):
             assert rows(a) == rows(b)
     finally:
         spark.conf.unset("tessera.window.splitAbove")
+
+
+def test_bad_punch_text_is_null_not_an_error(spark):
+    df = spark.createDataFrame([(1, "2025-08-08 09:00:00"), (1, "2025-13-40 99:00:00"), (1, "garbage")],
+                               "emp_id int, punch_time string")
+    out = [r.punch_time for r in attendance.parse_punches(df).collect()]
+    assert out == [dt.datetime(2025, 8, 8, 9, 0), None, None]

@@ -145,3 +145,8 @@ def test_size_up_to_stops_early_and_matches(spark):
     assert joins.size_up_to(df, 1000) == joins.size_of(df)
     n, _ = joins.size_up_to(spark.range(0, 10_000_000, numPartitions=64), 100)
     assert n == 101
+
+
+def test_extract_year_bad_text_is_null(spark):
+    df = spark.createDataFrame([("2022-11-01",), ("2022-13-01",), ("n/a",)], "d string")
+    assert [r.year for r in recipes.extract_year(df, "d").collect()] == [2022, None, None]
