@@ -33,10 +33,20 @@ class DimSpec:
 
 
 def resolve_keys(fact: DataFrame, spec: DimSpec, unknown_member: str | None = None,
-                 max_broadcast_rows: int | None = None) -> DataFrame:
+                 max_broadcast_rows: int | None = None, check_unique: bool = False) -> DataFrame:
+    """Left-join ``fact`` to ``spec.dim`` on the natural key; adds the surrogate key.
+
+    ``check_unique=True`` first verifies that no natural key appears twice in
+    the dimension (a duplicate would multiply fact rows); it runs on the
+    materialised lookup, not on the fact.
+    """
     keys = list(spec.natural_key)
     lookup = spec.dim.select(*keys, spec.surrogate_key)
     lookup, _ = checked_broadcast(lookup, max_broadcast_rows)
+    if check_unique:
+        dupes = lookup.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count()
+        if dupes:
+            raise ValueError(f"dimension natural key {keys} is not unique; the join would fan out")
     out = fact.join(lookup, on=keys, how="left")
     if unknown_member is not None:
         default_key = sha_key([F.lit(unknown_member)] * len(keys))
@@ -46,11 +56,11 @@ def resolve_keys(fact: DataFrame, spec: DimSpec, unknown_member: str | None = No
 
 def resolve_star(fact: DataFrame, specs: Sequence[DimSpec], keep: Sequence[str] | None = None,
                  unknown_member: str | None = None,
-                 max_broadcast_rows: int | None = None) -> DataFrame:
+                 max_broadcast_rows: int | None = None, check_unique: bool = False) -> DataFrame:
     """Resolve every dimension in turn, then project surrogate keys + ``keep``."""
     out = fact
     for spec in specs:
-        out = resolve_keys(out, spec, unknown_member, max_broadcast_rows)
+        out = resolve_keys(out, spec, unknown_member, max_broadcast_rows, check_unique)
     if keep is None:
         return out
     return out.select(*[s.surrogate_key for s in specs], *keep)

@@ -114,3 +114,14 @@ def test_derive_keys_null_part_gives_null_key(spark):
     joined = rows(facts.resolve_keys(fact, spec).select("v", "k"))
     derived = rows(facts.derive_keys(fact, [spec]).select("v", "k"))
     assert joined == derived and derived[1][1] is None
+
+
+def test_check_unique_rejects_fan_out(spark):
+    import pytest
+
+    fact = spark.createDataFrame([("a", 1)], "code string, v int")
+    dup = spark.createDataFrame([("a", "k1"), ("a", "k2")], "code string, k string")
+    with pytest.raises(ValueError):
+        facts.resolve_keys(fact, facts.DimSpec(dup, ["code"], "k"), check_unique=True)
+    ok = spark.createDataFrame([("a", "k1")], "code string, k string")
+    assert facts.resolve_keys(fact, facts.DimSpec(ok, ["code"], "k"), check_unique=True).count() == 1
