@@ -167,7 +167,7 @@ def _star(spark, sf):
 
 def fact_resolve_star(spark, sf):
     fact, specs = _star(spark, sf)
-    return facts.resolve_star(fact, specs, keep=FACT_MEASURES)
+    return facts.resolve_star(fact, specs, keep=FACT_MEASURES, check_unique=True)
 
 
 def net_revenue(spark, sf):
@@ -269,7 +269,7 @@ def fact_resolve_mapping(spark, sf, algo: str = "murmur3_32"):
     tx = D.conformed_transactions(spark, sf)
     specs = [facts.DimSpec(_code_dim(spark, sf, c, algo), [c], f"DIM_{c}ID") for c in CODES]
     specs.append(facts.DimSpec(_mapping_dim(spark, sf, algo), CODES, "DIM_CustomLabelID"))
-    return facts.resolve_star(tx, specs, keep=["TransactionID", "Amount"])
+    return facts.resolve_star(tx, specs, keep=["TransactionID", "Amount"], check_unique=True)
 
 
 # --- attendance --------------------------------------------------------------
