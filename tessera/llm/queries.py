@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import simhash_trie
+from pyspark.sql import functions as F
+
+from tessera.llm import bitslice_topk, simhash_trie, warc
+from tessera.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,5 +20,50 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash_trie.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op7_simhash": op7_simhash}
-SQL: dict[str, str] = {}
+def op6_bitslice_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best rows by integer inner product for every 50th vector."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return bitslice_topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page as a WARC record, read the archives back by byte ranges."""
+    files = warc.write_archives(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"), least_bytes=0)
+    return warc.read_archives(files, split_bytes=8 << 20, with_payload=False).select(
+        warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of("refers_to").alias("refers_to"))
+
+
+QUERIES = {
+    "op6_bitslice_topk": op6_bitslice_topk,
+    "op7_simhash": op7_simhash,
+    "op9_warc": op9_warc,
+}
+
+SQL: dict[str, str] = {
+    "op6_bitslice_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM (SELECT DISTINCT * FROM v WHERE vec_id % 50 = 0) q
+            JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op9_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        g AS (SELECT html, max(page_id) AS kept FROM p GROUP BY html),
+        r AS (
+            SELECT page_id, strlen(p.html)::BIGINT AS payload_bytes, sha1(p.html) AS h,
+                   CASE WHEN page_id < kept THEN kept END AS refers_to
+            FROM p JOIN g ON p.html = g.html)
+        SELECT page_id, payload_bytes,
+               list_aggregate(list_transform(range(8), lambda i: list_aggregate(list_transform(range(4), lambda j:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                          (((('0x' || substr(h, 1 + 5 * i, 5))::BIGINT >> (15 - 5 * j)) & 31) + 1)::BIGINT, 1)),
+                   'string_agg', '')), 'string_agg', '') AS payload_digest,
+               CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+        FROM r""",
+}
