@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tessera.llm import bitslice_topk, simhash_trie, warc
+from tessera.llm import bitslice_topk, chain_dedup, simhash_trie, warc
 from tessera.session import scratch_path
 
 
@@ -26,6 +26,11 @@ def op6_bitslice_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice_topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op8_chain_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of 50 words or more that repeats an earlier one, with its source."""
+    return chain_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page as a WARC record, read the archives back by byte ranges."""
     files = warc.write_archives(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"), least_bytes=0)
@@ -37,6 +42,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op6_bitslice_topk": op6_bitslice_topk,
     "op7_simhash": op7_simhash,
+    "op8_chain_dedup": op8_chain_dedup,
     "op9_warc": op9_warc,
 }
 
