@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tessera.llm import bitslice_topk, chain_dedup, simhash_trie, warc
+from tessera.llm import bitslice_topk, chain_dedup, langid, simhash_trie, warc
 from tessera.session import scratch_path
 
 
@@ -20,6 +20,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash_trie.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    languages, probability = langid.fit(docs.where(~langid.held_out()))
+    texts = docs.select("doc_id", "text", langid.held_out().alias("held_out"))
+    return langid.predict(texts, languages, probability).drop("text")
+
+
 def op6_bitslice_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best rows by integer inner product for every 50th vector."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -40,6 +48,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_langid": op4_langid,
     "op6_bitslice_topk": op6_bitslice_topk,
     "op7_simhash": op7_simhash,
     "op8_chain_dedup": op8_chain_dedup,
