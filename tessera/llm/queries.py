@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tessera.llm import bitslice_topk, chain_dedup, langid, simhash_trie, warc
+from tessera.llm import (bitslice_topk, chain_dedup, chat_prefix, importance, langid, separator_scan, simhash_trie,
+                         soft_mix, template_decontam, warc)
 from tessera.session import scratch_path
 
 
@@ -20,6 +21,35 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash_trie.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op1_chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation with an answer against itself with the next conversation's last answer."""
+    chosen, rejected = chat_prefix.swapped_answers(_table(spark, sf_dir, "conversations"))
+    return chat_prefix.preference_pairs(chosen, rejected).select(
+        F.col("pair_id").alias("conv_id"), "prompt_turns", "prompt", "chosen", "rejected",
+        chat_prefix.mask_text("chosen_mask").alias("chosen_mask"), chat_prefix.mask_text("rejected_mask").alias("rejected_mask"))
+
+
+def op2_template_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents leak, other slot values included."""
+    return template_decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def label_domains(labels: DataFrame) -> DataFrame:
+    """Domains of the labelled documents: toxic, good or plain."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good")
+                         .when(F.col("quality") == 0, "plain").alias("domain"))
+
+
+#: Token weights of the mixture by domain.
+MIXTURE = {"good": 0.90, "plain": 0.08, "toxic": 0.02}
+
+
+def op3_soft_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate and copies of every document for the mixture's token weights."""
+    out = soft_mix.mix(_table(spark, sf_dir, "documents"), label_domains(_table(spark, sf_dir, "labels")), MIXTURE)
+    return out.select("doc_id", "tokens", "rate", "copies")
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -28,6 +58,11 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(texts, languages, probability).drop("text")
 
 
+def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, by scanning flat token files for separators."""
+    return separator_scan.document_tokens(_table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), block_bytes=4 << 20)
+
+
 def op6_bitslice_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best rows by integer inner product for every 50th vector."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -47,15 +82,59 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         warc.page_of("refers_to").alias("refers_to"))
 
 
+def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight of every document and whether it is drawn.
+
+    The target is good text that is not toxic; as large a share of the
+    documents is drawn as the target has of the labelled rows.
+    """
+    labels = _table(spark, sf_dir, "labels")
+    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0")
+    share = good.count() / max(1, labels.where("quality is not null").count())
+    return importance.resample(_table(spark, sf_dir, "documents"), good, share)
+
+
 QUERIES = {
+    "op1_chat_prefix": op1_chat_prefix,
+    "op2_template_decontam": op2_template_decontam,
+    "op3_soft_mix": op3_soft_mix,
     "op4_langid": op4_langid,
+    "op5_separator_scan": op5_separator_scan,
     "op6_bitslice_topk": op6_bitslice_topk,
     "op7_simhash": op7_simhash,
     "op8_chain_dedup": op8_chain_dedup,
     "op9_warc": op9_warc,
+    "op10_importance": op10_importance,
 }
 
 SQL: dict[str, str] = {
+    "op1_chat_prefix": """
+        WITH t AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+        a AS (SELECT conv_id, max(turn) AS turn, arg_max(text, turn) AS text FROM t WHERE role = 'assistant' GROUP BY conv_id),
+        n AS (SELECT a.conv_id, a.turn, b.text AS swap FROM a JOIN a b ON b.conv_id = a.conv_id + 1),
+        x AS (
+            SELECT t.conv_id, t.turn, t.role, t.text AS c,
+                   CASE WHEN t.turn = n.turn AND t.role = 'assistant' THEN n.swap ELSE t.text END AS r
+            FROM t JOIN n USING (conv_id)),
+        y AS (SELECT *, min(CASE WHEN c <> r THEN turn END) OVER (PARTITION BY conv_id) AS cut FROM x),
+        z AS (
+            SELECT conv_id, turn, role, cut IS NULL OR turn < cut AS shared,
+                   '<|im_start|>' || role || chr(10) AS h, c || '<|im_end|>' || chr(10) AS cb, r || '<|im_end|>' || chr(10) AS rb
+            FROM y),
+        w AS (
+            SELECT *,
+                   coalesce(sum(CASE WHEN NOT shared THEN length(h) + length(cb) END) OVER o, 0) - length(cb) AS c0,
+                   coalesce(sum(CASE WHEN NOT shared THEN length(h) + length(rb) END) OVER o, 0) - length(rb) AS r0
+            FROM z WINDOW o AS (PARTITION BY conv_id ORDER BY turn))
+        SELECT conv_id, count(*) FILTER (shared)::INTEGER AS prompt_turns,
+               coalesce(string_agg(h || cb, '' ORDER BY turn) FILTER (shared), '') AS prompt,
+               coalesce(string_agg(h || cb, '' ORDER BY turn) FILTER (NOT shared), '') AS chosen,
+               coalesce(string_agg(h || rb, '' ORDER BY turn) FILTER (NOT shared), '') AS rejected,
+               coalesce(string_agg(c0::BIGINT || '-' || (c0 + length(cb))::BIGINT, ',' ORDER BY turn)
+                        FILTER (NOT shared AND role = 'assistant'), '') AS chosen_mask,
+               coalesce(string_agg(r0::BIGINT || '-' || (r0 + length(rb))::BIGINT, ',' ORDER BY turn)
+                        FILTER (NOT shared AND role = 'assistant'), '') AS rejected_mask
+        FROM w GROUP BY conv_id""",
     "op6_bitslice_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
