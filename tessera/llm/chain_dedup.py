@@ -298,15 +298,15 @@ def cut_passages(docs: DataFrame, passages: DataFrame, doc_id: str = "doc_id", t
     spans = passages.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     joined = docs.join(spans, docs[f"`{doc_id}`"] == spans["__id"], "left")
-    at = docs.columns.index(text)
+    at, n = docs.columns.index(text), len(columns)
 
     def run(batches):
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            for i, spans in enumerate(batch.column(len(columns)).to_pylist()):
+            for i, spans in enumerate(batch.column(n).to_pylist()):
                 if spans and texts[i]:
                     texts[i] = without_words(texts[i], [(x["start"], x["end"]) for x in spans])
-            yield batch.select(range(len(columns))).set_column(at, text, pa.array(texts, pa.string()))
+            yield batch.select(range(n)).set_column(at, text, pa.array(texts, pa.string()))
 
     return joined.select(*columns, "__spans").mapInArrow(run, docs.schema)
 

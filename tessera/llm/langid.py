@@ -29,7 +29,7 @@ from tessera.llm.common import mix, stored
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PART = 64
 UND = "und"
-_BASE = np.uint64(0xD1342543DE82EF95)
+_BASE = 0xD1342543DE82EF95
 _HASH_BITS = 22
 _GROUP = 1 << 15
 _RESCALE = 12
@@ -48,10 +48,10 @@ def _hash_columns(words: np.ndarray) -> np.ndarray:
     """Running polynomial hashes: column i covers the first i bytes."""
     n, size = words.shape
     sums = np.zeros((size + 1, n), np.uint64)
-    power = np.uint64(1)
+    power = 1
     for i in range(size):
-        sums[i + 1] = sums[i] + (words[:, i].astype(np.uint64) + np.uint64(1)) * power
-        power = power * _BASE
+        sums[i + 1] = sums[i] + (words[:, i].astype(np.uint64) + np.uint64(1)) * np.uint64(power)
+        power = power * _BASE % (1 << 64)
     return sums
 
 
@@ -60,10 +60,7 @@ class Lattice:
 
     def __init__(self, pieces: list[bytes]):
         self.longest = max(map(len, pieces))
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        self.down = np.ones(PART + 2, np.uint64)
-        for i in range(1, len(self.down)):
-            self.down[i] = self.down[i - 1] * inverse
+        self.down = np.array([pow(_BASE, -i, 1 << 64) for i in range(PART + 2)], np.uint64)
         keys = np.zeros(len(pieces), np.uint64)
         for size in range(1, self.longest + 1):
             at = [i for i, p in enumerate(pieces) if len(p) == size]

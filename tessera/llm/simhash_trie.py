@@ -234,6 +234,20 @@ def simhash_components(docs: DataFrame, size: int = 3, max_bits: int = 3, doc_id
         "doc_id", "fp", "root", "component_id")
 
 
+def keep_one(docs: DataFrame, size: int = 3, max_bits: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each near-duplicate class, with all columns of ``docs``.
+
+    The row with the smallest id stays; of several rows with that id, and of a
+    class whose ids are all null, one of them.
+    """
+    classes = simhash_components(docs, size, max_bits, doc_id, text)
+    kept = stored(classes.where("doc_id <=> component_id").select(
+        F.col("doc_id").alias("__id"), F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct(), "simhash-kept")
+    own = with_fingerprint(docs, text, size, "__own", keep=docs.columns)
+    joined = own.join(kept, (own["__own"] == kept["__fp"]) & own[f"`{doc_id}`"].eqNullSafe(kept["__id"]))
+    return joined.dropDuplicates(["__root"]).drop("__own", "__id", "__fp", "__root")
+
+
 def hex_fingerprint(column: str = "fp"):
     """A signed long as 16 lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(column), 16, "0"))
