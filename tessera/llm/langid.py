@@ -112,16 +112,17 @@ class Lattice:
         """Expected number of uses of each piece, for one language."""
         n, size = words.shape
         edges = list(self.edges(words))
-        # Scaled by the same power for each byte, which cancels in the ratio below.
-        p = probability * 1e3
+        # One factor a byte keeps the sums in range; a word's factors cancel in the ratio below.
+        growth = 30.0 ** np.arange(self.longest + 1)
+        p = probability
         alpha, beta = np.zeros((size + 1, n)), np.zeros((size + 1, n))
         alpha[0], beta[size] = 1.0, 1.0
         for end, length, at, piece in edges:
-            alpha[end, at] += alpha[end - length, at] * p[piece]
+            alpha[end, at] += alpha[end - length, at] * (p[piece] * growth[length])
         total = np.zeros(len(probability))
         share = counts / alpha[size]
         for end, length, at, piece in reversed(edges):
-            use = p[piece] * beta[end, at]
+            use = p[piece] * growth[length] * beta[end, at]
             np.add.at(total, piece, alpha[end - length, at] * use * share[at])
             beta[end - length, at] += use
         return total

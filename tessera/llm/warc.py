@@ -147,11 +147,13 @@ def _is_member(source: _Bytes, at: int) -> bool:
     out, seen = b"", 0
     try:
         while b"\r\n\r\n" not in out and len(out) < _HEADER_LIMIT and not inflate.eof:
-            chunk = source.get(at + seen, 4096)
+            chunk = inflate.unconsumed_tail
+            if not chunk:
+                chunk = source.get(at + seen, 4096)
+                seen += len(chunk)
             if not chunk:
                 return False
-            seen += len(chunk)
-            out += inflate.decompress(chunk, _HEADER_LIMIT)
+            out += inflate.decompress(chunk, 256)
             if out[:7] != b"WARC/1."[:len(out[:7])]:
                 return False
     except zlib.error:
