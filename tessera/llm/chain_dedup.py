@@ -135,7 +135,9 @@ def _chain_rows(k: int, window: int, max_gap: int, least_words: int):
                     yield px[0], px[-1] + k, py[0], py[-1] + k
 
     def rows(table):
-        doc, src, x, y = (c.to_numpy() for c in table.columns)
+        columns = [c.to_numpy() for c in table.columns]
+        fresh = np.r_[True, np.any([np.diff(c) != 0 for c in columns], axis=0)]
+        doc, src, x, y = (c[fresh] for c in columns)
         edges = np.flatnonzero((np.diff(doc) != 0) | (np.diff(src) != 0)) + 1
         starts, ends = np.r_[0, edges], np.r_[edges, len(doc)]
         long = ends - starts > 1
@@ -237,10 +239,11 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 10, least_words
         F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("binary").alias("text"))
     found = seeds(docs, k, window)
     place = F.struct("doc", "pos")
-    first = (found.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-             .where("n > 1").select("hash", F.col("first.doc").alias("src"), F.col("first.pos").alias("src_pos")))
+    # Stored, so that both sides of the join are plain exchanges and a hot seed's occurrences can be split.
+    first = stored(found.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+                   .select("hash", F.col("first.doc").alias("src"), F.col("first.pos").alias("src_pos")), "seed-sources")
     matches = (found.join(first, "hash").where("doc <> src or pos > src_pos")
-               .select("doc", "src", "pos", "src_pos").distinct())
+               .select("doc", "src", "pos", "src_pos"))
     linked = stored(matches.repartition("doc", "src").sortWithinPartitions("doc", "src", "pos", "src_pos")
                     .mapInArrow(_chain_rows(k, window, max_gap, least_words), _CHAIN).distinct(), "chains")
     pad = 2 * (window + k)
