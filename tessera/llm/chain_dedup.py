@@ -39,15 +39,14 @@ def minimizers(hashes: np.ndarray, rows: np.ndarray, window: int) -> np.ndarray:
         np.minimum(least[:-j], hashes[j:], out=least[:-j])
     ends = np.r_[np.flatnonzero(rows[1:] != rows[:-1]) + 1, n]
     starts = np.r_[0, ends[:-1]]
-    last = np.repeat(ends, ends - starts)
-    whole = np.arange(n) + window <= last
-    least[~whole] = 0
-    short = ends - starts < window
-    least[starts[short]] = np.minimum.reduceat(hashes, starts)[short]
+    sizes = ends - starts
+    least[np.arange(n) + window > np.repeat(ends, sizes)] = 0  # runs that would leave their row
     most = least.copy()
     for j in range(1, window):
         np.maximum(most[j:], least[:-j], out=most[j:])
-    return np.flatnonzero(hashes == most)
+    whole = np.repeat(sizes >= window, sizes)
+    of_row = np.repeat(np.minimum.reduceat(hashes, starts), sizes)
+    return np.flatnonzero(np.where(whole, hashes == most, hashes == of_row))
 
 
 def seeds(docs: DataFrame, k: int, window: int) -> DataFrame:
@@ -246,7 +245,7 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 10, least_words
                .select("doc", "src", "pos", "src_pos"))
     linked = stored(matches.repartition("doc", "src").sortWithinPartitions("doc", "src", "pos", "src_pos")
                     .mapInArrow(_chain_rows(k, window, max_gap, least_words), _CHAIN).distinct(), "chains")
-    pad = 2 * (window + k)
+    pad = least_words + window + k  # as far as a stretch may go on past the last seed of its chain
     wanted = (linked.select(F.col("doc").alias("of"), F.lit(True).alias("own"), F.col("start").alias("a"),
                             F.col("end").alias("b"), *_KEY)
               .union(linked.select(F.col("src").alias("of"), F.lit(False).alias("own"), F.col("src_start").alias("a"),

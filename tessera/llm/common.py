@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from tessera.session import scratch_path
 
 # Bytes of text hashed at a time; bounds the size of the power tables.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -104,7 +104,7 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix(out)
 
 
-def row_slices(column: pa.Array, limit: int = 4 * BLOCK):
+def row_slices(column: pa.Array, limit: int = BLOCK):
     """Split a text column into runs of whole rows of about ``limit`` bytes.
 
     Yields the first row, bytes and offsets of each run.
