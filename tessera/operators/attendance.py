@@ -14,17 +14,17 @@ Two methods, as in common attendance reports:
 Both sum whole seconds and divide once, so rounding to hundredths of an hour
 is a single step. The employee name is joined *after* the per-day aggregate:
 the name depends only on ``emp_id``, and the aggregate is far smaller than
-the punch log. Windows are partitioned by employee-day; with ``chunk`` (for
-example the hour of the punch) an employee-day is further split across tasks
-by ``sequence.number_and_neighbours``, so even a runaway clock that floods one
-employee-day cannot put a third of the log into one task.
+the punch log. Windows are partitioned by employee-day; a large employee-day
+is further split by ranges of its punch order (``sequence.with_ranges``), so a
+runaway clock that floods one employee-day, one hour of it, or punches without
+a valid time, cannot put a third of the log into one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.values import seconds_between
@@ -54,9 +54,9 @@ def parse_punches(df: DataFrame, time_col: str = "punch_time", fmt: str = PUNCH_
 
 def punch_sequence(df: DataFrame, emp: str = "emp_id", date: str = "work_date",
                    time: str = "punch_time", tiebreak: Sequence[str] = (),
-                   out: str = "punch_seq", chunk: Column | None = None) -> DataFrame:
+                   out: str = "punch_seq") -> DataFrame:
     """Number punches 1, 2, ... per employee-day in time order."""
-    numbered = number_and_neighbours(df, [emp, date], [time, *tiebreak], time, seq=out, chunk=chunk)
+    numbered = number_and_neighbours(df, [emp, date], [time, *tiebreak], time, seq=out)
     return numbered.drop("__prev", "__next")
 
 
@@ -78,10 +78,10 @@ def _with_names(daily: DataFrame, employees: DataFrame | None, emp: str, name: s
 def hours_by_lag(punches: DataFrame, employees: DataFrame | None = None, emp: str = "emp_id",
                  name: str = "emp_name", date: str = "work_date", time: str = "punch_time",
                  kind: str = "punch_type", tiebreak: Sequence[str] = (),
-                 sort: bool = True, chunk: Column | None = None) -> DataFrame:
+                 sort: bool = True) -> DataFrame:
     """``emp, name, date, first_in, last_out, hours_at_work`` per employee-day."""
     src = punches.select(emp, date, time, kind, *tiebreak)
-    stepped = number_and_neighbours(src, [emp, date], [time, *tiebreak], time, chunk=chunk)
+    stepped = number_and_neighbours(src, [emp, date], [time, *tiebreak], time)
     is_out = F.col(kind) == F.lit(PUNCH_OUT)
     secs = F.when(is_out & F.col("__prev").isNotNull(), seconds_between(time, "__prev")).otherwise(F.lit(0))
     daily = stepped.groupBy(emp, date).agg(
@@ -93,15 +93,14 @@ def hours_by_lag(punches: DataFrame, employees: DataFrame | None = None, emp: st
 
 def hours_by_pairs(punches: DataFrame, employees: DataFrame | None = None, emp: str = "emp_id",
                    name: str = "emp_name", date: str = "work_date", time: str = "punch_time",
-                   tiebreak: Sequence[str] = (), sort: bool = True,
-                   chunk: Column | None = None) -> DataFrame:
+                   tiebreak: Sequence[str] = (), sort: bool = True) -> DataFrame:
     """Pair punch 2k-1 with punch 2k of each employee-day; sum the pair spans.
 
     Each punch gets its sequence number and the next punch time from one
-    (optionally split) window; this replaces a self join on ``seq + 1``.
+    (split) window; this replaces a self join on ``seq + 1``.
     """
     src = punches.select(emp, date, time, *tiebreak)
-    stepped = number_and_neighbours(src, [emp, date], [time, *tiebreak], time, chunk=chunk)
+    stepped = number_and_neighbours(src, [emp, date], [time, *tiebreak], time)
     pairs = stepped.where((F.col("__seq") % 2 == 1) & F.col("__next").isNotNull())
     daily = pairs.groupBy(emp, date).agg(
         F.min(time).alias("first_in"),

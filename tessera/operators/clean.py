@@ -1,26 +1,28 @@
 """Cleaning and imputation.
 
-* ``fill_constant``   nulls in a subset of columns become a constant
-* ``impute_by_map``   nulls become a value looked up by another column, with a default
-* ``impute_by_group`` nulls (and an optional sentinel) become a per-group
-  mean or median, rounded
-
-Group imputation never shuffles the fact: the statistic is an aggregate (one
-row per group, combined map-side), materialised and broadcast when its row
-count is within bound, then joined back row by row.
+* ``fill_constant``    nulls in a subset of columns become a constant
+* ``impute_by_map``    nulls become a value looked up by another column, with a default
+* ``impute_columns``   nulls (and optional sentinels) of several columns become
+  per-group means or medians, rounded
+* ``impute_by_group``  the same for one column
+
+Group imputation never shuffles the rows: all statistics of a call come from
+one aggregate over one scan (combined map-side), end up as one row per group,
+and are joined back once, broadcast when their size is within bounds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import chain
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.values import is_missing
-from tessera.operators.joins import checked_broadcast
-from tessera.operators.stats import group_mean, group_quantile
+from tessera.operators.joins import checked_broadcast, max_broadcast_rows, written
+from tessera.operators.stats import quantile_of_counts
 
 # Fixed value: the fallback name used when a category has no mapped name.
 UNKNOWN_PRODUCT = "Unknown_Product"
@@ -30,46 +32,93 @@ def fill_constant(df: DataFrame, value, subset: Sequence[str]) -> DataFrame:
     return df.fillna(value, subset=list(subset))
 
 
-def impute_by_map(df: DataFrame, col: str, by: str, mapping: Mapping[str, str],
+def impute_by_map(df: DataFrame, col: str, by: str, mapping: Mapping[str, str] | DataFrame,
                   default: str | None = UNKNOWN_PRODUCT) -> DataFrame:
-    """Fill nulls in ``col`` with ``mapping[by]``, else ``default``.
+    """Fill nulls in ``col`` with the value mapped to ``by``, else ``default``.
 
-    The mapping is a literal map expression, evaluated in generated code.
-    It is a driver-side constant, so its size is bounded by the caller; for a
-    mapping that lives in a table, join it with ``left_lookup`` instead.
+    ``mapping`` is a dictionary, or a table whose first two columns are the
+    key (unique, checked) and the value. It is joined, broadcast when its size
+    is within bounds, so it may be of any size.
     """
-    lookup = F.create_map(*[F.lit(x) for x in chain(*mapping.items())])
-    fill = lookup[F.col(by)]
-    if default is not None:
-        fill = F.coalesce(fill, F.lit(default))
-    return df.withColumn(col, F.when(F.col(col).isNull(), fill).otherwise(F.col(col)))
+    if isinstance(mapping, DataFrame):
+        lookup = mapping.toDF(*mapping.columns).select(F.col(mapping.columns[0]).alias("__k"), F.col(mapping.columns[1]).alias("__m"))
+        lookup, _ = checked_broadcast(lookup.where("__k is not null"))
+        if lookup.groupBy("__k").count().where("count > 1").limit(1).count():
+            raise ValueError("a key of the mapping has several values")
+    else:
+        lookup = df.sparkSession.createDataFrame(list(mapping.items()), "__k string, __m string")
+        if len(mapping) <= max_broadcast_rows(df):
+            lookup = F.broadcast(lookup)
+    choices = [F.col(col), F.col("__m")] + ([] if default is None else [F.lit(default)])
+    joined = df.join(lookup, F.col(by) == F.col("__k"), "left")
+    return joined.select(*[F.coalesce(*choices).alias(c) if c == col else F.col(c) for c in df.columns])
 
 
-def impute_by_group(df: DataFrame, by: str | Sequence[str], col: str, stat: str = "mean",
-                    sentinel=None, scale: int | None = 2, method: str = "exact",
-                    accuracy: int = 10000, max_broadcast_rows: int | None = None) -> DataFrame:
-    """Replace missing ``col`` values by a statistic of their group.
+@dataclass(frozen=True)
+class Fill:
+    """How one column is filled: ``stat`` is ``"mean"`` or ``"median"``.
 
-    ``stat`` is ``"mean"`` or ``"median"``. Rows equal to ``sentinel`` are
-    left out of the statistic (and rows with a null value, always) and are
-    replaced like nulls. The result is rounded to ``scale`` decimals on every
-    row. A row whose group is null, or whose group has no value at all, stays
-    null. Column order is kept.
+    Rows equal to ``sentinel`` are left out of the statistic (null rows
+    always are) and replaced like nulls; results are rounded to ``scale``.
+    """
+    col: str
+    stat: str = "mean"
+    sentinel: object = None
+    scale: int | None = 2
+    method: str = "exact"
+    accuracy: int = 10000
+
+
+def group_statistics(df: DataFrame, by: Sequence[str], fills: Sequence[Fill]) -> DataFrame:
+    """One row per group: ``__group`` (struct of ``by``) and ``__stat0``, ``__stat1``, ... in the order of ``fills``.
+
+    One scan: each row gives one entry per column. Entries of a mean collapse
+    to one per group and task, those of an exact median to one per value.
+    """
+    for f in fills:
+        if f.stat not in ("mean", "median") or f.method not in ("exact", "approx"):
+            raise ValueError(f"unknown statistic {f.stat!r} or method {f.method!r}")
+    entries = F.explode(F.array(*[F.struct(
+        F.lit(i).alias("i"), F.when(~is_missing(f.col, f.sentinel), F.col(f.col)).cast("double").alias("x")) for i, f in enumerate(fills)]))
+    exact = [i for i, f in enumerate(fills) if f.stat == "median" and f.method == "exact"]
+    counted = (df.select(F.struct(*by).alias("__group"), entries.alias("e")).where("e.x is not null")
+               .groupBy("__group", F.col("e.i").alias("i"), F.when(F.col("e.i").isin(exact), F.col("e.x")).alias("x"))
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("e.x").alias("total"),
+                    *[F.percentile_approx(F.when(F.col("e.i") == i, F.col("e.x")), 0.5, f.accuracy).alias(f"a{i}")
+                      for i, f in enumerate(fills) if f.stat == "median" and f.method == "approx"]))
+    counted = written(counted)
+    value = reduce(lambda acc, i: F.when(F.col("i") == i, F.col(f"a{i}")).otherwise(acc),
+                   [i for i, f in enumerate(fills) if f.stat == "median" and f.method == "approx"],
+                   F.col("total") / F.col("n"))
+    parts = [counted.where(~F.col("i").isin(exact)).select("__group", "i", value.alias("stat"))]
+    if exact:
+        freq = counted.where(F.col("i").isin(exact)).select(F.struct("__group", "i").alias("g"), "x", "n")
+        parts.append(quantile_of_counts(freq, "g", "x", "n", 0.5, "stat").select("g.__group", "g.i", "stat"))
+    return reduce(DataFrame.unionByName, parts).groupBy("__group").agg(
+        *[F.max(F.when(F.col("i") == i, F.col("stat"))).alias(f"__stat{i}") for i in range(len(fills))])
+
+
+def impute_columns(df: DataFrame, by: str | Sequence[str], fills: Sequence[Fill],
+                   max_broadcast_rows: int | None = None) -> DataFrame:
+    """Replace missing values of several columns by statistics of their group.
+
+    All statistics are those of ``df`` as it comes. Every value of a filled
+    column is rounded. A row whose group is null, or whose group has no value,
+    stays null. Column order is kept.
     """
     keys = [by] if isinstance(by, str) else list(by)
-    valid = F.col(col).isNotNull()
-    if sentinel is not None:
-        valid = valid & (F.col(col) != F.lit(sentinel))
-    if stat == "mean":
-        stats = group_mean(df, keys, col, out="__stat", where=valid)
-    elif stat == "median":
-        stats = group_quantile(df, keys, col, 0.5, out="__stat", method=method,
-                               accuracy=accuracy, where=valid)
-    else:
-        raise ValueError(f"unknown stat {stat!r}")
-    stats, _ = checked_broadcast(stats, max_broadcast_rows)
-    filled = F.when(is_missing(col, sentinel), F.col("__stat")).otherwise(F.col(col))
-    if scale is not None:
-        filled = F.round(filled, scale)
-    joined = df.join(stats, on=keys, how="left")
-    return joined.select(*[filled.alias(c) if c == col else F.col(c) for c in df.columns])
+    stats, _ = checked_broadcast(group_statistics(df, keys, fills), max_broadcast_rows)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    joined = df.join(stats, F.when(known, F.struct(*keys)) == F.col("__group"), "left")
+    filled = {}
+    for i, f in enumerate(fills):
+        value = F.when(is_missing(f.col, f.sentinel), F.col(f"__stat{i}")).otherwise(F.col(f.col))
+        filled[f.col] = (value if f.scale is None else F.round(value, f.scale)).alias(f.col)
+    return joined.select(*[filled.get(c, F.col(c)) for c in df.columns])
+
+
+def impute_by_group(df: DataFrame, by: str | Sequence[str], col: str, stat: str = "mean",
+                    sentinel=None, scale: int | None = 2, method: str = "exact",
+                    accuracy: int = 10000, max_broadcast_rows: int | None = None) -> DataFrame:
+    """``impute_columns`` for one column."""
+    return impute_columns(df, by, [Fill(col, stat, sentinel, scale, method, accuracy)], max_broadcast_rows)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tessera.functions.keys import DEFAULT_HASH_ALGO, KEY_SEPARATOR, hash_key, normalize, sha_key
+from tessera.operators.joins import written
 
 # Fixed value: text of the default ("unknown") member of a dimension.
 DEFAULT_MEMBER = "N/A"
@@ -29,11 +30,23 @@ def default_member(df: DataFrame, cols: Sequence[str], value: str = DEFAULT_MEMB
     return df.sparkSession.range(1).select(*exprs)
 
 
+def unique_keys(dim: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """``dim`` as written, after a check that no ``key`` stands for two members (values of ``cols``)."""
+    dim = written(dim)
+    twice = dim.select(key, F.struct(*cols).alias("m")).distinct().groupBy(key).count().where("count > 1")
+    if twice.limit(1).count():
+        raise ValueError(f"{key} is not unique: two members share a key; use a wider hash or a null token")
+    return dim
+
+
 def build_dimension(df: DataFrame, cols: Sequence[str], key: str,
                     default: str | None = DEFAULT_MEMBER, null_token: str | None = None,
-                    sep: str = KEY_SEPARATOR) -> DataFrame:
+                    sep: str = KEY_SEPARATOR, check_unique: bool = True) -> DataFrame:
     """Distinct ``cols`` of ``df`` with ``key = sha256(concat_ws(sep, cols))``.
 
+    ``check_unique`` writes the dimension and refuses one in which two members
+    share a key (null parts in different places do, without ``null_token``).
+
     The default member is unioned in *before* the distinct, so a source that
     already holds the ``N/A`` tuple does not get it twice (one aggregate does
     both). The key is computed after the distinct, once per member.
@@ -41,21 +54,28 @@ def build_dimension(df: DataFrame, cols: Sequence[str], key: str,
     members = df.select(*cols)
     if default is not None:
         members = members.unionByName(default_member(df, cols, default))
-    return members.distinct().withColumn(key, sha_key(cols, sep, null_token))
+    dim = members.distinct().withColumn(key, sha_key(cols, sep, null_token))
+    return unique_keys(dim, key, cols) if check_unique else dim
 
 
 def add_hash_key(df: DataFrame, cols: Sequence[str], key: str, algo: str = DEFAULT_HASH_ALGO,
-                 conform: bool = True) -> DataFrame:
-    """Trim/upper-case ``cols`` (when ``conform``) and add ``key = hash(cols)``."""
+                 conform: bool = True, check_unique: bool = True) -> DataFrame:
+    """Trim/upper-case ``cols`` (when ``conform``) and add ``key = hash(cols)``.
+
+    ``check_unique`` refuses keys that two members share, which a 32-bit hash
+    gives from some tens of thousands of members on. Repeated rows of ``df``
+    are kept.
+    """
     out = df
     if conform:
         out = out.withColumns({c: normalize(c) for c in cols})
-    return out.withColumn(key, hash_key(cols, algo))
+    out = out.withColumn(key, hash_key(cols, algo))
+    return unique_keys(out, key, cols) if check_unique else out
 
 
 def build_mapping(df: DataFrame, cols: Sequence[str], label: str, key: str,
                   algo: str = DEFAULT_HASH_ALGO, normalize_first: bool = False,
-                  sep: str = KEY_SEPARATOR) -> DataFrame:
+                  sep: str = KEY_SEPARATOR, check_unique: bool = True) -> DataFrame:
     """Bridge dimension: ``key, cols..., label``.
 
     The key is ``hash(sha256(concat_ws(sep, cols)))`` (``algo="sha256"``
@@ -69,4 +89,5 @@ def build_mapping(df: DataFrame, cols: Sequence[str], label: str, key: str,
     out = out.withColumn(key, ident)
     if not normalize_first:
         out = out.withColumns({c: normalize(c) for c in cols})
-    return out.select(key, *cols, label)
+    out = out.select(key, *cols, label)
+    return unique_keys(out, key, cols) if check_unique else out

@@ -1,24 +1,28 @@
 """Fact resolution: natural keys to surrogate keys, and derived measures.
 
-``resolve_keys`` left-joins a fact to one dimension on its natural key. The
-lookup side (natural key + surrogate key only) is broadcast when its row
-count is checked small; otherwise the join is a shuffle join and AQE splits
-partitions of a hot natural key. Fact rows with a null or unknown natural key
-get a null surrogate key, or the dimension's default member with
-``unknown_member``.
-
-Because the SHA keys of ``build_dimension`` are a pure function of the
-natural key, ``derive_keys`` can compute them on the fact directly, with no
-join at all, when the dimension was built from the same fact.
+``resolve_keys`` left-joins a fact to one dimension on its natural key: the
+path for dimensions from elsewhere. The lookup side (natural key + surrogate
+key only) is broadcast when its size is checked small; otherwise the join is
+a shuffle join and AQE splits partitions of a hot natural key.
+
+The SHA keys of ``build_dimension`` are a pure function of the natural key.
+For a dimension marked so (``DimSpec.sha``), ``resolve_star`` computes the key
+on the fact and checks membership apart, on the fact's distinct keys: the
+fact itself is never shuffled for a lookup, however large the dimension.
+
+Fact rows with a null or unknown natural key get a null surrogate key, or the
+key of the dimension's own default member with ``unknown_member``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StringType
 
 from tessera.functions.keys import KEY_SEPARATOR, all_present, sha_key
 from tessera.operators.joins import checked_broadcast
@@ -26,57 +30,98 @@ from tessera.operators.joins import checked_broadcast
 
 @dataclass(frozen=True)
 class DimSpec:
-    """A dimension to resolve against: its frame, natural key and surrogate key."""
+    """A dimension to resolve against: its frame, natural key and surrogate key.
+
+    ``sha`` says that the surrogate key is ``sha_key`` of the natural key, with
+    ``sep`` and ``null_token``, as ``build_dimension`` makes it.
+    """
     dim: DataFrame
     natural_key: Sequence[str]
     surrogate_key: str
+    sha: bool = False
+    sep: str = KEY_SEPARATOR
+    null_token: str | None = None
+
+    def key(self) -> Column:
+        """The surrogate key, computed; null if a part of the natural key is."""
+        return F.when(all_present(self.natural_key), sha_key(self.natural_key, self.sep, self.null_token))
+
+
+def default_key(spec: DimSpec, member: str) -> Column:
+    """The surrogate key of the dimension's own default member (``member`` in every text column, null elsewhere)."""
+    same = reduce(lambda a, b: a & b, [
+        F.col(c) == F.lit(member) if isinstance(spec.dim.schema[c].dataType, StringType) else F.col(c).isNull()
+        for c in spec.natural_key])
+    found = spec.dim.where(same).select(spec.surrogate_key).limit(1).collect()
+    if not found:
+        raise ValueError(f"the dimension has no member {member!r} to take unknown facts")
+    return F.lit(found[0][0])
+
+
+def _duplicates(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return dim.groupBy(*keys).count().where("count > 1")
 
 
 def resolve_keys(fact: DataFrame, spec: DimSpec, unknown_member: str | None = None,
-                 max_broadcast_rows: int | None = None, check_unique: bool = False) -> DataFrame:
+                 max_broadcast_rows: int | None = None, check_unique: bool = True) -> DataFrame:
     """Left-join ``fact`` to ``spec.dim`` on the natural key; adds the surrogate key.
 
-    ``check_unique=True`` first verifies that no natural key appears twice in
-    the dimension (a duplicate would multiply fact rows); it runs on the
+    ``check_unique`` first verifies that no natural key appears twice in the
+    dimension (a duplicate would multiply fact rows); it runs on the
     materialised lookup, not on the fact.
     """
     keys = list(spec.natural_key)
     lookup = spec.dim.select(*keys, spec.surrogate_key)
     lookup, _ = checked_broadcast(lookup, max_broadcast_rows)
-    if check_unique:
-        dupes = lookup.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count()
-        if dupes:
-            raise ValueError(f"dimension natural key {keys} is not unique; the join would fan out")
+    if check_unique and _duplicates(lookup, keys).limit(1).count():
+        raise ValueError(f"dimension natural key {keys} is not unique; the join would fan out")
     out = fact.join(lookup, on=keys, how="left")
     if unknown_member is not None:
-        default_key = sha_key([F.lit(unknown_member)] * len(keys))
-        out = out.withColumn(spec.surrogate_key, F.coalesce(F.col(spec.surrogate_key), default_key))
+        out = out.withColumn(spec.surrogate_key, F.coalesce(F.col(spec.surrogate_key), default_key(spec, unknown_member)))
     return out
 
 
-def resolve_star(fact: DataFrame, specs: Sequence[DimSpec], keep: Sequence[str] | None = None,
-                 unknown_member: str | None = None,
-                 max_broadcast_rows: int | None = None, check_unique: bool = False) -> DataFrame:
-    """Resolve every dimension in turn, then project surrogate keys + ``keep``."""
-    out = fact
-    for spec in specs:
-        out = resolve_keys(out, spec, unknown_member, max_broadcast_rows, check_unique)
-    if keep is None:
-        return out
-    return out.select(*[s.surrogate_key for s in specs], *keep)
+def _strangers(fact: DataFrame, spec: DimSpec) -> DataFrame:
+    """Distinct computed keys of the fact that the dimension does not hold, as ``__sk``."""
+    wanted = fact.select(spec.key().alias("__sk")).where(F.col("__sk").isNotNull()).distinct()
+    return wanted.join(spec.dim.select(F.col(spec.surrogate_key).alias("__dk")), F.col("__sk") == F.col("__dk"), "left_anti")
 
 
-def derive_keys(fact: DataFrame, specs: Sequence[DimSpec], keep: Sequence[str] | None = None,
-                sep: str = KEY_SEPARATOR) -> DataFrame:
-    """Surrogate keys computed from the fact's own natural keys (no join).
+def resolve_star(fact: DataFrame, specs: Sequence[DimSpec], keep: Sequence[str] | None = None,
+                 unknown_member: str | None = None,
+                 max_broadcast_rows: int | None = None, check_unique: bool = True) -> DataFrame:
+    """Resolve every dimension, then project surrogate keys + ``keep``.
 
-    Equal to ``resolve_star`` when each dimension was built with
-    ``build_dimension`` from this fact: a row with a null natural-key part gets
-    a null key, as a plain equi-join would give it.
+    For all ``sha`` dimensions together one job counts the fact's distinct
+    keys that are no member and (``check_unique``) natural keys that appear
+    twice. Only a dimension with strangers needs its facts looked up, against
+    the strangers.
     """
-    keys = {s.surrogate_key: F.when(all_present(s.natural_key), sha_key(s.natural_key, sep))
-            for s in specs}
-    out = fact.withColumns(keys)
+    sha = [s for s in specs if s.sha]
+    counts: dict[tuple[int, str], int] = {}
+    if sha:
+        checks = [_strangers(fact, s).select(F.lit(i).alias("i"), F.lit("stranger").alias("what")) for i, s in enumerate(sha)]
+        if check_unique:
+            checks += [_duplicates(s.dim, s.natural_key).select(F.lit(i).alias("i"), F.lit("twice").alias("what"))
+                       for i, s in enumerate(sha)]
+        found = reduce(DataFrame.unionByName, checks).groupBy("i", "what").count().collect()
+        counts = {(r["i"], r["what"]): r["count"] for r in found}
+    out = fact
+    for i, spec in enumerate(sha):
+        if counts.get((i, "twice")):
+            raise ValueError(f"dimension natural key {list(spec.natural_key)} is not unique; the join would fan out")
+        key = spec.key()
+        if counts.get((i, "stranger")):
+            strangers, _ = checked_broadcast(_strangers(fact, spec), max_broadcast_rows)
+            out = out.join(strangers, key == F.col("__sk"), "left").withColumn(
+                spec.surrogate_key, F.when(F.col("__sk").isNull(), key)).drop("__sk")
+        else:
+            out = out.withColumn(spec.surrogate_key, key)
+        if unknown_member is not None:
+            out = out.withColumn(spec.surrogate_key, F.coalesce(F.col(spec.surrogate_key), default_key(spec, unknown_member)))
+    for spec in specs:
+        if not spec.sha:
+            out = resolve_keys(out, spec, unknown_member, max_broadcast_rows, check_unique)
     if keep is None:
         return out
     return out.select(*[s.surrogate_key for s in specs], *keep)
@@ -84,9 +129,14 @@ def derive_keys(fact: DataFrame, specs: Sequence[DimSpec], keep: Sequence[str] |
 
 def net_revenue(df: DataFrame, units: str = "UnitsSold", price: str = "UnitPrice",
                 discount: str = "Discount", out: str = "NetRevenue",
-                discount_unit: str = "fraction") -> DataFrame:
+                discount_unit: str = "fraction", scale: int | None = None) -> DataFrame:
     """``units * price * (1 - discount)``; null if any input is null.
 
-    ``discount_unit="percent"`` reads 5 as 5 %."""
-    d = F.col(discount) if discount_unit == "fraction" else F.col(discount) / F.lit(100.0)
-    return df.withColumn(out, F.col(units) * F.col(price) * (F.lit(1) - d))
+    ``discount_unit="percent"`` reads 5 as 5 %. With ``scale`` the inputs are
+    taken as decimals with so many places and the product is exact."""
+    u, p, d = F.col(units), F.col(price), F.col(discount)
+    if discount_unit == "percent":
+        d = d / F.lit(100.0)
+    if scale is not None:
+        u, p, d = (x.cast(DecimalType(12, scale)) for x in (u, p, d))
+    return df.withColumn(out, u * p * (F.lit(1) - d))

@@ -70,16 +70,14 @@ def size_of(df: DataFrame) -> tuple[int, int]:
 def size_up_to(df: DataFrame, bound: int) -> tuple[int, int]:
     """``(rows, bytes)`` of at most ``bound + 1`` rows of ``df``.
 
-    ``take`` scans partitions incrementally and stops once it has enough
-    rows, so a huge table costs a few partitions, not a full scan; only one
-    number per row (its byte size) reaches the driver.
+    The limited frame is aggregated, so only the two totals reach the driver.
     """
     fixed, measured = _widths(df)
     per_row = F.lit(fixed)
     for m in measured:
         per_row = per_row + m
-    taken = df.select(per_row.cast("long").alias("b")).take(bound + 1)
-    return len(taken), sum(r.b for r in taken)
+    row = df.select(per_row.cast("long").alias("b")).limit(bound + 1).agg(F.count("b"), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return int(row[0]), int(row[1])
 
 
 def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
@@ -96,6 +94,15 @@ def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
     return df, df.count()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the session's shared folder and read it back; one job, no lineage."""
+    from tessera.session import scratch_path
+
+    path = scratch_path(df.sparkSession, "written")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def measured_broadcast(df: DataFrame, max_rows: int | None = None,
                        materialize: bool = True) -> tuple[DataFrame, bool, int]:
     """``checked_broadcast`` that also returns the measured row count."""
@@ -131,9 +138,14 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None,
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                   how: str = "full", max_rows: int | None = None) -> DataFrame:
+                   how: str = "full", max_rows: int | None = None, suffix: str = "_right",
+                   check_unique: bool = True) -> DataFrame:
     """Join where a null key matches a null key (``<=>``).
 
+    Columns of ``right`` whose names ``left`` has, too, get ``suffix``.
+    ``check_unique`` refuses a right side with a repeated key (null included),
+    whose rows would all pair with each matching left row.
+
     A full outer join is computed as a left-outer join plus the right rows
     that no left row references. Those are found from the *distinct* left
     keys, so a hot key is collapsed map-side before any shuffle. The left
@@ -141,20 +153,19 @@ def null_safe_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
     shuffle join whose skewed left partitions AQE can split. A full outer
     sort-merge join could split neither side.
     """
-    cond = left[left_key].eqNullSafe(right[right_key])
+    if check_unique and right.groupBy(right_key).count().where("count > 1").limit(1).count():
+        raise ValueError(f"right key {right_key} is not unique; the join would fan out")
+    taken = {c.lower() for c in left.columns}
+    names = [c + suffix if c.lower() in taken else c for c in right.columns]
+    key = names[right.columns.index(right_key)]
+    right = right.toDF(*names)
+    cond = left[left_key].eqNullSafe(right[key])
     if how not in ("full", "outer", "full_outer", "fullouter"):
         return left.join(right, cond, how)
     side, _ = checked_broadcast(right, max_rows, materialize=False)
-    matched = left.join(side, left[left_key].eqNullSafe(side[right_key]), "left")
+    matched = left.join(side, left[left_key].eqNullSafe(side[key]), "left")
     used = left.select(F.col(left_key).alias("__used_key")).distinct()
-    unused = right.join(used, right[right_key].eqNullSafe(used["__used_key"]), "left_anti")
+    unused = right.join(used, right[key].eqNullSafe(used["__used_key"]), "left_anti")
     filler = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
     unmatched = unused.select(*filler, *[F.col(c) for c in right.columns])
     return matched.unionByName(unmatched)
-
-
-def left_lookup(fact: DataFrame, lookup: DataFrame, on: list[str] | str,
-                max_rows: int | None = None) -> DataFrame:
-    """Left join ``fact`` to a lookup keyed by ``on``; broadcast when the lookup is small."""
-    side, _ = checked_broadcast(lookup, max_rows)
-    return fact.join(side, on=on, how="left")

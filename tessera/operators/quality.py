@@ -11,12 +11,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import (
+    BinaryType,
+    DataType,
+    DoubleType,
+    FloatType,
+    NumericType,
+    StringType,
+    StructType,
+)
 
-from tessera.operators.joins import checked_broadcast
+from tessera.operators.joins import checked_broadcast, checkpointed
 
 
 @dataclass(frozen=True)
@@ -26,55 +35,88 @@ class ForeignKey:
     dim_key: str
 
 
+def _comparable(a: DataType, b: DataType):
+    """How to compare a fact column with a dimension key: the type both are cast to, or None for as they are.
+
+    Equal types and two numbers are compared as they are (Spark widens
+    numbers to their common type); anything else is compared as text.
+    """
+    if a == b or (isinstance(a, NumericType) and isinstance(b, NumericType)):
+        return None
+    return StringType()
+
+
+def _dim_keys(fact: DataFrame, fk: str, dim: DataFrame, dim_key: str) -> tuple[Column, DataFrame]:
+    """The fact's key expression and the distinct non-null dimension keys, as ``__k``, in one comparable type."""
+    kind = _comparable(fact.schema[fk].dataType, dim.schema[dim_key].dataType)
+    value, key = F.col(fk), F.col(dim_key)
+    if kind is not None:
+        value, key = value.cast(kind), key.cast(kind)
+    return value, dim.where(F.col(dim_key).isNotNull()).select(key.alias("__k")).distinct()
+
+
 def orphans(fact: DataFrame, fk: str, dim: DataFrame, dim_key: str,
             max_broadcast_rows: int | None = None) -> DataFrame:
     """Fact rows whose ``fk`` has no match in ``dim`` (a null ``fk`` is an orphan).
 
-    The orphan *values* are found first, from the distinct key values of the
-    fact (collapsed map-side, so a hot value costs one row per map task) and
-    of the dimension. Violations are usually few: when that set is within the
-    broadcast bounds the fact is filtered in one narrow pass, with no shuffle
-    of the fact; otherwise the fact is anti-joined to the dimension keys.
+    Dimension keys within the broadcast bounds (checked) are anti-joined in
+    one pass over the fact. Otherwise the orphan *values* are found first,
+    from the distinct key values of the fact (collapsed map-side, so a hot
+    value costs one row per map task): if they are few, the fact is filtered
+    in one pass; if not, it is anti-joined to the dimension keys.
     """
-    values = fact.select(F.col(fk).alias("__v")).where(F.col("__v").isNotNull()).distinct()
-    keys = dim.select(F.col(dim_key).alias("__k")).distinct()
-    missing = values.join(keys, values["__v"] == keys["__k"], "left_anti")
-    missing, small = checked_broadcast(missing, max_broadcast_rows)
+    value, keys = _dim_keys(fact, fk, dim, dim_key)
+    keys, small = checked_broadcast(keys, max_broadcast_rows)
     if small:
-        flagged = fact.join(missing, fact[fk] == missing["__v"], "left")
+        return fact.join(keys, value == keys["__k"], "left_anti")
+    values = fact.select(value.alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    missing, few = checked_broadcast(values.join(keys, values["__v"] == keys["__k"], "left_anti"), max_broadcast_rows)
+    if few:
+        flagged = fact.join(missing, value == missing["__v"], "left")
         return flagged.where(F.col(fk).isNull() | F.col("__v").isNotNull()).select(*fact.columns)
-    keys, _ = checked_broadcast(keys, max_broadcast_rows)
-    return fact.join(keys, fact[fk] == keys["__k"], "left_anti")
+    return fact.join(keys, value == keys["__k"], "left_anti")
 
 
 def fk_report(fact: DataFrame, fks: Sequence[ForeignKey],
               max_broadcast_rows: int | None = None) -> DataFrame:
     """One row per foreign key: ``fk_column, n_rows, n_null, n_orphan``.
 
-    ``n_orphan`` counts non-null values missing from the dimension. One pass
-    over the fact for all keys: each row is exploded into ``(key name, value)``
-    pairs and counted per distinct pair (combined map-side, so a hot value is
-    one row per map task), then looked up once in the union of every
-    dimension's distinct keys. Values are compared in their common type, or as
-    text when the key columns differ in type.
+    ``n_orphan`` counts non-null values missing from the dimension. Each key
+    is compared with its own dimension in their common type (as text if one
+    of the two is no number). Keys whose dimension is within the broadcast
+    bounds (checked, each on its own) are looked up together in one pass over
+    the fact; a key with a larger dimension is counted by distinct value
+    (combined map-side) and the counts are joined to the dimension keys.
     """
-    types = {fact.schema[fk.column].dataType for fk in fks}
-    vtype = types.pop() if len(types) == 1 else StringType()
-    pairs = F.explode(F.array(*[F.struct(F.lit(fk.column).alias("fk"), F.col(fk.column).cast(vtype).alias("v"))
-                                for fk in fks]))
-    freq = (fact.select(pairs.alias("p")).select("p.fk", "p.v")
-                .groupBy("fk", "v").agg(F.count(F.lit(1)).alias("__n")))
-    keys = None
-    for fk in fks:
-        part = fk.dim.select(F.lit(fk.column).alias("__fk"), F.col(fk.dim_key).cast(vtype).alias("__k"))
-        keys = part if keys is None else keys.unionByName(part)
-    keys, _ = checked_broadcast(keys.distinct(), max_broadcast_rows)
-    joined = freq.join(keys, (freq["fk"] == keys["__fk"]) & (freq["v"] == keys["__k"]), "left")
-    return joined.groupBy(F.col("fk").alias("fk_column")).agg(
-        F.sum("__n").alias("n_rows"),
-        F.sum(F.when(F.col("v").isNull(), F.col("__n")).otherwise(F.lit(0))).alias("n_null"),
-        F.sum(F.when(F.col("v").isNotNull() & F.col("__k").isNull(), F.col("__n"))
-               .otherwise(F.lit(0))).alias("n_orphan"))
+    small, large = [], []
+    for i, fk in enumerate(fks):
+        value, keys = _dim_keys(fact, fk.column, fk.dim, fk.dim_key)
+        keys, ok = checked_broadcast(keys, max_broadcast_rows)
+        (small if ok else large).append((i, fk, value.alias(f"__v{i}"), keys.withColumnRenamed("__k", f"__k{i}")))
+
+    def counts(i: int, n: Column | None = None) -> list[Column]:
+        one = F.lit(1) if n is None else n
+        value, key = F.col(f"__v{i}"), F.col(f"__k{i}")
+        zero = F.lit(0).cast("long")
+        return [F.coalesce(F.sum(one), zero).alias("n_rows"),
+                F.coalesce(F.sum(F.when(value.isNull(), one)), zero).alias("n_null"),
+                F.coalesce(F.sum(F.when(value.isNotNull() & key.isNull(), one)), zero).alias("n_orphan")]
+
+    out = []
+    if small:
+        rows = fact.select(*[v for _, _, v, _ in small])
+        for i, _, _, keys in small:
+            hinted = F.broadcast(keys)
+            rows = rows.join(hinted, F.col(f"__v{i}") == F.col(f"__k{i}"), "left")
+        totals = rows.agg(*[c.alias(f"c{i}_{j}") for i, _, _, _ in small for j, c in enumerate(counts(i))])
+        lines = F.array(*[F.struct(F.lit(fk.column).alias("fk_column"), *[F.col(f"c{i}_{j}").alias(n) for j, n in
+                                   enumerate(("n_rows", "n_null", "n_orphan"))]) for i, fk, _, _ in small])
+        out.append(totals.select(F.inline(lines)))
+    for i, fk, value, keys in large:
+        freq = fact.select(value).groupBy(f"__v{i}").agg(F.count(F.lit(1)).alias("__n"))
+        joined = freq.join(keys, F.col(f"__v{i}") == F.col(f"__k{i}"), "left")
+        out.append(joined.agg(*counts(i, F.col("__n"))).select(F.lit(fk.column).alias("fk_column"), "n_rows", "n_null", "n_orphan"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def _tagged_counts(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -116,39 +158,50 @@ def reconcile_summary(left: DataFrame, right: DataFrame,
         F.sum(F.greatest(-diff, F.lit(0))).alias("n_only_right"))
 
 
+#: ``diff_columns`` of a key whose columns agree one by one while its rows do not.
+PAIRING = "*"
+
+
+def _value_text(df: DataFrame, c: str) -> Column:
+    """A value as text, different for different values of the column (null stays null)."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (FloatType, DoubleType)):
+        return (F.col(c) + F.lit(0.0)).cast("string")  # -0.0 and 0.0 are equal
+    return F.col(c).cast("string")
+
+
 def reconcile_keyed(left: DataFrame, right: DataFrame, key: str,
                     cols: Sequence[str] | None = None) -> DataFrame:
-    """Per business key: ``key, n_left, n_right, diff_columns``.
+    """Per business key whose rows differ: ``key, n_left, n_right, diff_columns``.
+
+    Rows are compared as multisets, null-safely. ``diff_columns`` lists
+    (comma-separated, in column order) the columns whose own multisets of
+    values differ; it is ``*`` if they all agree and only their pairing into
+    rows differs.
 
-    ``diff_columns`` lists (comma-separated, in column order) the columns
-    whose values differ, null-safely: a value against a null is a difference.
-    One aggregate per key on the union of both sides, so a duplicated key
-    never produces a cross product; with duplicates a column counts as
-    different when its non-null count, minimum or maximum differ.
+    Rows are counted per (key, all columns) and side (long sums, combined
+    map-side); only rows with unequal counts are then taken apart by column.
+    A duplicated key never produces a cross product.
     """
     cols = list(cols) if cols else [c for c in common_columns(left, right) if c != key]
-    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    both = (left.select(key, *cols, one.alias("__l"), zero.alias("__r"))
-                .unionByName(right.select(key, *cols, zero.alias("__l"), one.alias("__r"))))
-    is_l, is_r = F.col("__l") == 1, F.col("__r") == 1
-    aggs = [F.sum("__l").alias("n_left"), F.sum("__r").alias("n_right")]
-    for c in cols:
-        aggs += [F.count(F.when(is_l, F.col(c))).alias(f"__cl_{c}"),
-                 F.count(F.when(is_r, F.col(c))).alias(f"__cr_{c}"),
-                 F.min(F.when(is_l, F.col(c))).alias(f"__nl_{c}"),
-                 F.min(F.when(is_r, F.col(c))).alias(f"__nr_{c}"),
-                 F.max(F.when(is_l, F.col(c))).alias(f"__xl_{c}"),
-                 F.max(F.when(is_r, F.col(c))).alias(f"__xr_{c}")]
-    per_key = both.groupBy(key).agg(*aggs)
-
-    def differs(c: str):
-        return ((F.col(f"__cl_{c}") != F.col(f"__cr_{c}"))
-                | ~F.col(f"__nl_{c}").eqNullSafe(F.col(f"__nr_{c}"))
-                | ~F.col(f"__xl_{c}").eqNullSafe(F.col(f"__xr_{c}")))
-
-    diff = F.concat_ws(",", *[F.when(differs(c), F.lit(c)) for c in cols])
-    out = per_key.select(key, "n_left", "n_right", diff.alias("diff_columns"))
-    return out.where((F.col("n_left") != F.col("n_right")) | (F.col("diff_columns") != ""))
+    counts, _ = checkpointed(_tagged_counts(left, right, [key, *cols]))
+    wrong = counts.where(F.col("n_left") != F.col("n_right"))
+    per_key = counts.groupBy(key).agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"),
+                                      F.max(F.col("n_left") != F.col("n_right")).alias("__bad")).where("__bad")
+    values = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _value_text(counts, c).alias("v"))
+                                 for i, c in enumerate(cols)])) if cols else None
+    out = F.lit(PAIRING)
+    if values is not None:
+        melted = wrong.select(F.struct(key).alias("__key"), (F.col("n_left") - F.col("n_right")).alias("d"), values.alias("x"))
+        differ = (melted.groupBy("__key", "x.i", "x.v").agg(F.sum("d").alias("d")).where("d <> 0")
+                  .groupBy("__key").agg(F.sort_array(F.collect_set("i")).alias("__i")))
+        names = F.array(*[F.lit(c) for c in cols])
+        text = F.array_join(F.transform("__i", lambda i: F.element_at(names, i + 1)), ",")
+        per_key = per_key.withColumn("__key", F.struct(key)).join(differ, "__key", "left")
+        out = F.coalesce(text, out)
+    return per_key.select(key, "n_left", "n_right", out.alias("diff_columns"))
 
 
 def expect_schema(df: DataFrame, expected: StructType, check_nullable: bool = False) -> list[str]:

@@ -6,11 +6,10 @@ Skew notes
 * ``partition_total`` is an aggregate joined back, not a window: the
   aggregate combines map-side and the join broadcasts the per-key totals when
   their count is checked small, so a hot key never lands in one task.
-* ``running_total`` with ``chunk`` splits the rows of each *hot* key (more
-  than ``split_above`` rows) by an expression that grows with the ordering (a
-  month of the order date, say). Totals per ``(key, chunk)`` are a small
-  aggregate; their prefix sums give each chunk an offset; the window then runs
-  per ``(key, chunk)``. Other keys take one plain window.
+* ``running_total`` splits the rows of a key above ``split_above`` rows by
+  ranges of the order key. Totals per ``(key, range)`` are a small aggregate;
+  their prefix sums give each range an offset; the window runs per
+  ``(key, range)``.
 * ``top_n_per_group`` filters on ``row_number() <= n``; Spark plans that as a
   per-partition limit before the shuffle and a final one after, so each map
   task ships at most ``n`` rows per group.
@@ -27,7 +26,7 @@ from pyspark.sql.types import DecimalType, StringType
 
 from tessera.functions.values import exact_avg, exact_sum
 from tessera.operators.joins import checked_broadcast
-from tessera.operators.sequence import hot_groups
+from tessera.operators.sequence import ranges_of_split_groups, with_ranges
 
 
 def _keys(by: str | Sequence[str]) -> list[str]:
@@ -69,54 +68,25 @@ def partition_total(df: DataFrame, by: str | Sequence[str], value: str, out: str
 
 def running_total(df: DataFrame, by: str | Sequence[str], order: Sequence[str], value: str,
                   out: str = "running_total", scale: int | None = None,
-                  chunk: Column | None = None, max_broadcast_rows: int | None = None,
-                  split_above: int | None = None) -> DataFrame:
+                  max_broadcast_rows: int | None = None, split_above: int | None = None) -> DataFrame:
     """Cumulative sum of ``value`` per key in ``order`` (which should be unique per key).
 
-    ``chunk`` must be non-decreasing along ``order`` within a key (e.g. the
-    month of a date that leads ``order``). It is applied only to keys with
-    more than ``split_above`` rows (see ``sequence.hot_groups``); it changes
-    how the work is split, never the result.
+    A key of more than ``split_above`` rows is split by ranges of the order
+    key (see ``sequence.with_ranges``), which never changes the result.
     """
-    keys = _keys(by)
+    keys, order = _keys(by), list(order)
     v = F.col(value).cast(DecimalType(28, scale)) if scale is not None else F.col(value)
-
-    def finish(c):
-        return c.cast("double") if scale is not None else c
-
-    def plain(frame: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return frame.select(*df.columns, finish(F.sum(v).over(w)).alias(out))
-
-    def split(frame: DataFrame) -> DataFrame:
-        # (key, chunk) as one struct: the window and the join back share its
-        # partitioning (one shuffle of the rows), and null keys match null keys.
-        staged = (frame.withColumn("__grp", F.struct(*[F.col(k) for k in keys]))
-                       .withColumn("__chunk", chunk)
-                       .withColumn("__gid", F.struct("__grp", "__chunk"))
-                       .withColumn("__v", v))
-        per_chunk = staged.groupBy("__grp", "__chunk").agg(F.sum("__v").alias("__chunk_sum"))
-        before = Window.partitionBy("__grp").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-        zero = F.lit(0).cast(per_chunk.schema["__chunk_sum"].dataType)
-        offsets = per_chunk.select(F.struct("__grp", "__chunk").alias("__gid"),
-                                   F.coalesce(F.sum("__chunk_sum").over(before), zero).alias("__offset"))
-        offsets, _ = checked_broadcast(offsets, max_broadcast_rows)
-        inner = Window.partitionBy("__gid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        within = staged.withColumn("__run", F.sum("__v").over(inner))
-        joined = within.join(offsets, on="__gid", how="inner")
-        return joined.select(*df.columns, finish(F.col("__offset") + F.col("__run")).alias(out))
-
-    if chunk is None:
-        return plain(df)
-    hot, hot_small = hot_groups(df, keys, split_above, max_broadcast_rows)
-    if hot is None:
-        return plain(df)
-    if not hot_small:
-        return split(df)
-    flagged = df.join(hot, F.struct(*[F.col(k) for k in keys]) == hot["__hot_grp"], "left")
-    cold = flagged.where(F.col("__hot_grp").isNull()).select(*df.columns)
-    hot_rows = flagged.where(F.col("__hot_grp").isNotNull()).select(*df.columns)
-    return plain(cold).unionByName(split(hot_rows))
+    staged = with_ranges(df, keys, order, split_above, max_broadcast_rows).withColumn("__v", v)
+    per_range = staged.groupBy("__gid").agg(F.sum("__v").alias("__sum"))
+    before = Window.partitionBy("__gid.grp").orderBy("__gid.range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges_of_split_groups(per_range).select(F.col("__gid").alias("__oid"), F.sum("__sum").over(before).alias("__offset"))
+    offsets, _ = checked_broadcast(offsets, max_broadcast_rows)
+    inner = Window.partitionBy("__gid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    within = staged.withColumn("__run", F.sum("__v").over(inner))
+    joined = within.join(offsets, F.col("__gid") == F.col("__oid"), "left")
+    # A sum over no value is null, as in one window; a null on one side adds nothing.
+    total = F.coalesce(F.col("__offset") + F.col("__run"), F.col("__offset"), F.col("__run"))
+    return joined.select(*df.columns, (total.cast("double") if scale is not None else total).alias(out))
 
 
 def top_n_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Column], n: int,

@@ -14,14 +14,14 @@ task. Here the work is split instead:
 3. row totals per ``(group, bucket)`` -- at most ``buckets`` rows per group --
    and their running sum locate the bucket holding the target rank
    ``ceil(q * n)`` exactly, with the count of rows before it;
-4. only that bucket's distinct values get a running count; the quantile is
-   the smallest value whose count reaches the target rank, i.e. SQL
-   ``percentile_disc`` (lower median for q = 0.5).
+4. steps 2 and 3 are repeated inside the target buckets until none of them
+   has more than ``split_above`` distinct values;
+5. only those values get a running count; the quantile is the smallest value
+   whose count reaches the target rank, i.e. SQL ``percentile_disc`` (lower
+   median for q = 0.5).
 
 The edges only decide how the work is split; the answer is exact whatever
-they are. Steps 2-3 are skipped when the whole ``(group, value)`` table is
-within ``split_above`` rows (a checked count): then one running count over it
-is cheap, whatever the skew. ``method="approx"`` returns ``percentile_approx``.
+they are. ``method="approx"`` returns ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -31,8 +31,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.values import exact_avg
 
-# Distinct (group, value) rows up to which one running count over all groups is used.
+# Distinct values of one group that may meet in one window.
 DEFAULT_SPLIT_ABOVE = 2_000_000
 
 
@@ -41,21 +42,61 @@ def _by(by: str | Sequence[str]) -> list[str]:
 
 
 def group_mean(df: DataFrame, by: str | Sequence[str], col: str, out: str = "mean",
-               where: Column | None = None) -> DataFrame:
+               where: Column | str | None = None, scale: int | None = None) -> DataFrame:
+    """Mean per group; with ``scale`` the sum is exact, whatever order rows arrive in."""
     src = df if where is None else df.where(where)
-    return src.groupBy(*_by(by)).agg(F.avg(col).alias(out))
+    return src.groupBy(*_by(by)).agg((F.avg(col) if scale is None else exact_avg(col, scale)).alias(out))
+
+
+def quantile_of_counts(freq: DataFrame, group: str, value: str, n: str, q: float, out: str, accuracy: int = 10000,
+                       buckets: int = 128, split_above: int | None = None) -> DataFrame:
+    """``group`` and the ``q`` quantile per group of a table of value counts.
+
+    ``group`` is a struct column (struct equality takes null fields as equal);
+    ``freq`` should be written, as it is read several times.
+    """
+    from tessera.operators.joins import checkpointed
+
+    if split_above is None:
+        split_above = int(freq.sparkSession.conf.get("tessera.quantile.splitAbove", None) or DEFAULT_SPLIT_ABOVE)
+    probs = [i / buckets for i in range(1, buckets)]
+    totals = freq.groupBy(F.col(group).alias("__tg")).agg(
+        F.greatest(F.ceil(F.sum(n) * F.lit(q)), F.lit(1)).cast("long").alias("__k"))
+    left = freq.select(F.col(group).alias("__g"), F.col(value).alias("__v"), F.col(n).alias("__n"))
+    left = left.join(totals, F.col("__g") == F.col("__tg")).select("__g", "__v", "__n", "__k", F.lit(0).cast("long").alias("__before"))
+    while True:
+        edges = left.groupBy(F.col("__g").alias("__eg")).agg(F.percentile_approx("__v", probs, accuracy).alias("__edges"))
+        placed = left.join(edges, F.col("__g") == F.col("__eg")).withColumn(
+            "__b", F.size(F.filter("__edges", lambda e: e < F.col("__v")))).drop("__eg", "__edges")
+        per_bucket = placed.groupBy("__g", "__b").agg(F.sum("__n").alias("__bn"), F.count("*").alias("__values"),
+                                                      F.first("__k").alias("__k"), F.first("__before").alias("__start"))
+        earlier = Window.partitionBy("__g").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        located = per_bucket.select(
+            F.col("__g").alias("__lg"), F.col("__b").alias("__lb"), "__bn", "__k", "__values",
+            (F.col("__start") + F.coalesce(F.sum("__bn").over(earlier), F.lit(0).cast("long"))).alias("__from")
+        ).where((F.col("__from") < F.col("__k")) & (F.col("__from") + F.col("__bn") >= F.col("__k")))
+        left = placed.join(located.select("__lg", "__lb", "__from"),
+                           (F.col("__g") == F.col("__lg")) & (F.col("__b") == F.col("__lb"))
+                           ).select("__g", "__v", "__n", "__k", F.col("__from").alias("__before"))
+        if (located.agg(F.max("__values")).first()[0] or 0) <= max(1, split_above):
+            break
+        left, _ = checkpointed(left)
+    running = Window.partitionBy("__g").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = left.withColumn("__cum", F.col("__before") + F.sum("__n").over(running))
+    return ranked.groupBy(F.col("__g").alias(group)).agg(
+        F.min(F.when(F.col("__cum") >= F.col("__k"), F.col("__v"))).alias(out))
 
 
 def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float = 0.5,
                    out: str = "quantile", method: str = "exact", accuracy: int = 10000,
-                   where: Column | None = None, buckets: int = 128,
+                   where: Column | str | None = None, buckets: int = 128,
                    split_above: int | None = None) -> DataFrame:
     """One row per group with the ``q`` quantile of ``col`` (nulls ignored).
 
-    ``split_above`` defaults to the session setting ``tessera.quantile.splitAbove``
-    or 2,000,000 distinct ``(group, value)`` rows.
+    ``where`` is a column or an SQL predicate. ``split_above`` defaults to the
+    session setting ``tessera.quantile.splitAbove`` or 2,000,000.
     """
-    from tessera.operators.joins import checked_broadcast, checkpointed
+    from tessera.operators.joins import checkpointed
 
     keys = _by(by)
     src = df if where is None else df.where(where)
@@ -63,51 +104,14 @@ def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float =
         return src.groupBy(*keys).agg(F.percentile_approx(col, q, accuracy).alias(out))
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
-
-    freq = (src.where(F.col(col).isNotNull())
-               .groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n")))
-    freq, n_pairs = checkpointed(freq)
-    if split_above is None:
-        split_above = int(df.sparkSession.conf.get("tessera.quantile.splitAbove", None) or DEFAULT_SPLIT_ABOVE)
-    group = Window.partitionBy(*keys)
-    running = group.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if n_pairs <= split_above:
-        ranked = freq.select(*keys, col, F.sum("__n").over(running).alias("__cum"),
-                             F.greatest(F.ceil(F.sum("__n").over(group) * F.lit(q)), F.lit(1)).alias("__k"))
-        return ranked.groupBy(*keys).agg(
-            F.min(F.when(F.col("__cum") >= F.col("__k"), F.col(col))).alias(out))
-
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = freq.groupBy(*keys).agg(F.percentile_approx(col, probs, accuracy).alias("__edges"))
-    edges = edges.select(*[F.col(k).alias(f"__e_{i}") for i, k in enumerate(keys)], "__edges")
-    edges, _ = checked_broadcast(edges)
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__e_{i}"))
-    bucket = F.size(F.filter(F.col("__edges"), lambda e: e < F.col(col)))
-    bucketed = freq.join(edges, same).select(*keys, col, "__n", bucket.alias("__b"))
-
-    per_bucket = bucketed.groupBy(*keys, "__b").agg(F.sum("__n").alias("__bn"))
-    before = group.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    located = per_bucket.select(
-        *keys, "__b", "__bn",
-        F.coalesce(F.sum("__bn").over(before), F.lit(0).cast("long")).alias("__before"),
-        F.greatest(F.ceil(F.sum("__bn").over(group) * F.lit(q)), F.lit(1)).cast("long").alias("__k"))
-    target = located.where((F.col("__before") < F.col("__k"))
-                           & (F.col("__before") + F.col("__bn") >= F.col("__k")))
-    target = target.select(*[F.col(k).alias(f"__t_{i}") for i, k in enumerate(keys)],
-                           F.col("__b").alias("__tb"), "__before", "__k")
-    target, _ = checked_broadcast(target)
-    match = F.col("__b") == F.col("__tb")
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"__t_{i}"))
-    inside = bucketed.join(target, match).select(*keys, col, "__n", "__before", "__k")
-    ranked = inside.withColumn("__cum", F.col("__before") + F.sum("__n").over(running))
-    return ranked.groupBy(*keys).agg(
-        F.min(F.when(F.col("__cum") >= F.col("__k"), F.col(col))).alias(out))
+    freq = (src.where(F.col(col).isNotNull()).groupBy(F.struct(*keys).alias("__group"), F.col(col).alias("__value"))
+            .agg(F.count(F.lit(1)).alias("__count")))
+    freq, _ = checkpointed(freq)
+    got = quantile_of_counts(freq, "__group", "__value", "__count", q, out, accuracy, buckets, split_above)
+    return got.select(*[F.col(f"__group.{k}").alias(k) for k in keys], out)
 
 
 def group_median(df: DataFrame, by: str | Sequence[str], col: str, out: str = "median",
                  method: str = "exact", accuracy: int = 10000,
-                 where: Column | None = None) -> DataFrame:
+                 where: Column | str | None = None) -> DataFrame:
     return group_quantile(df, by, col, 0.5, out, method, accuracy, where)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.operators import attendance, clean, dims, facts, joins, profile, quality, recipes
 from tessera.operators.stats import group_median
@@ -60,8 +60,7 @@ def partition_total(spark, sf):
 def running_total(spark, sf):
     o = io.read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
     return recipes.running_total(o, "o_custkey", ["o_orderdate", "o_orderkey"], "o_totalprice",
-                                 out="running_amount", scale=MONEY_SCALE,
-                                 chunk=F.date_trunc("month", F.col("o_orderdate")))
+                                 out="running_amount", scale=MONEY_SCALE)
 
 
 def extract_year(spark, sf):
@@ -72,8 +71,7 @@ def extract_year(spark, sf):
 
 def inner_join(spark, sf):
     p = io.read_table(spark, sf, "part", ["p_partkey", "p_name"])
-    li = io.read_table(spark, sf, "lineitem", ["l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice"],
-                       spread_rows=True)
+    li = io.read_table(spark, sf, "lineitem", ["l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice"])
     return p.join(li.withColumnRenamed("l_partkey", "p_partkey"), on="p_partkey", how="inner")
 
 
@@ -119,13 +117,17 @@ def median_per_group(spark, sf):
 
 def median_excluding_sentinel(spark, sf):
     return group_median(D.sales(spark, sf), "ProductCategory", "UnitPrice", out="median_price",
-                        where=F.col("UnitPrice") != F.lit(D.UNITS_SENTINEL))
+                        where=f"UnitPrice <> {D.UNITS_SENTINEL}")
+
+
+def median_approx(spark, sf):
+    """``percentile_approx`` per part type; exact here, as groups are smaller than its accuracy."""
+    return group_median(io.read_table(spark, sf, "part", ["p_type", "p_retailprice"]), "p_type", "p_retailprice",
+                        out="median_price", method="approx")
 
 
 def sentinel_fill_median(spark, sf):
-    units = clean.impute_by_group(D.sales_named_stage(spark, sf), "ProductCategory", "UnitsSold", "mean")
-    return clean.impute_by_group(units, "ProductCategory", "UnitPrice", "median",
-                                 sentinel=D.UNITS_SENTINEL)
+    return clean.impute_columns(D.sales_named_stage(spark, sf), "ProductCategory", [D.UNITS, D.PRICE])
 
 
 def median_fill(spark, sf):
@@ -134,40 +136,48 @@ def median_fill(spark, sf):
 
 # --- dimensions and facts ----------------------------------------------------
 
-def _dim(spark, sf, cols, key, default=None):
-    return dims.build_dimension(D.sales_named(spark, sf), cols, key, default=default)
+STAR = {"DIM_ProductId": PRODUCT, "DIM_StoreId": STORE, "DIM_EmployeeId": EMPLOYEE}
+
+
+def _dims(named, keys=tuple(STAR), default=dims.DEFAULT_MEMBER):
+    """Dimensions of the staged sales, written, with their specs by key."""
+    out = {}
+    for key in keys:
+        dim = D.stage(dims.build_dimension(named, STAR[key], key, default=default, check_unique=False), key)
+        out[key] = facts.DimSpec(dim, STAR[key], key, sha=True)
+    return out
+
+
+def _dim(spark, sf, key):
+    return dims.build_dimension(D.sales_named_stage(spark, sf), STAR[key], key)
 
 
 def dim_product(spark, sf):
-    return _dim(spark, sf, PRODUCT, "DIM_ProductId")
+    return _dim(spark, sf, "DIM_ProductId")
 
 
 def dim_store(spark, sf):
-    return _dim(spark, sf, STORE, "DIM_StoreId")
+    return _dim(spark, sf, "DIM_StoreId")
 
 
 def dim_employee(spark, sf):
-    return _dim(spark, sf, EMPLOYEE, "DIM_EmployeeId")
+    return _dim(spark, sf, "DIM_EmployeeId")
 
 
 def dim_with_default(spark, sf):
-    return _dim(spark, sf, STORE, "DIM_StoreId", default=dims.DEFAULT_MEMBER)
+    """A dimension whose source already holds its default member: it stays one row."""
+    store = D.sales_named_stage(spark, sf).select(*STORE)
+    return dims.build_dimension(store.unionByName(dims.default_member(store, STORE)), STORE, "DIM_StoreId")
 
 
-def _star(spark, sf):
+def _star(spark, sf, keys=tuple(STAR)):
     named = D.sales_named_stage(spark, sf)
-    fact = D.clean_sales(named)
-    specs = [
-        facts.DimSpec(dims.build_dimension(named, PRODUCT, "DIM_ProductId"), PRODUCT, "DIM_ProductId"),
-        facts.DimSpec(dims.build_dimension(named, STORE, "DIM_StoreId"), STORE, "DIM_StoreId"),
-        facts.DimSpec(dims.build_dimension(named, EMPLOYEE, "DIM_EmployeeId"), EMPLOYEE, "DIM_EmployeeId"),
-    ]
-    return fact, specs
+    return D.clean_sales(named), list(_dims(named, keys).values())
 
 
 def fact_resolve_star(spark, sf):
     fact, specs = _star(spark, sf)
-    return facts.resolve_star(fact, specs, keep=FACT_MEASURES, check_unique=True)
+    return facts.resolve_star(fact, specs, keep=FACT_MEASURES)
 
 
 def net_revenue(spark, sf):
@@ -175,19 +185,14 @@ def net_revenue(spark, sf):
 
 
 def revenue_by_brand(spark, sf):
-    """Flagship star query: clean, build dims, resolve keys, derive revenue, and
+    """Flagship star query: clean, build the dimension, resolve keys, derive revenue, and
     total it per brand through the product dimension."""
-    fact, specs = _star(spark, sf)
-    resolved = facts.net_revenue(facts.resolve_star(fact, specs, keep=FACT_MEASURES))
+    fact, specs = _star(spark, sf, ["DIM_ProductId"])
+    resolved = facts.net_revenue(facts.resolve_star(fact, specs, keep=FACT_MEASURES), scale=MONEY_SCALE)
+    per_product = resolved.groupBy("DIM_ProductId").agg(F.sum("NetRevenue").alias("r"), F.count(F.lit(1)).alias("n"))
     product = specs[0].dim.select("DIM_ProductId", "Brand")
-    product, _ = joins.checked_broadcast(product)
-    dec = DecimalType(12, 2)
-    exact = (F.col("UnitsSold").cast(dec) * F.col("UnitPrice").cast(dec)
-             * (F.lit(1) - F.col("Discount").cast(dec)))
-    return (resolved.join(product, on="DIM_ProductId", how="inner")
-            .groupBy("Brand")
-            .agg(F.sum(exact).cast("double").alias("revenue"),
-                 F.count(F.lit(1)).alias("n_sales")))
+    return (per_product.join(product, on="DIM_ProductId", how="inner").groupBy("Brand")
+            .agg(F.sum("r").cast("double").alias("revenue"), F.sum("n").alias("n_sales")))
 
 
 def star_fk_report(spark, sf):
@@ -205,13 +210,37 @@ def star_reconcile(spark, sf):
     return quality.reconcile_summary(fact.select(*FACT_MEASURES), resolved)
 
 
+def unknown_member_star(spark, sf):
+    """Sales resolved against a product dimension without the products that were not named: they go to N/A."""
+    named = D.sales_named_stage(spark, sf)
+    known = D.sales(spark, sf).where(F.col("ProductName").isNotNull())
+    dim = dims.build_dimension(known, PRODUCT, "DIM_ProductId")
+    spec = facts.DimSpec(dim, PRODUCT, "DIM_ProductId", sha=True)
+    out = facts.resolve_star(named, [spec], keep=PRODUCT, unknown_member=dims.DEFAULT_MEMBER)
+    return out.groupBy("DIM_ProductId").agg(F.count(F.lit(1)).alias("n_sales"))
+
+
+def star_flow_persisted(spark, sf):
+    """The star as tables: dimensions and fact written, the fact rewritten with its
+    revenue, all read back and the fact compared with the cleaned sales."""
+    fact, specs = _star(spark, sf)
+    fact = D.stage(fact, "sales-clean")
+    first = D.stage(facts.resolve_star(fact, specs, keep=FACT_MEASURES), "fact-sales")
+    path = io.write_stage(facts.net_revenue(first), scratch_path(spark, "fact-sales-revenue"), evolve=True)
+    final = io.read_stage(spark, path)
+    dims_there = [quality.ForeignKey(s.surrogate_key, s.dim, s.surrogate_key) for s in specs]
+    orphans = quality.fk_report(final, dims_there).agg(F.sum("n_orphan").alias("n_orphan"), F.sum("n_null").alias("n_null"))
+    summary = quality.reconcile_summary(fact.select(*FACT_MEASURES), final)
+    return summary.withColumn("one", F.lit(1)).join(orphans.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 def fk_orphans(spark, sf):
     cust = D.customer_nation_refs(spark, sf).select("c_custkey", "c_nationkey")
     return quality.orphans(cust, "c_nationkey", D.supplier_nations(spark, sf), "s_nationkey")
 
 
 def fk_report(spark, sf):
-    li = io.read_table(spark, sf, "lineitem", ["l_partkey", "l_suppkey", "l_orderkey"], spread_rows=True)
+    li = D.lineitem_refs(spark, sf)
     d = D.fk_dims(spark, sf)
     return quality.fk_report(li, [
         quality.ForeignKey("l_partkey", d["part"], "p_partkey"),
@@ -230,6 +259,28 @@ def reconcile_summary(spark, sf):
     return quality.reconcile_summary(left, right)
 
 
+def reconcile_keyed_dupes(spark, sf):
+    """Order versions by customer: a key with many rows on both sides."""
+    left, right = D.orders_versions(spark, sf)
+    return quality.reconcile_keyed(left, right, "o_custkey")
+
+
+def fk_report_mixed_types(spark, sf):
+    """Integer and text references against dimension keys of other types."""
+    li = D.lineitem_refs(spark, sf)
+    d = D.fk_dims(spark, sf)
+    fact = li.select(F.col("l_partkey").cast("int").alias("l_partkey"), F.col("l_suppkey").cast("string").alias("l_suppkey"))
+    wide = d["part"].select(F.col("p_partkey").cast("double").alias("p_partkey"))
+    return quality.fk_report(fact, [quality.ForeignKey("l_partkey", wide, "p_partkey"),
+                                    quality.ForeignKey("l_suppkey", d["supplier"], "s_suppkey")])
+
+
+def null_safe_same_name(spark, sf):
+    """The null-safe join of two frames that share the key's name."""
+    cust = D.customer_nation_refs(spark, sf).withColumnRenamed("c_nationkey", "id")
+    return joins.null_safe_join(cust, D.nation_lookup(spark, sf).withColumnRenamed("nation_key", "id"), "id", "id", "full")
+
+
 def reconcile_keyed(spark, sf):
     left, right = D.orders_versions(spark, sf)
     return quality.reconcile_keyed(left, right, "o_orderkey")
@@ -269,7 +320,31 @@ def fact_resolve_mapping(spark, sf, algo: str = "murmur3_32"):
     tx = D.conformed_transactions(spark, sf)
     specs = [facts.DimSpec(_code_dim(spark, sf, c, algo), [c], f"DIM_{c}ID") for c in CODES]
     specs.append(facts.DimSpec(_mapping_dim(spark, sf, algo), CODES, "DIM_CustomLabelID"))
-    return facts.resolve_star(tx, specs, keep=["TransactionID", "Amount"], check_unique=True)
+    return facts.resolve_star(tx, specs, keep=["TransactionID", "Amount"])
+
+
+def unknown_member_mapping(spark, sf):
+    """Transactions of an unlisted category go to the N/A member of an integer-keyed dimension."""
+    codes = D.code_sources(spark, sf)["ProductCategory"]
+    source = codes.unionByName(dims.default_member(codes, ["ProductCategory"]))
+    dim = dims.add_hash_key(source, ["ProductCategory"], "DIM_ProductCategoryID")
+    spec = facts.DimSpec(dim, ["ProductCategory"], "DIM_ProductCategoryID")
+    return facts.resolve_keys(D.conformed_transactions(spark, sf), spec, unknown_member=dims.DEFAULT_MEMBER).select(
+        "TransactionID", "ProductCategory", "DIM_ProductCategoryID")
+
+
+def mapping_tables(spark, sf):
+    """Mapping dimensions and fact saved as tables, read back and joined by key."""
+    run = scratch_path(spark, "mapping")
+    tag = run.rsplit("-", 1)[-1][:12]
+    tables = {f"tessera_label_{tag}": _mapping_dim(spark, sf, "murmur3_32"), f"tessera_fact_{tag}": fact_resolve_mapping(spark, sf)}
+    paths = [io.write_table(df, name, path=f"{run}/{name}") and f"{run}/{name}" for name, df in tables.items()]
+    label, fact = (spark.table(name) for name in tables)
+    out = D.stage(fact.join(label.select("DIM_CustomLabelID", "MappingLabel"), "DIM_CustomLabelID", "left")
+                  .select("TransactionID", "Amount", "DIM_CustomLabelID", "MappingLabel"), "mapping-out")
+    for name, path in zip(tables, paths):
+        io.drop_table(spark, name, path)
+    return out
 
 
 # --- attendance --------------------------------------------------------------
@@ -278,24 +353,17 @@ def parse_punches(spark, sf):
     return attendance.parse_punches(D.punch_text(spark, sf))
 
 
-# Employee-days are split by the hour of the punch, so no employee-day needs one task.
-def _punch_chunk():
-    return F.date_trunc("hour", F.col("punch_time"))
-
-
 def punch_sequence(spark, sf):
     p = D.punches(spark, sf).select("event_id", "emp_id", "work_date", "punch_time")
-    return attendance.punch_sequence(p, tiebreak=["event_id"], chunk=_punch_chunk())
+    return attendance.punch_sequence(p, tiebreak=["event_id"])
 
 
 def attendance_lag(spark, sf):
-    return attendance.hours_by_lag(D.punches(spark, sf), D.employees(spark, sf), tiebreak=["event_id"],
-                                   chunk=_punch_chunk())
+    return attendance.hours_by_lag(D.punches(spark, sf), D.employees(spark, sf), tiebreak=["event_id"])
 
 
 def attendance_pairs(spark, sf):
-    return attendance.hours_by_pairs(D.punches(spark, sf), D.employees(spark, sf), tiebreak=["event_id"],
-                                     chunk=_punch_chunk())
+    return attendance.hours_by_pairs(D.punches(spark, sf), D.employees(spark, sf), tiebreak=["event_id"])
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -324,8 +392,44 @@ def stage_schema_evolution(spark, sf):
 
 def table_roundtrip(spark, sf):
     name = "tessera_nation_" + scratch_path(spark, "t").rsplit("-", 1)[-1][:12]
-    io.write_table(io.read_table(spark, sf, "nation"), name, path=scratch_path(spark, "nation-table"))
-    return spark.table(name)
+    path = scratch_path(spark, "nation-table")
+    io.write_table(io.read_table(spark, sf, "nation"), name, path=path)
+    spark.table(name).count()  # through the catalog
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay for the returned frame
+    return io.read_stage(spark, path)
+
+
+def csv_reordered_header(spark, sf):
+    """A file whose columns come in another order than the schema's, and one more."""
+    part = io.read_table(spark, sf, "part")
+    path = io.write_csv(part.select(*reversed(part.columns), F.lit("x").alias("extra")), scratch_path(spark, "part-csv2"))
+    return io.read_csv(spark, path, schema=PART_SCHEMA)
+
+
+def csv_inferred(spark, sf):
+    path = io.write_csv(io.read_table(spark, sf, "part"), scratch_path(spark, "part-csv3"))
+    return io.read_csv(spark, path, infer=True)
+
+
+def temp_view_sql(spark, sf):
+    """Punches and employees as views, counted with SQL."""
+    tag = scratch_path(spark, "v").rsplit("-", 1)[-1][:12]
+    p, e = f"punches_{tag}", f"employees_{tag}"
+    io.register_views({p: D.punches(spark, sf), e: D.employees(spark, sf)})
+    out = spark.sql(f"SELECT e.emp_name, count(*) AS n_punches FROM {p} p JOIN {e} e ON p.emp_id = e.emp_id GROUP BY e.emp_name")
+    for name in (p, e):
+        spark.catalog.dropTempView(name)
+    return out
+
+
+def schema_check(spark, sf):
+    """Differences of the nation table from a schema that is off by a type, a name and a column."""
+    nation = io.read_table(spark, sf, "nation")
+    expected = StructType([StructField("n_nationkey", StringType()), StructField("n_label", StringType()),
+                           *[f for f in nation.schema.fields if f.name == "n_regionkey"]])
+    found = quality.expect_schema(nation, expected)
+    return nation.select(F.explode(F.array(*[F.lit(x) for x in found])).alias("problem")).groupBy("problem").agg(
+        F.count(F.lit(1)).alias("n_rows"))
 
 
 QUERIES: dict[str, Query] = {
@@ -346,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "mean_fill": mean_fill,
     "median_per_group": median_per_group,
     "median_excluding_sentinel": median_excluding_sentinel,
+    "median_approx": median_approx,
     "sentinel_fill_median": sentinel_fill_median,
     "median_fill": median_fill,
     "dim_product": dim_product,
@@ -362,6 +467,17 @@ QUERIES: dict[str, Query] = {
     "reconcile": reconcile,
     "reconcile_summary": reconcile_summary,
     "reconcile_keyed": reconcile_keyed,
+    "reconcile_keyed_dupes": reconcile_keyed_dupes,
+    "fk_report_mixed_types": fk_report_mixed_types,
+    "null_safe_same_name": null_safe_same_name,
+    "unknown_member_star": unknown_member_star,
+    "unknown_member_mapping": unknown_member_mapping,
+    "star_flow_persisted": star_flow_persisted,
+    "mapping_tables": mapping_tables,
+    "csv_reordered_header": csv_reordered_header,
+    "csv_inferred": csv_inferred,
+    "temp_view_sql": temp_view_sql,
+    "schema_check": schema_check,
     "normalize_text": normalize_text,
     "hashed_dim": hashed_dim,
     "custom_mapping": custom_mapping,

@@ -18,20 +18,15 @@ from tessera.session import scratch_path
 from tessera.sources.io import read_stage, read_table, write_stage
 
 # Literal name map used to impute missing product names (three
-# of the six part types, so the default is also hit), and the region left out
-# of the mapping bridge.
+# of the six part types, so the default is also hit), the price sentinel, and
+# a priority code that no dimension lists.
 NAME_MAP = {
     "ECONOMY": "economy pack",
     "PROMO": "promo bundle",
     "STANDARD": "standard kit",
 }
-MAPPING_EXCLUDED_REGION = 4
 UNITS_SENTINEL = -1.0
-# Business rules that make dimensions incomplete for the QA
-# checks (largest part size still in the catalogue, supplier balances).
-CATALOGUE_MAX_SIZE = 45
-GOOD_STANDING_BALANCE = 1000.0
-PREFERRED_BALANCE = 5000.0
+UNLISTED_CODE = "9-UNLISTED"
 
 
 def _null(dtype: str):
@@ -41,8 +36,7 @@ def _null(dtype: str):
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw sales rows: one per line item, with nulls and a ``-1`` price sentinel."""
     li = read_table(spark, sf_dir, "lineitem",
-                    ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_shipdate"],
-                    spread_rows=True)
+                    ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_shipdate"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
@@ -96,13 +90,15 @@ def sales_named_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(sales_named(spark, sf_dir), "sales-stage1")
 
 
-def clean_sales(df: DataFrame, median_method: str = "exact") -> DataFrame:
+UNITS = clean.Fill("UnitsSold", "mean")
+PRICE = clean.Fill("UnitPrice", "median", sentinel=UNITS_SENTINEL)
+DISCOUNT = clean.Fill("Discount", "median")
+
+
+def clean_sales(df: DataFrame) -> DataFrame:
     """Stages 2-4 on a named sales frame: units by category mean; price by
     category median without the -1 sentinel; discount by category median."""
-    out = clean.impute_by_group(df, "ProductCategory", "UnitsSold", "mean")
-    out = clean.impute_by_group(out, "ProductCategory", "UnitPrice", "median",
-                                sentinel=UNITS_SENTINEL, method=median_method)
-    return clean.impute_by_group(out, "ProductCategory", "Discount", "median", method=median_method)
+    return clean.impute_columns(df, "ProductCategory", [UNITS, PRICE, DISCOUNT])
 
 
 def sales_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,8 +106,7 @@ def sales_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"],
-                        spread_rows=True)
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"])
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
@@ -121,10 +116,12 @@ def _orders_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions whose codes arrive with stray spaces and lower case."""
+    """Transactions whose codes arrive with stray spaces and lower case; every
+    29th order has a category that no dimension lists."""
     return _orders_geo(spark, sf_dir).select(
         F.col("o_orderkey").alias("TransactionID"),
-        F.concat(F.lit("  "), F.lower("o_orderpriority"), F.lit(" ")).alias("ProductCategory"),
+        F.concat(F.lit("  "), F.lower(F.when(F.col("o_orderkey") % 29 == 0, F.lit(UNLISTED_CODE))
+                                      .otherwise(F.col("o_orderpriority"))), F.lit(" ")).alias("ProductCategory"),
         F.concat(F.lit(" "), F.col("r_name")).alias("StoreRegion"),
         F.lower("c_mktsegment").alias("CustomerType"),
         F.col("o_totalprice").alias("Amount"),
@@ -138,9 +135,8 @@ def conformed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bridge rows: every observed (priority, region, segment) combination,
-    except those of one region, labelled ``priority/region/segment``."""
+    labelled ``priority/region/segment``."""
     combos = (_orders_geo(spark, sf_dir)
-              .where(F.col("r_regionkey") != MAPPING_EXCLUDED_REGION)
               .select(F.col("o_orderpriority").alias("ProductCategory"),
                       F.col("r_name").alias("StoreRegion"),
                       F.col("c_mktsegment").alias("CustomerType"))
@@ -193,18 +189,17 @@ def customers_missing_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_nation_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with a nullable nation reference."""
+    """Customers with a nullable nation reference; every 11th refers to a nation that does not exist."""
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
     return c.select("c_custkey", "c_name",
                     F.when(F.col("c_custkey") % 7 == 0, _null("int"))
+                    .when(F.col("c_custkey") % 11 == 0, F.col("c_nationkey") + 100)
                     .otherwise(F.col("c_nationkey")).alias("c_nationkey"))
 
 
 def supplier_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations served by a preferred supplier (balance of at least 5,000):
-    an incomplete nation list for customers to reference."""
-    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey", "s_acctbal"])
-    return s.where(F.col("s_acctbal") >= PREFERRED_BALANCE).select("s_suppkey", "s_nationkey")
+    """Nations by supplier: a nation list with repeats for customers to refer to."""
+    return read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
 
 
 def nation_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,13 +235,19 @@ def orders_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return o, right
 
 
+def lineitem_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-item references; some point at parts and suppliers that do not exist."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_suppkey", "l_orderkey"])
+    ok = F.col("l_orderkey")
+    return li.select(F.when(ok % 31 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey")).alias("l_partkey"),
+                     F.when(ok % 37 == 0, -F.col("l_suppkey")).otherwise(F.col("l_suppkey")).alias("l_suppkey"),
+                     "l_orderkey")
+
+
 def fk_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Dimensions for the line-item FK report: parts in the current catalogue,
-    suppliers in good standing, and all orders."""
+    """Dimensions for the line-item FK report, whole."""
     return {
-        "part": read_table(spark, sf_dir, "part", ["p_partkey", "p_size"])
-        .where(F.col("p_size") <= CATALOGUE_MAX_SIZE).select("p_partkey"),
-        "supplier": read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_acctbal"])
-        .where(F.col("s_acctbal") >= GOOD_STANDING_BALANCE).select("s_suppkey"),
+        "part": read_table(spark, sf_dir, "part", ["p_partkey"]),
+        "supplier": read_table(spark, sf_dir, "supplier", ["s_suppkey"]),
         "orders": read_table(spark, sf_dir, "orders", ["o_orderkey"]),
     }

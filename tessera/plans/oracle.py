@@ -11,13 +11,7 @@ from __future__ import annotations
 
 import re
 
-from tessera.plans.derived import (
-    CATALOGUE_MAX_SIZE,
-    GOOD_STANDING_BALANCE,
-    MAPPING_EXCLUDED_REGION,
-    NAME_MAP,
-    PREFERRED_BALANCE,
-)
+from tessera.plans.derived import NAME_MAP, UNLISTED_CODE
 
 _NAME_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in NAME_MAP.items())
 
@@ -66,15 +60,20 @@ CTES: dict[str, tuple[list[str], str]] = {
     "dim_product": (["sales_named"], """
         SELECT ProductCategory, ProductName, Brand,
                sha256(concat_ws('||', ProductCategory, ProductName, Brand)) AS DIM_ProductId
-        FROM (SELECT DISTINCT ProductCategory, ProductName, Brand FROM sales_named)"""),
+        FROM (SELECT ProductCategory, ProductName, Brand FROM sales_named UNION SELECT 'N/A', 'N/A', 'N/A')"""),
+    "dim_known": (["sales"], """
+        SELECT ProductCategory, ProductName, Brand,
+               sha256(concat_ws('||', ProductCategory, ProductName, Brand)) AS DIM_ProductId
+        FROM (SELECT ProductCategory, ProductName, Brand FROM sales WHERE ProductName IS NOT NULL
+              UNION SELECT 'N/A', 'N/A', 'N/A')"""),
     "dim_store": (["sales_named"], """
         SELECT StoreRegion, StoreName, StoreType,
                sha256(concat_ws('||', StoreRegion, StoreName, StoreType)) AS DIM_StoreId
-        FROM (SELECT DISTINCT StoreRegion, StoreName, StoreType FROM sales_named)"""),
+        FROM (SELECT StoreRegion, StoreName, StoreType FROM sales_named UNION SELECT 'N/A', 'N/A', 'N/A')"""),
     "dim_employee": (["sales_named"], """
         SELECT SalesRep, Department, EmployeeRole,
                sha256(concat_ws('||', SalesRep, Department, EmployeeRole)) AS DIM_EmployeeId
-        FROM (SELECT DISTINCT SalesRep, Department, EmployeeRole FROM sales_named)"""),
+        FROM (SELECT SalesRep, Department, EmployeeRole FROM sales_named UNION SELECT 'N/A', 'N/A', 'N/A')"""),
     "fact_star": (["sales_clean", "dim_product", "dim_store", "dim_employee"], """
         SELECT p.DIM_ProductId, st.DIM_StoreId, e.DIM_EmployeeId,
                f.UnitsSold, f.UnitPrice, f.Discount, f.SaleDate
@@ -86,10 +85,13 @@ CTES: dict[str, tuple[list[str], str]] = {
         LEFT JOIN dim_employee e ON f.SalesRep = e.SalesRep
              AND f.Department = e.Department AND f.EmployeeRole = e.EmployeeRole"""),
     "cust_refs": ([], """
-        SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey
+        SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN c_nationkey + 100
+                                       ELSE c_nationkey END AS c_nationkey
         FROM customer"""),
-    "supp_nations": ([], f"""
-        SELECT s_suppkey, s_nationkey FROM supplier WHERE s_acctbal >= {PREFERRED_BALANCE}"""),
+    "supp_nations": ([], "SELECT s_suppkey, s_nationkey FROM supplier"),
+    "li_refs": ([], """
+        SELECT CASE WHEN l_orderkey % 31 = 0 THEN -l_partkey ELSE l_partkey END AS l_partkey,
+               CASE WHEN l_orderkey % 37 = 0 THEN -l_suppkey ELSE l_suppkey END AS l_suppkey, l_orderkey FROM lineitem"""),
     "nation_lookup": ([], """
         SELECT CASE WHEN n_nationkey = 24 THEN NULL ELSE n_nationkey END AS nation_key, n_name FROM nation"""),
     "li_left": ([], """
@@ -116,9 +118,10 @@ CTES: dict[str, tuple[list[str], str]] = {
                CASE WHEN o_orderkey % 100 = 0 THEN NULL
                     WHEN o_orderkey % 101 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
                o_orderdate, o_orderpriority FROM orders"""),
-    "tx": ([], """
+    "tx": ([], f"""
         SELECT o.o_orderkey AS TransactionID,
-               concat('  ', lower(o.o_orderpriority), ' ') AS ProductCategory,
+               concat('  ', lower(CASE WHEN o.o_orderkey % 29 = 0 THEN '{UNLISTED_CODE}' ELSE o.o_orderpriority END), ' ')
+                 AS ProductCategory,
                concat(' ', r.r_name) AS StoreRegion,
                lower(c.c_mktsegment) AS CustomerType,
                o.o_totalprice AS Amount
@@ -129,14 +132,15 @@ CTES: dict[str, tuple[list[str], str]] = {
                upper(trim(StoreRegion)) AS StoreRegion, upper(trim(CustomerType)) AS CustomerType, Amount
         FROM tx"""),
     "dim_pc": ([], "hashed_code_dim('ProductCategory', 'SELECT DISTINCT o_orderpriority AS raw FROM orders')"),
+    "dim_pc_default": ([], "hashed_code_dim('ProductCategory', "
+                           "'SELECT DISTINCT o_orderpriority AS raw FROM orders UNION SELECT ''N/A'' AS raw')"),
     "dim_sr": ([], "hashed_code_dim('StoreRegion', 'SELECT r_name AS raw FROM region')"),
     "dim_ct": ([], "hashed_code_dim('CustomerType', 'SELECT DISTINCT c_mktsegment AS raw FROM customer')"),
-    "mapping": ([], f"""
+    "mapping": ([], """
         SELECT DISTINCT o.o_orderpriority AS ProductCategory, r.r_name AS StoreRegion,
                c.c_mktsegment AS CustomerType
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-        JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-        WHERE r.r_regionkey <> {MAPPING_EXCLUDED_REGION}"""),
+        JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"""),
     "mapping_dim": (["mapping"], "hashed_mapping_dim()"),
     "punches": ([], """
         SELECT event_id, user_id AS emp_id, ts AS punch_time, CAST(ts AS DATE) AS work_date,
@@ -216,7 +220,7 @@ def _cte_body(name: str) -> str:
     body = CTES[name][1]
     if body.startswith("hashed_code_dim("):
         code, src = re.match(r"hashed_code_dim\('(\w+)', '(.*)'\)", body).groups()
-        return hashed_code_dim(code, src)
+        return hashed_code_dim(code, src.replace("''", "'"))
     if body == "hashed_mapping_dim()":
         return hashed_mapping_dim()
     return body
@@ -251,6 +255,22 @@ def _exact_sum(col: str) -> str:
     return f"CAST(SUM(CAST({col} AS DECIMAL(28,2))) AS DOUBLE)"
 
 
+def _keyed_dupes() -> str:
+    """Order versions by customer: each column's multisets of values compared on their own."""
+    cols = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    both = f"""both_sides AS (
+        SELECT o_custkey, {', '.join(cols)}, 1 AS a, 0 AS b FROM orders
+        UNION ALL SELECT o_custkey, {', '.join(cols)}, 0, 1 FROM orders_right)"""
+    differ = [f"""CASE WHEN o_custkey IN (SELECT o_custkey FROM both_sides GROUP BY o_custkey, {c}
+                          HAVING SUM(a) <> SUM(b)) THEN '{c}' END""" for c in cols]
+    return with_ctes(["orders_right"], f"""
+        , {both},
+        wrong AS (SELECT DISTINCT o_custkey FROM both_sides GROUP BY o_custkey, {', '.join(cols)} HAVING SUM(a) <> SUM(b))
+        SELECT o_custkey, CAST(SUM(a) AS BIGINT) AS n_left, CAST(SUM(b) AS BIGINT) AS n_right,
+               COALESCE(NULLIF(ANY_VALUE(concat_ws(',', {', '.join(differ)})), ''), '*') AS diff_columns
+        FROM both_sides WHERE o_custkey IN (SELECT o_custkey FROM wrong) GROUP BY o_custkey""")
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["total_per_key"] = f"SELECT o_custkey, {_exact_sum('o_totalprice')} AS total_amount FROM orders GROUP BY o_custkey"
@@ -295,6 +315,7 @@ def oracle_sql() -> dict[str, str]:
     q["median_excluding_sentinel"] = with_ctes(["sales"], """
         SELECT ProductCategory, quantile_disc(UnitPrice, 0.5) AS median_price FROM sales
         WHERE UnitPrice <> -1 GROUP BY 1""")
+    q["median_approx"] = "SELECT p_type, quantile_disc(p_retailprice, 0.5) AS median_price FROM part GROUP BY p_type"
     q["sentinel_fill_median"] = with_ctes(["price_filled"], "SELECT * FROM price_filled")
     q["median_fill"] = with_ctes(["sales_clean"], "SELECT * FROM sales_clean")
 
@@ -320,15 +341,14 @@ def oracle_sql() -> dict[str, str]:
         SELECT c.c_custkey, c.c_nationkey FROM cust_refs c
         WHERE NOT EXISTS (SELECT 1 FROM supp_nations s WHERE s.s_nationkey = c.c_nationkey)""")
     fk_parts = []
-    for fk, dim_sql in (("l_partkey", f"SELECT p_partkey AS k FROM part WHERE p_size <= {CATALOGUE_MAX_SIZE}"),
-                        ("l_suppkey", f"SELECT s_suppkey AS k FROM supplier WHERE s_acctbal >= {GOOD_STANDING_BALANCE}"),
+    for fk, dim_sql in (("l_partkey", "SELECT p_partkey AS k FROM part"), ("l_suppkey", "SELECT s_suppkey AS k FROM supplier"),
                         ("l_orderkey", "SELECT o_orderkey AS k FROM orders")):
         fk_parts.append(f"""
         SELECT '{fk}' AS fk_column, COUNT(*) AS n_rows,
                CAST(SUM(CASE WHEN l.{fk} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null,
                CAST(SUM(CASE WHEN l.{fk} IS NOT NULL AND d.k IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_orphan
-        FROM lineitem l LEFT JOIN (SELECT DISTINCT k FROM ({dim_sql})) d ON l.{fk} = d.k""")
-    q["fk_report"] = "\nUNION ALL".join(fk_parts)
+        FROM li_refs l LEFT JOIN (SELECT DISTINCT k FROM ({dim_sql})) d ON l.{fk} = d.k""")
+    q["fk_report"] = with_ctes(["li_refs"], "\nUNION ALL".join(fk_parts))
     star_parts = []
     for key, dim in (("DIM_ProductId", "dim_product"), ("DIM_StoreId", "dim_store"),
                      ("DIM_EmployeeId", "dim_employee")):
@@ -367,6 +387,41 @@ def oracle_sql() -> dict[str, str]:
           FROM orders a FULL OUTER JOIN orders_right b ON a.o_orderkey = b.o_orderkey)
         WHERE n_left <> n_right OR diff_columns <> ''""")
 
+    q["reconcile_keyed_dupes"] = _keyed_dupes()
+    mixed = []
+    for fk, kind, dim_sql in (("l_partkey", "DOUBLE", "SELECT p_partkey AS k FROM part"),
+                              ("l_suppkey", "VARCHAR", "SELECT s_suppkey AS k FROM supplier")):
+        mixed.append(f"""
+        SELECT '{fk}' AS fk_column, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE l.{fk} IS NULL) AS n_null,
+               COUNT(*) FILTER (WHERE l.{fk} IS NOT NULL AND d.k IS NULL) AS n_orphan
+        FROM li_refs l LEFT JOIN (SELECT DISTINCT CAST(k AS {kind}) AS k FROM ({dim_sql})) d ON CAST(l.{fk} AS {kind}) = d.k""")
+    q["fk_report_mixed_types"] = with_ctes(["li_refs"], "\nUNION ALL".join(mixed))
+    q["null_safe_same_name"] = with_ctes(["cust_refs", "nation_lookup"], """
+        SELECT c.c_custkey, c.c_name, c.c_nationkey AS id, n.nation_key AS id_right, n.n_name
+        FROM cust_refs c FULL OUTER JOIN nation_lookup n ON c.c_nationkey IS NOT DISTINCT FROM n.nation_key""")
+    q["unknown_member_star"] = with_ctes(["sales_named", "dim_known"], """
+        SELECT COALESCE(d.DIM_ProductId, sha256('N/A||N/A||N/A')) AS DIM_ProductId, COUNT(*) AS n_sales
+        FROM sales_named s LEFT JOIN dim_known d ON s.ProductCategory = d.ProductCategory
+             AND s.ProductName = d.ProductName AND s.Brand = d.Brand
+        GROUP BY 1""")
+    q["unknown_member_mapping"] = with_ctes(["tx_norm", "dim_pc_default"], """
+        SELECT t.TransactionID, t.ProductCategory,
+               COALESCE(d.DIM_ProductCategoryID, (SELECT DIM_ProductCategoryID FROM dim_pc_default WHERE ProductCategory = 'N/A'))
+                 AS DIM_ProductCategoryID
+        FROM tx_norm t LEFT JOIN dim_pc_default d ON t.ProductCategory = d.ProductCategory""")
+    q["star_flow_persisted"] = "SELECT *, CAST(0 AS BIGINT) AS n_orphan, CAST(0 AS BIGINT) AS n_null FROM (" + q["star_reconcile"] + ")"
+    q["mapping_tables"] = with_ctes(["tx_norm", "mapping_dim"], """
+        SELECT t.TransactionID, t.Amount, m.DIM_CustomLabelID, m.MappingLabel
+        FROM tx_norm t LEFT JOIN mapping_dim m ON t.ProductCategory = m.ProductCategory
+             AND t.StoreRegion = m.StoreRegion AND t.CustomerType = m.CustomerType""")
+    q["csv_reordered_header"] = "SELECT * FROM part"
+    q["csv_inferred"] = "SELECT * REPLACE (CAST(p_partkey AS INTEGER) AS p_partkey) FROM part"
+    q["temp_view_sql"] = with_ctes(["punches"], """
+        SELECT c.c_name AS emp_name, COUNT(*) AS n_punches FROM punches p JOIN customer c ON p.emp_id = c.c_custkey GROUP BY 1""")
+    q["schema_check"] = """
+        SELECT problem, (SELECT COUNT(*) FROM nation) AS n_rows
+        FROM (VALUES ('n_nationkey: int != string'), ('missing column n_label'), ('unexpected column n_name')) t(problem)"""
+
     q["normalize_text"] = with_ctes(["tx_norm"], """
         SELECT TransactionID, ProductCategory, StoreRegion, CustomerType FROM tx_norm""")
     q["hashed_dim"] = with_ctes(["dim_pc"], "SELECT * FROM dim_pc")

@@ -14,55 +14,43 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import ArrayType, MapType, StructType
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over at least ``min_partitions`` partitions (default: the
-    cluster's parallelism) when the input yields fewer.
-
-    A file written as one big row group is read by a single task, and every
-    narrow step after the scan (broadcast joins, projections, the write) runs
-    in that task too. Large inputs split into many partitions already, so for
-    them this is a no-op: it never adds a shuffle at scale.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as it is
-        return df
-    # Hash on the row's own atomic columns: deterministic under task retries
-    # without the local sort a round-robin repartition needs.
-    atomic = [f.name for f in df.schema.fields
-              if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
-    return df.repartition(target, *atomic) if atomic else df.repartition(target)
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: Iterable[str] | None = None, spread_rows: bool = False) -> DataFrame:
+               columns: Iterable[str] | None = None) -> DataFrame:
     """One of the parquet test tables (``{sf_dir}/{name}.parquet``).
 
     Selecting ``columns`` here keeps the scan's ReadSchema narrow even before
-    Catalyst prunes. ``spread_rows`` applies ``spread`` (for fact-sized tables).
+    Catalyst prunes.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    df = df.select(*columns) if columns else df
-    return spread(df) if spread_rows else df
+    return df.select(*columns) if columns else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              header: bool = True, infer: bool = False, **options) -> DataFrame:
     """CSV scan. An explicit schema is the default; inference is opt-in because
-    it runs an extra pass over the files and guesses types per file."""
+    it runs an extra pass over the files and guesses types per file.
+
+    With a header, the columns of ``schema`` are found by name, in whatever
+    order the file has them; columns it does not name are left out, and one
+    that the header lacks is an error. The header of every file is checked.
+    """
     reader = spark.read.option("header", header)
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", True)
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", infer).csv(path)
+    if not header:
+        return reader.schema(schema).csv(path)
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    there = reader.csv(path).columns
+    if missing := [f.name for f in wanted.fields if f.name not in there]:
+        raise ValueError(f"the header of {path} lacks {missing}")
+    types = {f.name: f for f in wanted.fields}
+    as_read = StructType([types.get(c, StructField(c, StringType())) for c in there])
+    return reader.option("enforceSchema", False).schema(as_read).csv(path).select(*[f.name for f in wanted.fields])
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
@@ -99,6 +87,19 @@ def write_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "p
     return name
 
 
+def drop_table(spark: SparkSession, name: str, path: str | None = None) -> None:
+    """Drop a catalog table; with ``path``, the files of an external table, too."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if path is not None:
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a flow wrote for itself and no longer reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def register_views(views: Mapping[str, DataFrame]) -> list[str]:
     """Register temp views so the same frames can be queried with ``spark.sql``."""
     for name, df in views.items():

@@ -1,17 +1,20 @@
-"""Attendance: golden inline punches, edge cases, and lead == self join."""
+"""Attendance: small punch logs, edge cases, and lead == self join."""
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from tessera.operators import attendance
+from tessera.operators.sequence import number_and_neighbours, with_ranges
 from tessera.plans import derived as D
 
-EMP = [(101, "Alice"), (102, "Bob"), (103, "Charlie")]
-LOG = [(101, "2025-08-08 09:00:00", "IN"), (101, "2025-08-08 17:00:00", "OUT"),
-       (102, "2025-08-08 08:30:00", "IN"), (102, "2025-08-08 16:30:00", "OUT"),
-       (103, "2025-08-08 10:00:00", "IN"), (103, "2025-08-08 18:00:00", "OUT")]
+EMP = [(7, "Noor"), (8, "Ines"), (9, "Tomas"), (101, "Kim"), (102, "Lou"), (103, "Max")]
+LOG = [(7, "2024-03-04 07:15:00", "IN"), (7, "2024-03-04 15:45:00", "OUT"),
+       (8, "2024-03-04 06:00:00", "IN"), (8, "2024-03-04 09:00:00", "OUT"),
+       (8, "2024-03-04 10:30:00", "IN"), (8, "2024-03-04 16:00:00", "OUT"),
+       (9, "2024-03-04 21:00:00", "IN"), (9, "2024-03-04 21:00:36", "OUT")]
 
 
 def _inputs(spark, log=LOG):
@@ -21,13 +24,15 @@ def _inputs(spark, log=LOG):
     return punches, emps
 
 
-def test_golden_both_methods(spark):
+def test_both_methods(spark):
     punches, emps = _inputs(spark)
     for fn in (attendance.hours_by_lag, attendance.hours_by_pairs):
         out = fn(punches, emps).collect()
-        assert [r.emp_name for r in out] == ["Alice", "Bob", "Charlie"]   # sorted by date, name
-        assert [r.hours_at_work for r in out] == [8.0, 8.0, 8.0]
-        assert out[1].first_in == dt.datetime(2025, 8, 8, 8, 30) and out[1].last_out == dt.datetime(2025, 8, 8, 16, 30)
+        assert [r.emp_name for r in out] == ["Ines", "Noor", "Tomas"]   # sorted by date, name
+        assert out[1].hours_at_work == 8.5 and out[2].hours_at_work == 0.01
+        assert out[0].first_in == dt.datetime(2024, 3, 4, 6, 0) and out[0].last_out == dt.datetime(2024, 3, 4, 16, 0)
+        # every OUT adds the time since the punch before it; pairs are the same here
+        assert out[0].hours_at_work == 8.5
 
 
 def test_parse_punches_types(spark):
@@ -66,32 +71,40 @@ def test_lead_equals_self_join_on_events(spark):
     assert rows(lead) == rows(joined.select(*lead.columns))
 
 
-def test_split_sequence_equals_single_window(spark):
-    from tessera.operators.sequence import number_and_neighbours
+def _plain(df, keys, order, value):
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.select("*", F.row_number().over(w).alias("__seq"), F.lag(value).over(w).alias("__prev"),
+                     F.lead(value).over(w).alias("__next"))
 
-    p = D.punches(spark, SF_SMALL)
-    # One hot employee-day on top of the log, spread over many hour chunks.
-    hot = spark.range(0, 5000).select(
-        (F.col("id") + 10_000_000).alias("event_id"), F.lit(-1).cast("long").alias("emp_id"),
-        (F.lit(dt.datetime(2024, 1, 5)) + F.make_dt_interval(secs=F.col("id") * 17 % 86400)
-         ).cast("timestamp_ntz").alias("punch_time"),
-        F.lit(dt.date(2024, 1, 5)).alias("work_date"), F.lit("IN").alias("punch_type"))
-    both = p.unionByName(hot)
-    cols = ["emp_id", "work_date", "punch_time", "event_id"]
-    plain = number_and_neighbours(both.select(*cols), ["emp_id", "work_date"], ["punch_time", "event_id"], "punch_time")
-    for bound in (None, 0):        # hot group alone split; or every group split
-        split = number_and_neighbours(both.select(*cols), ["emp_id", "work_date"], ["punch_time", "event_id"],
-                                      "punch_time", chunk=F.date_trunc("hour", "punch_time"),
-                                      max_broadcast_rows=bound, split_above=1000)
-        assert rows(plain) == rows(split)
+
+def test_split_sequence_equals_single_window(spark):
+    """One employee-day floods one hour, another has no valid time: both are split."""
+    p = D.punches(spark, SF_SMALL).select("emp_id", "work_date", "punch_time", "event_id")
+    flood = spark.range(5000).select(
+        F.lit(-1).cast("long").alias("emp_id"), F.lit(dt.date(2024, 1, 5)).alias("work_date"),
+        (F.lit(dt.datetime(2024, 1, 5, 9)) + F.make_dt_interval(secs=F.col("id") % 60)).cast("timestamp_ntz").alias("punch_time"),
+        (F.col("id") + 10_000_000).alias("event_id"))
+    bad = flood.select((F.col("emp_id") - 1).alias("emp_id"), F.lit(None).cast("date").alias("work_date"),
+                       F.lit(None).cast("timestamp_ntz").alias("punch_time"), "event_id")
+    both = p.unionByName(flood).unionByName(bad)
+    keys, order = ["emp_id", "work_date"], ["punch_time", "event_id"]
+    want = rows(_plain(both, keys, order, "punch_time"))
+    for above, bound in ((1000, None), (1000, 0), (0, None), (10 ** 9, None)):
+        split = number_and_neighbours(both, keys, order, "punch_time", max_broadcast_rows=bound, split_above=above)
+        assert rows(split) == want
+    placed = with_ranges(both, keys, order, split_above=1000).groupBy("__gid").count()
+    sizes = {}
+    for r in placed.collect():
+        sizes.setdefault(r["__gid"].grp.emp_id, []).append(r["count"])
+    assert len(sizes[-1]) > 20 and max(sizes[-1]) < 1000      # one hour, many ranges
+    assert len(sizes[-2]) > 20 and max(sizes[-2]) < 1000      # no time at all, many ranges
     spark.conf.set("tessera.window.splitAbove", "1000")
     try:
-        for fn in (attendance.hours_by_lag, attendance.hours_by_pairs):
-            a = fn(both, None, tiebreak=["event_id"], sort=False)
-            b = fn(both, None, tiebreak=["event_id"], sort=False, chunk=F.date_trunc("hour", "punch_time"))
-            assert rows(a) == rows(b)
+        log = both.withColumn("punch_type", F.when(F.col("event_id") % 2 == 0, "IN").otherwise("OUT"))
+        split = [rows(fn(log, None, tiebreak=["event_id"], sort=False)) for fn in (attendance.hours_by_lag, attendance.hours_by_pairs)]
     finally:
         spark.conf.unset("tessera.window.splitAbove")
+    assert split == [rows(fn(log, None, tiebreak=["event_id"], sort=False)) for fn in (attendance.hours_by_lag, attendance.hours_by_pairs)]
 
 
 def test_bad_punch_text_is_null_not_an_error(spark):

@@ -1,10 +1,12 @@
 """Dimensions, surrogate keys and fact resolution."""
 
 import hashlib
+from dataclasses import replace
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from conftest import SF_SMALL, plan_text, rows
 from tessera.operators import dims, facts
 from tessera.plans import catalog
 from tessera.plans import derived as D
@@ -26,8 +28,10 @@ def test_default_member_added_once(spark):
 
 def test_concat_ws_collision_and_null_token(spark):
     df = spark.createDataFrame([("A", None, "B"), ("A", "B", None)], "a string, b string, c string")
-    plain = dims.build_dimension(df, ["a", "b", "c"], "k", default=None)
+    plain = dims.build_dimension(df, ["a", "b", "c"], "k", default=None, check_unique=False)
     assert len({r.k for r in plain.collect()}) == 1
+    with pytest.raises(ValueError):
+        dims.build_dimension(df, ["a", "b", "c"], "k", default=None)
     safe = dims.build_dimension(df, ["a", "b", "c"], "k", default=None, null_token="␀")
     assert len({r.k for r in safe.collect()}) == 2
 
@@ -51,13 +55,13 @@ def test_mapping_key_on_raw_codes(spark):
     assert len({r.id for r in first.collect()}) == 1
 
 
-def test_resolve_star_keeps_rows_and_equals_derived_keys(spark):
+def test_resolve_star_keeps_rows_and_computed_keys_equal_joined_keys(spark):
     fact, specs = catalog._star(spark, SF_SMALL)
-    resolved = facts.resolve_star(fact, specs, keep=catalog.FACT_MEASURES)
-    derived = facts.derive_keys(fact, specs, keep=catalog.FACT_MEASURES)
-    assert resolved.count() == fact.count()
-    assert rows(resolved) == rows(derived)
-    assert resolved.where(F.col("DIM_ProductId").isNull()).count() == 0
+    computed = facts.resolve_star(fact, specs, keep=catalog.FACT_MEASURES)
+    joined = facts.resolve_star(fact, [replace(s, sha=False) for s in specs], keep=catalog.FACT_MEASURES)
+    assert computed.count() == fact.count()
+    assert rows(computed) == rows(joined)
+    assert computed.where(F.col("DIM_ProductId").isNull()).count() == 0
 
 
 def test_dimension_keys_unique(spark):
@@ -69,6 +73,17 @@ def test_dimension_keys_unique(spark):
 
 def test_unknown_member_routing(spark):
     fact = spark.createDataFrame([("a", 1), ("zz", 2), (None, 3)], "code string, v int")
+    none = dims.build_dimension(spark.createDataFrame([("a",)], "code string"), ["code"], "k", default=None)
+    with pytest.raises(ValueError):
+        facts.resolve_keys(fact, facts.DimSpec(none, ["code"], "k"), unknown_member="N/A")
+    other = dims.build_dimension(spark.createDataFrame([("a", "b")], "x string, y string"), ["x", "y"], "k", sep="~")
+    two = spark.createDataFrame([("a", "q")], "x string, y string")
+    for sha in (False, True):   # the surrogate is the dimension's own
+        got = facts.resolve_star(two, [facts.DimSpec(other, ["x", "y"], "k", sha=sha, sep="~")], unknown_member="N/A").first().k
+        assert got == other.where("x = 'N/A'").first().k
+    numbered = dims.add_hash_key(spark.createDataFrame([("A",), ("N/A",)], "code string"), ["code"], "k")
+    got = facts.resolve_keys(fact.withColumn("code", F.upper("code")), facts.DimSpec(numbered, ["code"], "k"), unknown_member="N/A")
+    assert {r.v: r.k for r in got.collect()}[2] == numbered.where("code = 'N/A'").first().k
     dim = dims.build_dimension(spark.createDataFrame([("a",)], "code string"), ["code"], "k")
     plain = facts.resolve_keys(fact, facts.DimSpec(dim, ["code"], "k"))
     assert sum(r.k is None for r in plain.collect()) == 2
@@ -86,17 +101,45 @@ def test_net_revenue_nulls(spark):
     assert pct.collect()[0].r == 95.0
 
 
-def test_mapping_resolution_keeps_rows_and_leaves_one_region_unlabelled(spark):
+def test_mapping_resolution_keeps_rows_and_leaves_unlisted_codes_unlabelled(spark):
     tx = D.transactions(spark, SF_SMALL)
     out = catalog.fact_resolve_mapping(spark, SF_SMALL)
     assert out.count() == tx.count()
-    assert out.where(F.col("DIM_ProductCategoryID").isNull()).count() == 0
-    unlabelled = out.where(F.col("DIM_CustomLabelID").isNull()).count()
-    excluded = (D.conformed_transactions(spark, SF_SMALL)
-                .join(D._orders_geo(spark, SF_SMALL).select(F.col("o_orderkey").alias("TransactionID"), "r_regionkey"),
-                      "TransactionID")
-                .where(F.col("r_regionkey") == D.MAPPING_EXCLUDED_REGION).count())
-    assert unlabelled == excluded
+    unlisted = tx.where(F.col("TransactionID") % 29 == 0).count()
+    assert unlisted > 0
+    for key in ("DIM_CustomLabelID", "DIM_ProductCategoryID"):
+        assert out.where(F.col(key).isNull()).count() == unlisted
+    assert out.where(F.col("DIM_StoreRegionID").isNull()).count() == 0
+
+
+def test_strangers_of_a_sha_dimension_get_no_key(spark):
+    fact = spark.createDataFrame([("a", "x", 1), ("b", "y", 2), ("a", None, 3), ("a", "x", 4)], "p string, q string, v int")
+    dim = dims.build_dimension(spark.createDataFrame([("a", "x")], "p string, q string"), ["p", "q"], "k")
+    for bound in (None, 0):
+        sha = facts.resolve_star(fact, [facts.DimSpec(dim, ["p", "q"], "k", sha=True)], max_broadcast_rows=bound)
+        plain = facts.resolve_star(fact, [facts.DimSpec(dim, ["p", "q"], "k")], max_broadcast_rows=bound)
+        assert rows(sha, "v", "k") == rows(plain, "v", "k")
+        assert [r[1] is None for r in rows(sha, "v", "k")] == [False, True, True, False]
+
+
+def test_sha_star_does_not_shuffle_the_fact(spark):
+    spark.conf.set("tessera.broadcast.maxRows", "10")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        named = D.sales_named_stage(spark, SF_SMALL)
+        specs = list(catalog._dims(named).values())
+        plan = plan_text(facts.resolve_star(named, specs, keep=catalog.FACT_MEASURES))
+    finally:
+        spark.conf.unset("tessera.broadcast.maxRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_hash_collisions_are_refused(spark):
+    codes = spark.range(300_000).select(F.col("id").cast("string").alias("code"))
+    with pytest.raises(ValueError):
+        dims.add_hash_key(codes, ["code"], "k", conform=False)
+    assert dims.add_hash_key(codes.limit(100), ["code"], "k", algo="xxhash64", conform=False).count() == 100
 
 
 def test_no_missing_values_left_after_cleaning(spark):
@@ -107,18 +150,7 @@ def test_no_missing_values_left_after_cleaning(spark):
     assert clean.count() == D.sales(spark, SF_SMALL).count()
 
 
-def test_derive_keys_null_part_gives_null_key(spark):
-    fact = spark.createDataFrame([("a", "b", 1), ("a", None, 2)], "x string, y string, v int")
-    dim = dims.build_dimension(fact, ["x", "y"], "k", default=None)
-    spec = facts.DimSpec(dim, ["x", "y"], "k")
-    joined = rows(facts.resolve_keys(fact, spec).select("v", "k"))
-    derived = rows(facts.derive_keys(fact, [spec]).select("v", "k"))
-    assert joined == derived and derived[1][1] is None
-
-
 def test_check_unique_rejects_fan_out(spark):
-    import pytest
-
     fact = spark.createDataFrame([("a", 1)], "code string, v int")
     dup = spark.createDataFrame([("a", "k1"), ("a", "k2")], "code string, k string")
     with pytest.raises(ValueError):

@@ -1,5 +1,6 @@
 """Sources, sinks and the incremental runner."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
@@ -25,6 +26,13 @@ def test_csv_explicit_schema_and_inference(spark):
     assert dict(io.read_csv(spark, path).dtypes)["n_nationkey"] == "string"
 
 
+def test_csv_columns_are_found_by_name(spark):
+    path = io.write_csv(spark.createDataFrame([(1, 2, "z")], "b int, a int, c string"), scratch_path(spark, "t-csv"))
+    assert rows(io.read_csv(spark, path, schema="a int, b int")) == [(2, 1)]
+    with pytest.raises(ValueError):
+        io.read_csv(spark, path, schema="a int, d int")
+
+
 def test_register_views(spark):
     io.register_views({"t_nation": io.read_table(spark, SF_SMALL, "nation")})
     assert spark.sql("SELECT count(*) AS n FROM t_nation").collect()[0].n == 25

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from conftest import SF_SMALL, rows
+from conftest import SF_SMALL, plan_text, rows
 from tessera.operators import quality
 from tessera.plans import derived as D
 
@@ -54,7 +54,45 @@ def test_fk_report_counts(spark):
 def test_fk_orphans_count_sf0_01(spark):
     from tessera.plans import catalog
     n = catalog.fk_orphans(spark, "/root/testdata/sf0.01").count()
-    assert n == 496   # customers of nations without a preferred supplier, plus null references
+    assert n == 332   # every 7th customer has no nation, every other 11th one that does not exist
+
+
+def test_reconcile_keyed_sees_middle_values_and_pairing(spark):
+    def both(a, b):
+        left, right = (spark.createDataFrame(x, "k long, v long, w long") for x in (a, b))
+        return rows(quality.reconcile_keyed(left, right, "k"), "k", "n_left", "n_right", "diff_columns")
+
+    assert both([(1, 1, 0), (1, 2, 0), (1, 5, 0)], [(1, 1, 0), (1, 3, 0), (1, 5, 0)]) == [(1, 3, 3, "v")]
+    assert both([(1, 1, 10), (1, 2, 20)], [(1, 1, 20), (1, 2, 10)]) == [(1, 2, 2, "*")]
+    assert both([(1, 1, None), (None, 2, 2)], [(1, 1, None), (None, 2, 3)]) == [(None, 1, 1, "w")]
+    assert both([(1, 1, 1), (1, 1, 1)], [(1, 1, 1)]) == [(1, 2, 1, "v,w")]
+    assert both([(1, 1, 1)], [(1, 1, 1)]) == []
+
+
+def test_reconcile_keyed_has_no_sort(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b")], "k long, s string")
+    plan = plan_text(quality.reconcile_keyed(left, left, "k"))
+    assert "SortAggregate" not in plan and "CartesianProduct" not in plan
+
+
+def test_fk_checks_compare_in_the_keys_own_types(spark):
+    fact = spark.createDataFrame([(1, "10", 5), (2, "11", 4294967297), (None, "x", 7)], "a int, b string, c long")
+    a = spark.createDataFrame([(1.0,), (2.0,)], "k double")
+    b = spark.createDataFrame([(10,), (11,)], "k long")
+    c = spark.createDataFrame([(5,), (7,)], "k int")
+    keys = [quality.ForeignKey("a", a, "k"), quality.ForeignKey("b", b, "k"), quality.ForeignKey("c", c, "k")]
+    want = [("a", 3, 1, 0), ("b", 3, 0, 1), ("c", 3, 0, 1)]
+    for bound in (None, 1, 0):   # all dimensions small; none of them
+        assert rows(quality.fk_report(fact, keys, bound), "fk_column", "n_rows", "n_null", "n_orphan") == want
+    assert quality.orphans(fact, "a", a, "k").count() == 1 and quality.orphans(fact, "b", b, "k").count() == 1
+    wide = spark.createDataFrame([(4294967297,), (1,), (2,)], "k long")
+    assert quality.fk_report(fact, [quality.ForeignKey("a", wide, "k")]).first().n_orphan == 0
+
+
+def test_fk_report_does_not_shuffle_the_fact_for_small_dimensions(spark):
+    fact = spark.range(1000).select((F.col("id") % 7).alias("k"))
+    plan = plan_text(quality.fk_report(fact, [quality.ForeignKey("k", spark.range(5), "id")]))
+    assert "SortMergeJoin" not in plan and "Generate explode" not in plan
 
 
 def test_expect_schema(spark):
