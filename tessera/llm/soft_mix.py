@@ -1,8 +1,8 @@
 """Mixing documents to target token weights with soft domain membership.
 
-A naive Bayes classifier on hashed n-grams, fitted on a labelled table, gives
-each document a posterior over domains. A document's tokens count for each
-domain in proportion. Nonnegative rates, one a document, are then fitted by
+A softmax regression on the hashed words that set the domains of a labelled
+table apart gives each document a posterior over domains. A document's tokens
+count for each domain in proportion. Nonnegative rates, one a document, are then fitted by
 accelerated projected gradient so that the expected token totals of the
 domains match the targets.
 
@@ -18,49 +18,145 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import stored
-from tessera.llm.hashed import bounded_sample, class_counts, features
+from tessera.llm.hashed import bounded_sample, features
 
 
-def posteriors(docs: DataFrame, labelled: DataFrame, buckets: int = 1 << 16, order: int = 2, per_domain: int = 5_000,
-               smoothing: float = 1.0, evidence: float = 100.0) -> tuple[list[str], DataFrame]:
+def softmax(logits: np.ndarray) -> np.ndarray:
+    p = np.exp(logits - logits.max(axis=1, keepdims=True, initial=-np.inf))
+    return p / p.sum(axis=1, keepdims=True)
+
+
+def fit_softmax(x: np.ndarray, y: np.ndarray, classes: int, penalty: float = 1e-4, steps: int = 200) -> np.ndarray:
+    """Weights of a softmax regression with a quadratic penalty, by accelerated gradient descent."""
+    x = x.astype(np.float32)
+    v = np.ones(x.shape[1], np.float32)
+    for _ in range(20):  # the largest curvature, by power iteration
+        v = x.T @ (x @ v)
+        size = float(np.linalg.norm(v))
+        v /= max(size, 1e-12)
+    step = np.float32(1 / (0.55 * size / max(1, len(x)) + penalty))
+    target = np.eye(classes, dtype=np.float32)[y]
+    w = ahead = np.zeros((x.shape[1], classes), np.float32)
+    t = 1.0
+    for _ in range(steps):
+        slope = x.T @ (softmax(x @ ahead) - target) / np.float32(max(1, len(x))) + np.float32(penalty) * ahead
+        new = ahead - step * slope
+        grown = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        ahead = new + np.float32((t - 1) / grown) * (new - w)
+        w, t = new, grown
+    return w.astype(float)
+
+
+def _present(column: pa.Array, buckets: int, number: np.ndarray | None = None):
+    """Yield ``first row, rows, buckets, words by row``: the distinct buckets of each row's words.
+
+    With ``number``, buckets are replaced by their numbers and those below 0 left out.
+    """
+    for at, row, bucket, words in features(column, buckets, 1):
+        if number is not None:
+            bucket = number[bucket]
+            row, bucket = row[bucket >= 0], bucket[bucket >= 0]
+        pair = np.unique(row * np.int64(buckets) + bucket)
+        yield at, pair // buckets, pair % buckets, words
+
+
+def _lists(row: np.ndarray, value: np.ndarray, n: int) -> pa.ListArray:
+    ends = np.r_[0, np.cumsum(np.bincount(row, minlength=n))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(value.astype(np.int32)))
+
+
+def fit_classifier(docs: DataFrame, sample: DataFrame, classes: int, buckets: int, picked: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the picked buckets (-1: not picked) and the weights, one row a bucket, then bias and log length.
+
+    ``sample`` (``doc_id``, ``class``) is bounded and sent to every task. The
+    ``picked`` buckets are those whose document frequency in some class is
+    farthest from that in all classes, in standard deviations.
+    """
+    def present(batches):
+        for batch in batches:
+            for at, row, bucket, words in _present(batch.column(0), buckets):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(1).slice(at, len(words)), pa.array(words.astype(np.int64)), _lists(row, bucket, len(words))],
+                    names=["class", "words", "buckets"])
+
+    rows = stored(docs.join(F.broadcast(sample), "doc_id").select("text", "class")
+                  .mapInArrow(present, "class int, words long, buckets array<int>"), "labelled-words")
+
+    def count(batches):
+        total = np.zeros((classes, buckets), np.int64)
+        for batch in batches:
+            kind = np.repeat(batch.column(0).to_numpy(), pa.compute.list_value_length(batch.column(2)).to_numpy())
+            total += np.bincount(kind * np.int64(buckets) + batch.column(2).flatten().to_numpy(),
+                                 minlength=classes * buckets).reshape(classes, buckets)
+        c, b = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(total[c, b])],
+                                         names=["c", "b", "n"])
+
+    got = rows.select("class", "words", "buckets").mapInArrow(count, "c int, b int, n long").groupBy("c", "b").agg(
+        F.sum("n").alias("n")).toArrow()
+    n = np.zeros((classes, buckets))
+    n[got.column("c").to_numpy(), got.column("b").to_numpy()] = got.column("n").to_numpy()
+    size = np.zeros(classes)
+    for r in rows.groupBy("class").count().collect():
+        size[r["class"]] = r["count"]
+    share = n.sum(axis=0) / max(1.0, size.sum())
+    apart = np.abs(n - size[:, None] * share) / np.sqrt(size[:, None] * share * (1 - share) + 1)
+    best = np.argsort(-apart.max(axis=0), kind="stable")[:picked]
+    number = np.full(buckets, -1, np.int64)
+    number[best] = np.arange(len(best))
+
+    def thin(batches):
+        for batch in batches:
+            width = pa.compute.list_value_length(batch.column(2)).to_numpy()
+            row, value = np.repeat(np.arange(len(width)), width), number[batch.column(2).flatten().to_numpy()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(row[value >= 0], value[value >= 0], len(width))],
+                                             names=["class", "words", "buckets"])
+
+    table = rows.mapInArrow(thin, "class int, words long, buckets array<int>").toArrow().combine_chunks()
+    x = np.zeros((len(table), len(best) + 2), np.float32)
+    if len(table):
+        lists = table.column("buckets").combine_chunks()
+        x[np.repeat(np.arange(len(table)), pa.compute.list_value_length(lists).to_numpy()), lists.flatten().to_numpy()] = 1
+    x[:, -2], x[:, -1] = 1, np.log1p(table.column("words").to_numpy())
+    weights = fit_softmax(x, table.column("class").to_numpy(), classes)
+    weights[-2] -= np.log(np.maximum(size, 0.5) / max(1.0, size.sum()))  # the sample's own priors go
+    return number, weights
+
+
+def posteriors(docs: DataFrame, labelled: DataFrame, buckets: int = 1 << 17, picked: int = 1024, per_domain: int = 4_000
+               ) -> tuple[list[str], DataFrame]:
     """Domains and, for each row, ``doc_id``, ``tokens``, ``posterior`` (an array in the order of the domains).
 
     ``labelled`` has ``doc_id`` and ``domain``. At most ``per_domain`` labelled
-    documents of each domain fit the classifier; priors are the shares of all
-    labelled rows. The mean log likelihood of an n-gram is weighted as
-    ``evidence`` n-grams (or as many as the text has, if fewer), which keeps
-    the posteriors of long texts soft. Tokens are white-space words.
+    documents of each domain, those with the smallest hash of the id, fit the
+    classifier; priors are the shares of all labelled rows. Features are
+    whether a document has a word of each of ``picked`` hash buckets, and the
+    log of its length. Tokens are white-space words.
     """
     rows = labelled.where("doc_id is not null and domain is not null")
     shares = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
     domains = sorted(shares)
-    number = F.create_map(*[F.lit(x) for i, d in enumerate(domains) for x in (d, i)]) if domains else None
-    classed = rows.select("doc_id", (number[F.col("domain")] if domains else F.lit(None).cast("int")).alias("class"))
-    weights = np.zeros((buckets, len(domains)))
-    prior = np.zeros(len(domains))
+    number, weights = np.full(buckets, -1, np.int64), np.zeros((2, len(domains)))
     if domains:
-        counts = class_counts(docs, bounded_sample(classed, per_domain), len(domains), buckets, order, False) + smoothing
-        weights = np.log(counts / counts.sum(axis=1, keepdims=True)).T.copy()
-        prior = np.log(np.array([shares[d] for d in domains], float) / sum(shares.values()))
+        classes = F.create_map(*[F.lit(x) for i, d in enumerate(domains) for x in (d, i)])
+        sample = bounded_sample(rows.select("doc_id", classes[F.col("domain")].alias("class")), per_domain)
+        number, weights = fit_classifier(docs, sample, len(domains), buckets, picked)
+        weights[-2] += np.log(np.array([shares[d] for d in domains], float) / sum(shares.values()))
 
     def run(batches):
         for batch in batches:
-            tokens, post = np.zeros(len(batch), np.int64), np.zeros((len(batch), len(domains)))
-            for at, row, bucket, words in features(batch.column(1), buckets, order):
+            tokens, logits = np.zeros(len(batch), np.int64), np.zeros((len(batch), len(domains)))
+            for at, row, picks, words in _present(batch.column(1), buckets, number):
                 m = len(words)
                 tokens[at:at + m] = words
-                n = np.bincount(row, minlength=m)
                 for d in range(len(domains)):
-                    post[at:at + m, d] = np.bincount(row, weights[bucket, d], minlength=m)
-                post[at:at + m] *= (np.minimum(n, evidence) / np.maximum(n, 1))[:, None]
-            if domains:
-                post += prior
-                post = np.exp(post - post.max(axis=1, keepdims=True))
-                post /= post.sum(axis=1, keepdims=True)
+                    logits[at:at + m, d] = np.bincount(row, weights[picks, d], minlength=m)
+            post = softmax(logits + weights[-2] + np.log1p(tokens)[:, None] * weights[-1]) if domains else logits
             ends = np.arange(len(batch) + 1, dtype=np.int32) * len(domains)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(tokens), pa.ListArray.from_arrays(pa.array(ends), pa.array(post.ravel()))],
@@ -131,8 +227,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], scale:
     ``posterior``, ``rate``, ``copies``; copies is the rate rounded up or down
     at random, by a hash of the id, with the rate as its expectation.
 
-    Null and empty texts have no tokens; their posterior is the prior. Rows
-    that repeat an id get equal rates. Rows with a null id get a rate, too.
+    Null and empty texts have no tokens; their posterior is that of a text
+    without words. Rows that repeat an id get equal rates. Rows with a null id get a rate, too.
     With no labelled rows, or no weight on any of their domains, every rate is
     ``scale``. An empty table gives no rows. Other columns are not read.
     """

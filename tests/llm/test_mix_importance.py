@@ -37,6 +37,24 @@ def test_rates_hit_the_targets_and_match_a_dense_solver(spark, make_docs):
     assert np.allclose(rate, r, atol=1e-6)
 
 
+def test_classifier_on_held_out_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = label_domains(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    domains, table = soft_mix.posteriors(docs, labels.where("doc_id % 4 <> 0"))
+    kept = table.join(labels.where("doc_id % 4 = 0"), "doc_id").toPandas()
+    said = [domains[int(np.argmax(p))] for p in kept.posterior]
+    assert np.mean(kept.domain == np.array(said)) > 0.85
+
+
+def test_softmax_regression_reaches_its_optimum():
+    rng = np.random.default_rng(0)
+    x = np.c_[rng.random((300, 4)) < 0.4, np.ones(300)].astype(float)
+    y = (x[:, 0] + x[:, 1] + rng.random(300) > 1.1).astype(int)
+    w = soft_mix.fit_softmax(x, y, 2, penalty=1e-2, steps=400)
+    slope = x.T @ (soft_mix.softmax(x @ w) - np.eye(2)[y]) / 300 + 1e-2 * w
+    assert np.abs(slope).max() < 1e-4
+
+
 def test_weight_on_one_domain_starves_the_other(spark, make_docs):
     out = soft_mix.mix(make_docs(corpus()), labels(spark), {"good": 1.0}, scale=0.5).toPandas()
     p = np.stack(out.posterior)
