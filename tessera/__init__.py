@@ -1,9 +1,9 @@
 """tessera: warehouse ETL and analytics operators on the Spark DataFrame API.
 
 Every operator is a plain function ``DataFrame -> DataFrame`` (or a few
-DataFrames in, one out). Nothing is collected to the driver; Catalyst plans
-each call, and the operators only choose *where* a shuffle or a broadcast is
-worth it.
+DataFrames in, one out). The driver receives only counts and sizes that
+decide a plan; Catalyst plans each call, and the operators only choose *where*
+a shuffle or a broadcast is worth it.
 
 Subpackages
 -----------

@@ -59,6 +59,7 @@ def quantile_of_counts(freq: DataFrame, group: str, value: str, n: str, q: float
 
     if split_above is None:
         split_above = int(freq.sparkSession.conf.get("tessera.quantile.splitAbove", None) or DEFAULT_SPLIT_ABOVE)
+    rows = freq.count()
     probs = [i / buckets for i in range(1, buckets)]
     totals = freq.groupBy(F.col(group).alias("__tg")).agg(
         F.greatest(F.ceil(F.sum(n) * F.lit(q)), F.lit(1)).cast("long").alias("__k"))
@@ -78,7 +79,8 @@ def quantile_of_counts(freq: DataFrame, group: str, value: str, n: str, q: float
         left = placed.join(located.select("__lg", "__lb", "__from"),
                            (F.col("__g") == F.col("__lg")) & (F.col("__b") == F.col("__lb"))
                            ).select("__g", "__v", "__n", "__k", F.col("__from").alias("__before"))
-        if (located.agg(F.max("__values")).first()[0] or 0) <= max(1, split_above):
+        # No bucket is larger than the whole table, which is counted from its files' footers.
+        if rows <= max(1, split_above) or (located.agg(F.max("__values")).first()[0] or 0) <= max(1, split_above):
             break
         left, _ = checkpointed(left)
     running = Window.partitionBy("__g").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -96,7 +98,7 @@ def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float =
     ``where`` is a column or an SQL predicate. ``split_above`` defaults to the
     session setting ``tessera.quantile.splitAbove`` or 2,000,000.
     """
-    from tessera.operators.joins import checkpointed
+    from tessera.operators.joins import written
 
     keys = _by(by)
     src = df if where is None else df.where(where)
@@ -106,7 +108,7 @@ def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float =
         raise ValueError(f"unknown method {method!r}")
     freq = (src.where(F.col(col).isNotNull()).groupBy(F.struct(*keys).alias("__group"), F.col(col).alias("__value"))
             .agg(F.count(F.lit(1)).alias("__count")))
-    freq, _ = checkpointed(freq)
+    freq = written(freq)
     got = quantile_of_counts(freq, "__group", "__value", "__count", q, out, accuracy, buckets, split_above)
     return got.select(*[F.col(f"__group.{k}").alias(k) for k in keys], out)
 

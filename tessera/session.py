@@ -3,30 +3,32 @@ finding the shared folder for checkpoints and stage tables.
 
 On a cluster the caller owns the session; ``spark.checkpoint.dir`` names a
 shared folder (HDFS, object store). Operators that cut lineage or write stage
-tables read that setting and never fall back to a machine-local folder unless
-the setting is missing, which only happens in local tests.
+tables read that setting; without it they say so.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, app: str = "tessera",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
-    """Return (or create) a session with AQE on and the UI off.
+    """The active session as it is, or else a new one with AQE on and the UI off.
 
-    Settings already present in the active configuration are left alone, so a
+    A setting that the configuration already has is left alone, so a
     cluster's own defaults win.
     """
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
+    given = SparkConf()
+    builder = SparkSession.builder
     conf = {
+        "spark.app.name": app,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
@@ -35,44 +37,39 @@ def get_session(master: str | None = None, app: str = "tessera",
         "spark.sql.session.timeZone": "UTC",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+    if master:
+        conf["spark.master"] = master
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
-    return spark
+        if not given.contains(k):
+            builder = builder.config(k, v)
+    return builder.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's reliable checkpoint folder.
+    """The session's shared checkpoint folder.
 
-    Order: the SparkContext's current folder, then ``spark.checkpoint.dir``,
-    and only when both are unset on a ``local[...]`` master (tests) a fresh
-    temporary folder. On a cluster without the setting this raises.
-    Sessions without a local SparkContext (Spark Connect) use the setting as
-    the server sees it.
+    The SparkContext's current folder, or else ``spark.checkpoint.dir``; the
+    library has no folder of its own to fall back on. Sessions without a local
+    SparkContext (Spark Connect) use the setting as the server sees it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect has no local SparkContext
-        if not configured:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
-        return configured
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
+        sc = None
+    if sc is not None:
+        if current := sc.getCheckpointDir():
+            return current
+        configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            # A folder on the driver's disk is not visible to executors on other hosts.
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
