@@ -95,6 +95,23 @@ def test_resample_draws_the_target_like_documents(spark, make_docs):
     assert out[out.selected].gumbel_key.min() >= out[~out.selected].gumbel_key.max()
 
 
+def test_a_target_document_is_scored_without_itself(spark, make_docs):
+    rows = [(0, "alpha beta alpha", "en"), (1, "alpha beta gamma", "en"), (2, "delta delta", "en"), (3, "alpha", "en")]
+    docs, target = make_docs(rows).select("doc_id", "text"), spark.createDataFrame([(0,), (1,)], "doc_id long")
+    got = {r.doc_id: r.mean_log_ratio for r in importance.log_ratios(docs, target, buckets=1 << 16).collect()}
+    size = 1 << 16
+
+    def share(word, texts):
+        words = " ".join(texts).split()
+        return (words.count(word) + 1) / (len(words) + size)
+
+    texts = {i: t for i, t, _ in rows}
+    for i, text in texts.items():
+        model = [texts[j] for j in (0, 1) if j != i]
+        want = np.mean([np.log(share(w, model) / share(w, texts.values())) for w in text.split()])
+        assert np.isclose(got[i], want)
+
+
 def test_resample_edges(spark, make_docs):
     docs = make_docs([(1, None, None), (2, "", None), (2, "", None), (None, GOOD, "en"), (5, GOOD * 3000, "en")])
     target = spark.createDataFrame([(5,), (None,)], "doc_id long")
