@@ -57,6 +57,8 @@ def test_query_matches_oracle(spark, duck, name):
 SCALE_PATH_QUERIES = ["partition_total", "running_total", "null_safe_outer_join", "mode_per_group",
                       "median_per_group", "median_fill", "fact_resolve_star", "revenue_by_brand",
                       "fk_orphans", "fk_report", "reconcile_keyed", "resolve_single_key",
+                      "reconcile_keyed_dupes", "fk_report_mixed_types", "null_safe_same_name",
+                      "unknown_member_star", "unknown_member_mapping", "star_fk_report", "custom_mapping",
                       "fact_resolve_mapping", "attendance_lag", "attendance_pairs", "punch_sequence"]
 
 
