@@ -2,7 +2,8 @@
 
 Seeds are ``k``-word shingles picked by minimizers: of every ``window``
 consecutive shingles the one with the least hash, so two equal stretches of
-``window + k - 1`` words share a seed wherever they lie. Every occurrence of
+``window + k - 1`` words share a seed wherever they lie. The default window
+of 1 makes every shingle a seed, which edits up to the stated similarity need. Every occurrence of
 a seed is joined to the seed's first occurrence (smallest doc_id, then
 position), a map-side combined minimum, so a passage in n documents gives n
 matches, not n squared.
@@ -10,12 +11,15 @@ matches, not n squared.
 The matches of a pair of documents are chained: positions must grow in both,
 and a Fenwick tree over the source positions holds the best chain end so far
 under a linear gap cost. Chains are cut where the gap is too wide. The words
-around each chain are then fetched from both texts, the ends are extended,
-and the two stretches are aligned by their longest common subsequence.
+around each chain are then fetched from both texts and aligned by their
+longest common subsequence; its best-scoring parts are the passages, so their
+ends go on past the seeds over substituted, inserted and deleted words.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,6 +28,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import column_bytes, row_slices, shingle_hashes, stored, word_hashes, word_spans
 
 GAP_COST = 0.1
+# Words of a stretch that are aligned at once at most; bounds the bit vectors kept.
+ALIGNED = 2000
 
 
 def minimizers(hashes: np.ndarray, rows: np.ndarray, window: int) -> np.ndarray:
@@ -121,16 +127,26 @@ def chains(x: np.ndarray, y: np.ndarray, weight: int) -> list[np.ndarray]:
     return out
 
 
-def _chain_rows(k: int, window: int, max_gap: int, least_words: int):
-    """Matches sorted by document pair in, one row a chain out."""
-    reach = 2 * (window + k)
+def thinned(x: np.ndarray, y: np.ndarray, step: int) -> np.ndarray:
+    """Indices of the matches without the inner ones of a run along a diagonal; of those every ``step``-th stays."""
+    order = np.lexsort((x, y - x))
+    cx, cd = x[order], (y - x)[order]
+    fresh = np.r_[True, (np.diff(cx) != 1) | (np.diff(cd) != 0)]
+    starts = np.flatnonzero(fresh)
+    within = np.arange(len(x)) - np.repeat(starts, np.diff(np.r_[starts, len(x)]))
+    return np.sort(order[(within % step == 0) | np.r_[fresh[1:], True]])
 
+
+def _chain_rows(k: int, max_gap: int):
+    """Matches sorted by document pair in, one row a chain out."""
     def pieces(x, y):
+        keep = thinned(x, y, k)
+        x, y = x[keep], y[keep]
         for chain in chains(x, y, k):
             cx, cy = x[chain], y[chain]
             cuts = np.flatnonzero((np.diff(cx) > max_gap) | (np.diff(cy) > max_gap)) + 1
             for px, py in zip(np.split(cx, cuts), np.split(cy, cuts)):
-                if len(px) > 1 and px[-1] - px[0] + k + reach >= least_words:
+                if len(px) > 1:
                     yield px[0], px[-1] + k, py[0], py[-1] + k
 
     def rows(table):
@@ -193,31 +209,119 @@ def common_words(a: np.ndarray, b: np.ndarray) -> int:
     return head + tail + len(a) - row.bit_count()
 
 
-def _extension(a: np.ndarray, b: np.ndarray) -> int:
-    """How far two stretches go on matching from their start; a mismatch costs four matches."""
+def _alignment(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in both of a longest common subsequence, by bit vectors kept for the way back."""
     n = min(len(a), len(b))
-    if not n:
-        return 0
-    score = np.cumsum(np.where(a[:n] == b[:n], 1, -4))
-    best = int(score.argmax())
-    return best + 1 if score[best] > 0 else 0
-
-
-def align(words: np.ndarray, inner: tuple[int, int], other: np.ndarray, other_inner: tuple[int, int]
-          ) -> tuple[int, int, int, int, float]:
-    """Extend a chain to both sides and align it.
-
-    Returns the two stretches and the share of the longer one's words that
-    lie on the alignment.
+    differ = np.flatnonzero(a[:n] != b[:n])
+    head = int(differ[0]) if len(differ) else n
+    where: dict[int, int] = {}
+    for i, w in enumerate(a[head:].tolist()):
+        where[w] = where.get(w, 0) | 1 << i
+    full = (1 << (len(a) - head)) - 1
+    row, rows = full, []
+    for w in b[head:].tolist():
+        m = row & where.get(w, 0)
+        row = ((row + m) | (row - m)) & full
+        rows.append(row)
+    i, j, x, y = len(a), len(b), [], []
+    while i > head and j > head:
+        if a[i - 1] == b[j - 1]:
+            i, j = i - 1, j - 1
+            x.append(i)
+            y.append(j)
+        elif rows[j - 1 - head] >> (i - 1 - head) & 1:
+            i -= 1
+        else:
+            j -= 1
+    lead = np.arange(head)
+    return np.r_[lead, np.array(x[::-1], np.int64)], np.r_[lead, np.array(y[::-1], np.int64)]
+
+
+def _anchors(a: np.ndarray, b: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """Starts of the ``k``-word shingles that come once in either stretch, as the longest run that grows in both."""
+    def once(words):
+        hashes, first = shingle_hashes(words.astype(np.int64).view(np.uint64), np.zeros(len(words), np.int8), k)
+        values, at, n = np.unique(hashes, return_index=True, return_counts=True)
+        return values[n == 1], first[at[n == 1]]
+
+    (u, i), (v, j) = once(a), once(b)
+    _, p, q = np.intersect1d(u, v, assume_unique=True, return_indices=True)
+    order = np.argsort(i[p])
+    x, y = i[p][order].tolist(), j[q][order].tolist()
+    tops, at, back = [], [], []
+    for n, value in enumerate(y):
+        k = bisect_left(tops, value)
+        back.append(at[k - 1] if k else -1)
+        tops[k:k + 1], at[k:k + 1] = [value], [n]
+    out, n = [], at[-1] if at else -1
+    while n >= 0:
+        out.append((x[n], y[n]))
+        n = back[n]
+    return out[::-1]
+
+
+def alignment(a: np.ndarray, b: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the words that two stretches have in common, growing in both.
+
+    A longest common subsequence; stretches of more than ``ALIGNED`` words
+    are cut at shared shingles first, or in equal parts where there are none.
     """
-    (s, e), (t, f) = inner, other_inner
-    left = _extension(words[:s][::-1], other[:t][::-1])
-    right = _extension(words[e:], other[f:])
-    s, t, e, f = s - left, t - left, e + right, f + right
-    return s, e, t, f, common_words(words[s:e], other[t:f]) / max(e - s, f - t, 1)
+    cuts, at = [(0, 0)], (0, 0)
+    if max(len(a), len(b)) > ALIGNED:
+        for x, y in [*_anchors(a, b, k), (len(a), len(b))]:
+            parts = -(-max(x - at[0], y - at[1]) // ALIGNED)
+            for j in range(1, parts):
+                cuts.append((at[0] + (x - at[0]) * j // parts, at[1] + (y - at[1]) * j // parts))
+            if parts > 1 or max(x - cuts[-1][0], y - cuts[-1][1]) > ALIGNED // 4:
+                cuts.append((x, y))
+            at = x, y
+    xs, ys = [], []
+    for (s, t), (e, f) in zip(cuts, [*cuts[1:], (len(a), len(b))]):
+        x, y = _alignment(a[s:e], b[t:f])
+        xs.append(x + s)
+        ys.append(y + t)
+    return np.concatenate(xs), np.concatenate(ys)
+
+
+def segments(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
+    """Best-scoring disjoint runs of the aligned words (x, y), ends inclusive.
+
+    An aligned word scores 2, a word left out between two of them -3: a run
+    ends where the share of aligned words falls below 0.6 for good.
+    """
+    left_out = np.maximum(np.diff(x), np.diff(y)) - 1
+    ends = np.r_[np.flatnonzero(left_out), len(x) - 1].tolist()
+    runs: list[list] = []  # first, last, score before, score after
+    total, first = 0, 0
+    for last in ends:
+        new = [first, last, total, total + 2 * (last - first + 1)]
+        total = new[3] - 3 * int(left_out[last]) if last < len(x) - 1 else new[3]
+        while True:
+            j = len(runs) - 1
+            while j >= 0 and runs[j][2] >= new[2]:
+                j -= 1
+            if j < 0 or runs[j][3] >= new[3]:
+                break
+            new = [runs[j][0], new[1], runs[j][2], new[3]]
+            del runs[j:]
+        runs.append(new)
+        first = last + 1
+    return [(r[0], r[1]) for r in runs]
+
+
+def stretches(words: np.ndarray, other: np.ndarray, least_words: int, similarity: float
+              ) -> list[tuple[int, int, int, int, float]]:
+    """Parts of two stretches that are alike, with the share of the longer one's words that lie on the alignment."""
+    x, y = alignment(words, other)
+    out = []
+    for first, last in segments(x, y) if len(x) else ():
+        s, e, t, f = int(x[first]), int(x[last]) + 1, int(y[first]), int(y[last]) + 1
+        if e - s >= least_words and (alike := common_words(words[s:e], other[t:f]) / max(e - s, f - t)) >= similarity:
+            out.append((s, e, t, f, alike))
+    return out
 
 
-def repeated_passages(docs: DataFrame, k: int = 5, window: int = 10, least_words: int = 50, similarity: float = 0.8,
+def repeated_passages(docs: DataFrame, k: int = 5, window: int = 1, least_words: int = 50, similarity: float = 0.8,
                       max_gap: int = 25, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Passages of ``least_words`` words or more that repeat an earlier one.
 
@@ -244,8 +348,8 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 10, least_words
     matches = (found.join(first, "hash").where("doc <> src or pos > src_pos")
                .select("doc", "src", "pos", "src_pos"))
     linked = stored(matches.repartition("doc", "src").sortWithinPartitions("doc", "src", "pos", "src_pos")
-                    .mapInArrow(_chain_rows(k, window, max_gap, least_words), _CHAIN).distinct(), "chains")
-    pad = least_words + window + k  # as far as a stretch may go on past the last seed of its chain
+                    .mapInArrow(_chain_rows(k, max_gap), _CHAIN).distinct(), "chains")
+    pad = least_words + max_gap + window + k  # as far as a stretch may go on past the last seed of its chain
     wanted = (linked.select(F.col("doc").alias("of"), F.lit(True).alias("own"), F.col("start").alias("a"),
                             F.col("end").alias("b"), *_KEY)
               .union(linked.select(F.col("src").alias("of"), F.lit(False).alias("own"), F.col("src_start").alias("a"),
@@ -278,10 +382,10 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 10, least_words
                                                            batch.column(6), batch.column(7)):
                 words, others = (w.values.to_numpy() for w in (words, others))
                 s0, t0 = max(0, s - pad), max(0, t - pad)
-                a, b, c, d, alike = align(words, (s - s0, e - s0), others, (t - t0, f - t0))
-                a, b, c, d = a + s0, b + s0, c + t0, d + t0
-                if b - a >= least_words and alike >= similarity and (doc != src or a >= d):
-                    out.append((doc, a, b, src, c, d, alike))
+                for a, b, c, d, alike in stretches(words, others, least_words, similarity):
+                    a, b, c, d = a + s0, b + s0, c + t0, d + t0
+                    if doc != src or a >= d:
+                        out.append((doc, a, b, src, c, d, alike))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64(), pa.int32(), pa.int32()] * 2 + [pa.float64()])],
