@@ -12,8 +12,9 @@ The matches of a pair of documents are chained: positions must grow in both,
 and a Fenwick tree over the source positions holds the best chain end so far
 under a linear gap cost. Chains are cut where the gap is too wide. The words
 around each chain are then fetched from both texts and aligned by their
-longest common subsequence; its best-scoring parts are the passages, so their
-ends go on past the seeds over substituted, inserted and deleted words.
+longest common subsequence, so ends go on past the seeds over substituted,
+inserted and deleted words. The passages are the alignment's parts that are
+long and alike enough, so unlike text in the same chain hides none.
 """
 
 from __future__ import annotations
@@ -309,15 +310,56 @@ def segments(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
     return [(r[0], r[1]) for r in runs]
 
 
+def longest_alike(x: np.ndarray, y: np.ndarray, least_words: int, similarity: float) -> tuple[int, int] | None:
+    """The run of the aligned words, ends inclusive, that is longest in ``x`` among those of ``least_words`` and ``similarity``."""
+    if not len(x) or x[-1] - x[0] + 1 < least_words:
+        return None
+    n = np.arange(len(x))
+    fx, fy = n - similarity * x, n - similarity * y
+    slack = 1 - similarity + 1e-9
+    last = np.full(len(x), len(x) - 1)
+    for f in (fx, fy):
+        most = np.maximum.accumulate(f[::-1])  # grows from the end
+        last = np.minimum(last, len(x) - 1 - np.searchsorted(most, f - slack))
+    bound = x[last] - x + 1
+    best, found = least_words - 1, None
+    for i in np.argsort(-bound, kind="stable").tolist():
+        if bound[i] <= best:
+            break
+        to = last[i] + 1
+        j = i + int(np.flatnonzero((fx[i:to] >= fx[i] - slack) & (fy[i:to] >= fy[i] - slack))[-1])
+        if x[j] - x[i] + 1 > best:
+            best, found = x[j] - x[i] + 1, (i, j)
+    return found
+
+
 def stretches(words: np.ndarray, other: np.ndarray, least_words: int, similarity: float
               ) -> list[tuple[int, int, int, int, float]]:
-    """Parts of two stretches that are alike, with the share of the longer one's words that lie on the alignment."""
+    """Parts of two stretches that are alike, with the share of the longer one's words that lie on the alignment.
+
+    First the best-scoring runs that are long and alike enough as they are;
+    then, in what lies between, the longest run that is, and so on.
+    """
     x, y = alignment(words, other)
+
+    def enough(first, last):
+        n = x[last] - x[first] + 1
+        return n >= least_words and last - first + 1 >= similarity * max(n, y[last] - y[first] + 1) - 1e-9
+
+    found = [r for r in segments(x, y) if enough(*r)] if len(x) else []
+    edges = [-1, *(i for r in found for i in r), len(x)]
+    open_runs = list(zip(edges[::2], edges[1::2]))
+    while open_runs:
+        before, after = open_runs.pop()
+        run = longest_alike(x[before + 1:after], y[before + 1:after], least_words, similarity)
+        if run:
+            i, j = before + 1 + run[0], before + 1 + run[1]
+            found.append((i, j))
+            open_runs += [(before, i), (j, after)]
     out = []
-    for first, last in segments(x, y) if len(x) else ():
+    for first, last in sorted(found):
         s, e, t, f = int(x[first]), int(x[last]) + 1, int(y[first]), int(y[last]) + 1
-        if e - s >= least_words and (alike := common_words(words[s:e], other[t:f]) / max(e - s, f - t)) >= similarity:
-            out.append((s, e, t, f, alike))
+        out.append((s, e, t, f, common_words(words[s:e], other[t:f]) / max(e - s, f - t)))
     return out
 
 

@@ -65,3 +65,36 @@ def test_alignment_is_as_long_as_the_longest_common_subsequence(monkeypatch):
     monkeypatch.setattr(C, "ALIGNED", 100)
     x, y = C.alignment(a, b)
     assert len(x) >= 890 and (a[x] == b[y]).all() and (np.diff(x) > 0).all() and (np.diff(y) > 0).all()
+
+
+def test_verbatim_passages_within_form_fields_are_found(spark, make_docs):
+    rng, rows, pairs = random.Random(6), [], {}
+    for n in range(40):
+        size, shared = rng.choice([55, 65, 80]), rng.choice([10, 12, 14])
+        fields = [words(rng, shared) for _ in range(10)]
+        p, i = words(rng, size), 2 * n
+
+        def form():
+            filled = [f + words(rng, rng.choice([6, 9, 12])) for f in fields]
+            return sum(filled[:5], []), sum(filled[5:], [])
+
+        for doc in (i, i + 1):
+            head, tail = form()
+            rows.append((doc, head + p + tail))
+            if doc > i:
+                pairs[doc, i] = (len(head), len(head) + size)
+    docs = make_docs([(i, " ".join(w), "en") for i, w in rows])
+    found = C.repeated_passages(docs)
+    assert covered(found, pairs) == 1.0
+    for r in found.collect():
+        assert r.end - r.start >= 50 and r.similarity >= 0.8
+
+
+def test_longest_alike_against_all_pairs():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        x, y = (np.cumsum(rng.choice([1, 1, 1, 2, 4], 25)) for _ in range(2))
+        runs = [x[j] - x[i] + 1 for i in range(25) for j in range(i, 25)
+                if x[j] - x[i] + 1 >= 8 and j - i + 1 >= 0.8 * max(x[j] - x[i] + 1, y[j] - y[i] + 1) - 1e-9]
+        got = C.longest_alike(x, y, 8, 0.8)
+        assert (x[got[1]] - x[got[0]] + 1 if got else None) == max(runs, default=None)
