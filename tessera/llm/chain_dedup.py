@@ -5,8 +5,9 @@ consecutive shingles the one with the least hash, so two equal stretches of
 ``window + k - 1`` words share a seed wherever they lie. The default window
 of 1 makes every shingle a seed, which edits up to the stated similarity need. Every occurrence of
 a seed is joined to the seed's first occurrence (smallest doc_id, then
-position), a map-side combined minimum, so a passage in n documents gives n
-matches, not n squared.
+position) and to the preceding one, so a passage in n documents gives 2 n
+matches, not n squared, and a seed that an unlike document happens to hold
+first still links the documents that share the passage.
 
 The matches of a pair of documents are chained: positions must grow in both,
 and a Fenwick tree over the source positions holds the best chain end so far
@@ -23,7 +24,8 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import column_bytes, row_slices, shingle_hashes, stored, word_hashes, word_spans
@@ -74,6 +76,96 @@ def seeds(docs: DataFrame, k: int, window: int) -> DataFrame:
     return docs.mapInArrow(run, "hash long, doc long, pos int")
 
 
+_LINK = "kind int, part int, hash long, doc long, pos int, src long, src_pos int"
+_MATCH, _OPEN, _EDGE = 0, 1, 2
+
+
+def _links(batches):
+    """Occurrences sorted by hash, document and position in, matches with the hash's first and the preceding one out.
+
+    The first hash of a partition may have begun in an earlier one. Its rows
+    come out as ``_OPEN``, with the preceding occurrence in ``src`` if that
+    is in the partition. The first and last hash give an ``_EDGE`` row with
+    their first and last occurrence.
+    """
+    part = TaskContext.get().partitionId()
+    opening = held = None  # first hash of the partition; hash, first and last occurrence so far
+
+    def rows(kind, hash_, doc, pos, src, src_pos):
+        n = len(doc)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, part, np.int32)), pa.array(hash_), pa.array(doc),
+             pa.array(pos), src if isinstance(src, pa.Array) else pa.array(src),
+             src_pos if isinstance(src_pos, pa.Array) else pa.array(src_pos)],
+            names=["kind", "part", "hash", "doc", "pos", "src", "src_pos"])
+
+    def edge(hash_, first, last):
+        return rows(_EDGE, np.array([hash_]), np.array([first[0]]), np.array([first[1]], np.int32),
+                    np.array([last[0]]), np.array([last[1]], np.int32))
+
+    for batch in batches:
+        h, doc, pos = (c.to_numpy() for c in batch.columns)
+        if not len(h):
+            continue
+        n = 0
+        if held is not None:  # the held hash's first and last occurrence go before the batch
+            n = 2
+            h = np.r_[[held[0]] * 2, h]
+            doc = np.r_[held[1][0], held[2][0], doc]
+            pos = np.r_[held[1][1], held[2][1], pos].astype(np.int32)
+        else:
+            opening = h[0]
+        same = np.r_[False, h[1:] == h[:-1]]
+        again = np.r_[False, same[1:] & (doc[1:] == doc[:-1]) & (pos[1:] == pos[:-1])]
+        start = np.maximum.accumulate(np.where(same, 0, np.arange(len(h))))
+        at = np.flatnonzero(~again & (np.arange(len(h)) >= n))
+        shut = at[same[at] & (h[at] != opening)]
+        if len(shut):
+            first, before = start[shut], shut - 1
+            more = (doc[before] != doc[first]) | (pos[before] != pos[first])
+            mine, theirs = np.r_[shut, shut[more]], np.r_[first, before[more]]
+            yield rows(_MATCH, h[mine], doc[mine], pos[mine], doc[theirs], pos[theirs])
+        unsure = at[h[at] == opening]
+        if len(unsure):
+            head = ~same[unsure]
+            before = np.maximum(unsure - 1, 0)
+            yield rows(_OPEN, h[unsure], doc[unsure], pos[unsure], pa.array(doc[before], mask=head),
+                       pa.array(pos[before], mask=head))
+        begins = start[-1]
+        if held is not None and held[0] == opening != h[-1]:
+            last = int(np.flatnonzero(h == opening)[-1])
+            yield edge(opening, held[1], (doc[last], pos[last]))
+        elif held is None and opening != h[-1]:
+            last = int(np.flatnonzero(h == opening)[-1])
+            yield edge(opening, (doc[0], pos[0]), (doc[last], pos[last]))
+        held = h[-1], (doc[begins], pos[begins]), (doc[-1], pos[-1])
+    if held is not None:
+        yield edge(*held)
+
+
+def links(found: DataFrame) -> DataFrame:
+    """``doc``, ``pos``, ``src``, ``src_pos``: every occurrence with the seed's first and with the preceding one.
+
+    Occurrences are dealt by ranges of (hash, document, position), so those
+    of a hot seed spread over many tasks; what a range lacks of its first
+    hash is taken from the edges of the ranges, two rows a range at most.
+    """
+    by = ["hash", "doc", "pos"]
+    raw = stored(found.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_links, _LINK), "seed-links")
+    place, source = F.struct("doc", "pos"), F.struct("src", "src_pos")
+    edges = raw.where(F.col("kind") == _EDGE).select("hash", "part", place.alias("lo"), source.alias("hi"))
+    ranges = Window.partitionBy("hash").orderBy("lo")
+    edges = edges.select("hash", "part", F.first("lo").over(ranges).alias("first"), F.lag("hi").over(ranges).alias("before"))
+    unsure = (raw.where(F.col("kind") == _OPEN).select("hash", "part", place.alias("mine"), "src", source.alias("got"))
+              .join(F.broadcast(edges), ["hash", "part"])
+              .select("mine", F.array_distinct(F.array(
+                  F.expr("struct(first.doc AS src, first.pos AS src_pos)"),
+                  F.when(F.col("src").isNotNull(), F.col("got")).otherwise(F.col("before")))).alias("sources"), "first")
+              .where("first < mine").select("mine.doc", "mine.pos", F.explode("sources").alias("s"))
+              .select("doc", "pos", "s.src", "s.src_pos"))
+    return raw.where(F.col("kind") == _MATCH).select("doc", "pos", "src", "src_pos").union(unsure)
+
+
 class Fenwick:
     """Prefix maxima of (value, index) over ranks."""
 
@@ -363,16 +455,35 @@ def stretches(words: np.ndarray, other: np.ndarray, least_words: int, similarity
     return out
 
 
+def _without_covered(batches):
+    """Passages sorted by document and source, without those whose words all lie in passages before them."""
+    doc, seen = None, np.zeros(0, bool)
+    for batch in batches:
+        keep = []
+        for i, (d, a, b) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:3]))):
+            if d != doc:
+                doc, seen = d, np.zeros(0, bool)
+            if len(seen) < b:
+                seen = np.r_[seen, np.zeros(max(b - len(seen), len(seen)), bool)]
+            if not seen[a:b].all():
+                keep.append(i)
+                seen[a:b] = True
+        if keep:
+            yield batch.take(pa.array(keep))
+
+
 def repeated_passages(docs: DataFrame, k: int = 5, window: int = 1, least_words: int = 50, similarity: float = 0.8,
                       max_gap: int = 25, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Passages of ``least_words`` words or more that repeat an earlier one.
 
     Returns ``doc_id``, ``start``, ``end`` (word positions, end exclusive),
     ``source_id``, ``source_start``, ``source_end``, ``similarity``. Words are
-    separated by white space and compared with A-Z lower-cased. The source is
-    the document with the smallest id that holds the seeds, so a passage in n
-    documents gives n - 1 rows and its first occurrence is in none. A passage
-    that a text repeats within itself counts, if the two do not overlap.
+    separated by white space and compared with A-Z lower-cased. Sources are
+    the first and the preceding document that hold the seeds; a passage whose
+    words all lie in passages of smaller sources is left out, so an exact
+    passage in n documents gives n - 1 rows and its first occurrence is in
+    none. A passage that a text repeats within itself counts, if the two do
+    not overlap.
 
     Rows with a null id take no part; a null or short text has no passage.
     Rows that repeat an id and its text count as one document. If one id
@@ -383,12 +494,7 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 1, least_words:
     docs = docs.where(F.col(f"`{doc_id}`").isNotNull()).select(
         F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("binary").alias("text"))
     found = seeds(docs, k, window)
-    place = F.struct("doc", "pos")
-    # Stored, so that both sides of the join are plain exchanges and a hot seed's occurrences can be split.
-    first = stored(found.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-                   .select("hash", F.col("first.doc").alias("src"), F.col("first.pos").alias("src_pos")), "seed-sources")
-    matches = (found.join(first, "hash").where("doc <> src or pos > src_pos")
-               .select("doc", "src", "pos", "src_pos"))
+    matches = links(found).select("doc", "src", "pos", "src_pos")
     linked = stored(matches.repartition("doc", "src").sortWithinPartitions("doc", "src", "pos", "src_pos")
                     .mapInArrow(_chain_rows(k, max_gap), _CHAIN).distinct(), "chains")
     pad = least_words + max_gap + window + k  # as far as a stretch may go on past the last seed of its chain
@@ -433,8 +539,10 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 1, least_words:
                     [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64(), pa.int32(), pa.int32()] * 2 + [pa.float64()])],
                     names=["doc_id", "start", "end", "source_id", "source_start", "source_end", "similarity"])
 
-    return sides.mapInArrow(aligned, "doc_id long, start int, end int, source_id long, source_start int, "
-                                     "source_end int, similarity double").distinct()
+    kinds = "doc_id long, start int, end int, source_id long, source_start int, source_end int, similarity double"
+    by = ["doc_id", "source_id", "start", "end", "source_start"]
+    return (sides.mapInArrow(aligned, kinds).repartition("doc_id").sortWithinPartitions(*by)
+            .mapInArrow(_without_covered, kinds))
 
 
 def cut_passages(docs: DataFrame, passages: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -98,3 +98,50 @@ def test_longest_alike_against_all_pairs():
                 if x[j] - x[i] + 1 >= 8 and j - i + 1 >= 0.8 * max(x[j] - x[i] + 1, y[j] - y[i] + 1) - 1e-9]
         got = C.longest_alike(x, y, 8, 0.8)
         assert (x[got[1]] - x[got[0]] + 1 if got else None) == max(runs, default=None)
+
+
+def test_seeds_that_earlier_documents_hold_do_not_hide_a_passage(spark, make_docs):
+    rng, rows, pairs, taken = random.Random(9), [], {}, []
+    for n in range(40):
+        p = words(rng, 60)
+        q = edited(rng, p, 0.05 if n % 2 else 0.0, False)
+        # Every seed of the passage comes in an earlier document, each by itself.
+        taken += [words(rng, 12) + p[i:i + 5] + words(rng, 27) for i in range(56)]
+        i = 100_000 + 2 * n
+        rows += [(i, words(rng, 70) + p + words(rng, 60)), (i + 1, words(rng, 40) + q + words(rng, 80))]
+        pairs[i + 1, i] = (40, 40 + len(q))
+    docs = make_docs([(i, " ".join(w), "en") for i, w in [*enumerate(taken), *rows]])
+    assert covered(C.repeated_passages(docs), pairs) == 1.0
+
+
+def test_later_versions_are_linked_to_the_one_they_were_edited_from(spark, make_docs):
+    rng = random.Random(10)
+    a = words(rng, 100)
+    b = [w if i % 7 else f"b{i}" for i, w in enumerate(a)]
+    c = [w if i % 7 != 3 else f"c{i}" for i, w in enumerate(b)]
+    assert alike(a, b) >= 0.8 and alike(b, c) >= 0.8 and alike(a, c) < 0.8
+    rows = [(1, words(rng, 30) + a), (2, b + words(rng, 30)), (3, words(rng, 20) + c)]
+    got = {(r.doc_id, r.source_id) for r in C.repeated_passages(make_docs([(i, " ".join(w), "en") for i, w in rows])).collect()}
+    assert {(2, 1), (3, 2)} <= got
+
+
+def test_links_are_the_first_and_the_preceding_occurrence(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice([5, 5, 5, 5, -3, 8, rng.randrange(100)]), rng.randrange(300), rng.randrange(9)) for _ in range(4000)]
+    found = spark.createDataFrame(rows, "hash long, doc long, pos int")
+    want, by_hash = set(), {}
+    for h, d, p in sorted(set(rows)):
+        by_hash.setdefault(h, []).append((d, p))
+    for places in by_hash.values():
+        for before, mine in zip(places, places[1:]):
+            want |= {(*mine, *before), (*mine, *places[0])}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (1, 13):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            assert {tuple(r) for r in C.links(found).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
