@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import stored
 
 MAGIC = b"\x1f\x8b\x08"
-_HEADER_LIMIT = 1 << 16
+_AHEAD = 1 << 16
 _STEP = 1 << 18
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
@@ -144,22 +144,23 @@ class _Bytes:
 def _is_member(source: _Bytes, at: int) -> bool:
     """Does a gzip member with a WARC header start here?"""
     inflate = zlib.decompressobj(31)
-    out, seen = b"", 0
+    out, seen, step, found = bytearray(), 0, 256, -1
     try:
-        while b"\r\n\r\n" not in out and len(out) < _HEADER_LIMIT and not inflate.eof:
+        while found < 0 and not inflate.eof:
             chunk = inflate.unconsumed_tail
             if not chunk:
-                chunk = source.get(at + seen, 4096)
+                chunk = source.get(at + seen, max(step, 4096))
                 seen += len(chunk)
             if not chunk:
                 return False
-            out += inflate.decompress(chunk, 256)
+            searched = max(0, len(out) - 3)
+            out += inflate.decompress(chunk, step)
             if out[:7] != b"WARC/1."[:len(out[:7])]:
                 return False
+            found, step = out.find(b"\r\n\r\n", searched), min(2 * step, _STEP)
     except zlib.error:
         return False
-    head, found, _ = out.partition(b"\r\n\r\n")
-    return bool(found) and head.startswith(b"WARC/1.") and {"warc-type", "content-length"} <= headers(head).keys()
+    return found >= 0 and {"warc-type", "content-length"} <= headers(bytes(out[:found])).keys()
 
 
 def _member(source: _Bytes, at: int) -> tuple[bytes, int] | None:
@@ -193,7 +194,7 @@ def _find(source: _Bytes, at: int, end: int) -> int | None:
 
 def scan(file, start: int, end: int):
     """Offsets and bytes of the records that start in ``[start, end)``; None for a damaged one."""
-    source, at = _Bytes(file, start, min(end - start + _HEADER_LIMIT, 1 << 27)), start
+    source, at = _Bytes(file, start, min(end - start + _AHEAD, 1 << 27)), start
     while (at := _find(source, at, end)) is not None:
         while at < end and _is_member(source, at):
             got = _member(source, at)

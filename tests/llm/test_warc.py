@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import io
+import random
 
 import pytest
 
@@ -84,3 +85,14 @@ def test_least_bytes_and_empty(spark):
     assert got == {"<urn:page:1>": "response", "<urn:page:2>": "response", "<urn:page:3>": "revisit", "<urn:page:4>": "response"}
     none = W.write_archives(pages.limit(0), scratch_path(spark, "w"))
     assert none.count() == 0 and read(spark, none, 1 << 20) == []
+
+
+def test_very_long_urls_are_read_at_any_split(spark):
+    rng = random.Random(1)
+    pages = [(1, "data:," + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=400_000)), "first"), (2, "\x01" * 100_000, "second"),
+             (3, "http://a/" + "x" * 70_000, "second"), (4, "http://a/4", "last")]
+    files = W.write_archives(table(spark, pages).coalesce(1), scratch_path(spark, "warc-urls"))
+    for split in (1 << 14, 1 << 26):
+        rows = {r.record_id: r for r in read(spark, files, split)}
+        assert len(rows) == 4 and all(r.record_type in ("response", "revisit") for r in rows.values())
+        assert rows["<urn:page:1>"].target_uri == pages[0][1] and rows["<urn:page:2>"].target_uri == "%01" * 100_000
