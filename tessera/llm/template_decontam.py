@@ -1,10 +1,12 @@
 """Benchmark decontamination by canonical templates.
 
 Numbers, capitalised names and units of measure become typed placeholders, so
-a question with other values has the same template. Windows of template
+a question with other values has the same template; a second view takes a run
+of names, and a number with its unit, as one placeholder. Windows of template
 tokens are hash-joined between documents and benchmark items. Matches on one
-diagonal (document position less item position) are then checked for slot
-consistency: equal item values must stand for equal document values and the
+diagonal (document position less item position), or in a chain over
+neighbouring ones, in which words may be inserted or missing, are then checked
+for slot consistency: equal item values must stand for equal document values and the
 other way round, within each type. Windows that break the mapping do not
 count. A document leaks an item if its consistent windows cover enough of the
 item's windows.
@@ -20,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.chain_dedup import chains
 from tessera.llm.common import stored
 
 # Units of measure and currencies, lower case.
@@ -75,6 +78,36 @@ def template(text: str | None, tokens: Tokens) -> tuple[np.ndarray, list[str | N
     return np.array([t[0] for t in got], np.uint64), [t[1] for t in got]
 
 
+_CODE = {kind: xxhash.xxh64_intdigest(kind) | 1 for kind in (NUMBER, QUANTITY, NAME, UNIT)}
+
+
+def collapsed(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The template with each run of names as one name and a number and its unit as one quantity.
+
+    Returns the codes and the tokens where they begin.
+    """
+    name, number, unit = (codes == np.uint64(_CODE[k]) for k in (NAME, NUMBER, UNIT))
+    after = np.zeros(len(codes), bool)
+    after[1:] = name[1:] & name[:-1] | unit[1:] & number[:-1]
+    codes = codes.copy()
+    codes[:-1][unit[1:] & number[:-1]] = _CODE[QUANTITY]
+    at = np.flatnonzero(~after)
+    return codes[at], at
+
+
+def slots_of(values: list[str | None], bounds: list[int]) -> list[str | None]:
+    """The values of the slots that begin at ``bounds`` (one more for the end)."""
+    out = []
+    for a, b in zip(bounds, bounds[1:]):
+        if b - a == 1:
+            out.append(values[a])
+        elif values[a].startswith(NAME):
+            out.append(NAME + " ".join(v[len(NAME):] for v in values[a:b]))
+        else:
+            out.append(QUANTITY + values[a][len(NUMBER):] + values[a + 1][len(UNIT):])
+    return out
+
+
 def windows(codes: np.ndarray, size: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and position of each window that holds at least ``literals`` literal words."""
     n = len(codes) - size + 1
@@ -90,34 +123,46 @@ def windows(codes: np.ndarray, size: int, literals: int) -> tuple[np.ndarray, np
 
 
 def _windows(rows: DataFrame, size: int, literals: int, only: np.ndarray | None) -> DataFrame:
-    """``id``, ``hash``, ``pos``, ``slots``, ``total`` (windows of the text) of every window, or of those in ``only``."""
+    """Every window, or those in ``only``, of the templates of a text: as it is (view 0) and collapsed (view 1).
+
+    ``pos`` counts the view's tokens, ``at`` those of the text; ``total`` is
+    the number of windows of the text in the view.
+    """
     def run(batches):
         tokens = Tokens()
         for batch in batches:
             out = []
             for ident, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 codes, values = template(text.as_py(), tokens)
-                hashes, at = windows(codes, size, literals)
-                total = len(at)
-                if only is not None and total:
-                    i = np.searchsorted(only, hashes)
-                    i[i == len(only)] = 0
-                    hit = only[i] == hashes
-                    hashes, at = hashes[hit], at[hit]
-                out += [(ident, h, p, values[p:p + size], total) for h, p in zip(hashes.tolist(), at.tolist())]
+                short, begin = collapsed(codes)
+                for view, (codes, starts) in enumerate(((codes, None), (short, begin))):
+                    hashes, at = windows(codes, size, literals)
+                    hashes ^= view  # a hash of one view does not meet the other
+                    total = len(at)
+                    if only is not None and total:
+                        i = np.searchsorted(only, hashes)
+                        i[i == len(only)] = 0
+                        hit = only[i] == hashes
+                        hashes, at = hashes[hit], at[hit]
+                    if starts is None:
+                        out += [(ident, view, h, p, p, values[p:p + size], total) for h, p in zip(hashes.tolist(), at.tolist())]
+                    else:
+                        bounds = [*starts.tolist(), len(values)] if len(at) else []
+                        out += [(ident, view, h, p, bounds[p], slots_of(values, bounds[p:p + size + 1]), total)
+                                for h, p in zip(hashes.tolist(), at.tolist())]
                 if len(out) > 20_000:
                     yield _window_batch(out)
                     out = []
             if out:
                 yield _window_batch(out)
 
-    return rows.mapInArrow(run, "id long, hash long, pos int, slots array<string>, total int")
+    return rows.mapInArrow(run, "id long, view int, hash long, pos int, at int, slots array<string>, total int")
 
 
 def _window_batch(rows):
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32()]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.int32()]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                                      names=["id", "hash", "pos", "slots", "total"])
+                                      names=["id", "view", "hash", "pos", "at", "slots", "total"])
 
 
 def consistent(pairs: list[tuple[int, list[str | None], list[str | None]]]) -> tuple[set[int], bool]:
@@ -140,11 +185,12 @@ def consistent(pairs: list[tuple[int, list[str | None], list[str | None]]]) -> t
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, literals: int = 2, coverage: float = 0.5,
-          doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+          max_shift: int = 25, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Benchmark items found in documents.
 
     Returns ``doc_id``, ``item_id``, ``coverage`` (share of the item's windows
-    that the best diagonal matches consistently), ``reworded`` (some slot has
+    that one diagonal, or a chain over diagonals with up to ``max_shift``
+    tokens between neighbours, matches consistently), ``reworded`` (some slot has
     another value) and ``pos`` (token position in the document where the item
     begins). One row per pair with at least ``coverage``.
 
@@ -163,32 +209,48 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, literals: int =
         only = np.sort(items.select("hash").distinct().toArrow().column(0).to_numpy())
     if only is not None and not len(only):
         only = np.zeros(1, np.int64)
-    mine = items.select(F.col("id").alias("item"), "hash", F.col("pos").alias("item_pos"),
-                        F.col("slots").alias("item_slots"), "total")
-    found = _windows(rows(docs, doc_id, text), size, literals, only).drop("total").join(mine, "hash").select(
-        F.col("id").alias("doc"), "item", F.expr("pos - item_pos").alias("shift"), "item_pos", "item_slots", "slots", "total")
+    mine = items.select(F.col("id").alias("item"), "view", "hash", F.col("pos").alias("item_pos"),
+                        F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), "total")
+    found = _windows(rows(docs, doc_id, text), size, literals, only).drop("total").join(mine, ["hash", "view"]).select(
+        F.col("id").alias("doc"), "item", "view", "pos", "item_pos", "at", "item_at", "item_slots", "slots", "total")
 
     def check(batches):
-        """Rows come sorted by document, item, diagonal and item position."""
+        """Rows come sorted by document, item, view and position."""
         key, pairs, total = None, [], 0
         for batch in batches:
             out = []
-            for doc, item, shift, pos, theirs, slots, n in zip(*(c.to_pylist() for c in batch.columns)):
-                if (doc, item, shift) != key:
+            for doc, item, view, pos, item_pos, at, item_at, theirs, slots, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if (doc, item, view) != key:
                     if key:
-                        out.append(close(key, pairs, total))
-                    key, pairs, total = (doc, item, shift), [], n
-                pairs.append((pos, theirs, slots))
+                        out += close(key, pairs, total)
+                    key, pairs, total = (doc, item, view), [], n
+                pairs.append((pos, item_pos, at - item_at, theirs, slots))
             if out:
                 yield _leak_batch(out)
-        if key:
-            yield _leak_batch([close(key, pairs, total)])
+        if key and (out := close(key, pairs, total)):
+            yield _leak_batch(out)
 
     def close(key, pairs, total):
-        good, changed = consistent(pairs)
-        return key[0], key[1], len(good) / total, changed, key[2]
-
-    by = ["doc", "item", "shift", "item_pos"]
+        """The best diagonal and the best chain over neighbouring ones."""
+        lines: dict[int, list] = {}
+        for p in pairs:
+            lines.setdefault(p[0] - p[1], []).append(p)
+        ways = list(lines.values())
+        if len(lines) > 1:
+            x, y = (np.array(c) for c in list(zip(*pairs))[:2])
+            for chain in chains(x, y, size):
+                cuts = np.flatnonzero(np.abs(np.diff(x[chain] - y[chain])) > max_shift) + 1
+                ways += [[pairs[i] for i in part] for part in np.split(chain, cuts)]
+        out = []
+        for way in ways:
+            if len(way) < coverage * total:
+                continue
+            way.sort(key=lambda p: p[1])
+            good, changed = consistent([p[1:2] + p[3:] for p in way])
+            out.append((len(good) / total, not changed, -next((p[2] for p in way if p[1] in good), way[0][2])))
+        return [(key[0], key[1], share, not same, -early) for share, same, early in [max(out)]] if out else []
+
+    by = ["doc", "item", "view", "pos", "item_pos"]
     scored = found.repartition("doc", "item").sortWithinPartitions(*by).mapInArrow(
         check, "doc long, item long, coverage double, reworded boolean, pos int")
     best = scored.groupBy("doc", "item").agg(F.max(F.struct("coverage", F.expr("not reworded").alias("same"),

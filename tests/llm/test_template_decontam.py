@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 
 from llm_data import make_docs  # noqa: F401
@@ -51,3 +53,37 @@ def test_windows_against_a_loop():
     hashes, at = D.windows(codes, 4, 2)
     want = [i for i in range(5) if sum(int(c) % 2 == 0 for c in codes[i:i + 4]) >= 2]
     assert at.tolist() == want and len(np.unique(hashes)) == len(hashes)
+
+
+def test_leaks_with_longer_slots_and_inserted_or_missing_words_are_found(spark, make_docs):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    items, docs = [], []
+    for n in range(60):
+        words = [word() for _ in range(38)]
+        for i in range(4, 38, 9):
+            words[i] = f"Town{n}{'abcdefg'[i // 9]}"
+        items.append((n, " ".join(words)))
+        other = [w.replace("Town", "New Port") if w.startswith("Town") else w for w in words]
+        for at in sorted(rng.sample(range(1, 37), 1 + n % 3), reverse=True):
+            other[at:at + 1] = [other[at], word()] if rng.random() < 0.5 else [] if other[at].islower() else [other[at]]
+        docs.append((n, " ".join([word() for _ in range(20)] + other + [word() for _ in range(20)]), "en"))
+    benchmark = spark.createDataFrame([*items, (100, "Ann drove 5 km to the old mill and then 7 km back home")],
+                                      "item_id long, text string")
+    docs.append((100, "we heard that Mary Ann drove 5km to the old mill and then 9km back home today", "en"))
+    docs.append((101, "nothing of the kind was ever said about mills or homes that were old", "en"))
+    got = {(r.doc_id, r.item_id) for r in D.leaks(make_docs(docs), benchmark).collect()}
+    assert got == {(n, n) for n in [*range(60), 100]}
+
+
+def test_collapsed_template():
+    codes, values = D.template("We saw New York City after 5 km , 5km from Rome", D.Tokens())
+    short, at = D.collapsed(codes)
+    assert D.slots_of(values, [*at.tolist(), len(values)]) == [
+        "<name>we", None, "<name>new york city", None, "<qty>5km", "<qty>5km", None, "<name>rome"]
+    assert short[4] == short[5] and short[2] == short[7]
+
+
+def test_a_pair_with_too_few_windows_gives_no_row(spark, make_docs):
+    benchmark = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    assert D.leaks(make_docs([(1, "he knows that Carol walks 90 km every day", "en")]), benchmark).count() == 0
