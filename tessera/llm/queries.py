@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
 from tessera.llm import (bitslice_topk, chain_dedup, chat_prefix, importance, langid, separator_scan, simhash_trie,
-                         soft_mix, template_decontam, warc)
+                         soft_mix, template_decontam, token_files, warc)
 from tessera.session import scratch_path
 
 
@@ -94,6 +95,13 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(_table(spark, sf_dir, "documents"), good, share)
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every document into token files with offsets, read the files back."""
+    parts = token_files.write_token_files(_table(spark, sf_dir, "documents"), scratch_path(spark, "token-set"),
+                                          public_tokenizers.path("word_bpe_49k.json"), end=1, by_words=True)
+    return token_files.read_documents(parts).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_chat_prefix": op1_chat_prefix,
     "op2_template_decontam": op2_template_decontam,
@@ -105,6 +113,7 @@ QUERIES = {
     "op8_chain_dedup": op8_chain_dedup,
     "op9_warc": op9_warc,
     "op10_importance": op10_importance,
+    "op11_token_files": op11_token_files,
 }
 
 SQL: dict[str, str] = {
