@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tessera.llm import (bitslice_topk, chain_dedup, chat_prefix, importance, langid, separator_scan, simhash_trie,
+from tessera.llm import (bitslice_topk, chain_dedup, chat_prefix, collocation, importance, langid, separator_scan, simhash_trie,
                          soft_mix, template_decontam, token_files, warc)
 from tessera.session import scratch_path
 
@@ -102,6 +102,11 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(parts).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op12_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 strongest phrases of 2 to 5 words with 100 occurrences at least."""
+    return collocation.collocations(_table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 QUERIES = {
     "op1_chat_prefix": op1_chat_prefix,
     "op2_template_decontam": op2_template_decontam,
@@ -114,6 +119,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_importance": op10_importance,
     "op11_token_files": op11_token_files,
+    "op12_collocation": op12_collocation,
 }
 
 SQL: dict[str, str] = {
