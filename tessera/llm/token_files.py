@@ -17,8 +17,10 @@ its part plus its own offset.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,8 @@ from tokenizers import Tokenizer
 from tessera.llm.common import column_bytes, stored
 from tessera.llm.warc import open_fs
 
-TEXT_BYTES = 16 << 20  # text encoded at a time by a task
+TEXT_BYTES = 4 << 20  # text encoded at a time by a task
+CACHED = 1 << 20  # encoded words, and a quarter of their identifiers, that a worker keeps
 SUPER = 1024  # parts that are summed together in the first level of the prefix sum
 PARTS = "path string, part int, width int, docs long, nulls long, ids long"
 
@@ -44,36 +47,71 @@ def id_width(vocabulary: int) -> int:
     return 2 if vocabulary <= 1 << 16 else 4
 
 
-def encode_flat(tokenizer: Tokenizer, texts: pa.Array, end: int, by_words: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Identifiers of all texts, each followed by ``end``, and how many each text has.
-
-    ``by_words`` encodes each distinct run of characters between ASCII white
-    space once, and puts the texts together from these. That equals encoding
-    whole texts for a tokenizer none of whose pieces holds or crosses white
-    space; for any other, leave it out.
-    """
-    texts = texts.cast(pa.large_string()).fill_null("")
-    if by_words:
-        words = pc.ascii_split_whitespace(texts)
-        starts = words.offsets.to_numpy().astype(np.int64)
-        words = words.flatten().dictionary_encode()
-        which, distinct = words.indices.to_numpy(), words.dictionary
-        starts = starts - starts[0]
-    else:
-        which, distinct = np.arange(len(texts)), texts
-        starts = np.arange(len(texts) + 1)
-    encoded = tokenizer.encode_batch_fast(distinct.to_pylist(), add_special_tokens=False) if len(distinct) else []
-    ids = [e.ids for e in encoded]
-    # The end identifier is one more word, put behind the words of each text.
-    sizes = np.array([len(i) for i in ids] + [1], np.int64)
-    flat = np.fromiter((i for one in [*ids, [end]] for i in one), np.uint32, int(sizes.sum()))
-    firsts = np.cumsum(sizes) - sizes
-    which = np.insert(which.astype(np.int64), starts[1:], len(ids))
-    lengths = sizes[which]
-    stops = np.cumsum(lengths)
-    at = np.arange(stops[-1] if len(stops) else 0) + np.repeat(firsts[which] - (stops - lengths), lengths)
-    edges = np.concatenate([[0], stops])[starts + np.arange(len(starts))]
-    return flat[at], np.diff(edges)
+class Encoder:
+    """A tokenizer and the identifiers of what it has encoded, within ``CACHED``."""
+
+    def __init__(self, tokenizer: Tokenizer, end: int):
+        # Tasks are the parallel units; threads of a task would take other tasks' cores.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer, self.end = tokenizer, end
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.sizes, self.flat = array("q", [1]), array("I", [self.end])
+
+    def numbers(self, texts: list[str]) -> np.ndarray:
+        """The number of each text; number 0 is the end identifier alone."""
+        if self.number and max(len(self.number) + len(texts), len(self.flat) // 4) > CACHED:
+            self.clear()
+        new = [t for t in dict.fromkeys(texts) if t not in self.number]
+        for at in range(0, len(new), 4096):
+            some = new[at:at + 4096]
+            for t, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.number[t] = len(self.sizes)
+                ids = e.ids
+                self.sizes.append(len(ids))
+                self.flat.extend(ids)
+        return np.fromiter(map(self.number.__getitem__, texts), np.int64, len(texts))
+
+    def encode(self, texts: pa.Array, by_words: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Identifiers of all texts, each followed by the end, and how many each text has.
+
+        ``by_words`` encodes each distinct run of characters between ASCII
+        white space once, and puts the texts together from these. That equals
+        encoding whole texts for a tokenizer none of whose pieces holds or
+        crosses white space; for any other, leave it out.
+        """
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if by_words:
+            words = pc.ascii_split_whitespace(texts)
+            starts = words.offsets.to_numpy().astype(np.int64)
+            words, starts = words.flatten().dictionary_encode(), starts - starts[0]
+            which = self.numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        else:
+            self.clear()
+            which, starts = self.numbers(texts.to_pylist()), np.arange(len(texts) + 1)
+        which = np.insert(which, starts[1:], 0)
+        sizes, flat = np.frombuffer(self.sizes, np.int64), np.frombuffer(self.flat, np.uint32)
+        firsts = np.cumsum(sizes) - sizes
+        lengths = sizes[which]
+        stops = np.cumsum(lengths)
+        at = np.arange(stops[-1] if len(stops) else 0) + np.repeat(firsts[which] - (stops - lengths), lengths)
+        edges = np.concatenate([[0], stops])[starts + np.arange(len(starts))]
+        out = flat[at]
+        del sizes, flat  # the arrays can grow again
+        return out, np.diff(edges)
+
+
+_encoders: dict[tuple[str, int], Encoder] = {}
+
+
+def _encoder(model: str, end: int) -> Encoder:
+    """The worker's encoder of that model: a worker serves many tasks."""
+    if (model, end) not in _encoders:
+        _encoders.clear()
+        _encoders[model, end] = Encoder(Tokenizer.from_str(model), end)
+    return _encoders[model, end]
 
 
 def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -158,12 +196,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end: int, by
     ranged = rows.withColumn("salt", F.rand(11)).repartitionByRange(*order).sortWithinPartitions(*order).drop("salt")
 
     def run(batches):
-        encoder, part = None, None
+        encoder, part = _encoder(sent.value, end), None
         for batch in batches:
             for at, to in _runs(batch.column(1)):
                 if part is None:
-                    encoder, part = Tokenizer.from_str(sent.value), _Part(folder, width)
-                ids, lengths = encode_flat(encoder, batch.column(1).slice(at, to - at), end, by_words)
+                    part = _Part(folder, width)
+                ids, lengths = encoder.encode(batch.column(1).slice(at, to - at), by_words)
                 part.write(batch.column(0).slice(at, to - at), ids, lengths)
         if part is not None:
             yield part.close()

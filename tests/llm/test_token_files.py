@@ -15,6 +15,7 @@ from tessera.session import scratch_path
 MODEL = public_tokenizers.path("word_bpe_49k.json")
 TOKENIZER = Tokenizer.from_file(MODEL)
 END = 1
+ENCODER = F.Encoder(TOKENIZER, END)
 
 
 def slow(rows):
@@ -47,15 +48,23 @@ def test_words_encode_as_whole_texts(texts):
     texts = [t.encode("utf-8", "ignore").decode() if t else t for t in texts]
     want = [TOKENIZER.encode(t or "", add_special_tokens=False).ids + [END] for t in texts]
     for by_words in (True, False):
-        ids, lengths = F.encode_flat(TOKENIZER, pa.array(texts, pa.string()), END, by_words)
+        ids, lengths = ENCODER.encode(pa.array(texts, pa.string()), by_words)
         assert lengths.tolist() == [len(w) for w in want]
         assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_a_full_cache_starts_anew(monkeypatch):
+    monkeypatch.setattr(F, "CACHED", 5)
+    encoder = F.Encoder(TOKENIZER, END)
+    for text in ["a b c", "d e f g h i j", "a z", "a " * 50]:
+        assert encoder.encode(pa.array([text]), True)[0].tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids + [END]
+        assert len(encoder.number) <= 9
+
+
 def test_special_tokens_in_a_text():
     text = "a<|endoftext|>b <|startoftext|> c"
     for by_words in (True, False):
-        assert F.encode_flat(TOKENIZER, pa.array([text]), END, by_words)[0].tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids + [END]
+        assert ENCODER.encode(pa.array([text]), by_words)[0].tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids + [END]
 
 
 @pytest.mark.parametrize("by_words", [True, False])
