@@ -84,22 +84,21 @@ class Words:
         return mix(word[self.which] * _LEFT + lang[self.lang])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str]]]:
+def _blocks(batches: Iterator[pa.RecordBatch], text_bytes: int) -> Iterator[tuple[Words, list[str]]]:
     """Words of blocks of whole texts, and the names of their languages; columns are lang, text."""
     for batch in batches:
-        for at, raw, offsets in row_slices(batch.column(1), TEXT_BYTES):
+        for at, raw, offsets in row_slices(batch.column(1), text_bytes):
             langs = batch.column(0).slice(at, len(offsets) - 1).dictionary_encode()
             words = Words(raw, offsets, langs.indices.to_numpy())
             if len(words.which):
                 yield words, langs.dictionary.to_pylist()
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for words, langs in _blocks(batches):
-        code, first, n = np.unique(words.lang.astype(np.int64) * len(words.names) + words.which, return_index=True, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(langs).take(pa.array(words.lang[first])), words.names.take(pa.array(words.which[first])),
-             pa.array(words.keys(langs)[first].view(np.int64)), pa.array(n, pa.int64())], names=["lang", "word", "key", "n"])
+def _word_counts(words: Words, langs: list[str]) -> pa.RecordBatch:
+    code, first, n = np.unique(words.lang.astype(np.int64) * len(words.names) + words.which, return_index=True, return_counts=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(langs).take(pa.array(words.lang[first])), words.names.take(pa.array(words.which[first])),
+         pa.array(words.keys(langs)[first].view(np.int64)), pa.array(n, pa.int64())], names=["lang", "word", "key", "n"])
 
 
 class Marked:
@@ -228,7 +227,7 @@ def _runs(least: int, longest: int):
 
 
 def frequent_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lang", text: str = "text",
-                     filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+                     filter_bits: int = FILTER_BITS, text_bytes: int = TEXT_BYTES) -> tuple[DataFrame, DataFrame]:
     """Phrases of 1 to ``longest`` words with at least ``least`` occurrences, and the words of each language.
 
     The first table has ``lang``, ``words`` and ``f``, the second ``lang`` and ``n``.
@@ -237,13 +236,17 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lan
         raise ValueError(f"filter_bits must be a power of two, {_BUCKET} at least")
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(f"`{text}`").alias("text"))
-    words = stored(rows.mapInArrow(_word_counts, "lang string, word string, key long, n long")
+
+    def singles(batches):
+        return (_word_counts(*block) for block in _blocks(batches, text_bytes))
+
+    words = stored(rows.mapInArrow(singles, "lang string, word string, key long, n long")
                    .groupBy("lang", "word", "key").agg(F.sum("n").alias("n")), "phrase-words")
     frequent_words = context.broadcast(mark(words, least, filter_bits))
 
     def pairs(batches):
         marked = Marked(frequent_words.value)
-        for block, langs in _blocks(batches):
+        for block, langs in _blocks(batches, text_bytes):
             keys = block.keys(langs)
             good = marked(keys)
             link = block.joined.copy()
@@ -255,7 +258,7 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lan
 
     def windows(batches):
         marked, paired = Marked(frequent_words.value), Marked(frequent_pairs.value)
-        for block, langs in _blocks(batches):
+        for block, langs in _blocks(batches, text_bytes):
             keys = block.keys(langs)
             good = marked(keys)
             link = block.joined & paired(_pair_keys(keys))
@@ -316,7 +319,7 @@ def beginnings(phrases: DataFrame, longest: int) -> DataFrame:
 
 
 def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000, covered_percent: int = 100,
-                 lang: str = "lang", text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
+                 lang: str = "lang", text: str = "text", **how) -> DataFrame:
     """Each language's ``top`` phrases by how much more often their parts meet than by chance.
 
     Texts are lower-cased (A-Z), cut into pieces at ``. , ; : ! ?`` and line
@@ -332,7 +335,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     texts have no words; repeated rows count each time; an empty table gives
     no rows. Other columns are not read. Products are decimals of 38 digits.
     """
-    phrases, totals = frequent_phrases(docs, least, longest, lang, text, filter_bits)
+    phrases, totals = frequent_phrases(docs, least, longest, lang, text, **how)
     left = beginnings(phrases, longest).where("size(words) > 1")
     right = beginnings(phrases.select("lang", F.reverse("words").alias("words"), "f"), longest).where("size(words) > 1").select(
         F.col("lang").alias("rlang"), F.reverse("words").alias("rwords"), F.col("counts").alias("ends"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (bitslice_topk, chain_dedup, chat_prefix, collocation, importance, langid, separator_scan, simhash_trie,
-                         soft_mix, template_decontam, token_files, warc)
+                         soft_mix, template_decontam, token_files, turn_trie, warc)
 from tessera.session import scratch_path
 
 
@@ -107,6 +107,11 @@ def op12_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocation.collocations(_table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
 
 
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the conversations rebuilt on their groups' first turns."""
+    return turn_trie.crossed_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_chat_prefix": op1_chat_prefix,
     "op2_template_decontam": op2_template_decontam,
@@ -120,6 +125,7 @@ QUERIES = {
     "op10_importance": op10_importance,
     "op11_token_files": op11_token_files,
     "op12_collocation": op12_collocation,
+    "op13_turn_trie": op13_turn_trie,
 }
 
 SQL: dict[str, str] = {

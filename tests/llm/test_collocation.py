@@ -56,12 +56,11 @@ def texts(seed, n=300):
 
 
 @pytest.mark.parametrize("seed,bits,block", [(1, 1 << 15, 400), (2, 1 << 20, 1 << 20)])
-def test_equals_counting_every_phrase(spark, make_docs, many_ranges, monkeypatch, seed, bits, block):
-    monkeypatch.setattr(C, "TEXT_BYTES", block)
+def test_equals_counting_every_phrase(spark, make_docs, many_ranges, seed, bits, block):
     rng = random.Random(seed)
     rows = [(i, t, rng.choice(["en", "en", "fr", None, "und"])) for i, t in enumerate(texts(seed))]
     for least, top, percent in ((5, 2000, 100), (12, 4, 100), (5, 50, 60)):
-        got = C.collocations(make_docs(rows).repartition(3), least, top=top, covered_percent=percent, filter_bits=bits).collect()
+        got = C.collocations(make_docs(rows).repartition(3), least, top=top, covered_percent=percent, filter_bits=bits, text_bytes=block).collect()
         assert sorted(map(tuple, got)) == slow([(lang, t) for _, t, lang in rows], least, top=top, percent=percent)
         assert got
 
