@@ -98,7 +98,7 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document into token files with offsets, read the files back."""
     parts = token_files.write_token_files(_table(spark, sf_dir, "documents"), scratch_path(spark, "token-set"),
-                                          public_tokenizers.path("word_bpe_49k.json"), end=1, by_words=True)
+                                          public_tokenizers.path("word_bpe_49k.json"), end=1, by_words=True, plain_words=True)
     return token_files.read_documents(parts).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
@@ -181,4 +181,58 @@ SQL: dict[str, str] = {
                    'string_agg', '')), 'string_agg', '') AS payload_digest,
                CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
         FROM r""",
+    "op12_collocation": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS id, string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]') AS pieces
+            FROM documents),
+        p AS (SELECT lang, list_filter(string_split_regex(unnest(pieces), '[ \t]+'), lambda w: w <> '') AS w FROM d),
+        t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+        o AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p),
+        x AS (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS m FROM o),
+        f AS (SELECT lang, w[i:i + m - 1] AS w, count(*) AS f FROM x GROUP BY 1, 2 HAVING count(*) >= 100),
+        c AS (
+            SELECT a.lang, a.w, a.f AS a, l.f AS l, r.f AS r, t.n, k, (1000::HUGEINT * a.f * t.n) // (l.f::HUGEINT * r.f) AS score
+            FROM (SELECT *, unnest(range(1, len(w))) AS k FROM f WHERE len(w) > 1) a JOIN t ON t.lang = a.lang
+            JOIN f l ON l.lang = a.lang AND l.w = a.w[1:k] JOIN f r ON r.lang = a.lang AND r.w = a.w[k + 1:]),
+        s AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+        e AS (
+            SELECT DISTINCT b.lang, b.w[i:j] AS part, b.f
+            FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM f) b, range(2, 6) y(j)
+            WHERE j > i AND j <= len(b.w) AND j - i + 1 < len(b.w)),
+        g AS (
+            SELECT s.* FROM s WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.lang = s.lang AND e.part = s.w AND 100 * e.f >= 100 * s.a)),
+        h AS (
+            SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, n, score::BIGINT AS score FROM g)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM h QUALIFY rank <= 2000""",
+    "op13_turn_trie": r"""
+        WITH o AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY pos) AS turns FROM o GROUP BY conv_id),
+        h AS (
+            SELECT *, conv_id - conv_id % 20 AS base, xor(list_reduce(
+                list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 4 AS h
+            FROM own),
+        c AS (
+            SELECT h.conv_id, list_concat(coalesce(b.turns, [])[1:h.h], h.turns[h.h + 1:]) AS turns
+            FROM h LEFT JOIN own b ON b.conv_id = h.base),
+        m AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM c),
+        n AS (
+            SELECT depth, turns[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '') AS ends
+            FROM m GROUP BY 1, 2),
+        k AS (SELECT path[1:depth - 1] AS top, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+        v AS (
+            SELECT n.*, coalesce(n_children, 0) AS n_children,
+                   CASE WHEN depth > 0 THEN (n_convs - 1) * len(regexp_extract_all(path[depth].text, '[^ \t\n\x0B\f\r]+')) ELSE 0 END AS saved
+            FROM n LEFT JOIN k ON k.top = n.path),
+        u AS (SELECT *, unnest(range(0, depth + 1)) AS d FROM v),
+        s AS (
+            SELECT path[1:d] AS path, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM u GROUP BY 1)
+        SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, sha256(v.ends) AS ends_sha256
+        FROM v JOIN s ON s.path = v.path LEFT JOIN v p ON v.depth > 0 AND p.path = v.path[1:v.depth - 1]""",
 }

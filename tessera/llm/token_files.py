@@ -22,6 +22,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -60,37 +61,59 @@ class Encoder:
         self.number: dict[str, int] = {}
         self.sizes, self.flat = array("q", [1]), array("I", [self.end])
 
-    def numbers(self, texts: list[str]) -> np.ndarray:
-        """The number of each text; number 0 is the end identifier alone."""
+    def numbers(self, texts: list[str], plain_words: bool) -> np.ndarray:
+        """The number of each of some distinct texts; number 0 is the end identifier alone."""
         if self.number and max(len(self.number) + len(texts), len(self.flat) // 4) > CACHED:
             self.clear()
-        new = [t for t in dict.fromkeys(texts) if t not in self.number]
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
+        number, sizes, flat, merge = self.number, self.sizes, self.flat, self.tokenizer.model.tokenize
+        rest, marks = [], {}
+        for t in texts:
+            if t in number:
+                continue
+            # ASCII letters, then perhaps marks: two pieces that the model can merge at once.
+            letters = t.rstrip(".,;:!?") if plain_words and t.isascii() else ""
+            if not letters.isalpha():
+                rest.append(t)
+                continue
+            ids = [token.id for token in merge(letters.lower())]
+            if len(letters) < len(t):
+                after = t[len(letters):]
+                if after not in marks:
+                    marks[after] = self.tokenizer.encode(after, add_special_tokens=False).ids
+                ids += marks[after]
+            number[t] = len(sizes)
+            sizes.append(len(ids))
+            flat.extend(ids)
+        for at in range(0, len(rest), 4096):
+            some = rest[at:at + 4096]
             for t, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.number[t] = len(self.sizes)
+                number[t] = len(sizes)
                 ids = e.ids
-                self.sizes.append(len(ids))
-                self.flat.extend(ids)
-        return np.fromiter(map(self.number.__getitem__, texts), np.int64, len(texts))
+                sizes.append(len(ids))
+                flat.extend(ids)
+        return np.fromiter(map(number.__getitem__, texts), np.int64, len(texts))
 
-    def encode(self, texts: pa.Array, by_words: bool) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array, by_words: bool, plain_words: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Identifiers of all texts, each followed by the end, and how many each text has.
 
         ``by_words`` encodes each distinct run of characters between ASCII
         white space once, and puts the texts together from these. That equals
         encoding whole texts for a tokenizer none of whose pieces holds or
-        crosses white space; for any other, leave it out.
+        crosses white space. ``plain_words`` gives runs of ASCII letters to
+        the tokenizer's model directly; that equals the rest of its steps if
+        it lower-cases, and letters and the marks ``. , ; : ! ?`` behind
+        them are a piece each. For any other tokenizer, leave them out.
         """
         texts = texts.cast(pa.large_string()).fill_null("")
         if by_words:
             words = pc.ascii_split_whitespace(texts)
             starts = words.offsets.to_numpy().astype(np.int64)
             words, starts = words.flatten().dictionary_encode(), starts - starts[0]
-            which = self.numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
+            which = self.numbers(words.dictionary.to_pylist(), plain_words)[words.indices.to_numpy()]
         else:
             self.clear()
-            which, starts = self.numbers(texts.to_pylist()), np.arange(len(texts) + 1)
+            coded, starts = texts.dictionary_encode(), np.arange(len(texts) + 1)
+            which = self.numbers(coded.dictionary.to_pylist(), False)[coded.indices.to_numpy()]
         which = np.insert(which, starts[1:], 0)
         sizes, flat = np.frombuffer(self.sizes, np.int64), np.frombuffer(self.flat, np.uint32)
         firsts = np.cumsum(sizes) - sizes
@@ -168,12 +191,13 @@ def with_bases(parts: DataFrame) -> DataFrame:
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end: int, by_words: bool = False,
-                      doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                      plain_words: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode ``docs`` into parts under ``folder``, in ascending order of document ids.
 
     ``tokenizer`` is a file of the tokenizers library; its contents are sent
     to the tasks. Strings of its special tokens in a text become these tokens,
-    as the library does by default. Returns the table of parts: ``path``
+    as the library does by default. ``by_words`` and ``plain_words`` are
+    ``Encoder.encode``'s. Returns the table of parts: ``path``
     (without the file kind), ``part``, ``width``, ``docs``, ``nulls``, ``ids``,
     ``base_ids`` and ``base_docs``. Spark commits it, so it names only files
     of attempts that count.
@@ -201,7 +225,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end: int, by
             for at, to in _runs(batch.column(1)):
                 if part is None:
                     part = _Part(folder, width)
-                ids, lengths = encoder.encode(batch.column(1).slice(at, to - at), by_words)
+                ids, lengths = encoder.encode(batch.column(1).slice(at, to - at), by_words, plain_words)
                 part.write(batch.column(0).slice(at, to - at), ids, lengths)
         if part is not None:
             yield part.close()
@@ -243,7 +267,7 @@ class TokenPart:
         return self.ids(a, b)
 
 
-def read_documents(parts: DataFrame, slice_docs: int = 1 << 14) -> DataFrame:
+def read_documents(parts: DataFrame, slice_docs: int = 1 << 12) -> DataFrame:
     """``doc_id``, ``position`` (in the data set), ``start``, ``n_tokens`` and ``ids_crc32`` of every document.
 
     Read from the files alone; a task reads ``slice_docs`` documents of a
@@ -259,7 +283,8 @@ def read_documents(parts: DataFrame, slice_docs: int = 1 << 14) -> DataFrame:
                 part, first = TokenPart(**row), row["first"]
                 n = min(slice_docs, part.docs - first)
                 edges, names = part.offsets(first, n), part.doc_ids(first, n)
-                sums = [zlib.crc32(part.ids(a, b).astype("<u4").tobytes()) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                ids = memoryview(part.ids(edges[0], edges[-1]).astype("<u4").view(np.uint8))
+                sums = [zlib.crc32(ids[a:b]) for a, b in pairwise(((edges - edges[0]) * 4).tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names.data, pa.int64(), mask=np.ma.getmaskarray(names)),
                      pa.array(np.arange(first, first + n) + part.base_docs, pa.int64()),

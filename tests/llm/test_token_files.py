@@ -41,14 +41,14 @@ def read(parts, **how):
     return [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in F.read_documents(parts, **how).orderBy("position").collect()]
 
 
-@given(st.lists(st.one_of(st.none(), st.text(max_size=40), st.text(alphabet="aZé'st<|endofx>ΣΣς \t\n\x0b\x1c̈ 　가1½", max_size=60)),
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40), st.text(alphabet="aZ.,;:!?-I'stmre \n", max_size=60), st.text(alphabet="aZé'st<|endofx>ΣΣς \t\n\x0b\x1c̈ 　가1½", max_size=60)),
                 max_size=6))
 @settings(max_examples=300, deadline=None, suppress_health_check=list(HealthCheck))
 def test_words_encode_as_whole_texts(texts):
     texts = [t.encode("utf-8", "ignore").decode() if t else t for t in texts]
     want = [TOKENIZER.encode(t or "", add_special_tokens=False).ids + [END] for t in texts]
-    for by_words in (True, False):
-        ids, lengths = ENCODER.encode(pa.array(texts, pa.string()), by_words)
+    for how in ((True, True), (True, False), (False, False)):
+        ids, lengths = ENCODER.encode(pa.array(texts, pa.string()), *how)
         assert lengths.tolist() == [len(w) for w in want]
         assert ids.tolist() == [i for w in want for i in w]
 
@@ -67,12 +67,12 @@ def test_special_tokens_in_a_text():
         assert ENCODER.encode(pa.array([text]), by_words)[0].tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids + [END]
 
 
-@pytest.mark.parametrize("by_words", [True, False])
-def test_files_hold_the_documents_in_order(spark, make_docs, by_words):
+@pytest.mark.parametrize("how", [(True, True), (False, False)])
+def test_files_hold_the_documents_in_order(spark, make_docs, how):
     rows = [(i, f"document {i} " + "word " * (i % 7), "en") for i in range(40, -20, -1)]
     rows += [(100, None, None), (101, "", None), (102, "very long " * 20_000, "en"), (None, "no id é", "en")]
     docs = make_docs(rows).repartition(5)
-    parts = F.write_token_files(docs, scratch_path(spark, "token-test"), MODEL, END, by_words)
+    parts = F.write_token_files(docs, scratch_path(spark, "token-test"), MODEL, END, *how)
     assert parts.count() > 1
     assert read(parts) == read(parts, slice_docs=3) == slow([(i, t) for i, t, _ in rows])
 
