@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -36,7 +37,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import column_bytes, mix, row_slices, stored, word_hashes
 from tessera.operators.joins import checked_broadcast
 
-TEXT_BYTES = 8 << 20  # text counted at a time by a task
+TEXT_BYTES = 4 << 20  # text counted at a time by a task
+HELD = 1 << 21  # counts that a task sums before it hands them on
 FILTER_BITS = 1 << 27  # bits of a bitmap of frequent keys: 16 MiB, whatever the input
 _BUCKET = 8 * 4096  # bits of one bitmap of Spark's bitmap functions
 UNKNOWN = "und"
@@ -118,10 +120,11 @@ def mark(counts: DataFrame, least: int, bits: int) -> bytes:
     Its size is fixed, so is what the driver receives.
     """
     frequent = counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    place = frequent.select((F.col("key").bitwiseAND(F.lit(bits - 1)) + 1).alias("at"))
+    at = F.col("key").bitwiseAND(F.lit(bits - 1)) + 1
+    # Keys are brought together by bitmap before it is made, so that keys are shuffled and no half-empty bitmaps.
+    place = frequent.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit")).repartition("bucket")
     out = bytearray(bits // 8)
-    for row in place.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bitmap")).collect():
+    for row in place.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap")).collect():
         out[(row.bucket - 1) * 4096:row.bucket * 4096] = row.bitmap
     return bytes(out)
 
@@ -133,7 +136,7 @@ def _pair_keys(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _windows(words: Words, linked: np.ndarray, longest: int, langs: list[str]) -> pa.RecordBatch:
+def _windows(words: Words, linked: np.ndarray, longest: int, langs: list[str]) -> pa.Table:
     """The distinct windows of 2 to ``longest`` words along links, and how often each starts somewhere."""
     at = np.flatnonzero(linked)
     matrix = np.full((len(at), longest), -1, np.int32)
@@ -152,9 +155,26 @@ def _windows(words: Words, linked: np.ndarray, longest: int, langs: list[str]) -
     matrix = matrix[first]
     filled = matrix >= 0
     cuts = np.concatenate([[0], np.cumsum(filled.sum(axis=1))]).astype(np.int32)
-    phrase = pa.ListArray.from_arrays(pa.array(cuts), words.names.take(pa.array(matrix[filled])))
-    return pa.RecordBatch.from_arrays([pa.array(langs).take(pa.array(lang[first])), phrase, pa.array(n, pa.int64())],
-                                      names=["lang", "words", "n"])
+    phrase = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), words.names.take(pa.array(matrix[filled]))), " ")
+    return pa.table([pa.array(langs).take(pa.array(lang[first])), phrase, pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
+
+
+def _summed(tables: Iterator[pa.Table], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Sums of ``n`` by ``keys`` over as many tables as ``HELD`` allows."""
+    def close():
+        one = pa.concat_tables(held)
+        return one if len(held) == 1 else one.group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+
+    held: list[pa.Table] = []
+    for table in tables:
+        held.append(table)
+        if sum(map(len, held)) > HELD:
+            held = [close()]
+            if len(held[0]) > HELD // 2:
+                yield from held[0].to_batches(max_chunksize=1 << 16)
+                held = []
+    if held:
+        yield from close().to_batches(max_chunksize=1 << 16)
 
 
 class Stream:
@@ -245,6 +265,9 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lan
     frequent_words = context.broadcast(mark(words, least, filter_bits))
 
     def pairs(batches):
+        return _summed(pair_counts(batches), ["key"])
+
+    def pair_counts(batches):
         marked = Marked(frequent_words.value)
         for block, langs in _blocks(batches, text_bytes):
             keys = block.keys(langs)
@@ -252,11 +275,14 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lan
             link = block.joined.copy()
             link[:-1] &= good[:-1] & good[1:]
             key, n = np.unique(_pair_keys(keys)[link], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"])
+            yield pa.table([pa.array(key.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"])
 
     frequent_pairs = context.broadcast(mark(rows.mapInArrow(pairs, "key long, n long"), least, filter_bits))
 
     def windows(batches):
+        return _summed(window_counts(batches), ["lang", "phrase"])
+
+    def window_counts(batches):
         marked, paired = Marked(frequent_words.value), Marked(frequent_pairs.value)
         for block, langs in _blocks(batches, text_bytes):
             keys = block.keys(langs)
@@ -267,8 +293,8 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lan
                 yield _windows(block, link, longest, langs)
 
     # Written once: dealing by ranges reads its rows twice, for the borders and for the rows.
-    counted = stored(rows.mapInArrow(windows, "lang string, words array<string>, n long"), "phrase-windows")
-    parts = (counted.repartitionByRange("lang", "words").sortWithinPartitions("lang", "words")
+    counted = stored(rows.mapInArrow(windows, "lang string, phrase string, n long"), "phrase-windows")
+    parts = (counted.select("lang", F.split("phrase", " ").alias("words"), "n").repartitionByRange("lang", "words").sortWithinPartitions("lang", "words")
              .mapInArrow(_runs(least, longest), "lang string, words array<string>, f long"))
     phrases = parts.groupBy("lang", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
     single = words.where(F.col("n") >= least).select("lang", F.array("word").alias("words"), F.col("n").alias("f"))
