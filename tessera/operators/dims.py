@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tessera.functions.keys import DEFAULT_HASH_ALGO, KEY_SEPARATOR, hash_key, normalize, sha_key
 from tessera.operators.joins import written
+from tessera.operators.numbering import assign_keys
 
 # Fixed value: text of the default ("unknown") member of a dimension.
 DEFAULT_MEMBER = "N/A"
@@ -59,32 +60,53 @@ def build_dimension(df: DataFrame, cols: Sequence[str], key: str,
 
 
 def add_hash_key(df: DataFrame, cols: Sequence[str], key: str, algo: str = DEFAULT_HASH_ALGO,
-                 conform: bool = True, check_unique: bool = True) -> DataFrame:
+                 conform: bool = True, check_unique: bool = True, resolve: bool = False,
+                 earlier: DataFrame | None = None) -> DataFrame:
     """Trim/upper-case ``cols`` (when ``conform``) and add ``key = hash(cols)``.
 
     ``check_unique`` refuses keys that two members share, which a 32-bit hash
-    gives from some tens of thousands of members on. Repeated rows of ``df``
-    are kept.
+    gives from some tens of thousands of members on. ``resolve`` gives such
+    members numbers past the hash instead, and members of an ``earlier`` build
+    (``cols`` and ``key``) the keys they have there; see
+    ``numbering.assign_keys``. Repeated rows of ``df`` are kept.
     """
     out = df
     if conform:
         out = out.withColumns({c: normalize(c) for c in cols})
+    if resolve or earlier is not None:
+        return assign_keys(out, cols, key, algo, earlier)
     out = out.withColumn(key, hash_key(cols, algo))
     return unique_keys(out, key, cols) if check_unique else out
 
 
+def _resolved_mapping(df: DataFrame, cols: Sequence[str], label: str, key: str, algo: str, digest: Column,
+                      earlier: DataFrame | None, conformed: bool) -> DataFrame:
+    """The bridge with keys by ``assign_keys``: a member is the digest of its codes."""
+    past = None if earlier is None else earlier.select(digest.alias("__digest"), key).distinct()
+    out = assign_keys(df.withColumn("__digest", digest), ["__digest"], key, algo, past)
+    codes = [F.col(c) if conformed else normalize(c).alias(c) for c in cols]
+    return out.select(key, *codes, label)
+
+
 def build_mapping(df: DataFrame, cols: Sequence[str], label: str, key: str,
                   algo: str = DEFAULT_HASH_ALGO, normalize_first: bool = False,
-                  sep: str = KEY_SEPARATOR, check_unique: bool = True) -> DataFrame:
+                  sep: str = KEY_SEPARATOR, check_unique: bool = True, resolve: bool = False,
+                  earlier: DataFrame | None = None) -> DataFrame:
     """Bridge dimension: ``key, cols..., label``.
 
     The key is ``hash(sha256(concat_ws(sep, cols)))`` (``algo="sha256"``
     keeps the hex digest itself). By default it is computed on the codes as
     they arrive and the codes are conformed afterwards, so two spellings of one
     combination get two keys; ``normalize_first=True`` conforms first.
+
+    ``resolve`` and ``earlier`` (``cols`` and ``key``) are those of
+    ``add_hash_key``; a member is then a combination of the codes the key is
+    computed on, and those of ``earlier`` must be as they were then.
     """
     out = df.withColumns({c: normalize(c) for c in cols}) if normalize_first else df
     digest = sha_key(cols, sep)
+    if resolve or earlier is not None:
+        return _resolved_mapping(out, cols, label, key, algo, digest, earlier, normalize_first)
     ident = digest if algo == "sha256" else hash_key([digest], algo)
     out = out.withColumn(key, ident)
     if not normalize_first:

@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tessera.operators import attendance, clean, dims, facts, joins, profile, quality, recipes
 from tessera.operators.stats import group_median
 from tessera.plans import derived as D
+from tessera.plans import upkeep
 from tessera.session import scratch_path
 from tessera.sources import io
 
@@ -491,5 +492,5 @@ QUERIES: dict[str, Query] = {
     "stage_roundtrip": stage_roundtrip,
     "stage_schema_evolution": stage_schema_evolution,
     "table_roundtrip": table_roundtrip,
-}
+} | upkeep.QUERIES
 
