@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.values import is_missing
-from tessera.operators.joins import checked_broadcast, max_broadcast_rows, written
+from tessera.operators.joins import checked_broadcast, written
 from tessera.operators.stats import quantile_of_counts
 
 # Fixed value: the fallback name used when a category has no mapped name.
@@ -47,8 +47,7 @@ def impute_by_map(df: DataFrame, col: str, by: str, mapping: Mapping[str, str] |
             raise ValueError("a key of the mapping has several values")
     else:
         lookup = df.sparkSession.createDataFrame(list(mapping.items()), "__k string, __m string")
-        if len(mapping) <= max_broadcast_rows(df):
-            lookup = F.broadcast(lookup)
+        lookup, _ = checked_broadcast(lookup, materialize=False)
     choices = [F.col(col), F.col("__m")] + ([] if default is None else [F.lit(default)])
     joined = df.join(lookup, F.col(by) == F.col("__k"), "left")
     return joined.select(*[F.coalesce(*choices).alias(c) if c == col else F.col(c) for c in df.columns])
@@ -69,33 +68,55 @@ class Fill:
     accuracy: int = 10000
 
 
+def _quantiles(counted: DataFrame, exact: Sequence[int], types: Sequence[str]) -> list[DataFrame]:
+    """Exact medians from value counts: one search for all columns of a type, in that type."""
+    out = []
+    for kind in dict.fromkeys(types[i] for i in exact):
+        some = [i for i in exact if types[i] == kind]
+        value = reduce(lambda acc, i: F.when(F.col("i") == i, F.col(f"x{i}")).otherwise(acc), some[1:], F.col(f"x{some[0]}"))
+        freq = counted.where(F.col("i").isin(some)).select(F.struct("__group", "i").alias("g"), value.alias("x"), "n")
+        found = quantile_of_counts(freq, "g", "x", "n", 0.5, "stat")
+        out.append(found.select("g.__group", *[F.when(F.col("g.i") == i, F.col("stat")).alias(f"__stat{i}") for i in some]))
+    return out
+
+
 def group_statistics(df: DataFrame, by: Sequence[str], fills: Sequence[Fill]) -> DataFrame:
     """One row per group: ``__group`` (struct of ``by``) and ``__stat0``, ``__stat1``, ... in the order of ``fills``.
 
-    One scan: each row gives one entry per column. Entries of a mean collapse
-    to one per group and task, those of an exact median to one per value.
+    One scan. Means and approximate medians are sums and sketches per group,
+    combined map-side; a row gives one entry more for each exact median, and
+    these collapse to one per value. Means are doubles, medians have their
+    column's type.
     """
     for f in fills:
         if f.stat not in ("mean", "median") or f.method not in ("exact", "approx"):
             raise ValueError(f"unknown statistic {f.stat!r} or method {f.method!r}")
-    entries = F.explode(F.array(*[F.struct(
-        F.lit(i).alias("i"), F.when(~is_missing(f.col, f.sentinel), F.col(f.col)).cast("double").alias("x")) for i, f in enumerate(fills)]))
+    group = F.struct(*by).alias("__group")
+    value = [F.when(~is_missing(f.col, f.sentinel), F.col(f.col)) for f in fills]
     exact = [i for i, f in enumerate(fills) if f.stat == "median" and f.method == "exact"]
-    counted = (df.select(F.struct(*by).alias("__group"), entries.alias("e")).where("e.x is not null")
-               .groupBy("__group", F.col("e.i").alias("i"), F.when(F.col("e.i").isin(exact), F.col("e.x")).alias("x"))
-               .agg(F.count(F.lit(1)).alias("n"), F.sum("e.x").alias("total"),
-                    *[F.percentile_approx(F.when(F.col("e.i") == i, F.col("e.x")), 0.5, f.accuracy).alias(f"a{i}")
-                      for i, f in enumerate(fills) if f.stat == "median" and f.method == "approx"]))
-    counted = written(counted)
-    value = reduce(lambda acc, i: F.when(F.col("i") == i, F.col(f"a{i}")).otherwise(acc),
-                   [i for i, f in enumerate(fills) if f.stat == "median" and f.method == "approx"],
-                   F.col("total") / F.col("n"))
-    parts = [counted.where(~F.col("i").isin(exact)).select("__group", "i", value.alias("stat"))]
-    if exact:
-        freq = counted.where(F.col("i").isin(exact)).select(F.struct("__group", "i").alias("g"), "x", "n")
-        parts.append(quantile_of_counts(freq, "g", "x", "n", 0.5, "stat").select("g.__group", "g.i", "stat"))
-    return reduce(DataFrame.unionByName, parts).groupBy("__group").agg(
-        *[F.max(F.when(F.col("i") == i, F.col("stat"))).alias(f"__stat{i}") for i in range(len(fills))])
+    others = [i for i in range(len(fills)) if i not in exact]
+
+    def summary(i: int, x) -> list:
+        if fills[i].stat == "median":
+            return [F.percentile_approx(x, 0.5, fills[i].accuracy).alias(f"__stat{i}")]
+        return [F.avg(x.cast("double")).alias(f"__stat{i}")]
+
+    if not exact:
+        return df.groupBy(group).agg(*[c for i in others for c in summary(i, value[i])])
+    types = [df.select(v.alias("v")).schema["v"].dataType.simpleString() for v in value]
+    # Entry -1 holds the columns that are summed, entry i the value of exact median i.
+    fields = [(i, v if i in exact else v.cast("double") if fills[i].stat == "mean" else v) for i, v in enumerate(value)]
+    entry = lambda at: F.struct(F.lit(at).alias("i"), *[
+        (v if at == i or (at < 0 and i in others) else F.lit(None).cast("double" if fills[i].stat == "mean" else types[i])).alias(f"x{i}") for i, v in fields])
+    entries = F.array(*[entry(i) for i in ([-1] if others else []) + exact])
+    rows = df.select(group, F.explode(entries).alias("e")).where(reduce(lambda a, b: a | b, [F.col(f"e.x{i}").isNotNull() for i, _ in fields]))
+    counted = written(rows.groupBy("__group", F.col("e.i").alias("i"), *[F.col(f"e.x{i}").alias(f"x{i}") for i in exact]).agg(
+        F.count(F.lit(1)).alias("n"), *[c for i in others for c in summary(i, F.col(f"e.x{i}"))]))
+    parts = _quantiles(counted, exact, types)
+    if others:
+        parts.append(counted.where("i < 0").select("__group", *[f"__stat{i}" for i in others]))
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole.groupBy("__group").agg(*[F.max(f"__stat{i}").alias(f"__stat{i}") for i in range(len(fills))])
 
 
 def impute_columns(df: DataFrame, by: str | Sequence[str], fills: Sequence[Fill],

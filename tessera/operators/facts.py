@@ -7,8 +7,10 @@ a shuffle join and AQE splits partitions of a hot natural key.
 
 The SHA keys of ``build_dimension`` are a pure function of the natural key.
 For a dimension marked so (``DimSpec.sha``), ``resolve_star`` computes the key
-on the fact and checks membership apart, on the fact's distinct keys: the
-fact itself is never shuffled for a lookup, however large the dimension.
+on the fact and checks membership apart, on the fact's distinct natural keys:
+the fact itself is never shuffled for a lookup, however large the dimension.
+Natural keys are compared, not their hashes, so ``("a||b", "c")`` and
+``("a", "b||c")``, which share a key, are told apart as by a join.
 
 Fact rows with a null or unknown natural key get a null surrogate key, or the
 key of the dimension's own default member with ``unknown_member``.
@@ -22,7 +24,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StringType
+from pyspark.sql.types import DecimalType, FractionalType, StringType
 
 from tessera.functions.keys import KEY_SEPARATOR, all_present, sha_key
 from tessera.operators.joins import checked_broadcast
@@ -81,40 +83,64 @@ def resolve_keys(fact: DataFrame, spec: DimSpec, unknown_member: str | None = No
     return out
 
 
-def _strangers(fact: DataFrame, spec: DimSpec) -> DataFrame:
-    """Distinct computed keys of the fact that the dimension does not hold, as ``__sk``."""
-    wanted = fact.select(spec.key().alias("__sk")).where(F.col("__sk").isNotNull()).distinct()
-    return wanted.join(spec.dim.select(F.col(spec.surrogate_key).alias("__dk")), F.col("__sk") == F.col("__dk"), "left_anti")
+def _text_key(frame: DataFrame, spec: DimSpec) -> Column:
+    """The natural key as an array of texts in the dimension's types, null if a part is; equal where the parts are."""
+    kinds = [spec.dim.schema[c].dataType for c in spec.natural_key]
+    parts = [F.col(c).cast(t) for c, t in zip(spec.natural_key, kinds)]
+    parts = [p + F.lit(0).cast(t) if isinstance(t, FractionalType) else p for p, t in zip(parts, kinds)]  # -0.0 and 0.0 are equal
+    return F.when(all_present(spec.natural_key), F.array(*[p.cast("string") for p in parts]))
+
+
+def _members(specs: Sequence[DimSpec]) -> DataFrame:
+    """``__i``, natural key as ``__m`` and surrogate key of all members of all dimensions."""
+    return reduce(DataFrame.unionByName, [
+        s.dim.select(F.lit(i).alias("__i"), _text_key(s.dim, s).alias("__m"), F.col(s.surrogate_key).alias("__dk")) for i, s in enumerate(specs)])
+
+
+def _strangers(keys: DataFrame, specs: Sequence[DimSpec]) -> DataFrame:
+    """Distinct natural keys (``__i``, ``__w``) that their dimension does not hold; one scan of ``keys`` for all dimensions."""
+    entries = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _text_key(keys, s).alias("w")) for i, s in enumerate(specs)])).alias("e")
+    wanted = keys.select(entries).where("e.w is not null").select(F.col("e.i").alias("__wi"), F.col("e.w").alias("__w")).distinct()
+    members = _members(specs)
+    return wanted.join(members, (F.col("__wi") == F.col("__i")) & (F.col("__w") == F.col("__m")), "left_anti")
 
 
 def resolve_star(fact: DataFrame, specs: Sequence[DimSpec], keep: Sequence[str] | None = None,
                  unknown_member: str | None = None,
-                 max_broadcast_rows: int | None = None, check_unique: bool = True) -> DataFrame:
+                 max_broadcast_rows: int | None = None, check_unique: bool = True, keys_from: DataFrame | None = None) -> DataFrame:
     """Resolve every dimension, then project surrogate keys + ``keep``.
 
     For all ``sha`` dimensions together one job counts the fact's distinct
-    keys that are no member and (``check_unique``) natural keys that appear
-    twice. Only a dimension with strangers needs its facts looked up, against
-    the strangers.
+    natural keys that are no member and (``check_unique``) natural and
+    surrogate keys that appear twice. Only a dimension with strangers needs its facts looked
+    up, against the strangers. ``keys_from`` is a frame with the same natural
+    keys as ``fact`` (or more) that is cheaper to read, such as the stage the
+    fact is computed from.
     """
     sha = [s for s in specs if s.sha]
     counts: dict[tuple[int, str], int] = {}
     if sha:
-        checks = [_strangers(fact, s).select(F.lit(i).alias("i"), F.lit("stranger").alias("what")) for i, s in enumerate(sha)]
+        strange = _strangers(fact if keys_from is None else keys_from, sha)
+        checks = [strange.select(F.col("__wi").alias("i"), F.lit("stranger").alias("what"))]
         if check_unique:
-            checks += [_duplicates(s.dim, s.natural_key).select(F.lit(i).alias("i"), F.lit("twice").alias("what"))
-                       for i, s in enumerate(sha)]
+            held = _members(sha).where("__m is not null")
+            checks += [held.groupBy("__i", c).count().where("count > 1").select(F.col("__i").alias("i"), F.lit(what).alias("what"))
+                       for c, what in (("__m", "twice"), ("__dk", "shared"))]
         found = reduce(DataFrame.unionByName, checks).groupBy("i", "what").count().collect()
         counts = {(r["i"], r["what"]): r["count"] for r in found}
+        if any(what == "stranger" for _, what in counts):
+            strange, _ = checked_broadcast(strange, max_broadcast_rows)
     out = fact
     for i, spec in enumerate(sha):
         if counts.get((i, "twice")):
             raise ValueError(f"dimension natural key {list(spec.natural_key)} is not unique; the join would fan out")
+        if counts.get((i, "shared")):
+            raise ValueError(f"{spec.surrogate_key} is not unique: two members share a key; use a wider hash or a null token")
         key = spec.key()
         if counts.get((i, "stranger")):
-            strangers, _ = checked_broadcast(_strangers(fact, spec), max_broadcast_rows)
-            out = out.join(strangers, key == F.col("__sk"), "left").withColumn(
-                spec.surrogate_key, F.when(F.col("__sk").isNull(), key)).drop("__sk")
+            own = strange.where(F.col("__wi") == i).select("__w")
+            out = out.join(own, _text_key(out, spec) == F.col("__w"), "left").withColumn(
+                spec.surrogate_key, F.when(F.col("__w").isNull(), key)).drop("__w")
         else:
             out = out.withColumn(spec.surrogate_key, key)
         if unknown_member is not None:

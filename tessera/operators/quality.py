@@ -18,11 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
     DataType,
+    DateType,
     DoubleType,
     FloatType,
     NumericType,
     StringType,
     StructType,
+    TimestampNTZType,
+    TimestampType,
 )
 
 from tessera.operators.joins import checked_broadcast, checkpointed
@@ -38,10 +41,14 @@ class ForeignKey:
 def _comparable(a: DataType, b: DataType):
     """How to compare a fact column with a dimension key: the type both are cast to, or None for as they are.
 
-    Equal types and two numbers are compared as they are (Spark widens
-    numbers to their common type); anything else is compared as text.
+    Equal types, two numbers, and two of date and timestamp are compared as
+    they are: Spark widens them to their common type (a date is its first
+    moment). Anything else is compared as text.
     """
-    if a == b or (isinstance(a, NumericType) and isinstance(b, NumericType)):
+    for kinds in (NumericType, (DateType, TimestampType, TimestampNTZType)):
+        if isinstance(a, kinds) and isinstance(b, kinds):
+            return None
+    if a == b:
         return None
     return StringType()
 
@@ -82,8 +89,8 @@ def fk_report(fact: DataFrame, fks: Sequence[ForeignKey],
     """One row per foreign key: ``fk_column, n_rows, n_null, n_orphan``.
 
     ``n_orphan`` counts non-null values missing from the dimension. Each key
-    is compared with its own dimension in their common type (as text if one
-    of the two is no number). Keys whose dimension is within the broadcast
+    is compared with its own dimension in their common type (as text if they
+    have none, such as a number and a text). Keys whose dimension is within the broadcast
     bounds (checked, each on its own) are looked up together in one pass over
     the fact; a key with a larger dimension is counted by distinct value
     (combined map-side) and the counts are joined to the dimension keys.

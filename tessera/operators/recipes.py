@@ -26,7 +26,7 @@ from pyspark.sql.types import DecimalType, StringType
 
 from tessera.functions.values import exact_avg, exact_sum
 from tessera.operators.joins import checked_broadcast
-from tessera.operators.sequence import ranges_of_split_groups, with_ranges
+from tessera.operators.sequence import large_groups, ranges_of_split_groups, with_ranges
 
 
 def _keys(by: str | Sequence[str]) -> list[str]:
@@ -76,7 +76,11 @@ def running_total(df: DataFrame, by: str | Sequence[str], order: Sequence[str],
     """
     keys, order = _keys(by), list(order)
     v = F.col(value).cast(DecimalType(28, scale)) if scale is not None else F.col(value)
-    staged = with_ranges(df, keys, order, split_above, max_broadcast_rows).withColumn("__v", v)
+    large = large_groups(df, keys, split_above, max_broadcast_rows)
+    if large is None:
+        total = F.sum(v).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+        return df.select("*", (total.cast("double") if scale is not None else total).alias(out))
+    staged = with_ranges(df, keys, order, large, max_broadcast_rows).withColumn("__v", v)
     per_range = staged.groupBy("__gid").agg(F.sum("__v").alias("__sum"))
     before = Window.partitionBy("__gid.grp").orderBy("__gid.range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges_of_split_groups(per_range).select(F.col("__gid").alias("__oid"), F.sum("__sum").over(before).alias("__offset"))

@@ -13,7 +13,7 @@ decide how the work is split: windows run per ``(group, range)``, and one row
 per range (row count, first and last value) gives the offset of each range
 and its neighbours across range boundaries. The result equals the single
 window exactly. Groups within the bound have one range and need no offset;
-the plan is the same.
+with no group beyond it, there is one plain window.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import checked_broadcast, checkpointed
+from tessera.operators.joins import checked_broadcast, checkpointed, measured_broadcast
 
 # Rows per group above which a group's window is split into ranges.
 DEFAULT_SPLIT_ABOVE = 1_000_000
@@ -37,17 +37,31 @@ def _bound(df: DataFrame, split_above: int | None) -> int:
     return int(df.sparkSession.conf.get("tessera.window.splitAbove", None) or DEFAULT_SPLIT_ABOVE)
 
 
-def with_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], split_above: int | None = None,
+def large_groups(df: DataFrame, keys: Sequence[str], split_above: int | None = None,
+                 max_broadcast_rows: int | None = None) -> DataFrame | None:
+    """``__g`` (struct of the keys) and ``__n`` of the groups of more than ``split_above`` rows, or None without any.
+
+    A table of no more rows than that has none; its rows are counted first,
+    which a file scan answers from the files' footers.
+    """
+    bound = _bound(df, split_above)
+    if df.count() <= bound:
+        return None
+    grp = F.struct(*[F.col(k) for k in keys])
+    counted = df.groupBy(grp.alias("__g")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > bound)
+    large, _, n = measured_broadcast(counted, max_broadcast_rows)
+    return large if n else None
+
+
+def with_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], large: DataFrame,
                 max_broadcast_rows: int | None = None) -> DataFrame:
     """``df`` plus ``__grp`` (struct of the keys) and ``__gid`` (struct of group and range).
 
-    The range number grows along ``order`` within a group. Struct equality
+    ``large`` names the groups to cut (see ``large_groups``). The range number
+    grows along ``order`` within a group. Struct equality
     takes null fields as equal, so rows with null keys stay together.
     """
     grp, position = F.struct(*[F.col(k) for k in keys]), F.struct(*[F.col(c) for c in order])
-    large = df.groupBy(grp.alias("__g")).agg(F.count(F.lit(1)).alias("__n")).where(
-        F.col("__n") > _bound(df, split_above))
-    large, _ = checked_broadcast(large, max_broadcast_rows)
     # About EDGES rows of each large group, chosen by a hash of the order key.
     picked = (df.select(grp.alias("__grp"), position.alias("__at")).join(large, F.col("__grp") == F.col("__g"))
               .where(F.pmod(F.xxhash64("__at"), F.greatest(F.lit(1), F.expr(f"__n div {EDGES}"))) == 0))
@@ -79,7 +93,11 @@ def number_and_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[st
     ``order`` must be unique within a group (add a tie-break column).
     """
     keys, order = list(keys), list(order)
-    staged = with_ranges(df, keys, order, split_above, max_broadcast_rows)
+    large = large_groups(df, keys, split_above, max_broadcast_rows)
+    if large is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.select("*", F.row_number().over(w).alias(seq), F.lag(value).over(w).alias(prev), F.lead(value).over(w).alias(nxt))
+    staged = with_ranges(df, keys, order, large, max_broadcast_rows)
     position = F.struct(*[F.col(c) for c in order])
     per_range = staged.groupBy("__gid").agg(
         F.count(F.lit(1)).alias("__cnt"),

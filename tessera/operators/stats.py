@@ -20,7 +20,8 @@ task. Here the work is split instead:
    whose count reaches the target rank, i.e. SQL ``percentile_disc`` (lower
    median for q = 0.5).
 
-The edges only decide how the work is split; the answer is exact whatever
+Groups of no more than ``split_above`` distinct values skip steps 2 to 4. The
+edges only decide how the work is split; the answer is exact whatever
 they are. ``method="approx"`` returns ``percentile_approx``.
 """
 
@@ -48,6 +49,15 @@ def group_mean(df: DataFrame, by: str | Sequence[str], col: str, out: str = "mea
     return src.groupBy(*_by(by)).agg((F.avg(col) if scale is None else exact_avg(col, scale)).alias(out))
 
 
+def _ranked(freq: DataFrame, group: str, value: str, n: str, q: float, out: str) -> DataFrame:
+    """The quantile of groups whose values may meet in one window."""
+    whole = Window.partitionBy(group)
+    upto = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wanted = F.greatest(F.ceil(F.sum(n).over(whole) * F.lit(q)), F.lit(1))
+    return freq.select(group, value, (F.sum(n).over(upto) >= wanted).alias("__there")).where("__there").groupBy(group).agg(
+        F.min(value).alias(out))
+
+
 def quantile_of_counts(freq: DataFrame, group: str, value: str, n: str, q: float, out: str, accuracy: int = 10000,
                        buckets: int = 128, split_above: int | None = None) -> DataFrame:
     """``group`` and the ``q`` quantile per group of a table of value counts.
@@ -60,6 +70,13 @@ def quantile_of_counts(freq: DataFrame, group: str, value: str, n: str, q: float
     if split_above is None:
         split_above = int(freq.sparkSession.conf.get("tessera.quantile.splitAbove", None) or DEFAULT_SPLIT_ABOVE)
     rows = freq.count()
+    # No group has more values than the whole table, which is counted from its files' footers.
+    if rows <= split_above:
+        return _ranked(freq, group, value, n, q, out)
+    large, _ = checkpointed(freq.groupBy(F.col(group).alias("__lg")).agg(F.count(F.lit(1)).alias("__n")).where(
+        F.col("__n") > split_above).select("__lg"))
+    small = _ranked(freq.join(large, F.col(group) == F.col("__lg"), "left_anti"), group, value, n, q, out)
+    freq = freq.join(large, F.col(group) == F.col("__lg"), "left_semi")
     probs = [i / buckets for i in range(1, buckets)]
     totals = freq.groupBy(F.col(group).alias("__tg")).agg(
         F.greatest(F.ceil(F.sum(n) * F.lit(q)), F.lit(1)).cast("long").alias("__k"))
@@ -79,14 +96,13 @@ def quantile_of_counts(freq: DataFrame, group: str, value: str, n: str, q: float
         left = placed.join(located.select("__lg", "__lb", "__from"),
                            (F.col("__g") == F.col("__lg")) & (F.col("__b") == F.col("__lb"))
                            ).select("__g", "__v", "__n", "__k", F.col("__from").alias("__before"))
-        # No bucket is larger than the whole table, which is counted from its files' footers.
-        if rows <= max(1, split_above) or (located.agg(F.max("__values")).first()[0] or 0) <= max(1, split_above):
+        if (located.agg(F.max("__values")).first()[0] or 0) <= max(1, split_above):
             break
         left, _ = checkpointed(left)
     running = Window.partitionBy("__g").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = left.withColumn("__cum", F.col("__before") + F.sum("__n").over(running))
-    return ranked.groupBy(F.col("__g").alias(group)).agg(
-        F.min(F.when(F.col("__cum") >= F.col("__k"), F.col("__v"))).alias(out))
+    return small.unionByName(ranked.groupBy(F.col("__g").alias(group)).agg(
+        F.min(F.when(F.col("__cum") >= F.col("__k"), F.col("__v"))).alias(out)))
 
 
 def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float = 0.5,

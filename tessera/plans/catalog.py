@@ -150,7 +150,8 @@ def _dims(named, keys=tuple(STAR), default=dims.DEFAULT_MEMBER):
 
 
 def _dim(spark, sf, key):
-    return dims.build_dimension(D.sales_named_stage(spark, sf), STAR[key], key)
+    """A dimension of its own: its columns are made distinct in the pass that makes them, nothing else is staged."""
+    return dims.build_dimension(D.sales_named(spark, sf), STAR[key], key)
 
 
 def dim_product(spark, sf):
@@ -167,18 +168,24 @@ def dim_employee(spark, sf):
 
 def dim_with_default(spark, sf):
     """A dimension whose source already holds its default member: it stays one row."""
-    store = D.sales_named_stage(spark, sf).select(*STORE)
+    store = D.sales_named(spark, sf).select(*STORE)
     return dims.build_dimension(store.unionByName(dims.default_member(store, STORE)), STORE, "DIM_StoreId")
 
 
-def _star(spark, sf, keys=tuple(STAR)):
+def _star(spark, sf):
+    """Cleaned sales, the three dimensions, and the stage that both come from."""
     named = D.sales_named_stage(spark, sf)
-    return D.clean_sales(named), list(_dims(named, keys).values())
+    return D.clean_sales(named), list(_dims(named).values()), named
+
+
+def _resolved_star(spark, sf):
+    # Cleaning changes no natural key, so membership is checked on the stage.
+    fact, specs, named = _star(spark, sf)
+    return facts.resolve_star(fact, specs, keep=FACT_MEASURES, keys_from=named), fact, specs
 
 
 def fact_resolve_star(spark, sf):
-    fact, specs = _star(spark, sf)
-    return facts.resolve_star(fact, specs, keep=FACT_MEASURES)
+    return _resolved_star(spark, sf)[0]
 
 
 def net_revenue(spark, sf):
@@ -186,10 +193,10 @@ def net_revenue(spark, sf):
 
 
 def revenue_by_brand(spark, sf):
-    """Flagship star query: clean, build the dimension, resolve keys, derive revenue, and
-    total it per brand through the product dimension."""
-    fact, specs = _star(spark, sf, ["DIM_ProductId"])
-    resolved = facts.net_revenue(facts.resolve_star(fact, specs, keep=FACT_MEASURES), scale=MONEY_SCALE)
+    """Flagship star query: clean, build three dimensions, resolve their keys, derive revenue,
+    and total the resolved sales per brand through the product dimension."""
+    star, _, specs = _resolved_star(spark, sf)
+    resolved = facts.net_revenue(star.where(F.col("DIM_StoreId").isNotNull() & F.col("DIM_EmployeeId").isNotNull()), scale=MONEY_SCALE)
     per_product = resolved.groupBy("DIM_ProductId").agg(F.sum("NetRevenue").alias("r"), F.count(F.lit(1)).alias("n"))
     product = specs[0].dim.select("DIM_ProductId", "Brand")
     return (per_product.join(product, on="DIM_ProductId", how="inner").groupBy("Brand")
@@ -198,19 +205,43 @@ def revenue_by_brand(spark, sf):
 
 def star_fk_report(spark, sf):
     """The resolved star fact checked against its own dimensions (expected: no orphans)."""
-    fact, specs = _star(spark, sf)
-    resolved = facts.resolve_star(fact, specs, keep=FACT_MEASURES)
+    resolved, _, specs = _resolved_star(spark, sf)
     return quality.fk_report(resolved, [quality.ForeignKey(s.surrogate_key, s.dim, s.surrogate_key)
                                         for s in specs])
 
 
 def star_reconcile(spark, sf):
     """Cleaned sales against the resolved fact on their common measures (expected: equal)."""
-    fact, specs = _star(spark, sf)
-    resolved = facts.resolve_star(fact, specs, keep=FACT_MEASURES)
+    resolved, fact, _ = _resolved_star(spark, sf)
     return quality.reconcile_summary(fact.select(*FACT_MEASURES), resolved)
 
 
+def star_ambiguous_keys(spark, sf):
+    """Natural keys that hold the key separator: a fact whose parts only join to a member's text is no such member."""
+    p = io.read_table(spark, sf, "part", ["p_partkey", "p_brand", "p_type", "p_name"])
+    dim = dims.build_dimension(p.select(F.concat_ws("||", "p_brand", "p_type").alias("line"), F.col("p_name").alias("label")),
+                               ["line", "label"], "DIM_LineId")
+    fact = p.select("p_partkey", *[F.when(F.col("p_partkey") % 2 == 0, a).otherwise(b).alias(c) for c, a, b in (
+        ("line", F.concat_ws("||", "p_brand", "p_type"), F.col("p_brand")), ("label", F.col("p_name"), F.concat_ws("||", "p_type", "p_name")))])
+    return facts.resolve_star(fact, [facts.DimSpec(dim, ["line", "label"], "DIM_LineId", sha=True)], keep=["p_partkey"])
+
+
+def fk_report_dates(spark, sf):
+    """Order dates, as dates and as moments, against a calendar of the other type that lacks a weekday."""
+    o = io.read_table(spark, sf, "orders", ["o_orderdate"])
+    fact = o.select(F.to_date("o_orderdate").alias("day"), F.to_date("o_orderdate").cast("timestamp_ntz").alias("moment"))
+    calendar = fact.select("day").distinct().where(F.weekday("day") != 6)
+    return quality.fk_report(fact, [quality.ForeignKey("day", calendar.select(F.col("day").cast("timestamp_ntz").alias("at")), "at"),
+                                    quality.ForeignKey("moment", calendar, "day")])
+
+
+def median_fill_long(spark, sf):
+    """Missing long values, beyond what a double holds, by their group's exact median."""
+    o = io.read_table(spark, sf, "orders", ["o_orderkey", "o_orderpriority"])
+    big = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey") * 2 + (1 << 60) + 1).alias("serial")
+    return clean.impute_by_group(o.select("o_orderkey", "o_orderpriority", big), "o_orderpriority", "serial", "median", scale=None)
+
+
 def unknown_member_star(spark, sf):
     """Sales resolved against a product dimension without the products that were not named: they go to N/A."""
     named = D.sales_named_stage(spark, sf)
@@ -224,9 +255,9 @@ def unknown_member_star(spark, sf):
 def star_flow_persisted(spark, sf):
     """The star as tables: dimensions and fact written, the fact rewritten with its
     revenue, all read back and the fact compared with the cleaned sales."""
-    fact, specs = _star(spark, sf)
+    fact, specs, named = _star(spark, sf)
     fact = D.stage(fact, "sales-clean")
-    first = D.stage(facts.resolve_star(fact, specs, keep=FACT_MEASURES), "fact-sales")
+    first = D.stage(facts.resolve_star(fact, specs, keep=FACT_MEASURES, keys_from=named), "fact-sales")
     path = io.write_stage(facts.net_revenue(first), scratch_path(spark, "fact-sales-revenue"), evolve=True)
     final = io.read_stage(spark, path)
     dims_there = [quality.ForeignKey(s.surrogate_key, s.dim, s.surrogate_key) for s in specs]
@@ -471,6 +502,9 @@ QUERIES: dict[str, Query] = {
     "reconcile_keyed_dupes": reconcile_keyed_dupes,
     "fk_report_mixed_types": fk_report_mixed_types,
     "null_safe_same_name": null_safe_same_name,
+    "star_ambiguous_keys": star_ambiguous_keys,
+    "fk_report_dates": fk_report_dates,
+    "median_fill_long": median_fill_long,
     "unknown_member_star": unknown_member_star,
     "unknown_member_mapping": unknown_member_mapping,
     "star_flow_persisted": star_flow_persisted,

@@ -399,6 +399,20 @@ def oracle_sql() -> dict[str, str]:
     q["null_safe_same_name"] = with_ctes(["cust_refs", "nation_lookup"], """
         SELECT c.c_custkey, c.c_name, c.c_nationkey AS id, n.nation_key AS id_right, n.n_name
         FROM cust_refs c FULL OUTER JOIN nation_lookup n ON c.c_nationkey IS NOT DISTINCT FROM n.nation_key""")
+    q["star_ambiguous_keys"] = """
+        WITH d AS (SELECT DISTINCT p_brand || '||' || p_type AS line, p_name AS label FROM part),
+        f AS (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_brand || '||' || p_type ELSE p_brand END AS line,
+                     CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_type || '||' || p_name END AS label FROM part)
+        SELECT CASE WHEN d.line IS NOT NULL THEN sha256(concat_ws('||', d.line, d.label)) END AS DIM_LineId, p_partkey
+        FROM f LEFT JOIN d ON f.line = d.line AND f.label = d.label"""
+    lost = "CAST(SUM(CASE WHEN dayofweek(CAST(o_orderdate AS DATE)) = 0 THEN 1 ELSE 0 END) AS BIGINT)"
+    q["fk_report_dates"] = "\nUNION ALL ".join(
+        f"SELECT '{c}' AS fk_column, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_null, {lost} AS n_orphan FROM orders" for c in ("day", "moment"))
+    q["median_fill_long"] = """
+        WITH o AS (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey * 2 + 1152921504606846977 END AS serial
+                   FROM orders),
+        m AS (SELECT o_orderpriority, quantile_disc(serial, 0.5) AS m FROM o GROUP BY 1)
+        SELECT o_orderkey, o.o_orderpriority, COALESCE(serial, m) AS serial FROM o JOIN m ON o.o_orderpriority = m.o_orderpriority"""
     q["unknown_member_star"] = with_ctes(["sales_named", "dim_known"], """
         SELECT COALESCE(d.DIM_ProductId, sha256('N/A||N/A||N/A')) AS DIM_ProductId, COUNT(*) AS n_sales
         FROM sales_named s LEFT JOIN dim_known d ON s.ProductCategory = d.ProductCategory

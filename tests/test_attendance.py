@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from tessera.operators import attendance
-from tessera.operators.sequence import number_and_neighbours, with_ranges
+from tessera.operators.sequence import large_groups, number_and_neighbours, with_ranges
 from tessera.plans import derived as D
 
 EMP = [(7, "Noor"), (8, "Ines"), (9, "Tomas"), (101, "Kim"), (102, "Lou"), (103, "Max")]
@@ -92,7 +92,7 @@ def test_split_sequence_equals_single_window(spark):
     for above, bound in ((1000, None), (1000, 0), (0, None), (10 ** 9, None)):
         split = number_and_neighbours(both, keys, order, "punch_time", max_broadcast_rows=bound, split_above=above)
         assert rows(split) == want
-    placed = with_ranges(both, keys, order, split_above=1000).groupBy("__gid").count()
+    placed = with_ranges(both, keys, order, large_groups(both, keys, 1000)).groupBy("__gid").count()
     sizes = {}
     for r in placed.collect():
         sizes.setdefault(r["__gid"].grp.emp_id, []).append(r["count"])

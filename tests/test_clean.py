@@ -2,6 +2,7 @@
 
 import random
 import statistics
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,3 +153,21 @@ def test_group_fill_on_two_keys(spark):
                                "g string, h int, v double")
     out = rows(clean.impute_by_group(df, ["g", "h"], "v", "median"))
     assert out == [("a", 1, 10.0), ("a", 1, 10.0), ("a", 2, 30.0), ("a", 2, 30.0), ("b", 1, None)]
+
+
+def test_medians_keep_their_columns_type(spark):
+    big = 9007199254740993
+    df = spark.createDataFrame([("a", big, Decimal("1.10"), 1.0), ("a", None, None, None), ("a", big + 2, Decimal("2.30"), 3.0),
+                                ("a", big + 4, Decimal("9.90"), None)], "g string, n long, d decimal(10,2), x double")
+    fills = [clean.Fill("n", "median", scale=None), clean.Fill("d", "median", scale=None), clean.Fill("x", "mean", scale=None)]
+    out = clean.impute_columns(df, "g", fills)
+    assert out.schema["n"].dataType.simpleString() == "bigint" and out.schema["d"].dataType.simpleString() == "decimal(10,2)"
+    assert rows(out, "n", "d", "x")[1] == (big + 2, Decimal("2.30"), 2.0)
+
+
+def test_small_and_large_groups_in_one_call(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "small").otherwise("large").alias("g"), ((F.col("id") * 7919) % 3001).alias("v"))
+    df = df.withColumn("v", F.when(F.col("g") == "small", F.col("v") % 11).otherwise(F.col("v")))
+    want = rows(df.groupBy("g").agg(F.expr("percentile_disc(0.5) within group (order by v)").alias("m")))
+    for above in (1, 50, 1_000_000):
+        assert rows(group_quantile(df, "g", "v", out="m", split_above=above)) == want

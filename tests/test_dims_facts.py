@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, plan_text, rows
+from tessera.functions.keys import sha_key
 from tessera.operators import dims, facts
 from tessera.plans import catalog
 from tessera.plans import derived as D
@@ -56,11 +57,12 @@ def test_mapping_key_on_raw_codes(spark):
 
 
 def test_resolve_star_keeps_rows_and_computed_keys_equal_joined_keys(spark):
-    fact, specs = catalog._star(spark, SF_SMALL)
+    fact, specs, named = catalog._star(spark, SF_SMALL)
     computed = facts.resolve_star(fact, specs, keep=catalog.FACT_MEASURES)
     joined = facts.resolve_star(fact, [replace(s, sha=False) for s in specs], keep=catalog.FACT_MEASURES)
     assert computed.count() == fact.count()
     assert rows(computed) == rows(joined)
+    assert rows(facts.resolve_star(fact, specs, keep=catalog.FACT_MEASURES, keys_from=named)) == rows(joined)
     assert computed.where(F.col("DIM_ProductId").isNull()).count() == 0
 
 
@@ -157,3 +159,26 @@ def test_check_unique_rejects_fan_out(spark):
         facts.resolve_keys(fact, facts.DimSpec(dup, ["code"], "k"), check_unique=True)
     ok = spark.createDataFrame([("a", "k1")], "code string, k string")
     assert facts.resolve_keys(fact, facts.DimSpec(ok, ["code"], "k"), check_unique=True).count() == 1
+
+
+def test_separator_in_a_natural_key_makes_no_member(spark):
+    dim = dims.build_dimension(spark.createDataFrame([("a||b", "c"), ("x", "y")], "p string, q string"), ["p", "q"], "k")
+    fact = spark.createDataFrame([("a||b", "c", 1), ("a", "b||c", 2), ("x", "y", 3), (None, "y", 4)], "p string, q string, v int")
+    got = facts.resolve_star(fact, [facts.DimSpec(dim, ["p", "q"], "k", sha=True)], keep=["v"])
+    want = facts.resolve_star(fact, [facts.DimSpec(dim, ["p", "q"], "k")], keep=["v"])
+    assert rows(got, "v", "k") == rows(want, "v", "k") and [r.v for r in got.where("k is null").collect()] in ([2, 4], [4, 2])
+
+
+def test_two_members_of_one_surrogate_are_refused(spark):
+    both = spark.createDataFrame([("a||b", "c"), ("a", "b||c")], "p string, q string")
+    dim = dims.build_dimension(both, ["p", "q"], "k", check_unique=False)
+    with pytest.raises(ValueError, match="share a key"):
+        facts.resolve_star(both, [facts.DimSpec(dim, ["p", "q"], "k", sha=True)])
+
+
+def test_natural_keys_of_other_types_meet_as_in_a_join(spark):
+    dim = spark.createDataFrame([(1, 0.0), (2, 2.5)], "n long, x double")
+    dim = dim.withColumn("k", sha_key(["n", "x"]))
+    fact = spark.createDataFrame([(1, 0.0), (2, 2.5), (3, 2.5)], "n int, x double")
+    got = facts.resolve_star(fact, [facts.DimSpec(dim, ["n", "x"], "k", sha=True)])
+    assert sorted((r.n, r.k is None) for r in got.collect()) == [(1, False), (2, False), (3, True)]

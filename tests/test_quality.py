@@ -103,3 +103,13 @@ def test_expect_schema(spark):
     problems = quality.expect_schema(df, bad)
     assert "id: bigint != string" in problems and "missing column other" in problems
     assert "unexpected column name" in problems
+
+
+def test_a_date_meets_its_first_moment(spark):
+    days = spark.sql("select date'2024-01-01' as d, timestamp'2024-01-01 00:00:00' as t, timestamp_ntz'2024-01-01 00:00:00' as n")
+    late = spark.sql("select timestamp_ntz'2024-01-01 00:00:01' as n")
+    for a in "dtn":
+        for b in "dtn":
+            assert quality.orphans(days, a, days, b).count() == 0
+            assert quality.fk_report(days, [quality.ForeignKey(a, days, b)]).first().n_orphan == 0
+    assert quality.orphans(late, "n", days, "d").count() == 1
