@@ -11,7 +11,14 @@ Two methods, as in common attendance reports:
                      ...; punch types are ignored, an odd last punch is
                      dropped, and a day with a single punch has no row
 
-Both sum whole seconds and divide once, so rounding to hundredths of an hour
+* ``hours_by_shift`` a shift runs from the first IN after an OUT to the next
+                     OUT, across midnight too; OUT after OUT adds nothing, an IN
+                     within a shift changes nothing
+
+The first two are those of the calendar day; the third books a shift on the
+day it begins.
+
+All sum whole seconds and divide once, so rounding to hundredths of an hour
 is a single step. The employee name is joined *after* the per-day aggregate:
 the name depends only on ``emp_id``, and the aggregate is far smaller than
 the punch log. Windows are partitioned by employee-day; a large employee-day
@@ -28,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.values import seconds_between
+from tessera.operators.recipes import running_total
 from tessera.operators.sequence import number_and_neighbours
 
 # Punch types, timestamp text format, seconds per hour.
@@ -107,3 +115,39 @@ def hours_by_pairs(punches: DataFrame, employees: DataFrame | None = None, emp:
         F.max("__next").alias("last_out"),
         _hours(F.sum(seconds_between("__next", time))).alias("hours_at_work"))
     return _with_names(daily, employees, emp, name, [date, name if employees is not None else emp], sort)
+
+
+def shifts(punches: DataFrame, emp: str = "emp_id", time: str = "punch_time", kind: str = "punch_type",
+           tiebreak: Sequence[str] = ()) -> DataFrame:
+    """``emp, shift, first_in, last_out``: one row per shift, the one still open with a null ``last_out``.
+
+    The state of an employee is closed, or open since a time. IN opens it, if
+    it is closed; OUT closes it and ends a shift, if it is open; nothing else
+    changes it. So what an OUT ends is decided by the punches since the OUT
+    before it: the number of OUTs before a punch names its run, and the first
+    IN of a run opens the shift that the run's OUT ends. That number is a
+    running count, which adds up over ranges of a flooded employee's punches
+    (``sequence.with_ranges``), and a run's first IN and OUT are partial
+    aggregates; no employee is one task's work. Punches without a time, and of
+    other kinds, take no part.
+    """
+    src = punches.where(F.col(time).isNotNull() & F.col(kind).isin(PUNCH_IN, PUNCH_OUT)).select(
+        emp, time, kind, *tiebreak, (F.col(kind) == PUNCH_OUT).cast("long").alias("__out"))
+    counted = running_total(src, emp, [time, *tiebreak], "__out", out="__outs")
+    runs = counted.groupBy(emp, (F.col("__outs") - F.col("__out")).alias("shift")).agg(
+        F.min(F.when(F.col(kind) == PUNCH_IN, F.col(time))).alias("first_in"),
+        F.max(F.when(F.col(kind) == PUNCH_OUT, F.col(time))).alias("last_out"))
+    return runs.where("first_in is not null")
+
+
+def hours_by_shift(punches: DataFrame, employees: DataFrame | None = None, emp: str = "emp_id",
+                   name: str = "emp_name", time: str = "punch_time", kind: str = "punch_type",
+                   date: str = "work_date", tiebreak: Sequence[str] = (), sort: bool = True) -> DataFrame:
+    """``emp, name, date, n_shifts, first_in, last_out, hours_at_work`` per employee and day on which shifts begin.
+
+    Shifts still open add no hours and are not counted."""
+    done = shifts(punches, emp, time, kind, tiebreak).where("last_out is not null")
+    daily = done.groupBy(emp, F.to_date("first_in").alias(date)).agg(
+        F.count(F.lit(1)).alias("n_shifts"), F.min("first_in").alias("first_in"), F.max("last_out").alias("last_out"),
+        _hours(F.sum(seconds_between("last_out", "first_in"))).alias("hours_at_work"))
+    return _with_names(daily, employees, emp, name, [date, name if employees is not None else emp], sort)

@@ -29,6 +29,7 @@ from pyspark.sql.types import (
 )
 
 from tessera.operators.joins import checked_broadcast, checkpointed
+from tessera.operators.numbering import number_rows
 
 
 @dataclass(frozen=True)
@@ -211,6 +212,28 @@ def reconcile_keyed(left: DataFrame, right: DataFrame, key: str,
     return per_key.select(key, "n_left", "n_right", out.alias("diff_columns"))
 
 
+def reconcile_positions(left: DataFrame, right: DataFrame, order: Sequence[str | Column],
+                        cols: Sequence[str] | None = None) -> DataFrame:
+    """Positions at which two tables differ once both are put in ``order``: ``position, found_in, diff_columns``.
+
+    Positions are dense row numbers (``numbering.number_rows``), so equal
+    tables pair up however they are partitioned. ``found_in`` is ``both``, ``left``
+    or ``right`` (one side is longer); ``diff_columns`` names the columns that
+    differ, null-safely, in column order, and is null where a side has no row.
+    One row missing on a side shifts all after it: that is what a
+    comparison by position reports; ``reconcile`` compares without one. Rows that tie in
+    ``order`` pair up in any order, so name enough columns.
+    """
+    cols = list(cols) if cols else common_columns(left, right)
+    a = number_rows(left, order, "position").select("position", F.struct(*cols).alias("l"))
+    b = number_rows(right, order, "position").select("position", F.struct(*cols).alias("r"))
+    differ = [F.when(~F.col("l")[c].eqNullSafe(F.col("r")[c]), F.lit(c)) for c in cols]
+    found = F.when(F.col("r").isNull(), "left").when(F.col("l").isNull(), "right").otherwise("both")
+    paired = a.join(b, "position", "full").where(~F.col("l").eqNullSafe(F.col("r")))
+    return paired.select("position", found.alias("found_in"),
+                         F.when(F.col("l").isNotNull() & F.col("r").isNotNull(), F.concat_ws(",", *differ)).alias("diff_columns"))
+
+
 def expect_schema(df: DataFrame, expected: StructType, check_nullable: bool = False) -> list[str]:
     """Differences between ``df.schema`` and ``expected`` (empty list when equal).
 
