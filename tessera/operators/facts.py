@@ -24,7 +24,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, FractionalType, StringType
+from pyspark.sql.types import DecimalType, StringType
 
 from tessera.functions.keys import KEY_SEPARATOR, all_present, sha_key
 from tessera.operators.joins import checked_broadcast
@@ -83,26 +83,21 @@ def resolve_keys(fact: DataFrame, spec: DimSpec, unknown_member: str | None = No
     return out
 
 
-def _text_key(frame: DataFrame, spec: DimSpec) -> Column:
-    """The natural key as an array of texts in the dimension's types, null if a part is; equal where the parts are."""
-    kinds = [spec.dim.schema[c].dataType for c in spec.natural_key]
-    parts = [F.col(c).cast(t) for c, t in zip(spec.natural_key, kinds)]
-    parts = [p + F.lit(0).cast(t) if isinstance(t, FractionalType) else p for p, t in zip(parts, kinds)]  # -0.0 and 0.0 are equal
-    return F.when(all_present(spec.natural_key), F.array(*[p.cast("string") for p in parts]))
+def _key_columns(spec: DimSpec, mark: str) -> list[str]:
+    return [f"__{mark}{j}" for j in range(len(spec.natural_key))]
 
 
-def _members(specs: Sequence[DimSpec]) -> DataFrame:
-    """``__i``, natural key as ``__m`` and surrogate key of all members of all dimensions."""
-    return reduce(DataFrame.unionByName, [
-        s.dim.select(F.lit(i).alias("__i"), _text_key(s.dim, s).alias("__m"), F.col(s.surrogate_key).alias("__dk")) for i, s in enumerate(specs)])
+def _matches(spec: DimSpec, frame: DataFrame, other: DataFrame, names: Sequence[str]) -> Column:
+    """Equality of the natural key, part by part, as in a join."""
+    return reduce(lambda a, b: a & b, [frame[c] == other[n] for c, n in zip(spec.natural_key, names)])
 
 
-def _strangers(keys: DataFrame, specs: Sequence[DimSpec]) -> DataFrame:
-    """Distinct natural keys (``__i``, ``__w``) that their dimension does not hold; one scan of ``keys`` for all dimensions."""
-    entries = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _text_key(keys, s).alias("w")) for i, s in enumerate(specs)])).alias("e")
-    wanted = keys.select(entries).where("e.w is not null").select(F.col("e.i").alias("__wi"), F.col("e.w").alias("__w")).distinct()
-    members = _members(specs)
-    return wanted.join(members, (F.col("__wi") == F.col("__i")) & (F.col("__w") == F.col("__m")), "left_anti")
+def _strangers(keys: DataFrame, spec: DimSpec) -> DataFrame:
+    """Distinct natural keys without nulls that the dimension does not hold, as ``__w0``, ``__w1``, ..."""
+    wanted = keys.select(*spec.natural_key).where(all_present(spec.natural_key)).distinct()
+    members = spec.dim.select(*[F.col(c).alias(n) for c, n in zip(spec.natural_key, _key_columns(spec, "m"))])
+    lost = wanted.join(members, _matches(spec, wanted, members, _key_columns(spec, "m")), "left_anti")
+    return lost.toDF(*_key_columns(spec, "w"))
 
 
 def resolve_star(fact: DataFrame, specs: Sequence[DimSpec], keep: Sequence[str] | None = None,
@@ -120,27 +115,25 @@ def resolve_star(fact: DataFrame, specs: Sequence[DimSpec], keep: Sequence[str]
     sha = [s for s in specs if s.sha]
     counts: dict[tuple[int, str], int] = {}
     if sha:
-        strange = _strangers(fact if keys_from is None else keys_from, sha)
-        checks = [strange.select(F.col("__wi").alias("i"), F.lit("stranger").alias("what"))]
+        source = fact if keys_from is None else keys_from
+        checks = [_strangers(source, s).select(F.lit(i).alias("i"), F.lit("stranger").alias("what")) for i, s in enumerate(sha)]
         if check_unique:
-            held = _members(sha).where("__m is not null")
-            checks += [held.groupBy("__i", c).count().where("count > 1").select(F.col("__i").alias("i"), F.lit(what).alias("what"))
-                       for c, what in (("__m", "twice"), ("__dk", "shared"))]
+            checks += [_duplicates(s.dim, key).select(F.lit(i).alias("i"), F.lit(what).alias("what")) for i, s in enumerate(sha)
+                       for key, what in ((s.natural_key, "twice"), ([s.surrogate_key], "shared"))]
         found = reduce(DataFrame.unionByName, checks).groupBy("i", "what").count().collect()
         counts = {(r["i"], r["what"]): r["count"] for r in found}
-        if any(what == "stranger" for _, what in counts):
-            strange, _ = checked_broadcast(strange, max_broadcast_rows)
     out = fact
     for i, spec in enumerate(sha):
-        if counts.get((i, "twice")):
+        if check_unique and counts.get((i, "twice")):
             raise ValueError(f"dimension natural key {list(spec.natural_key)} is not unique; the join would fan out")
         if counts.get((i, "shared")):
             raise ValueError(f"{spec.surrogate_key} is not unique: two members share a key; use a wider hash or a null token")
         key = spec.key()
         if counts.get((i, "stranger")):
-            own = strange.where(F.col("__wi") == i).select("__w")
-            out = out.join(own, _text_key(out, spec) == F.col("__w"), "left").withColumn(
-                spec.surrogate_key, F.when(F.col("__w").isNull(), key)).drop("__w")
+            strange, _ = checked_broadcast(_strangers(source, spec), max_broadcast_rows)
+            names = _key_columns(spec, "w")
+            out = out.join(strange, _matches(spec, out, strange, names), "left").withColumn(
+                spec.surrogate_key, F.when(F.col(names[0]).isNull(), key)).drop(*names)
         else:
             out = out.withColumn(spec.surrogate_key, key)
         if unknown_member is not None:

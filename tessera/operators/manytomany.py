@@ -80,12 +80,17 @@ def many_to_many_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]
         own = F.pmod(F.xxhash64("__salt"), F.col("__p"))
         every = F.sequence(F.lit(0), F.col("__p") - 1)
         slots = F.when(F.col("__p").isNull(), F.array(F.lit(0))).when(F.expr(cut), F.array(own.cast("int"))).otherwise(every)
+        keyed = keyed.withColumn("__heavy", F.col("__p").isNotNull())
         return keyed.withColumn("__s", F.explode(slots)).drop("__h", "__p", "__cut_left", "__salt")
 
     a = dealt(left, "__cut_left")
-    b = dealt(right, "not __cut_left").select(F.col("__k").alias("__rk"), F.col("__s").alias("__rs"), *[F.col(c).alias(n) for c, n in names.items()])
+    b = dealt(right, "not __cut_left").select(F.col("__k").alias("__rk"), F.col("__s").alias("__rs"), F.lit(True).alias("__hit"), *[F.col(c).alias(n) for c, n in names.items()])
     same = F.col("__k").eqNullSafe(F.col("__rk")) if null_safe else F.col("__k") == F.col("__rk")
     if not null_safe:
         # Struct equality takes null parts as equal; a plain join does not.
         b = b.where(~F.exists(F.array(*[F.col(f"__rk.{c}").isNull() for c in on]), lambda x: x))
-    return a.join(b, same & (F.col("__s") == F.col("__rs")), how).select(*left.columns, *names.values())
+    joined = a.join(b, same & (F.col("__s") == F.col("__rs")), how)
+    if how == "left":
+        # A heavy key is on both sides: a copy of a left row that meets no piece has one that does.
+        joined = joined.where("__hit or not __heavy")
+    return joined.select(*left.columns, *names.values())
