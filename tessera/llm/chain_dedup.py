@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import column_bytes, row_slices, shingle_hashes, stored, word_hashes, word_spans
+from tessera.llm.common import column_bytes, release, row_slices, shingle_hashes, stored, word_hashes, word_spans
 
 GAP_COST = 0.1
 # Words of a stretch that are aligned at once at most; bounds the bit vectors kept.
@@ -124,7 +124,7 @@ def _links(batches):
             first, before = start[shut], shut - 1
             more = (doc[before] != doc[first]) | (pos[before] != pos[first])
             mine, theirs = np.r_[shut, shut[more]], np.r_[first, before[more]]
-            yield rows(_MATCH, h[mine], doc[mine], pos[mine], doc[theirs], pos[theirs])
+            yield rows(_MATCH, np.zeros(len(mine), np.int64), doc[mine], pos[mine], doc[theirs], pos[theirs])
         unsure = at[h[at] == opening]
         if len(unsure):
             head = ~same[unsure]
@@ -152,6 +152,7 @@ def links(found: DataFrame) -> DataFrame:
     """
     by = ["hash", "doc", "pos"]
     raw = stored(found.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_links, _LINK), "seed-links")
+    release(found.sparkSession)
     place, source = F.struct("doc", "pos"), F.struct("src", "src_pos")
     edges = raw.where(F.col("kind") == _EDGE).select("hash", "part", place.alias("lo"), source.alias("hi"))
     ranges = Window.partitionBy("hash").orderBy("lo")
@@ -497,6 +498,7 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 1, least_words:
     matches = links(found).select("doc", "src", "pos", "src_pos")
     linked = stored(matches.repartition("doc", "src").sortWithinPartitions("doc", "src", "pos", "src_pos")
                     .mapInArrow(_chain_rows(k, max_gap), _CHAIN).distinct(), "chains")
+    release(docs.sparkSession)
     pad = least_words + max_gap + window + k  # as far as a stretch may go on past the last seed of its chain
     wanted = (linked.select(F.col("doc").alias("of"), F.lit(True).alias("own"), F.col("start").alias("a"),
                             F.col("end").alias("b"), *_KEY)

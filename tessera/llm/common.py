@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tessera.session import scratch_path
 
@@ -30,6 +32,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are stored and no longer referred to.
+
+    Its context cleaner does so once the driver's JVM has collected them,
+    which a driver with memory to spare may put off for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser, so that every bit depends on every input bit."""
     x = x ^ (x >> np.uint64(30))
