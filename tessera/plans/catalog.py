@@ -8,6 +8,7 @@ test tables (or frames Spark derives from them). The matching DuckDB SQL is in
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,12 +142,13 @@ STAR = {"DIM_ProductId": PRODUCT, "DIM_StoreId": STORE, "DIM_EmployeeId": EMPLOY
 
 
 def _dims(named, keys=tuple(STAR), default=dims.DEFAULT_MEMBER):
-    """Dimensions of the staged sales, written, with their specs by key."""
-    out = {}
-    for key in keys:
+    """Dimensions of the staged sales, written side by side, with their specs by key."""
+    def build(key):
         dim = D.stage(dims.build_dimension(named, STAR[key], key, default=default, check_unique=False), key)
-        out[key] = facts.DimSpec(dim, STAR[key], key, sha=True)
-    return out
+        return key, facts.DimSpec(dim, STAR[key], key, sha=True)
+
+    with ThreadPoolExecutor(len(keys)) as pool:
+        return dict(pool.map(build, keys))
 
 
 def _dim(spark, sf, key):

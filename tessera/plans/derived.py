@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions.keys import normalize
 from tessera.operators import clean
 from tessera.session import scratch_path
-from tessera.sources.io import read_stage, read_table, write_stage
+from tessera.sources.io import read_stage, read_table, spread, write_stage
 
 # Literal name map used to impute missing product names (three
 # of the six part types, so the default is also hit), the price sentinel, and
@@ -35,8 +35,8 @@ def _null(dtype: str):
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw sales rows: one per line item, with nulls and a ``-1`` price sentinel."""
-    li = read_table(spark, sf_dir, "lineitem",
-                    ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_shipdate"])
+    li = spread(read_table(spark, sf_dir, "lineitem",
+                           ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_shipdate"]))
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"])
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])

@@ -28,6 +28,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over the session's cores if its files are too small to give each of them a full split.
+
+    A file of one row group is read by one task, however many cores wait.
+    Dealing costs a shuffle of less than one split
+    (``spark.sql.files.maxPartitionBytes``) a core; a table above that is left as it is.
+    """
+    spark = df.sparkSession
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - Spark Connect shows neither its cores nor its plan's sizes
+        return df
+    return df.repartition(cores) if size < cores * split else df
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              header: bool = True, infer: bool = False, **options) -> DataFrame:
     """CSV scan. An explicit schema is the default; inference is opt-in because
