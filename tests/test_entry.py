@@ -54,12 +54,15 @@ def test_query_matches_oracle(spark, duck, name):
             assert x == y or (isinstance(x, float) and math.isclose(x, y, rel_tol=1e-12)), (name, a, b)
 
 
-SCALE_PATH_QUERIES = ["partition_total", "running_total", "null_safe_outer_join", "mode_per_group",
+SCALE_PATH_QUERIES = ["partition_total", "null_safe_outer_join", "mode_per_group",
                       "median_per_group", "median_fill", "fact_resolve_star", "revenue_by_brand",
                       "fk_orphans", "fk_report", "reconcile_keyed", "resolve_single_key",
                       "reconcile_keyed_dupes", "fk_report_mixed_types", "null_safe_same_name",
                       "unknown_member_star", "unknown_member_mapping", "star_fk_report", "custom_mapping",
-                      "fact_resolve_mapping", "attendance_lag", "attendance_pairs", "punch_sequence"]
+                      "fact_resolve_mapping", "attendance_lag", "attendance_pairs", "punch_sequence",
+                      "star_ambiguous_keys", "fk_report_dates", "median_fill_long", "hashed_dim_resolved",
+                      "top_n_large", "fk_report_bitmap", "many_to_many", "attendance_shifts", "running_total",
+                      "sentinel_fill_median", "medians_merged", "reconcile_positions"]
 
 
 @pytest.mark.parametrize("name", SCALE_PATH_QUERIES)
