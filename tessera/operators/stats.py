@@ -82,6 +82,7 @@ def quantile_of_counts(freq: DataFrame, group: str, value: str, n: str, q: float
         F.greatest(F.ceil(F.sum(n) * F.lit(q)), F.lit(1)).cast("long").alias("__k"))
     left = freq.select(F.col(group).alias("__g"), F.col(value).alias("__v"), F.col(n).alias("__n"))
     left = left.join(totals, F.col("__g") == F.col("__tg")).select("__g", "__v", "__n", "__k", F.lit(0).cast("long").alias("__before"))
+    before = None
     while True:
         edges = left.groupBy(F.col("__g").alias("__eg")).agg(F.percentile_approx("__v", probs, accuracy).alias("__edges"))
         placed = left.join(edges, F.col("__g") == F.col("__eg")).withColumn(
@@ -96,8 +97,11 @@ def quantile_of_counts(freq: DataFrame, group: str, value: str, n: str, q: float
         left = placed.join(located.select("__lg", "__lb", "__from"),
                            (F.col("__g") == F.col("__lg")) & (F.col("__b") == F.col("__lb"))
                            ).select("__g", "__v", "__n", "__k", F.col("__from").alias("__before"))
-        if (located.agg(F.max("__values")).first()[0] or 0) <= max(1, split_above):
+        widest = located.agg(F.max("__values")).first()[0] or 0
+        # Edges are doubles: values closer together than these can tell are ranked as they are.
+        if widest <= max(1, split_above) or widest == before:
             break
+        before = widest
         left, _ = checkpointed(left)
     running = Window.partitionBy("__g").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = left.withColumn("__cum", F.col("__before") + F.sum("__n").over(running))
