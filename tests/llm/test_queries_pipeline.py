@@ -20,7 +20,7 @@ def test_one_query_an_operator():
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql_agrees(spark, name):
     con = duckdb.connect()
-    for t in ("embeddings", "pages", "conversations"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF_SMALL)
     res = con.execute(queries.SQL[name])
