@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 
 import numpy as np
@@ -58,7 +59,63 @@ def test_expected_counts_are_those_of_all_segmentations():
     assert np.allclose(got, 3 * want / total)
 
 
+def log_sums(word, probability, pieces):
+    """Log of the sum over all segmentations, by the plain recursion in logs."""
+    index, longest = {p: i for i, p in enumerate(pieces)}, max(map(len, pieces))
+    logs = [0.0]
+    for end in range(1, len(word) + 1):
+        found = [logs[end - n] + math.log(probability[index[word[end - n:end]]])
+                 for n in range(1, min(longest, end) + 1) if word[end - n:end] in index]
+        logs.append(max(found) + math.log(sum(math.exp(x - max(found)) for x in found)))
+    return logs
+
+
+@pytest.mark.parametrize("word", [b" ab" * 1 + b"the" * 30, b" " + b"ingthe" * 170, b" " + b"thinginthe" * 1000])
+def test_long_words_are_summed_whole(word):
+    rng = np.random.default_rng(3)
+    probability = rng.random((len(PIECES), 2)) / 5
+    data, lattice = np.frombuffer(word, np.uint8), L.Lattice(PIECES)
+    want = [log_sums(word, probability[:, g], PIECES) for g in range(2)]
+    assert np.allclose(lattice.walk(data, probability), [w[-1] for w in want], rtol=1e-10)
+    assert np.allclose(lattice.walk(data, probability, keep=True), np.array(want).T, rtol=1e-9)
+    assert np.allclose(lattice.walk(data, probability, back=True), [w[-1] for w in want], rtol=1e-10)
+    uses = lattice.expected_long(data, 2.0, probability[:, 0])
+    assert math.isclose(sum(u * len(p) for u, p in zip(uses, PIECES)), 2.0 * len(word), rel_tol=1e-9)
+
+
+def test_expected_counts_of_long_words_are_those_of_short_ones():
+    word, probability = np.frombuffer(b" theinthing" * 5, np.uint8), np.random.default_rng(4).random(len(PIECES))
+    short = L.Lattice(PIECES).expected(word.reshape(1, -1), np.array([2.0]), probability)
+    assert np.allclose(L.Lattice(PIECES).expected_long(word, 2.0, probability), short)
+
+
+def test_whole_predictions_equal_the_plain_recursion(spark, make_docs):
+    docs = make_docs([(1, "the fox and the hound", "en"), (2, "der fuchs und der hund", "de"), (3, "ab" * 60 + " the", None),
+                      (4, "x1 " + "the" * 300, None), (5, "hund, fox 12", None)])
+    languages, probability = L.fit(docs)
+    pieces = L.read_pieces()
+    for r in L.predict(docs, languages, probability).collect():
+        total = [sum(log_sums(b" " + w.encode(), probability[:, g], pieces)[-1] for w in r.text.split() if L.has_letter(w))
+                 for g in range(2)]
+        assert r.lang_pred == languages[int(np.argmax(total))]
+        assert math.isclose(r.score, 1 / sum(math.exp(t - max(total)) for t in total), rel_tol=1e-6)
+
+
+def test_floors_part_gibberish_from_the_languages(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang")
+    languages, probability = L.fit(docs.where(~L.held_out()), per_language=100)
+    floors = L.floors(docs.where(~L.held_out()), languages, probability, per_language=100)
+    assert sorted(floors) == languages
+    rng = random.Random(5)
+    junk = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 10))) for _ in range(n)) for n in (5, 20, 300)]
+    out = L.predict(docs.union(spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(junk)], docs.schema)),
+                    languages, probability, typical_name="typical").where("lang_pred <> 'und'").collect()
+    low = [r.doc_id for r in out if r.typical < floors[r.lang_pred]]
+    assert {-1, -2, -3} <= set(low) and len(low) - 3 <= 0.01 * len(out)
+
+
 def test_held_out_is_the_crc(spark):
+    assert spark.sql("SELECT cast(null AS long) AS doc_id").select(L.held_out()).first()[0] is False
     df = spark.range(50).withColumnRenamed("id", "doc_id").withColumn("h", L.held_out())
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in df.collect())
 
