@@ -15,6 +15,8 @@ rows are shuffled.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -23,7 +25,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import stored
 
-LIMIT = float(1 << 31)
+# Components below are handled as 64-bit integers, wider ones as Python integers.
+NARROW = float(1 << 31)
+LONG = 1 << 63
 _ONES = np.uint64((1 << 64) - 1)
 
 
@@ -40,9 +44,9 @@ class Block:
         order = np.argsort(ids, kind="stable")
         ids, values = ids[order], values[order]
         low = values.min(axis=0)
-        shifted = (values - low).astype(np.uint64)
+        shifted = values - low
         width = np.array([int(x).bit_length() for x in shifted.max(axis=0)], np.int64)
-        planes = [_bitmap((shifted[:, j] >> np.uint64(b)) & np.uint64(1) != 0)
+        planes = [_bitmap((shifted[:, j] >> b) & 1 != 0)
                   for j in range(len(low)) for b in range(width[j])]
         words = (len(ids) + 63) // 64
         return cls(ids, np.array(planes, np.uint64).reshape(len(planes), words), low, width)
@@ -78,14 +82,31 @@ class Block:
                 m = (m[0] ^ m[1])[None]
             slices.append(m[0])
             at += 1
-        negative = query < 0
-        base = int((query * self.low).sum()) + int((query[negative] * ((1 << self.width[negative]) - 1)).sum())
+        base = sum(q * l + (q * ((1 << w) - 1) if q < 0 else 0)
+                   for q, l, w in zip(query.tolist(), self.low.tolist(), self.width.tolist()))
         return slices, base
 
+    def above(self, slices: list[np.ndarray], bound: int) -> np.ndarray:
+        """Rows whose slices make a larger number than ``bound``."""
+        if bound < 0:
+            return self.all
+        more, same = np.zeros_like(self.all), self.all
+        for w in range(max(len(slices), bound.bit_length()) - 1, -1, -1):
+            s = slices[w] if w < len(slices) else np.zeros_like(self.all)
+            if bound >> w & 1:
+                same = same & s
+            else:
+                more, same = more | (same & s), same & ~s
+        return more
+
     def top(self, query_id: int | None, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best rows whose id is not ``query_id``."""
+        """Ids and scores of the ``k`` best rows whose id is not ``query_id`` and whose score fits a long."""
         slices, base = self.scores(query)
         open_rows = self.all
+        if base + (1 << len(slices)) > LONG:
+            open_rows = open_rows & ~self.above(slices, LONG - 1 - base)
+        if base < -LONG:
+            open_rows = open_rows & self.above(slices, -LONG - 1 - base)
         if query_id is not None:
             lo, hi = np.searchsorted(self.ids, query_id, "left"), np.searchsorted(self.ids, query_id, "right")
             if lo < hi:
@@ -107,10 +128,11 @@ class Block:
         rows = _rows(sure)
         rows = np.concatenate([rows, _rows(open_rows, k - len(rows))])
         word, bit = rows >> 6, (rows & 63).astype(np.uint64)
-        score = np.full(len(rows), base, np.int64)
+        score = [base] * len(rows)
         for w, s in enumerate(slices):
-            score += ((s[word] >> bit) & np.uint64(1)).astype(np.int64) << w
-        return self.ids[rows], score
+            for i in np.flatnonzero((s[word] >> bit) & np.uint64(1)).tolist():
+                score[i] += 1 << w
+        return self.ids[rows], np.array(score, np.int64)
 
 
 def _bitmap(flags: np.ndarray) -> np.ndarray:
@@ -131,40 +153,49 @@ def _rows(bitmap: np.ndarray, most: int | None = None) -> np.ndarray:
 
 
 def usable(column):
-    """Is every component there, finite and small enough to be scored in 64 bits?"""
-    return column.isNotNull() & (F.size(column) > 0) & F.forall(
-        column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * 256 < LIMIT))
+    """Is the vector there, with every component there and finite?"""
+    return column.isNotNull() & F.forall(
+        column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != F.lit(float("inf"))))
 
 
 def _quantised(column: pa.Array) -> list[np.ndarray]:
-    values = np.floor(column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False) * 256.0).astype(np.int64)
+    """``floor(256 * x)`` of each vector: 64-bit integers, or Python integers if a component is wide."""
+    flat = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
     ends = np.cumsum(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False))
-    return np.split(values, ends[:-1]) if len(ends) else []
+    narrow = np.abs(flat) < NARROW / 256
+    values = np.floor(np.where(narrow, flat, 0.0) * 256.0).astype(np.int64)
+    out = np.split(values, ends[:-1]) if len(ends) else []
+    if not narrow.all():
+        for i in np.unique(np.searchsorted(ends, np.flatnonzero(~narrow), "right")).tolist():
+            vector = flat[ends[i] - len(out[i]):ends[i]].tolist()
+            out[i] = np.array([math.floor(x * 256.0) if abs(x) < 1 << 53 else int(x) * 256 for x in vector], object)
+    return out
 
 
 _INDEX = "block long, n int, ids binary, planes binary, low binary, width binary"
 
 
 def build_index(vectors: DataFrame, block_rows: int = 1 << 16) -> DataFrame:
-    """Bit-sliced blocks of the rows of ``vec_id``, ``embedding``; vectors of one length share a block."""
+    """Bit-sliced blocks of the rows of ``vec_id``, ``embedding``; vectors of one length share a block, wide ones have their own."""
     def run(batches):
         part, number, held = TaskContext.get().partitionId(), 0, {}
 
         def emit(rows):
             nonlocal number
-            block = Block.build(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64))
+            block = Block.build(np.array([r[0] for r in rows], np.int64), np.stack([r[1] for r in rows]))
             number += 1
             return pa.RecordBatch.from_pydict({
                 "block": [(part << 24) + number], "n": pa.array([len(rows)], pa.int32()),
                 "ids": [block.ids.tobytes()], "planes": [block.planes.tobytes()],
-                "low": [block.low.tobytes()], "width": [block.width.tobytes()]})
+                "low": [",".join(map(str, block.low.tolist())).encode()], "width": [block.width.tobytes()]})
 
         for batch in batches:
             for vec_id, vector in zip(batch.column(0).to_pylist(), _quantised(batch.column(1))):
-                rows = held.setdefault(len(vector), [])
+                kind = len(vector), vector.dtype == object
+                rows = held.setdefault(kind, [])
                 rows.append((vec_id, vector))
                 if len(rows) == block_rows:
-                    yield emit(held.pop(len(vector)))
+                    yield emit(held.pop(kind))
         for rows in held.values():
             yield emit(rows)
 
@@ -179,9 +210,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
     ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``; ties go to the
     smaller vec_id. Rows with the query's own id are not candidates.
 
-    Rows with a null id, a null or empty vector, or a null, non-finite or
-    very large (2**31 after scaling) component take no part. A query meets
-    the vectors of its own length. Repeated query rows count once; repeated
+    Rows with a null id, a null vector, or a null or non-finite component take
+    no part. A query meets the vectors of its own length; empty vectors score
+    0 with each other. A pair whose score does not fit a long takes no part. Repeated query rows count once; repeated
     candidate rows each count. If fewer than ``k`` candidates exist, all are
     returned; an empty table gives no rows. Other columns are not read.
     """
@@ -208,7 +239,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
             for n, ids, planes, low, width, rows in zip(*batch.columns):
                 ids = np.frombuffer(ids.as_buffer(), np.int64)
                 words = (n.as_py() + 63) // 64
-                low, width = (np.frombuffer(x.as_buffer(), np.int64) for x in (low, width))
+                width = np.frombuffer(width.as_buffer(), np.int64)
+                low = np.array([int(x) for x in low.as_py().decode().split(",") if x], object)
                 planes = np.frombuffer(planes.as_buffer(), np.uint64).reshape(int(width.sum()), words)
                 block = Block(ids, planes, low, width)
                 asked = rows.values
