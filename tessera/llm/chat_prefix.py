@@ -15,6 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import stored
+from tessera.operators.numbering import number_rows
+
 # The turn marks of the common ChatML layout.
 START, BREAK, END = "<|im_start|>", "\n", "<|im_end|>\n"
 
@@ -85,18 +88,29 @@ def swapped_answers(turns: DataFrame, conv_id: str = "conv_id", trained: str = "
     """Preference pairs from plain conversations: chosen and rejected turns.
 
     The rejected conversation is the chosen one with its last answer replaced
-    by the last answer of the conversation with the next id. Conversations
-    without an answer or a next conversation with one make no pair.
+    by the last answer of the next answered conversation in the order of ids,
+    whatever their gaps; after the last one comes the first. Answered
+    conversations are numbered by ranges of the id and joined on the number.
+
+    The last answer is the text, not null, of the trained role with the
+    largest turn number (null is the smallest); of answers that share that
+    number it is the greatest text. Rows that repeat it are replaced with it.
+    Conversations without an answer, with a null id, or whose answer equals
+    the next one's (as that of a lone conversation does) make no pair. An
+    empty table makes none. Other columns are not read.
     """
     rows = turns.select(F.col(f"`{conv_id}`").alias("pair_id"), "turn", "role", "text").where("pair_id is not null")
-    last = (rows.where(F.col("role") == trained).groupBy("pair_id")
+    last = (rows.where((F.col("role") == trained) & F.col("text").isNotNull()).groupBy("pair_id")
             .agg(F.max(F.struct("turn", "text")).alias("x")).select("pair_id", "x.turn", "x.text"))
-    swap = last.select("pair_id", F.col("turn").alias("swap_turn")).join(
-        last.select((F.col("pair_id") - 1).alias("pair_id"), F.col("text").alias("swap_text")), "pair_id")
+    ranked = number_rows(last, ["pair_id"], "rank")
+    n = max(1, ranked.count())
+    swap = stored(
+        ranked.select("pair_id", F.col("turn").alias("swap_turn"), F.col("text").alias("own"), ((F.col("rank") + 1) % n).alias("rank"))
+        .join(ranked.select("rank", F.col("text").alias("swap_text")), "rank").where("own <> swap_text").drop("rank"), "answers")
     joined = rows.join(swap, "pair_id")
-    swapped = F.when((F.col("role") == trained) & F.col("turn").eqNullSafe(F.col("swap_turn")), F.col("swap_text"))
+    swapped = (F.col("role") == trained) & F.col("turn").eqNullSafe(F.col("swap_turn")) & F.col("text").eqNullSafe(F.col("own"))
     return (joined.select("pair_id", "turn", "role", "text"),
-            joined.select("pair_id", "turn", "role", F.when(swapped.isNotNull(), swapped).otherwise(F.col("text")).alias("text")))
+            joined.select("pair_id", "turn", "role", F.when(swapped, F.col("swap_text")).otherwise(F.col("text")).alias("text")))
 
 
 def mask_text(column: str):

@@ -23,7 +23,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation with an answer against itself with the next conversation's last answer."""
+    """Every answered conversation against itself with the last answer of the next answered one."""
     chosen, rejected = chat_prefix.swapped_answers(_table(spark, sf_dir, "conversations"))
     return chat_prefix.preference_pairs(chosen, rejected).select(
         F.col("pair_id").alias("conv_id"), "prompt_turns", "prompt", "chosen", "rejected",
@@ -131,8 +131,12 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op1_chat_prefix": """
         WITH t AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
-        a AS (SELECT conv_id, max(turn) AS turn, arg_max(text, turn) AS text FROM t WHERE role = 'assistant' GROUP BY conv_id),
-        n AS (SELECT a.conv_id, a.turn, b.text AS swap FROM a JOIN a b ON b.conv_id = a.conv_id + 1),
+        a AS (
+            SELECT conv_id, max(turn) AS turn, arg_max(text, turn) AS text FROM t
+            WHERE role = 'assistant' AND text IS NOT NULL GROUP BY conv_id),
+        b AS (
+            SELECT *, coalesce(lead(text) OVER (ORDER BY conv_id), first_value(text) OVER (ORDER BY conv_id)) AS swap FROM a),
+        n AS (SELECT conv_id, turn, swap FROM b WHERE swap <> text),
         x AS (
             SELECT t.conv_id, t.turn, t.role, t.text AS c,
                    CASE WHEN t.turn = n.turn AND t.role = 'assistant' THEN n.swap ELSE t.text END AS r
@@ -159,8 +163,8 @@ SQL: dict[str, str] = {
     "op6_bitslice_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
-            WHERE vec_id IS NOT NULL AND len(embedding) > 0
-              AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), TRUE)),
         s AS (
             SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
             FROM (SELECT DISTINCT * FROM v WHERE vec_id % 50 = 0) q

@@ -1,3 +1,4 @@
+from llm_data import SF_SMALL
 from tessera.llm import chat_prefix as C
 
 TURNS = "pair_id long, turn long, role string, text string, chosen string"
@@ -36,9 +37,25 @@ def test_edges(spark):
 
 
 def test_swapped_answers_make_pairs_that_differ_in_the_last_answer(spark):
-    turns = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a1"), (2, 0, "user", "q2"), (2, 1, "assistant", "a2"),
-                                   (3, 0, "user", "no answer"), (None, 0, "user", "x")],
+    turns = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a1"), (5, 0, "user", "q2"), (5, 1, "assistant", "a2"),
+                                   (6, 0, "user", "no answer"), (7, 0, "assistant", None), (None, 0, "assistant", "x"),
+                                   (9, 0, "assistant", "a3"), (9, 1, "assistant", "a4"), (9, 1, "assistant", "a4"),
+                                   (9, 2, "assistant", None), (40, None, "assistant", "a4"), (41, None, "assistant", "b"),
+                                   (41, None, "assistant", "a")],
                                   "conv_id long, turn long, role string, text string")
-    row = C.preference_pairs(*C.swapped_answers(turns)).collect()
-    assert [(r.pair_id, r.prompt_turns) for r in row] == [(1, 1)]
-    assert "a1" in row[0].chosen and "a2" in row[0].rejected
+    row = {r.pair_id: r for r in C.preference_pairs(*C.swapped_answers(turns)).collect()}
+    text = {i: (r.prompt_turns, *("".join(t.split("<|im_start|>assistant\n")).replace("<|im_end|>\n", " ") for t in (r.chosen, r.rejected)))
+            for i, r in row.items()}
+    # 9 and 40 have equal last answers, so 9 makes no pair; after 41 comes 1.
+    assert text == {1: (1, "a1 ", "a2 "), 5: (1, "a2 ", "a4 "), 40: (0, "a4 ", "b "), 41: (1, "b ", "a1 ")}
+    lone = turns.where("conv_id in (1, 6)")
+    assert C.preference_pairs(*C.swapped_answers(lone)).count() == 0
+    assert C.preference_pairs(*C.swapped_answers(turns.limit(0))).count() == 0
+
+
+def test_gaps_between_ids_lose_no_pair(spark):
+    turns = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+    gaps = turns.withColumn("conv_id", turns["conv_id"] * 7 - 3)
+    a, b = (sorted(tuple(r)[1:] for r in C.preference_pairs(*C.swapped_answers(t)).collect()) for t in (turns, gaps))
+    answered = turns.where("role = 'assistant' and text is not null and conv_id is not null").select("conv_id").distinct().count()
+    assert str(a) == str(b) and 0.9 * answered <= len(a) <= answered
