@@ -20,7 +20,9 @@ long and alike enough, so unlike text in the same chain hides none.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +60,8 @@ def minimizers(hashes: np.ndarray, rows: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero(np.where(whole, hashes == most, hashes == of_row))
 
 
-def seeds(docs: DataFrame, k: int, window: int) -> DataFrame:
-    """``hash``, ``doc``, ``pos`` of every minimizer seed of every text."""
+def seeds(docs: DataFrame, k: int, window: int, part: int = 0, parts: int = 1) -> DataFrame:
+    """``hash``, ``doc``, ``pos`` of every minimizer seed of every text whose hash is ``part`` modulo ``parts``."""
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -67,6 +69,7 @@ def seeds(docs: DataFrame, k: int, window: int) -> DataFrame:
                 starts, ends, rows = word_spans(raw, offsets)
                 hashes, first = shingle_hashes(word_hashes(raw, starts, ends), rows, k)
                 pick = minimizers(hashes, rows[first], window)
+                pick = pick[hashes[pick] % np.uint64(parts) == part]
                 row, word = rows[first[pick]], first[pick]
                 pos = word - np.searchsorted(rows, row)
                 yield pa.RecordBatch.from_arrays(
@@ -84,7 +87,7 @@ def _links(batches):
     """Occurrences sorted by hash, document and position in, matches with the hash's first and the preceding one out.
 
     The first hash of a partition may have begun in an earlier one. Its rows
-    come out as ``_OPEN``, with the preceding occurrence in ``src`` if that
+    come out as ``_OPEN`` with it, with the preceding occurrence in ``src`` if that
     is in the partition. The first and last hash give an ``_EDGE`` row with
     their first and last occurrence.
     """
@@ -124,7 +127,7 @@ def _links(batches):
             first, before = start[shut], shut - 1
             more = (doc[before] != doc[first]) | (pos[before] != pos[first])
             mine, theirs = np.r_[shut, shut[more]], np.r_[first, before[more]]
-            yield rows(_MATCH, h[mine], doc[mine], pos[mine], doc[theirs], pos[theirs])
+            yield rows(_MATCH, np.zeros(len(mine), np.int64), doc[mine], pos[mine], doc[theirs], pos[theirs])
         unsure = at[h[at] == opening]
         if len(unsure):
             head = ~same[unsure]
@@ -151,7 +154,7 @@ def links(found: DataFrame) -> DataFrame:
     hash is taken from the edges of the ranges, two rows a range at most.
     """
     by = ["hash", "doc", "pos"]
-    raw = stored(found.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_links, _LINK), "seed-links")
+    raw = stored(found.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_links, _LINK), "seed-links", release=True)
     place, source = F.struct("doc", "pos"), F.struct("src", "src_pos")
     edges = raw.where(F.col("kind") == _EDGE).select("hash", "part", place.alias("lo"), source.alias("hi"))
     ranges = Window.partitionBy("hash").orderBy("lo")
@@ -455,6 +458,35 @@ def stretches(words: np.ndarray, other: np.ndarray, least_words: int, similarity
     return out
 
 
+def may_hold(words: np.ndarray, other: np.ndarray, least_words: int, similarity: float) -> bool:
+    """Can two stretches have parts that ``stretches`` returns?
+
+    A part that is alike enough is, in either stretch, a run in which words
+    that occur in the other stretch at all have that share. Most chains of
+    seeds met by chance lie in no such run and need no alignment.
+    """
+    for a, b, least in ((words, other, least_words), (other, words, math.ceil(similarity * least_words - 1e-9))):
+        if len(a) < least:
+            return False
+        f = np.r_[0.0, np.cumsum(np.isin(a, b) - similarity)]
+        if (f[least:] - np.minimum.accumulate(f)[:len(f) - least]).max() < -1e-6:
+            return False
+    return True
+
+
+def windows(doc: int, s: int, e: int, src: int, t: int, f: int, pad: int) -> list[tuple[int, int, int, int]]:
+    """Word ranges to align for a chain: around ``s`` to ``e`` of a text, around ``t`` to ``f`` of its source.
+
+    Within one text both ranges are kept apart, or the text would align with
+    itself: at either end of what lies between the copies and in its middle,
+    or, where a text repeats itself on and on, in the middle of it all.
+    """
+    if doc != src or f + pad <= s - pad:
+        return [(max(0, s - pad), e + pad, max(0, t - pad), f + pad)]
+    between = sorted({f, (f + s) // 2, s}) if f <= s else [(t + e) // 2]
+    return [(max(0, s - pad, m), e + pad, max(0, t - pad), min(f + pad, m)) for m in between]
+
+
 def _without_covered(batches):
     """Passages sorted by document and source, without those whose words all lie in passages before them."""
     doc, seen = None, np.zeros(0, bool)
@@ -473,7 +505,7 @@ def _without_covered(batches):
 
 
 def repeated_passages(docs: DataFrame, k: int = 5, window: int = 1, least_words: int = 50, similarity: float = 0.8,
-                      max_gap: int = 25, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                      max_gap: int = 25, parts: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Passages of ``least_words`` words or more that repeat an earlier one.
 
     Returns ``doc_id``, ``start``, ``end`` (word positions, end exclusive),
@@ -483,7 +515,13 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 1, least_words:
     words all lie in passages of smaller sources is left out, so an exact
     passage in n documents gives n - 1 rows and its first occurrence is in
     none. A passage that a text repeats within itself counts, if the two do
-    not overlap.
+    not overlap; of a stretch that repeats a phrase on and on, what comes
+    after its first ``least_words`` words repeats what is before, in
+    passages that may overlap one another.
+
+    Seeds are joined in ``parts`` runs, by their hash, and chains aligned in
+    as many, by their documents, one run after the other: only one run's
+    shuffle files are on disk at a time.
 
     Rows with a null id take no part; a null or short text has no passage.
     Rows that repeat an id and its text count as one document. If one id
@@ -493,16 +531,11 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 1, least_words:
     """
     docs = docs.where(F.col(f"`{doc_id}`").isNotNull()).select(
         F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("binary").alias("text"))
-    found = seeds(docs, k, window)
-    matches = links(found).select("doc", "src", "pos", "src_pos")
+    matches = reduce(DataFrame.union, [links(seeds(docs, k, window, i, parts)) for i in range(parts)])
+    matches = matches.select("doc", "src", "pos", "src_pos")
     linked = stored(matches.repartition("doc", "src").sortWithinPartitions("doc", "src", "pos", "src_pos")
-                    .mapInArrow(_chain_rows(k, max_gap), _CHAIN).distinct(), "chains")
+                    .mapInArrow(_chain_rows(k, max_gap), _CHAIN).distinct(), "chains", release=True)
     pad = least_words + max_gap + window + k  # as far as a stretch may go on past the last seed of its chain
-    wanted = (linked.select(F.col("doc").alias("of"), F.lit(True).alias("own"), F.col("start").alias("a"),
-                            F.col("end").alias("b"), *_KEY)
-              .union(linked.select(F.col("src").alias("of"), F.lit(False).alias("own"), F.col("src_start").alias("a"),
-                                   F.col("src_end").alias("b"), *_KEY)))
-    cut = docs.withColumnRenamed("doc", "of").join(wanted, "of").select("text", "a", "b", "own", *_KEY)
 
     def slices(batches):
         for batch in batches:
@@ -519,9 +552,15 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 1, least_words:
                 [*batch.columns[3:], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                 names=["own", *_KEY, "words"])
 
-    sides = (cut.mapInArrow(slices, f"own boolean, {_CHAIN}, words array<int>").groupBy(*_KEY)
-             .agg(F.max(F.when(F.col("own"), F.col("words"))).alias("words"),
-                  F.max(F.when(~F.col("own"), F.col("words"))).alias("others")))
+    def sides(linked):
+        wanted = (linked.select(F.col("doc").alias("of"), F.lit(True).alias("own"), F.col("start").alias("a"),
+                                F.col("end").alias("b"), *_KEY)
+                  .union(linked.select(F.col("src").alias("of"), F.lit(False).alias("own"), F.col("src_start").alias("a"),
+                                       F.col("src_end").alias("b"), *_KEY)))
+        cut = docs.withColumnRenamed("doc", "of").join(wanted, "of").select("text", "a", "b", "own", *_KEY)
+        return (cut.mapInArrow(slices, f"own boolean, {_CHAIN}, words array<int>").groupBy(*_KEY)
+                .agg(F.max(F.when(F.col("own"), F.col("words"))).alias("words"),
+                     F.max(F.when(~F.col("own"), F.col("words"))).alias("others")))
 
     def aligned(batches):
         for batch in batches:
@@ -530,10 +569,11 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 1, least_words:
                                                            batch.column(6), batch.column(7)):
                 words, others = (w.values.to_numpy() for w in (words, others))
                 s0, t0 = max(0, s - pad), max(0, t - pad)
-                for a, b, c, d, alike in stretches(words, others, least_words, similarity):
-                    a, b, c, d = a + s0, b + s0, c + t0, d + t0
-                    if doc != src or a >= d:
-                        out.append((doc, a, b, src, c, d, alike))
+                for a0, a1, c0, c1 in windows(doc, s, e, src, t, f, pad):
+                    mine, theirs = words[a0 - s0:a1 - s0], others[c0 - t0:c1 - t0]
+                    if may_hold(mine, theirs, least_words, similarity):
+                        out += [(doc, a + a0, b + a0, src, c + c0, d + c0, alike)
+                                for a, b, c, d, alike in stretches(mine, theirs, least_words, similarity)]
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64(), pa.int32(), pa.int32()] * 2 + [pa.float64()])],
@@ -541,7 +581,10 @@ def repeated_passages(docs: DataFrame, k: int = 5, window: int = 1, least_words:
 
     kinds = "doc_id long, start int, end int, source_id long, source_start int, source_end int, similarity double"
     by = ["doc_id", "source_id", "start", "end", "source_start"]
-    return (sides.mapInArrow(aligned, kinds).repartition("doc_id").sortWithinPartitions(*by)
+    part = F.pmod(F.xxhash64("doc", "src"), F.lit(parts))
+    found = reduce(DataFrame.union, [stored(sides(linked.where(part == i)).mapInArrow(aligned, kinds), "alike", release=True)
+                                     for i in range(parts)])
+    return (found.repartition("doc_id").sortWithinPartitions(*by)
             .mapInArrow(_without_covered, kinds))
 
 

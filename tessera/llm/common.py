@@ -19,14 +19,27 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+# Fixed value: Spark's setting that deletes a query's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
-    Cuts the lineage: a lost executor only costs a reread of the files.
+    Cuts the lineage: a lost executor only costs a reread of the files. With
+    ``release`` the shuffle files of the write are deleted when it ends; the
+    session's setting is put back.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    if release:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if release:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

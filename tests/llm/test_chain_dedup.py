@@ -5,6 +5,7 @@ import numpy as np
 
 from llm_data import make_docs, small_docs  # noqa: F401
 from tessera.llm import chain_dedup as C
+from tessera.llm import common
 
 RNG = random.Random(5)
 
@@ -77,17 +78,59 @@ def test_passages(spark, make_docs):
 
 
 def test_exact_repeats_in_the_table_are_covered(spark, small_docs):
+    """Also those within a document, where they do not overlap."""
     found = {}
     for r in C.repeated_passages(small_docs).collect():
         found.setdefault(r.doc_id, set()).update(range(r.start, r.end))
-    first, size = {}, 60
+    first, size, within, held = {}, 60, 0, 0
     for r in small_docs.select("doc_id", "text").orderBy("doc_id").collect():
         w = (r.text or "").encode().lower().split()
         for p in range(len(w) - size + 1):
             key = tuple(w[p:p + size])
-            at = first.setdefault(key, r.doc_id)
-            if at != r.doc_id:
-                assert len(found.get(r.doc_id, set()) & set(range(p, p + size))) >= 0.7 * size, (r.doc_id, p)
+            doc, at = first.setdefault(key, (r.doc_id, p))
+            covered = len(found.get(r.doc_id, set()) & set(range(p, p + size))) >= 0.7 * size
+            if doc != r.doc_id:
+                assert covered, (r.doc_id, p)
+            elif at + size <= p:
+                within, held = within + 1, held + covered
+    assert held >= 0.9 * within, (held, within)
+
+
+def test_repeats_within_a_text(spark, make_docs):
+    texts = {}
+    for i, gap in enumerate([0, 1, 20, 60, 100, 200, 20, 60]):
+        shared = words(60)
+        texts[i] = words(30) + shared + words(gap) + (shared if i < 6 else edited(shared, 12)) + words(30)
+    texts[20], texts[21] = words(7) * 200, words(200)
+    docs = make_docs([(i, " ".join(w), "en") for i, w in texts.items()])
+    got = {}
+    for r in C.repeated_passages(docs).collect():
+        assert r.doc_id == r.source_id and r.source_end <= r.start
+        got.setdefault(r.doc_id, []).append(r)
+    assert sorted(got) == [0, 1, 2, 3, 4, 5, 6, 7, 20]
+    for i, gap in enumerate([0, 1, 20, 60, 100, 200]):
+        r = max(got[i], key=lambda r: r.end - r.start)
+        assert r.start <= 90 + gap + 3 and r.end >= 147 + gap and r.source_start <= 33 and r.similarity >= 0.8
+    covered = {w for r in got[20] for w in range(r.start, r.end)}
+    assert len(covered) >= 700 and min(covered) >= 50
+
+
+def test_may_hold_turns_no_passage_away():
+    rng = np.random.default_rng(9)
+    kept = 0
+    for n in range(200):
+        a = rng.integers(0, 60, rng.integers(30, 200))
+        b = np.where(rng.random(len(a)) < rng.choice([0.1, 0.18, 0.25, 0.9]), rng.integers(0, 60, len(a)), a)[rng.integers(0, 20):]
+        if C.stretches(a, b, 50, 0.8):
+            assert C.may_hold(a, b, 50, 0.8)
+            kept += 1
+    assert kept > 20 and not C.may_hold(np.arange(100), np.r_[np.arange(30), np.arange(200, 290)], 50, 0.8)
+
+
+def test_shuffle_files_go_and_the_setting_stays(spark):
+    before = spark.conf.get(common.CLEANUP)
+    df = common.stored(spark.range(100).repartition(3), "kept", release=True)
+    assert df.count() == 100 and spark.conf.get(common.CLEANUP) == before
 
 
 def test_without_words_keeps_the_rest_as_it_is():
