@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_text, rows
 from tessera.operators import dims, numbering, topn
 from tessera.session import scratch_path
 from tessera.sources import quarantine, versions
@@ -64,6 +64,39 @@ def test_colliding_members_get_numbers_and_keep_them(spark, monkeypatch, spread)
     assert {r.code: r.id for r in third.collect()} == built | again
 
 
+def test_keys_of_bare_members_are_given_without_a_lookup(spark):
+    df = spark.createDataFrame([(f"m{i % 40}",) for i in range(50)] + [(None,)], "code string")
+    first = dims.add_hash_key(df, ["code"], "id", resolve=True)
+    second = dims.add_hash_key(df, ["code"], "id", earlier=first)
+    # The whole table was joined with the members that are not at their hash.
+    assert "LeftOuter" not in plan_text(second)
+    assert rows(first) == rows(second) and first.count() == 51 and first.select("id").distinct().count() == 41
+
+
+def test_earlier_keys_that_contradict_or_lack(spark):
+    table = lambda xs: spark.createDataFrame(xs, "code string, id long")
+    now = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "code string")
+    with pytest.raises(ValueError, match="not unique"):
+        dims.add_hash_key(now, ["code"], "id", conform=False, earlier=table([("a", 1), ("b", 1)]))
+    own = {r.code: r.h for r in now.select("code", F.hash("code").cast("long").alias("h")).collect()}
+    # "a" sits where "c" hashes to, "x" is gone and keeps its key, "b" came without a key and stays at its hash.
+    got = rows(dims.add_hash_key(now, ["code"], "id", conform=False, earlier=table([("a", own["c"]), ("x", 1 << 40), ("b", None)])))
+    assert got == [("a", own["c"]), ("b", own["b"]), ("b", own["b"]), ("c", (1 << 40) + 1)]
+
+
+def test_codes_of_lines_with_nulls(spark):
+    from tessera.plans import upkeep
+
+    path = scratch_path(spark, "lines")
+    lines = [(1, 2, None), (1, None, 2), (None, None, None), (None, 1, 2), (1, 2, 3), (1, 2, 3)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(f"{path}/lineitem.parquet")
+    codes = upkeep.shelf_codes(spark, path)
+    want = {("-".join(str(x) for x in [*line, i] if x is not None), line[0]) for line in lines for i in range(upkeep.CODES_A_LINE)}
+    assert codes.columns == ["code", "l_orderkey"] and codes.count() == len(want) and {tuple(r) for r in codes.collect()} == want
+    # Lines are made distinct, not their five codes each.
+    assert "Exchange" not in plan_text(codes)
+
+
 def test_a_mapping_resolves_on_its_digest(spark, monkeypatch):
     narrow(monkeypatch, 4)
     df = spark.createDataFrame([(a, b, f"{a}/{b}") for a in ("x", "X ", "y") for b in ("p", "q", None)], "a string, b string, label string")
