@@ -112,6 +112,20 @@ def test_a_target_document_is_scored_without_itself(spark, make_docs):
         assert np.isclose(got[i], want)
 
 
+def test_every_target_document_is_counted(spark, monkeypatch):
+    # One word a document, 20,500 of the 20,600 targets hold "alpha": a fifth of a percent would go missing.
+    docs = spark.range(20_700).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 20_500, "alpha").otherwise("beta").alias("text"))
+    target = docs.where("doc_id < 20600").select("doc_id")
+    size = 1 << 10
+    want = {"alpha": np.log((20_499 + 1) / (20_599 + size)), "beta": np.log((100 + 1) / (20_600 + size))}
+    want = {w: x - np.log((n + 1) / (20_700 + size)) for (w, x), n in zip(want.items(), (20_500, 200))}
+    for most in (importance.MOST_IDS, 10):
+        monkeypatch.setattr(importance, "MOST_IDS", most)
+        out = importance.log_ratios(docs, target, buckets=size).where("doc_id in (0, 20650)").collect()
+        got = {r.doc_id: r.mean_log_ratio for r in out}
+        assert np.isclose(got[0], want["alpha"]) and np.isclose(got[20650], want["beta"])
+
+
 def test_resample_edges(spark, make_docs):
     docs = make_docs([(1, None, None), (2, "", None), (2, "", None), (None, GOOD, "en"), (5, GOOD * 3000, "en")])
     target = spark.createDataFrame([(5,), (None,)], "doc_id long")
