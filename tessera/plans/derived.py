@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.keys import normalize
 from tessera.operators import clean
+from tessera.operators.joins import checked_broadcast
 from tessera.session import scratch_path
 from tessera.sources.io import read_stage, read_table, spread, write_stage
 
@@ -27,6 +28,8 @@ NAME_MAP = {
 }
 UNITS_SENTINEL = -1.0
 UNLISTED_CODE = "9-UNLISTED"
+# Suppliers that may be broadcast if their measured bytes are within bounds, too.
+MOST_SUPPLIERS = 1_000_000
 
 
 def _null(dtype: str):
@@ -44,15 +47,17 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority"])
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
 
-    # The fact joins each base table in turn: the planner can then size-check
-    # every base table on its own (a join's estimated size is the product of
-    # its inputs, so a pre-joined lookup would never qualify for broadcast).
-    rows = (li.join(part, li.l_partkey == part.p_partkey)
-              .join(supp, li.l_suppkey == supp.s_suppkey)
-              .join(nation, supp.s_nationkey == nation.n_nationkey)
-              .join(region, nation.n_regionkey == region.r_regionkey)
-              .join(orders, li.l_orderkey == orders.o_orderkey)
-              .join(cust, orders.o_custkey == cust.c_custkey))
+    # Orders meet their customers first, so the lines are shuffled once for both.
+    # Parts and suppliers, which one side of a join holds whole, come after:
+    # below the planner's bound they cost no shuffle. Supplier, nation and
+    # region are joined first and broadcast where they are measured small.
+    placed, _ = checked_broadcast(supp.join(nation, supp.s_nationkey == nation.n_nationkey)
+                                  .join(region, nation.n_regionkey == region.r_regionkey)
+                                  .select("s_suppkey", "s_name", "n_name", "r_name"), MOST_SUPPLIERS)
+    taken = orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_orderkey", "o_orderpriority", "c_name", "c_mktsegment")
+    rows = (li.join(taken, li.l_orderkey == taken.o_orderkey)
+              .join(part, li.l_partkey == part.p_partkey)
+              .join(placed, li.l_suppkey == placed.s_suppkey))
     ok = F.col("l_orderkey")
     return rows.select(
         F.col("p_type").alias("ProductCategory"),
@@ -73,9 +78,14 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def name_sales(df: DataFrame) -> DataFrame:
+    """Missing product names of sales filled from the literal map."""
+    return clean.impute_by_map(df, "ProductName", "ProductCategory", NAME_MAP)
+
+
 def sales_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage 1: missing product names filled from the literal map."""
-    return clean.impute_by_map(sales(spark, sf_dir), "ProductName", "ProductCategory", NAME_MAP)
+    return name_sales(sales(spark, sf_dir))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

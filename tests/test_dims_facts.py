@@ -182,3 +182,14 @@ def test_natural_keys_of_other_types_meet_as_in_a_join(spark):
     fact = spark.createDataFrame([(1, 0.0), (2, 2.5), (3, 2.5)], "n int, x double")
     got = facts.resolve_star(fact, [facts.DimSpec(dim, ["n", "x"], "k", sha=True)])
     assert sorted((r.n, r.k is None) for r in got.collect()) == [(1, False), (2, False), (3, True)]
+
+
+def test_sales_shuffle_their_lines_twice_at_most(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(D.sales(spark, SF_SMALL), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Lines by order and by part, orders and customers by customer, parts, orders by order.
+    assert plan.count("Exchange hashpartitioning") <= 6
+    assert "s_suppkey" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
