@@ -246,8 +246,10 @@ def median_fill_long(spark, sf):
 
 def unknown_member_star(spark, sf):
     """Sales resolved against a product dimension without the products that were not named: they go to N/A."""
-    named = D.sales_named_stage(spark, sf)
-    known = D.sales(spark, sf).where(F.col("ProductName").isNotNull())
+    # Only the product columns are asked for, and staged once for the facts and the dimension.
+    raw = D.stage(D.sales(spark, sf).select(*PRODUCT), "sales-products")
+    named = D.name_sales(raw)
+    known = raw.where(F.col("ProductName").isNotNull())
     dim = dims.build_dimension(known, PRODUCT, "DIM_ProductId")
     spec = facts.DimSpec(dim, PRODUCT, "DIM_ProductId", sha=True)
     out = facts.resolve_star(named, [spec], keep=PRODUCT, unknown_member=dims.DEFAULT_MEMBER)

@@ -193,3 +193,12 @@ def test_sales_shuffle_their_lines_twice_at_most(spark):
     # Lines by order and by part, orders and customers by customer, parts, orders by order.
     assert plan.count("Exchange hashpartitioning") <= 6
     assert "s_suppkey" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+
+
+def test_unknown_member_star_joins_its_sales_once(spark, monkeypatch):
+    from tessera.plans import catalog
+
+    calls, sales = [], D.sales
+    monkeypatch.setattr(D, "sales", lambda *a: calls.append(a) or sales(*a))
+    out = catalog.unknown_member_star(spark, SF_SMALL)
+    assert len(calls) == 1 and out.agg(F.sum("n_sales")).first()[0] == sales(spark, SF_SMALL).count()
