@@ -19,15 +19,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Those go whose text is null or has no letter, and those whose words are,
     by their median score a byte, far less likely in every learned language
-    than the texts it was learned from (``langid.floors``): gibberish and
+    than the texts it was learned from (``langid.floors_of``): gibberish and
     languages that were not learned. Every row is judged by its own text, so
     repeated rows and rows with a null id stay or go alike. Where no language
     can be learned (no row has one), nothing stays.
     """
     learned = docs.where(~langid.held_out())
     languages, probability = langid.fit(learned)
-    floors = langid.floors(learned, languages, probability) if languages else {}
-    out = langid.predict(docs, languages, probability, lang_name="__lang", score_name="__score", typical_name="__typical")
+    # Every text is scored once; the floors are read off the scores of all texts that the languages were learned from.
+    out = stored(langid.predict(docs, languages, probability, lang_name="__lang", score_name="__score", typical_name="__typical"), "language-scores")
+    floors = langid.floors_of(out.where(~langid.held_out()), "lang", "__lang", "__typical") if languages else {}
     floor = F.lit(None).cast("double")
     for language, least in floors.items():
         floor = F.when(F.col("__lang") == language, least).otherwise(floor)

@@ -266,25 +266,27 @@ def held_out(column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(f"`{column}`").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _sample(rows: DataFrame, text: str, lang: str, doc_id: str, per_language: int) -> tuple[list[str], DataFrame]:
-    """Languages in order, and ``lang``, ``text`` of about ``per_language`` rows of each, those of the smallest id hashes."""
+def _sample(rows: DataFrame, text: str, lang: str, doc_id: str, per_language: int | None) -> tuple[list[str], DataFrame]:
+    """Languages in order, and ``lang``, ``text`` of all rows with both, or of about ``per_language`` of each, those of the smallest id hashes."""
     rows = rows.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"),
                        F.col(f"`{doc_id}`").alias("doc_id")).where("lang is not null and text is not null")
     counts = rows.groupBy("lang").count().collect()
     if not counts:
         return [], rows.select("lang", "text")
+    if per_language is None:
+        return sorted(r["lang"] for r in counts), rows.select("lang", "text")
     share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"])))])
     picked = rows.where((F.xxhash64("doc_id") / F.lit(float(1 << 64)) + 0.5) < share[F.col("lang")]).select("lang", "text")
     return sorted(r["lang"] for r in counts), picked
 
 
-def fit(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = 2000,
+def fit(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int | None = None,
         rounds: int = 2, smoothing: float = 0.1, vocabulary: str = VOCABULARY) -> tuple[list[str], np.ndarray]:
     """Languages and their piece probabilities, from rows with a language.
 
-    ``per_language`` bounds the sample: about so many rows of each language,
-    those with the smallest hash of the id, give their whole texts. Rows with
-    a null text or language give nothing.
+    All rows give their whole texts; with ``per_language`` only about so many of
+    each language, those with the smallest hash of the id. Rows with a null
+    text or language give nothing. Work grows with the different words.
     """
     languages, picked = _sample(rows, text, lang, doc_id, per_language)
     pieces = read_pieces(vocabulary)
@@ -302,7 +304,9 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*kept)], names=["lang", "word", "n"])
 
     table = stored(picked.mapInArrow(types, "lang string, word string, n long").groupBy("lang", "word")
-                   .agg(F.sum("n").alias("n")), "langid-words")
+                   .agg(F.sum("n").alias("n"))
+                   # Words of a language and length come together, so that a batch sums many at once.
+                   .sortWithinPartitions("lang", F.octet_length("word")), "langid-words")
     probability = np.full((len(pieces), len(languages)), 1.0 / len(pieces))
     for _ in range(rounds):
         def expect(batches, now=probability):
@@ -329,16 +333,25 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
 
 
 def floors(rows: DataFrame, languages: list[str], probability: np.ndarray, text: str = "text", lang: str = "lang",
-           doc_id: str = "doc_id", per_language: int = 2000, lowest: float = 0.001, vocabulary: str = VOCABULARY) -> dict[str, float]:
-    """For each language the least median score a byte of a text in it.
+           doc_id: str = "doc_id", per_language: int | None = None, lowest: float = 0.001, vocabulary: str = VOCABULARY) -> dict[str, float]:
+    """For each language the least median score a byte of a text in it (see ``floors_of``).
 
-    Taken from the texts that the language was learned from: as far again
-    below their ``lowest`` quantile as that is below their median.
+    Taken from all texts of ``rows`` with a language; with ``per_language`` from
+    the texts that a model so bounded was learned from.
     """
     _, picked = _sample(rows, text, lang, doc_id, per_language)
     scored = predict(picked, languages, probability, "text", vocabulary, "__lang", "__score", "__typical")
-    marks = (scored.where((F.col("__lang") == F.col("lang"))).groupBy("lang")
-             .agg(F.percentile_approx("__typical", F.array(F.lit(lowest), F.lit(0.5)), F.lit(10_000)).alias("q")).collect())
+    return floors_of(scored, "lang", "__lang", "__typical", lowest)
+
+
+def floors_of(scored: DataFrame, lang: str = "lang", predicted: str = "lang_pred", typical: str = "typical",
+              lowest: float = 0.001) -> dict[str, float]:
+    """The floors of rows that ``predict`` scored: those of its own language count.
+
+    As far again below their ``lowest`` quantile as that is below their median.
+    """
+    marks = (scored.where(F.col(f"`{predicted}`") == F.col(f"`{lang}`")).groupBy(F.col(f"`{lang}`").alias("lang"))
+             .agg(F.percentile_approx(F.col(f"`{typical}`"), F.array(F.lit(lowest), F.lit(0.5)), F.lit(10_000)).alias("q")).collect())
     return {r["lang"]: 2 * r["q"][0] - r["q"][1] for r in marks}
 
 

@@ -114,6 +114,21 @@ def test_floors_part_gibberish_from_the_languages(spark):
     assert {-1, -2, -3} <= set(low) and len(low) - 3 <= 0.01 * len(out)
 
 
+def test_every_text_is_learned_from_and_gives_the_floors(spark, make_docs, monkeypatch):
+    import corpus_pipeline
+
+    assert L._sample(make_docs([(i, "the fox", "en") for i in range(2500)]), "text", "lang", "doc_id", None)[1].count() == 2500
+    docs = make_docs([(i, f"the quick fox number{i % 7} runs", "en") for i in range(2400)] + [(3000 + i, "der schnelle fuchs", "de") for i in range(9)])
+    learned = docs.where(~L.held_out())
+    seen, given = [], L.floors_of
+    monkeypatch.setattr(L, "floors_of", lambda scored, *a: seen.append(scored.count()) or given(scored, *a))
+    assert corpus_pipeline.language_id(spark, docs, "").count() > 2300
+    assert seen == [learned.count()]
+    # The default model is the one of no bound.
+    whole, bounded = L.fit(learned)[1], L.fit(learned, per_language=10 ** 9)[1]
+    assert np.allclose(whole, bounded) and not np.allclose(whole, L.fit(learned, per_language=200)[1], atol=1e-9)
+
+
 def test_held_out_is_the_crc(spark):
     assert spark.sql("SELECT cast(null AS long) AS doc_id").select(L.held_out()).first()[0] is False
     df = spark.range(50).withColumnRenamed("id", "doc_id").withColumn("h", L.held_out())
