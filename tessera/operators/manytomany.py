@@ -5,7 +5,9 @@ join from one aggregate a side. ``join_size`` reports it; ``many_to_many_join``
 refuses a join above a given size, and deals heavy keys: the larger side of a
 heavy key is cut into as many pieces as its output asks for, the smaller one
 is repeated for each piece. So no task makes more than about ``task_rows``
-rows of one key, and only rows of heavy keys are repeated.
+rows of one key, as far as there are tasks: pieces that would share a task
+anyway are not cut, so copies grow with the input, not with the output. Only
+rows of heavy keys are repeated.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from tessera.operators.joins import checked_broadcast, written
 # Output rows of one key that may be made in one task, and the most pieces a side of a key is cut into.
 DEFAULT_TASK_ROWS = 5_000_000
 MOST_PIECES = 10_000
+# Pieces of a key that one task may get, so that tasks are about as large as one another.
+PIECES_A_TASK = 4
 
 
 def key_counts(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
@@ -67,7 +71,8 @@ def many_to_many_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]
         total = counts.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
         if total > max_rows:
             raise ValueError(f"the join would give {total} rows, more than {max_rows}")
-    pieces = F.least(F.ceil(size / task_rows), F.lit(MOST_PIECES)).cast("int")
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = F.least(F.ceil(size / task_rows), F.lit(min(MOST_PIECES, PIECES_A_TASK * tasks))).cast("int")
     heavy = counts.where(size > task_rows).select(F.col("__k").alias("__h"), pieces.alias("__p"), (F.col("n_left") >= F.col("n_right")).alias("__cut_left"))
     heavy, _ = checked_broadcast(heavy, max_broadcast_rows)
 

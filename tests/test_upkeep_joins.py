@@ -71,6 +71,17 @@ def test_a_heavy_key_is_dealt(spark):
     assert out.count() == 3000 and rows(out) == rows(df.join(small, "k"))
 
 
+def test_copies_of_a_heavy_key_do_not_grow_with_its_output(spark, monkeypatch):
+    seen, given = [], manytomany.checked_broadcast
+    monkeypatch.setattr(manytomany, "checked_broadcast", lambda df, *a: seen.append(df.agg(F.max("__p")).first()[0]) or given(df, *a))
+    left = spark.range(2000).select(F.lit(1).alias("k"), F.col("id").alias("a"))
+    right = spark.range(50).select(F.lit(1).alias("k"), F.col("id").alias("b"))
+    out = manytomany.many_to_many_join(left, right, "k", task_rows=1).agg(F.count("*"), F.sum("a"), F.sum("b")).first()
+    assert tuple(out) == (100_000, 50 * 1999 * 1000, 2000 * 49 * 25)
+    assert seen == [manytomany.PIECES_A_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))]
+
+
+
 # --- sketches -----------------------------------------------------------------
 
 def test_batches_merge_and_replace(spark):
