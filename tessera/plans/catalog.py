@@ -262,7 +262,7 @@ def star_flow_persisted(spark, sf):
     fact, specs, named = _star(spark, sf)
     fact = D.stage(fact, "sales-clean")
     first = D.stage(facts.resolve_star(fact, specs, keep=FACT_MEASURES, keys_from=named), "fact-sales")
-    path = io.write_stage(facts.net_revenue(first), scratch_path(spark, "fact-sales-revenue"), evolve=True)
+    path = io.write_stage(facts.net_revenue(first), scratch_path(spark, "fact-sales-revenue"), evolve=True, compression=D.STAGE_CODEC)
     final = io.read_stage(spark, path)
     dims_there = [quality.ForeignKey(s.surrogate_key, s.dim, s.surrogate_key) for s in specs]
     orphans = quality.fk_report(final, dims_there).agg(F.sum("n_orphan").alias("n_orphan"), F.sum("n_null").alias("n_null"))

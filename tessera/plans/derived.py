@@ -28,6 +28,8 @@ NAME_MAP = {
 }
 UNITS_SENTINEL = -1.0
 UNLISTED_CODE = "9-UNLISTED"
+# Stages hold hex keys, which zstd halves and snappy leaves as they are.
+STAGE_CODEC = "zstd"
 # Suppliers that may be broadcast if their measured bytes are within bounds, too.
 MOST_SUPPLIERS = 1_000_000
 
@@ -93,7 +95,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     read it back. Later steps that use it several times (a statistic, then a
     join back; several dimensions) scan the compact stage instead of
     re-running the joins that produced it, and its lineage ends here."""
-    return read_stage(df.sparkSession, write_stage(df, scratch_path(df.sparkSession, name)))
+    return read_stage(df.sparkSession, write_stage(df, scratch_path(df.sparkSession, name), compression=STAGE_CODEC))
 
 
 def sales_named_stage(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,3 +69,14 @@ def test_incremental_picks_up_only_new_files(spark):
     got = spark.read.parquet(sink)
     want = attendance.parse_punches(text)
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_stage_of_hex_keys_takes_half_their_length(spark):
+    import glob
+    import os
+
+    keys = spark.range(0, 50_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias("k"))
+    staged = D.stage(keys, "t-keys")
+    where = staged.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    size = sum(map(os.path.getsize, glob.glob(where + "/*.parquet")))
+    assert staged.count() == 50_000 and size < 50_000 * 45
