@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import column_bytes, mix, row_slices, stored, word_hashes
 from tessera.operators.joins import checked_broadcast
 
-TEXT_BYTES = 4 << 20  # text counted at a time by a task
-HELD = 1 << 21  # counts that a task sums before it hands them on
+TEXT_BYTES = 1 << 20  # text counted at a time by a task
+HELD_BYTES = 1 << 24  # keys and counts that a task sums before it hands them on
 FILTER_BITS = 1 << 27  # bits of a bitmap of frequent keys: 16 MiB, whatever the input
 _BUCKET = 8 * 4096  # bits of one bitmap of Spark's bitmap functions
 UNKNOWN = "und"
@@ -160,7 +160,7 @@ def _windows(words: Words, linked: np.ndarray, longest: int, langs: list[str]) -
 
 
 def _summed(tables: Iterator[pa.Table], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """Sums of ``n`` by ``keys`` over as many tables as ``HELD`` allows."""
+    """Sums of ``n`` by ``keys`` over as many tables as ``HELD_BYTES`` allows; phrases are of any length, so rows would not bound them."""
     def close():
         one = pa.concat_tables(held)
         return one if len(held) == 1 else one.group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
@@ -168,9 +168,9 @@ def _summed(tables: Iterator[pa.Table], keys: list[str]) -> Iterator[pa.RecordBa
     held: list[pa.Table] = []
     for table in tables:
         held.append(table)
-        if sum(map(len, held)) > HELD:
+        if sum(t.nbytes for t in held) > HELD_BYTES:
             held = [close()]
-            if len(held[0]) > HELD // 2:
+            if held[0].nbytes > HELD_BYTES // 2:
                 yield from held[0].to_batches(max_chunksize=1 << 16)
                 held = []
     if held:
@@ -294,6 +294,8 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, lang: str = "lan
 
     # Written once: dealing by ranges reads its rows twice, for the borders and for the rows.
     counted = stored(rows.mapInArrow(windows, "lang string, phrase string, n long"), "phrase-windows")
+    for bitmap in (frequent_words, frequent_pairs):
+        bitmap.unpersist()  # no later step reads them; executors need not hold them
     parts = (counted.select("lang", F.split("phrase", " ").alias("words"), "n").repartitionByRange("lang", "words").sortWithinPartitions("lang", "words")
              .mapInArrow(_runs(least, longest), "lang string, words array<string>, f long"))
     phrases = parts.groupBy("lang", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= least)

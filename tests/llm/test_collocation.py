@@ -112,3 +112,19 @@ def test_query_over_the_table(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
     got = queries.QUERIES["op12_collocation"](spark, SF_SMALL)
     assert sorted(map(tuple, got.collect())) == slow([(r.lang, r.text) for r in docs], 100)
+
+
+def test_counts_held_by_a_task_are_bounded_by_their_bytes():
+    import pyarrow as pa
+
+    taken = []
+
+    def tables():
+        for i in range(64):  # 1 MB each, in few rows
+            taken.append(i)
+            yield pa.table({"lang": ["en"] * 100, "phrase": [f"{i} {j} " + "x" * 10_000 for j in range(100)], "n": pa.array([1] * 100, pa.int64())})
+
+    out = C._summed(tables(), ["lang", "phrase"])
+    first = next(out)
+    assert len(taken) * 1_000_000 < 2 * C.HELD_BYTES
+    assert first.num_rows + sum(b.num_rows for b in out) == 6400
