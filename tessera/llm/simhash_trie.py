@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from tessera.llm.common import stored
 from tessera.llm.components import component_roots
@@ -52,14 +53,22 @@ def fingerprint(text: bytes, size: int = 3) -> int:
 
 def with_fingerprint(docs: DataFrame, text: str = "text", size: int = 3, name: str = "fp",
                      keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns of ``docs`` and the fingerprint of ``text`` as a signed long."""
+    """``keep`` columns of ``docs`` and the fingerprint of ``text`` as a signed long.
+
+    A text that is kept reaches the task once, for both.
+    """
     keep = ["doc_id"] if keep is None else keep
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("binary").alias("__text"))
+    source = docs.select(*[F.col(f"`{c}`") for c in keep])
+    if text in keep and isinstance(source.schema[text].dataType, (StringType, BinaryType)):
+        at = keep.index(text)
+    else:
+        at = len(keep)
+        source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("binary").alias("__text"))
 
     def run(batches):
         for batch in batches:
             prints = np.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", size)
-                               for t in batch.column(len(keep))], np.uint64).view(np.int64)
+                               for t in batch.column(at)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(prints, pa.int64())],
                                              names=[*keep, name])
 

@@ -88,3 +88,13 @@ def test_query_equals_brute_force(spark, small_docs):
     want = {(r.doc_id, f"{int(p):016x}", least[c]) for r, p, c in zip(rows, prints, forest.label)}
     out = S.simhash_components(small_docs)
     assert {tuple(r) for r in out.select("doc_id", S.hex_fingerprint("fp"), "component_id").collect()} == want
+
+
+def test_a_kept_text_reaches_the_task_once(spark):
+    from conftest import plan_text
+
+    docs = spark.createDataFrame([(1, "a b c d"), (2, None), (3, "É a")], "doc_id long, text string")
+    both = S.with_fingerprint(docs, keep=["doc_id", "text"])
+    assert "binary" not in plan_text(both, "simple")
+    got = {r.doc_id: (r.text, r.fp % (1 << 64)) for r in both.collect()}
+    assert got == {i: (t, slow_fingerprint(t or "")) for i, t in ((1, "a b c d"), (2, None), (3, "É a"))}
