@@ -126,6 +126,19 @@ def test_every_target_document_is_counted(spark, monkeypatch):
         assert np.isclose(got[0], want["alpha"]) and np.isclose(got[20650], want["beta"])
 
 
+def test_the_query_weighs_pairs_of_words(spark, tmp_path):
+    from tessera.llm.queries import op10_importance
+
+    # The same words in every text: by single words alone all weights are about 0.
+    texts = ["red fox runs home", "home runs fox red"]
+    spark.createDataFrame([(i, texts[i % 2]) for i in range(40)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = op10_importance(spark, str(tmp_path)).toPandas()
+    like, unlike = out[out.doc_id % 2 == 0].log_weight, out[out.doc_id % 2 == 1].log_weight
+    assert len(out) == 40 and out.selected.sum() == 20
+    assert like.min() > unlike.max() + 3
+
+
 def test_resample_edges(spark, make_docs):
     docs = make_docs([(1, None, None), (2, "", None), (2, "", None), (None, GOOD, "en"), (5, GOOD * 3000, "en")])
     target = spark.createDataFrame([(5,), (None,)], "doc_id long")
