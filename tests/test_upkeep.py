@@ -73,6 +73,42 @@ def test_keys_of_bare_members_are_given_without_a_lookup(spark):
     assert rows(first) == rows(second) and first.count() == 51 and first.select("id").distinct().count() == 41
 
 
+@pytest.mark.parametrize("spread", [7, 5000])
+def test_many_members_are_keyed_in_runs(spark, monkeypatch, spread):
+    narrow(monkeypatch, spread)
+    parts, given = [], numbering.written
+    monkeypatch.setattr(numbering, "written", lambda *dfs, **how: parts.append(len(dfs)) or given(*dfs, **how))
+    monkeypatch.setattr(numbering, "ROWS_A_RUN", 30)
+    monkeypatch.setattr(numbering, "ROWS_A_TASK", 3)
+    table = lambda xs: spark.createDataFrame([(x,) for x in xs], "code string")
+    hashed = lambda xs: {r.code: r.h for r in table(xs).select("code", F.pmod(F.hash("code"), F.lit(spread)).cast("bigint").alias("h")).collect()}
+    one, two = [f"m{i}" for i in range(80)], [f"m{i}" for i in range(40, 150)] + [None]
+    first = dims.add_hash_key(table(one), ["code"], "id", conform=False, resolve=True)
+    built = {r.code: r.id for r in first.collect()}
+    assert built == slow_keys(set(one), hashed(one), {}) and first.count() == 80
+    second = dims.add_hash_key(table(two), ["code"], "id", conform=False, earlier=first)
+    assert {r.code: r.id for r in second.collect()} == slow_keys(set(two), hashed(two), built) and second.count() == 111
+    # Rows of the table and earlier keys, 30 a run: 80, then 111 and 80. Numbers past the hash are written whole.
+    assert parts == [3, 1, 7, 1]
+
+
+def test_keys_at_the_hash_are_not_written(spark, monkeypatch):
+    kept, given = [], numbering.written
+    monkeypatch.setattr(numbering, "written", lambda *dfs, **how: kept.append(given(*dfs, **how)) or kept[-1])
+    first = dims.add_hash_key(spark.range(1000).select(F.col("id").cast("string").alias("code")), ["code"], "id", resolve=True)
+    assert first.where(F.col("id") == F.hash("code")).count() == 1000
+    numbers = [f.name for f in kept[0].schema.fields if f.dataType.typeName() == "long" and f.name != "__rows"]
+    assert kept[0].where(F.coalesce(*[F.col(n) for n in numbers]).isNotNull()).count() == 0
+
+
+def test_a_member_with_several_earlier_keys_has_all_but_its_hash(spark):
+    now = spark.createDataFrame([("a",), ("b",), ("c",)], "code string")
+    own = {r.code: r.h for r in now.select("code", F.hash("code").cast("long").alias("h")).collect()}
+    past = spark.createDataFrame([("a", own["a"]), ("a", 7), ("a", 9), ("a", 9), ("b", own["b"]), ("b", None)], "code string, id long")
+    got = rows(dims.add_hash_key(now, ["code"], "id", conform=False, earlier=past))
+    assert got == [("a", 7), ("a", 9), ("b", own["b"]), ("c", own["c"])]
+
+
 def test_earlier_keys_that_contradict_or_lack(spark):
     table = lambda xs: spark.createDataFrame(xs, "code string, id long")
     now = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "code string")
