@@ -8,6 +8,11 @@ is repeated for each piece. So no task makes more than about ``task_rows``
 rows of one key, as far as there are tasks: pieces that would share a task
 anyway are not cut, so copies grow with the input, not with the output. Only
 rows of heavy keys are repeated.
+
+Where some key is heavy and the right side is small, nothing is repeated or
+dealt by key: the left rows are dealt evenly, and each meets its key's right
+rows as lists that every task has, one pair after the other. A pair then costs a
+step in a list instead of a row of a sort-merge join.
 """
 
 from __future__ import annotations
@@ -17,13 +22,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import checked_broadcast, written
+from tessera.operators.joins import checked_broadcast, max_broadcast_bytes, max_broadcast_rows as most_rows, size_up_to, written
 
 # Output rows of one key that may be made in one task, and the most pieces a side of a key is cut into.
 DEFAULT_TASK_ROWS = 5_000_000
 MOST_PIECES = 10_000
 # Pieces of a key that one task may get, so that tasks are about as large as one another.
 PIECES_A_TASK = 4
+# Pairs made by one task, and right rows in one list, where the right side is sent to every task.
+PAIRS_A_TASK = 250_000_000
+LIST_ROWS = 4_096
 
 
 def key_counts(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
@@ -48,6 +56,28 @@ def join_size(left: DataFrame, right: DataFrame, on: str | Sequence[str], null_s
         F.coalesce(F.max(size), F.lit(0)).cast("decimal(38,0)").alias("n_rows_of_largest"))
 
 
+def _sent_rows(right: DataFrame, bound: int | None) -> int | None:
+    """Rows of ``right`` if it may be sent to every task, in lists by key.
+
+    Its bytes are bounded as those of any broadcast side, and a list's
+    overhead is counted to each row; rows are bounded only by ``bound`` or the
+    session's setting.
+    """
+    given = bound is not None or right.sparkSession.conf.get("tessera.broadcast.maxRows", None)
+    most = max_broadcast_bytes(right)
+    n, size = size_up_to(right, most_rows(right, bound) if given else most // 64)
+    fits = size <= most and (not given or n <= most_rows(right, bound))
+    return n if fits else None
+
+
+def _listed(right: DataFrame, names: dict[str, str], n: int) -> DataFrame:
+    """``__rk`` and ``__list``: rows of each key in lists of about ``LIST_ROWS``, of the columns ``names`` and whether there is a row."""
+    fields = F.struct(*[F.col(c).alias(new) for c, new in names.items()], F.lit(True).alias("__hit"))
+    lists = F.floor(F.rand(5) * max(1, -(-n // LIST_ROWS)))
+    return (right.select("__rk", lists.alias("__part"), fields.alias("__row")).groupBy("__rk", "__part")
+            .agg(F.collect_list("__row").alias("__list")).drop("__part"))
+
+
 def many_to_many_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner", null_safe: bool = False,
                       task_rows: int = DEFAULT_TASK_ROWS, max_rows: int | None = None, suffix: str = "_right",
                       max_broadcast_rows: int | None = None) -> DataFrame:
@@ -67,14 +97,21 @@ def many_to_many_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]
     names = {c: c + suffix if c.lower() in taken else c for c in right.columns if c not in on}
     counts = written(key_counts(left, right, on, null_safe))
     size = F.col("n_left").cast("decimal(38,0)") * F.col("n_right")
-    if max_rows is not None:
-        total = counts.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-        if total > max_rows:
-            raise ValueError(f"the join would give {total} rows, more than {max_rows}")
+    total, largest = counts.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.max(size), F.lit(0))).first()
+    if max_rows is not None and total > max_rows:
+        raise ValueError(f"the join would give {total} rows, more than {max_rows}")
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = F.least(F.ceil(size / task_rows), F.lit(min(MOST_PIECES, PIECES_A_TASK * tasks))).cast("int")
     heavy = counts.where(size > task_rows).select(F.col("__k").alias("__h"), pieces.alias("__p"), (F.col("n_left") >= F.col("n_right")).alias("__cut_left"))
     heavy, _ = checked_broadcast(heavy, max_broadcast_rows)
+    if largest > task_rows:
+        keyed = (right if null_safe else right.dropna(subset=on)).select(F.struct(*on).alias("__rk"), *names)
+        if (sent := _sent_rows(keyed, max_broadcast_rows)) is not None:
+            tasks = min(MOST_PIECES, int(total) // PAIRS_A_TASK)
+            rows = left.repartition(tasks) if tasks > 1 else left
+            met = rows.select("*", F.struct(*on).alias("__k")).join(F.broadcast(_listed(keyed, names, sent)), F.col("__k") == F.col("__rk"), how)
+            each = F.inline_outer("__list") if how == "left" else F.inline("__list")
+            return met.select(*left.columns, each).select(*left.columns, *names.values())
 
     def dealt(df: DataFrame, cut: str) -> DataFrame:
         """The cut side's rows get one piece each, the other side's rows a copy per piece."""

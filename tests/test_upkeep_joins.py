@@ -81,6 +81,21 @@ def test_copies_of_a_heavy_key_do_not_grow_with_its_output(spark, monkeypatch):
     assert seen == [manytomany.PIECES_A_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))]
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_pairs_of_a_heavy_key_are_even_over_tasks(spark, monkeypatch, how):
+    left = spark.range(4000).select(F.when(F.col("id") % 100 != 0, 1).otherwise(F.col("id") + 10).alias("k"), F.col("id").alias("a"))
+    right = spark.range(70).select(F.when(F.col("id") < 50, 1).otherwise(110).cast("int").alias("k"), F.col("id").alias("b"))
+    want = rows(left.join(right, "k", how))
+    monkeypatch.setattr(manytomany, "PAIRS_A_TASK", 10_000)
+    monkeypatch.setattr(manytomany, "LIST_ROWS", 7)
+    out = manytomany.many_to_many_join(left, right, "k", how, task_rows=1_000)
+    assert rows(out) == want
+    # 198,020 pairs; dealt by key and piece, some tasks got several pieces of the key and some none.
+    n = [r.n for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(n) == 19 and max(n) < 1.5 * sum(n) / len(n)
+    assert "SortMergeJoin" not in plan_text(out)
+
+
 
 # --- sketches -----------------------------------------------------------------
 
